@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_observed(df: DataFrame, write, name: str = "write") -> dict:
+def write_observed(df: DataFrame, write, name: str = "write", extra: Sequence | None = None) -> dict:
     """Run ``write(df_observed)`` and return metrics gathered during that same job.
 
     The row count comes from an ``Observation`` on the written rows, so no second scan
     (``count()`` after the write) is needed.
     """
     obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
-    write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    write(df.observe(obs, F.count(F.lit(1)).alias("rows"), *(extra or [])))
     return obs.get
 
 
