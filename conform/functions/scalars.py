@@ -27,14 +27,27 @@ def null_tokens(c: ColumnOrName, tokens: Sequence[str] = ("",)) -> Column:
     return F.when(F.trim(c.cast("string")).isin(list(tokens)), F.lit(None).cast("string")).otherwise(c)
 
 
+# Spellings accepted as numbers — decimal/scientific notation, and the
+# special values NaN / Infinity (any case, optional sign).
+NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+SPECIAL_PATTERN = r"^\s*[+-]?(?i:nan|inf|infinity)\s*$"
+
+
+def _numeric_text(c: Column) -> Column:
+    """Cheap pattern test run before a numeric parse: failed parses cost an exception each."""
+    return c.rlike(NUMBER_PATTERN)
+
+
 def key_normalise(c: ColumnOrName) -> Column:
     """Numeric id in any spelling → canonical integer text.
 
     ``1105354``, ``1105354.0`` and ``1.105354E6`` all give ``'1105354'``; text that is not a
-    number (``'36_13_81756'``, ``''``) gives NULL. The decimal hop is needed because a
-    direct ``try_cast('1105354.0' as bigint)`` is NULL.
+    number (``'36_13_81756'``, ``''``) gives NULL. The value goes through ``decimal(38,6)``
+    (a direct ``try_cast('1105354.0' as bigint)`` is NULL); the pattern test keeps
+    non-numeric ids away from the parsers, whose failures are slow.
     """
-    return _col(c).try_cast("decimal(38,6)").try_cast("bigint").cast("string")
+    c = _col(c).cast("string")
+    return F.when(_numeric_text(c), c.try_cast("decimal(38,6)").try_cast("bigint")).cast("string")
 
 
 def lookup_key(c: ColumnOrName) -> Column:
@@ -44,8 +57,13 @@ def lookup_key(c: ColumnOrName) -> Column:
 
 
 def lenient_number(c: ColumnOrName) -> Column:
-    """Text → double; unparsable text (``'NULL'``, ``'n/a'``) → NULL instead of an error."""
-    return _col(c).try_cast("double")
+    """Text → double; unparsable text (``'NULL'``, ``'n/a'``) → NULL instead of an error.
+
+    Accepts decimal and scientific notation and NaN / Infinity; numeric input is cast as is.
+    """
+    c = _col(c)
+    return F.when(c.cast("string").rlike(NUMBER_PATTERN) | c.cast("string").rlike(SPECIAL_PATTERN),
+                  c.try_cast("double"))
 
 
 def lenient_ts(c: ColumnOrName, fmt: str | None = None) -> Column:
@@ -65,16 +83,16 @@ def wide_to_label(
     A column counts when its lenient numeric value is ``> 0`` (missing/garbage → 0; NaN
     counts, as ``NaN > 0`` holds in Spark). Flag ``'Y'`` (any case) or more than one
     counting column → ``multi_label``; exactly one → its label; none → ``none_label``.
-    Built as one array expression instead of a chain of per-column projections.
+    One CASE expression of plain comparisons (whole-stage codegen, no lambda functions).
     """
-    hits = F.array_compact(F.array(*[
-        F.when(F.coalesce(lenient_number(c), F.lit(0.0)) > 0, F.lit(label)) for c, label in columns
-    ]))
-    multi = F.size(hits) > 1
+    positive = [(F.coalesce(lenient_number(c), F.lit(0.0)) > 0, label) for c, label in columns]
+    if not positive:
+        first = F.lit(None).cast("string")
+        count = F.lit(0)
+    else:
+        first = F.coalesce(*[F.when(p, F.lit(label)) for p, label in positive])
+        count = sum((p.cast("int") for p, _ in positive[1:]), positive[0][0].cast("int"))
+    multi = count > 1
     if flag is not None:
         multi = (F.upper(_col(flag)) == F.lit("Y")) | multi
-    return (
-        F.when(multi, F.lit(multi_label))
-        .when(F.size(hits) == 1, F.element_at(hits, 1))
-        .otherwise(F.lit(none_label))
-    )
+    return F.when(multi, F.lit(multi_label)).otherwise(F.coalesce(first, F.lit(none_label)))
