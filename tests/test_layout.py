@@ -1,0 +1,50 @@
+"""Serving layout: clustered files skip on the query column; filters reach the Parquet scan."""
+
+from __future__ import annotations
+
+import glob
+
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+from conform.operators.serve import q_capacity_over, q_feeder_ders
+from conform.plans import registry as r
+from conform.sources.tables import clustered_write, publish, read_table
+
+from conftest import SF_SMALL
+
+
+def test_clustered_files_do_not_overlap(spark, tmp_path):
+    dim = r.dim_latest(spark, SF_SMALL)
+    path = str(tmp_path / "cap")
+    clustered_write(dim, path, "utility_id", "max_hosting_capacity", n=4)
+    for part in glob.glob(f"{path}/utility_id=*"):
+        ranges = []
+        for f in sorted(glob.glob(f"{part}/*.parquet")):
+            names = pq.ParquetFile(f).schema_arrow.names
+            idx = names.index("max_hosting_capacity")
+            st = pq.ParquetFile(f).metadata.row_group(0).column(idx).statistics
+            ranges.append((st.min, st.max))
+        ranges.sort()
+        for (lo1, hi1), (lo2, hi2) in zip(ranges, ranges[1:]):
+            assert hi1 <= lo2, ranges
+    assert spark.read.parquet(path).count() == dim.count()
+
+
+def test_capacity_filter_pushed_to_scan(spark, tmp_path):
+    path = str(tmp_path / "cap2")
+    publish(r.dim_latest(spark, SF_SMALL), path, ("utility_id",), cluster_col="max_hosting_capacity")
+    q = q_capacity_over(read_table(spark, path), 5000).select("feeder_id")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(max_hosting_capacity), GreaterThan(max_hosting_capacity,5000.0)]" in plan
+    assert "ReadSchema: struct<feeder_id:string,max_hosting_capacity:double>" in plan
+
+
+def test_feeder_lookup_prunes_partition(spark, tmp_path):
+    path = str(tmp_path / "det")
+    details = r.fact_latest(spark, SF_SMALL)
+    publish(details, path, ("utility_id",), cluster_col="feeder_id")
+    q = q_feeder_ders(read_table(spark, path), "7", "utility1")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(utility_id" in plan and "EqualTo(feeder_id,7)" in plan
+    assert q.count() == details.where((F.col("feeder_id") == "7") & (F.col("utility_id") == "utility1")).count()
