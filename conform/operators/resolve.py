@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conform.functions.scalars import lenient_number, lenient_ts, lookup_key, null_tokens
+from conform.operators.joins import left_lookup
 
 
 def _batch_keys(df: DataFrame) -> list[str]:
@@ -78,27 +79,26 @@ def resolve_two_step(
     feeder and ``feeder_id_unresolved``. Exactly one output row per input row: the bridge is
     reduced to one feeder per circuit and the known feeders are made distinct first.
 
-    Both lookups are plain left equi-joins without hints: the planner broadcasts a side only
-    when its measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
-    sort-merge joins, where AQE splits skewed partitions (a hot circuit id, or the NULL ids,
-    which never match and would otherwise land in one task).
+    Both lookups are left equi-joins without hints (``left_lookup``): a side is broadcast only
+    when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``, else sort-merge
+    joined with AQE splitting hot ids; rows without an id get spread-out never-matching keys
+    instead of all hashing into one task.
     """
-    out = rows.withColumn("_ref", F.col(ref_col))
+    out = rows
     if bridge is not None:
-        b = bridge_one_per_key(bridge).select(
-            F.col("circuit_id").alias("_ref"), F.col("feeder_id").alias("_bridge_feeder"))
-        out = out.join(b, "_ref", "left")
+        b = bridge_one_per_key(bridge).withColumnRenamed("feeder_id", "_bridge_feeder")
+        out = left_lookup(out, ref_col, b, "circuit_id")
     else:
         out = out.withColumn("_bridge_feeder", F.lit(None).cast("string"))
     if known_feeders is not None:
-        d = known_feeders.select(F.col("feeder_id").alias("_ref")).where(F.col("_ref").isNotNull()).distinct() \
-            .withColumn("_direct_feeder", F.col("_ref"))
-        out = out.join(d, "_ref", "left")
+        d = known_feeders.select("feeder_id").where(F.col("feeder_id").isNotNull()).distinct() \
+            .withColumn("_direct_feeder", F.col("feeder_id"))
+        out = left_lookup(out, ref_col, d, "feeder_id")
     else:
         out = out.withColumn("_direct_feeder", F.lit(None).cast("string"))
     feeder = F.coalesce(F.col("_bridge_feeder"), F.col("_direct_feeder"))
     return (
         out.withColumn("feeder_id", feeder)
         .withColumn("feeder_id_unresolved", feeder.isNull())
-        .drop("_ref", "_bridge_feeder", "_direct_feeder")
+        .drop("_bridge_feeder", "_direct_feeder")
     )
