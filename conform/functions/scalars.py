@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
@@ -19,10 +20,14 @@ def clean_header(name: str) -> str:
     return name.replace("\ufeff", "").strip()
 
 
-def null_tokens(c: ColumnOrName, tokens: Sequence[str] = ("",)) -> Column:
-    """Read listed texts (after trimming) as NULL; other values pass unchanged."""
+def _is_text(dtype: T.DataType | None) -> bool:
+    return dtype is None or isinstance(dtype, T.StringType)
+
+
+def null_tokens(c: ColumnOrName, tokens: Sequence[str] = ("",), dtype: T.DataType | None = None) -> Column:
+    """Read listed texts (after trimming) as NULL; other values pass unchanged (typed input as is)."""
     c = _col(c)
-    if not tokens:
+    if not tokens or not _is_text(dtype):
         return c
     return F.when(F.trim(c.cast("string")).isin(list(tokens)), F.lit(None).cast("string")).otherwise(c)
 
@@ -33,42 +38,53 @@ NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 SPECIAL_PATTERN = r"^\s*[+-]?(?i:nan|inf|infinity)\s*$"
 
 
-def _numeric_text(c: Column) -> Column:
-    """Cheap pattern test run before a numeric parse: failed parses cost an exception each."""
-    return c.rlike(NUMBER_PATTERN)
-
-
-def key_normalise(c: ColumnOrName) -> Column:
+def key_normalise(c: ColumnOrName, dtype: T.DataType | None = None) -> Column:
     """Numeric id in any spelling → canonical integer text.
 
     ``1105354``, ``1105354.0`` and ``1.105354E6`` all give ``'1105354'``; text that is not a
-    number (``'36_13_81756'``, ``''``) gives NULL. The value goes through ``decimal(38,6)``
-    (a direct ``try_cast('1105354.0' as bigint)`` is NULL); the pattern test keeps
-    non-numeric ids away from the parsers, whose failures are slow.
+    number (``'36_13_81756'``, ``''``) gives NULL. Text goes through ``decimal(38,6)`` (a
+    direct ``try_cast('1105354.0' as bigint)`` is NULL) after a cheap pattern test that keeps
+    non-numeric ids away from the parser, whose failures cost an exception each. Typed
+    numeric input (``dtype``) skips the text path.
     """
-    c = _col(c).cast("string")
-    return F.when(_numeric_text(c), c.try_cast("decimal(38,6)").try_cast("bigint")).cast("string")
+    c = _col(c)
+    if isinstance(dtype, T.IntegralType):
+        return c.cast("string")
+    if isinstance(dtype, (T.FractionalType, T.DecimalType)):
+        return c.try_cast("bigint").cast("string")
+    c = c.cast("string")
+    return F.when(c.rlike(NUMBER_PATTERN), c.try_cast("decimal(38,6)").try_cast("bigint")).cast("string")
 
 
-def lookup_key(c: ColumnOrName) -> Column:
+def lookup_key(c: ColumnOrName, dtype: T.DataType | None = None) -> Column:
     """Join key for ids that may be numeric or alphanumeric: normalised when numeric, else as given."""
     c = _col(c)
-    return F.coalesce(key_normalise(c), c.cast("string"))
+    if not _is_text(dtype):
+        return key_normalise(c, dtype)
+    return F.coalesce(key_normalise(c, dtype), c.cast("string"))
 
 
-def lenient_number(c: ColumnOrName) -> Column:
+def lenient_number(c: ColumnOrName, dtype: T.DataType | None = None) -> Column:
     """Text → double; unparsable text (``'NULL'``, ``'n/a'``) → NULL instead of an error.
 
-    Accepts decimal and scientific notation and NaN / Infinity; numeric input is cast as is.
+    Accepts decimal and scientific notation and NaN / Infinity. Typed numeric input is cast.
     """
     c = _col(c)
-    return F.when(c.cast("string").rlike(NUMBER_PATTERN) | c.cast("string").rlike(SPECIAL_PATTERN),
-                  c.try_cast("double"))
+    if isinstance(dtype, T.NumericType):
+        return c.cast("double")
+    t = c.cast("string")
+    return F.when(t.rlike(NUMBER_PATTERN) | t.rlike(SPECIAL_PATTERN), t.try_cast("double"))
+
 
+def lenient_ts(c: ColumnOrName, fmt: str | None = None, dtype: T.DataType | None = None) -> Column:
+    """Text → timestamp; unparsable text → NULL. ``fmt`` is a Spark datetime pattern.
 
-def lenient_ts(c: ColumnOrName, fmt: str | None = None) -> Column:
-    """Text → timestamp; unparsable text → NULL. ``fmt`` is a Spark datetime pattern."""
-    c = _col(c).cast("string")
+    Typed date/timestamp input is cast (a zone-less value is read as session-time wall clock).
+    """
+    c = _col(c)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return c.cast("timestamp")
+    c = c.cast("string")
     return F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
 
 
@@ -77,6 +93,7 @@ def wide_to_label(
     flag: ColumnOrName | None = None,
     multi_label: str = "Hybrid",
     none_label: str = "Unknown",
+    dtypes: dict[str, T.DataType] | None = None,
 ) -> Column:
     """Several numeric indicator columns → one label.
 
@@ -84,8 +101,11 @@ def wide_to_label(
     counts, as ``NaN > 0`` holds in Spark). Flag ``'Y'`` (any case) or more than one
     counting column → ``multi_label``; exactly one → its label; none → ``none_label``.
     One CASE expression of plain comparisons (whole-stage codegen, no lambda functions).
+    ``dtypes`` (column → type) lets typed numeric columns skip text parsing.
     """
-    positive = [(F.coalesce(lenient_number(c), F.lit(0.0)) > 0, label) for c, label in columns]
+    dtypes = dtypes or {}
+    positive = [(F.coalesce(lenient_number(c, dtypes.get(c) if isinstance(c, str) else None), F.lit(0.0)) > 0, label)
+                for c, label in columns]
     if not positive:
         first = F.lit(None).cast("string")
         count = F.lit(0)

@@ -13,11 +13,16 @@ from conform.operators.schemas import DIM_COLUMNS, FACT_COLUMNS, enforce
 from conform.spec import SourceSpec
 
 
-def _id(spec: SourceSpec, c: str | None) -> Column:
+def _types(df: DataFrame) -> dict:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
+def _id(spec: SourceSpec, c: str | None, types: dict) -> Column:
     if c is None:
         return F.lit(None).cast("string")
-    v = null_tokens(F.col(c).cast("string"), spec.null_tokens)
-    return lookup_key(v) if spec.numeric_ids else v
+    t = types.get(c)
+    v = null_tokens(F.col(c), spec.null_tokens, t)
+    return lookup_key(v, t) if spec.numeric_ids else v.cast("string")
 
 
 def _prepare(raw: DataFrame, spec: SourceSpec) -> DataFrame:
@@ -31,14 +36,16 @@ def conform_dim_source(raw: DataFrame, spec: SourceSpec) -> DataFrame:
         dim = segment_rollup(raw, spec.feeder_id, spec.max_hc, spec.min_hc, spec.refresh_date, spec.voltage,
                              spec.ts_format, spec.null_tokens)
     else:
+        types = _types(raw)
+
         def num(c):
-            return lenient_number(c) if c else F.lit(None).cast("double")
+            return lenient_number(c, types.get(c)) if c else F.lit(None).cast("double")
         dim = raw.select(
             *(["batch_date"] if "batch_date" in raw.columns else []),
-            _id(spec, spec.feeder_id).alias("feeder_id"),
+            _id(spec, spec.feeder_id, types).alias("feeder_id"),
             num(spec.max_hc).alias("max_hosting_capacity"),
             num(spec.min_hc).alias("min_hosting_capacity"),
-            (lenient_ts(spec.refresh_date, spec.ts_format) if spec.refresh_date
+            (lenient_ts(spec.refresh_date, spec.ts_format, types.get(spec.refresh_date)) if spec.refresh_date
              else F.lit(None).cast("timestamp")).alias("last_refresh_date"),
             num(spec.voltage).alias("voltage_kv"),
         )
@@ -59,7 +66,7 @@ def der_type_column(raw: DataFrame, spec: SourceSpec, type_col: str | None) -> C
         present = set(raw.columns)
         cols = [(c, label) for c, label in spec.label_columns if c in present]   # absent → 0, never counts
         flag = spec.hybrid_flag if spec.hybrid_flag and spec.hybrid_flag in present else None
-        return wide_to_label(cols, flag)
+        return wide_to_label(cols, flag, dtypes=_types(raw))
     return F.lit(None).cast("string")
 
 
@@ -80,13 +87,14 @@ def conform_fact_source(
     if ds is None:
         raise KeyError(f"source {spec.source_id} has no dataset for status {status!r}")
     raw = _prepare(raw, spec)
-    ref = _id(spec, ds.circuit_id or ds.feeder_id)
+    types = _types(raw)
+    ref = _id(spec, ds.circuit_id or ds.feeder_id, types)
     rows = raw.select(
         *(["batch_date"] if "batch_date" in raw.columns else []),
         F.lit(spec.source_id).alias("utility_id"),
-        _id(spec, ds.der_id).alias("der_id"),
+        _id(spec, ds.der_id, types).alias("der_id"),
         der_type_column(raw, spec, ds.der_type).alias("der_type"),
-        lenient_number(ds.nameplate).alias("capacity_kw"),
+        lenient_number(ds.nameplate, types.get(ds.nameplate)).alias("capacity_kw"),
         F.lit(status).alias("status"),
         ref.alias("source_feeder_ref"),
     )

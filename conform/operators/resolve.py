@@ -31,15 +31,18 @@ def segment_rollup(
     aggregates keep Spark's partial (map-side) aggregation, so a feeder holding a large share
     of the segments is pre-reduced in every task before the shuffle.
     """
+    types = {f.name: f.dataType for f in raw.schema.fields}
+
     def num(c):
-        return lenient_number(c) if c else F.lit(None).cast("double")
+        return lenient_number(c, types.get(c)) if c else F.lit(None).cast("double")
 
     parsed = raw.select(
         *_batch_keys(raw),
-        lookup_key(null_tokens(feeder_col, tokens)).alias("feeder_id"),
+        lookup_key(null_tokens(feeder_col, tokens, types.get(feeder_col)), types.get(feeder_col)).alias("feeder_id"),
         num(max_col).alias("max_hosting_capacity"),
         num(min_col).alias("min_hosting_capacity"),
-        (lenient_ts(refresh_col, ts_format) if refresh_col else F.lit(None).cast("timestamp")).alias("last_refresh_date"),
+        (lenient_ts(refresh_col, ts_format, types.get(refresh_col)) if refresh_col
+         else F.lit(None).cast("timestamp")).alias("last_refresh_date"),
         num(voltage_col).alias("voltage_kv"),
     )
     return parsed.groupBy(*_batch_keys(raw), "feeder_id").agg(
@@ -52,11 +55,13 @@ def segment_rollup(
 
 def bridge_build(raw: DataFrame, circuit_col: str, feeder_col: str, tokens: tuple[str, ...] = ("",)) -> DataFrame:
     """Distinct non-null (circuit_id, feeder_id) pairs from segment rows."""
+    types = {f.name: f.dataType for f in raw.schema.fields}
+
+    def key(c):
+        return lookup_key(null_tokens(c, tokens, types.get(c)), types.get(c))
+
     return (
-        raw.select(
-            lookup_key(null_tokens(circuit_col, tokens)).alias("circuit_id"),
-            lookup_key(null_tokens(feeder_col, tokens)).alias("feeder_id"),
-        )
+        raw.select(key(circuit_col).alias("circuit_id"), key(feeder_col).alias("feeder_id"))
         .dropna(subset=["circuit_id", "feeder_id"])
         .distinct()
     )

@@ -217,7 +217,7 @@ def circ2_twice(spark, d) -> DataFrame:
     key = F.regexp_extract("Master_CDF", r"C_(\d+)", 1).cast("bigint")
     again = c.where(key % 4 == 0).select(
         "Master_CDF",
-        (F.col("feeder_max_hc").cast("double") + 100).cast("string").alias("feeder_max_hc"),
+        (F.col("feeder_max_hc") + 100).alias("feeder_max_hc"),
         "feeder_min_hc", F.regexp_replace("hca_refresh_date", "^2022/", "2023/").alias("hca_refresh_date"),
         "feeder_voltage", "batch_date")
     return c.unionByName(again)
@@ -520,7 +520,8 @@ def _drift_sql() -> str:
 @register("schema_drift", tb.with_views(_drift_sql(), "der1"))
 def q_schema_drift(spark, d):
     li_key = F.split("ProjectID", "-").getItem(0).cast("bigint")
-    raw = tb.der1_all(spark, d).withColumn(
+    text = tb.der1_all(spark, d)
+    raw = text.select(*[F.col(c).cast("string") if c != "batch_date" else F.col(c) for c in text.columns]).withColumn(
         "NamePlateRating", F.when(li_key % 10 == 0, F.lit("n/a")).otherwise(F.col("NamePlateRating")))
     return schema_drift(raw, DRIFT_EXPECTED, ["batch_date"])
 
@@ -718,7 +719,7 @@ def q_backfill(spark, d):
     for ds, df in d2.items():
         col = "DER_NAMEPLATE_RATING"
         resend = df.where(F.col("batch_date") == F.lit(BACKFILL_MONTH).cast("date")) \
-                   .withColumn(col, (F.col(col).cast("double") + 1).cast("string"))
+                   .withColumn(col, F.col(col) + 1)
         partition_replace(resend.withColumn("utility_id", F.lit("utility2")), f"{root}/raw/utility2_{ds}")
     publish(upsert(read_table(spark, fact_path), conform_batch(BACKFILL_MONTH), FACT_KEYS), fact_path)
     return read_table(spark, fact_path).select(

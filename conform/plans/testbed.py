@@ -8,8 +8,8 @@ The benchmark tables have no utilities, so each source is mapped onto them:
 * ``utility2`` DERs (direct feeder id)  ← orders with status F or O
 * ``utility3`` circuits (third source)  ← supplier
 
-Spark frames carry the *source* column names as text, exactly as a CSV drop would, so
-the shipped ``SourceSpec``s apply unchanged. ``SQL_VIEWS`` holds the same derivations as
+Spark frames carry the *source* column names (numbers typed, as a Parquet drop would have
+them; the CSV jobs write them out as text), so the shipped ``SourceSpec``s apply unchanged. ``SQL_VIEWS`` holds the same derivations as
 typed DuckDB CTEs for the oracle queries.
 """
 
@@ -47,11 +47,11 @@ def seg1(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.where(F.col("l_partkey") % 3 == 0).select(
         F.concat(F.lit("P"), _s("l_partkey")).alias("Circuits_Phase3_CIRCUIT"),
-        _s(F.col("l_suppkey").cast("double")).alias("NYHCPV_csv_NFEEDER"),
-        _s("l_extendedprice").alias("NYHCPV_csv_FMAXHC"),
-        _s("l_discount").alias("NYHCPV_csv_FMINHC"),
-        _s("l_shipdate").alias("NYHCPV_csv_FHCADATE"),
-        _s("l_tax").alias("NYHCPV_csv_FVOLTAGE"),
+        F.col("l_suppkey").cast("double").alias("NYHCPV_csv_NFEEDER"),     # float-typed id, as real drops
+        F.col("l_extendedprice").alias("NYHCPV_csv_FMAXHC"),
+        F.col("l_discount").alias("NYHCPV_csv_FMINHC"),
+        F.col("l_shipdate").alias("NYHCPV_csv_FHCADATE"),
+        F.col("l_tax").alias("NYHCPV_csv_FVOLTAGE"),
         _month("l_shipdate").alias("batch_date"),
     )
 
@@ -72,11 +72,11 @@ def der1_all(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus"),
         F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber")).alias("ProjectID"),
         der1_ref().alias("ProjectCircuitID"),
-        _s("l_extendedprice").alias("NamePlateRating"),
+        F.col("l_extendedprice").alias("NamePlateRating"),
         F.when(F.col("l_tax") > 0.07, F.lit("Y")).otherwise(F.lit("N")).alias("Hybrid"),
-        _s(F.when(F.col("l_discount") > 0.05, F.col("l_discount")).otherwise(F.lit(0.0))).alias("SolarPV"),
-        _s(F.when(F.col("l_tax") > 0.04, F.col("l_tax")).otherwise(F.lit(0.0))).alias("Wind"),
-        _s(F.when(F.col("l_quantity") > 40, F.col("l_quantity")).otherwise(F.lit(0.0))).alias("Other"),
+        F.when(F.col("l_discount") > 0.05, F.col("l_discount")).otherwise(F.lit(0.0)).alias("SolarPV"),
+        F.when(F.col("l_tax") > 0.04, F.col("l_tax")).otherwise(F.lit(0.0)).alias("Wind"),
+        F.when(F.col("l_quantity") > 40, F.col("l_quantity")).otherwise(F.lit(0.0)).alias("Other"),
         _month("l_shipdate").alias("batch_date"),
     )
 
@@ -94,11 +94,11 @@ def circ2(spark: SparkSession, sf_dir: str) -> DataFrame:
     mm = F.lpad(_s(F.col("c_custkey") % 12 + 1), 2, "0")
     return c.select(
         F.concat(F.lit("C_"), _s("c_custkey")).alias("Master_CDF"),
-        _s("c_acctbal").alias("feeder_max_hc"),
-        F.lit("0.0").alias("feeder_min_hc"),
+        F.col("c_acctbal").alias("feeder_max_hc"),
+        F.lit(0.0).alias("feeder_min_hc"),
         F.concat(F.lit("2022/"), mm, F.lit("/01 00:00:00+00")).alias("hca_refresh_date"),
         F.when(F.col("c_custkey") % 13 == 0, F.lit(None).cast("string"))
-         .otherwise(_s(F.col("c_nationkey").cast("double"))).alias("feeder_voltage"),
+         .otherwise(F.col("c_nationkey").cast("double")).alias("feeder_voltage"),
         F.lit(SOURCE2_BATCH).cast("date").alias("batch_date"),
     )
 
@@ -108,9 +108,9 @@ def der2(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     cust = F.col("o_custkey") + F.when(F.col("o_orderkey") % 11 == 0, F.lit(1000000)).otherwise(F.lit(0))
     base = o.select(
         F.col("o_orderstatus"),
-        _s("o_orderkey").alias("_id"),
+        F.col("o_orderkey").alias("_id"),
         F.col("o_orderpriority").alias("DER_TYPE"),
-        _s("o_totalprice").alias("DER_NAMEPLATE_RATING"),
+        F.col("o_totalprice").alias("DER_NAMEPLATE_RATING"),
         F.when(F.col("o_orderkey") % 7 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("C_"), _s(cust))).alias("DER_INTERCONNECTION_LOCATION"),
         _month("o_orderdate").alias("batch_date"),
@@ -127,8 +127,8 @@ def circ3(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     return s.select(
         F.concat(F.lit("S_"), _s("s_suppkey")).alias("feeder_code"),
-        _s("s_acctbal").alias("hosting_capacity"),
-        _s(F.col("s_nationkey").cast("double")).alias("nominal_kv"),
+        F.col("s_acctbal").alias("hosting_capacity"),
+        F.col("s_nationkey").cast("double").alias("nominal_kv"),
         F.lit(SOURCE2_BATCH).cast("date").alias("batch_date"),
     )
 
@@ -149,7 +149,7 @@ def raw_sources(spark: SparkSession, sf_dir: str, third: bool = False) -> dict[t
 
 
 # ----------------------------------------------------------------------------------------
-# DuckDB twins (typed; a Spark text round trip of a double is exact, so values agree).
+# DuckDB twins (typed; a Spark text round trip of a double is exact, so CSV jobs agree too).
 SQL_VIEWS = {
     "seg1": """
         SELECT 'P' || CAST(l_partkey AS VARCHAR) AS circuit_id, CAST(l_suppkey AS VARCHAR) AS feeder_id,
