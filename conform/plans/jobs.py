@@ -8,10 +8,13 @@ once, its checks are counted in that same job, and lost executors only redo the
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+import time
+import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from conform.context import RunContext, audit_stamp
@@ -35,7 +38,7 @@ from conform.operators.quality import (
 from conform.operators.serve import feeder_details
 from conform.session import scratch_path
 from conform.sources.csv import csv_scan, provenance
-from conform.sources.tables import batch_scan, partition_replace, publish, read_table, write_observed
+from conform.sources.tables import batch_scan, partition_replace, publish, read_table
 from conform.spec import STATUSES, SourceSpec
 
 log = logging.getLogger("conform.jobs")
@@ -70,14 +73,29 @@ def ingest_file(spark: SparkSession, path: str, spec: SourceSpec, ctx: RunContex
     return audit_stamp(provenance(csv_scan(spark, path, spec.multiline), spec.source_id), ctx)
 
 
+def run_concurrently(tasks: dict[str, Callable[[], object]], max_workers: int = 8) -> dict[str, object]:
+    """Submit independent write jobs together so the scheduler can run them side by side.
+
+    Each task writes its own table; an ingest of one unsplittable file (multi-line CSV) uses
+    one core, so running files one after another would leave the cluster idle.
+    """
+    if len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def pipe_raw(spark: SparkSession, specs: Sequence[SourceSpec], landing: str, layout: Layout,
-             ctx: RunContext) -> dict[str, int]:
+             ctx: RunContext, max_parallel_files: int = 8) -> dict[str, int]:
     """Ingest every dataset of every active source; replace this batch's partitions only."""
-    counts = {}
-    for spec in specs:
-        for ds in spec.datasets:
-            df = ingest_file(spark, f"{landing.rstrip('/')}/{spec.file_name(ds)}", spec, ctx)
-            counts[f"{spec.source_id}_{ds}"] = partition_replace(df, layout.raw_table(spec.source_id, ds))["rows"]
+    def one(spec: SourceSpec, ds: str) -> int:
+        df = ingest_file(spark, f"{landing.rstrip('/')}/{spec.file_name(ds)}", spec, ctx)
+        return partition_replace(df, layout.raw_table(spec.source_id, ds))["rows"]
+
+    tasks = {f"{spec.source_id}_{ds}": (lambda spec=spec, ds=ds: one(spec, ds))
+             for spec in specs for ds in spec.datasets}
+    counts = run_concurrently(tasks, max_parallel_files)
     log.info("raw: %s rows", sum(counts.values()))
     return counts
 
@@ -95,8 +113,6 @@ def staged_with_checks(df: DataFrame, checks: Sequence[Check], name: str, table:
     for i, (ch, g) in enumerate(zip(checks, _guards(checks))):
         aggs += [F.count_if(g).alias(f"t{i}"), F.count_if(g & ~ch.passes()).alias(f"f{i}"),
                  F.count_if(g & ch.value().isNull()).alias(f"u{i}")]
-    from pyspark.sql import Observation
-    import uuid
     obs = Observation(f"checks-{uuid.uuid4().hex[:8]}")
     df.observe(obs, *aggs).write.mode("errorifexists").parquet(path)
     m = obs.get
@@ -166,21 +182,34 @@ def pipe_conform(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layou
         if b is not None:
             out[f"bridge_{s.source_id}"] = publish(b, layout.conformed_table(f"bridge_{s.source_id}"))["rows"]
             bridges[s.source_id] = read_table(spark, layout.conformed_table(f"bridge_{s.source_id}"))
+    timings = out["seconds"] = {}
+    mark = time.perf_counter()
+
+    def lap(name: str) -> None:
+        nonlocal mark
+        now = time.perf_counter()
+        timings[name], mark = round(now - mark, 3), now
+
+    lap("bridges")
     dim_rows = union_all([conform_dim_source(raws[(s.source_id, s.circuits_dataset)], s) for s in specs])
     dim_clean, out["dim_checks"] = staged_with_checks(dim_rows, DIM_CHECKS, "dim", "dim_feeder")
+    lap("dim_stage")
     dim_new = audit_stamp(latest_per_key(dim_clean, DIM_KEYS, DIM_ORDER), ctx, keep_batch_date=True)
     dim_path = layout.conformed_table("dim_feeder")
     dim_state = upsert(read_table(spark, dim_path), dim_new, DIM_KEYS, only_newer=only_newer)
     out["dim_feeder"] = publish(dim_state, dim_path, partition_cols=("utility_id",))["rows"]
     dim = read_table(spark, dim_path)
+    lap("dim_publish")
 
     _, fact_rows, _ = build_conformed(raws, specs, known_dim=dim, bridges=bridges)
     fact_latest = latest_per_key(fact_rows, FACT_KEYS, FACT_ORDER)
     fact_clean, out["fact_checks"] = staged_with_checks(fact_latest, FACT_CHECKS, "fact", "fact_der")
+    lap("fact_stage")
     fact_new = audit_stamp(fact_clean, ctx, keep_batch_date=True)
     fact_path = layout.conformed_table("fact_der")
     fact_state = upsert(read_table(spark, fact_path), fact_new, FACT_KEYS, only_newer=only_newer)
     out["fact_der"] = publish(fact_state, fact_path, partition_cols=("utility_id",))["rows"]
+    lap("fact_publish")
     return out
 
 
@@ -189,14 +218,14 @@ def pipe_serve(spark: SparkSession, layout: Layout, ctx: RunContext) -> dict:
     """Capacity (clustered on capacity), DER details (clustered on feeder), quality summary."""
     dim = read_table(spark, layout.conformed_table("dim_feeder"))
     fact = read_table(spark, layout.conformed_table("fact_der"))
-    out = {
-        "feeder_capacity": publish(dim, layout.serving_table("feeder_capacity"), ("utility_id",),
-                                   cluster_col="max_hosting_capacity")["rows"],
-        "feeder_der_details": publish(feeder_details(fact, dim), layout.serving_table("feeder_der_details"),
-                                      ("utility_id",), cluster_col="feeder_id")["rows"],
-        "data_quality": publish(quality_summary(dim, fact, ctx), layout.serving_table("data_quality"))["rows"],
+    tasks = {
+        "feeder_capacity": lambda: publish(dim, layout.serving_table("feeder_capacity"), ("utility_id",),
+                                           cluster_col="max_hosting_capacity")["rows"],
+        "feeder_der_details": lambda: publish(feeder_details(fact, dim), layout.serving_table("feeder_der_details"),
+                                              ("utility_id",), cluster_col="feeder_id")["rows"],
+        "data_quality": lambda: publish(quality_summary(dim, fact, ctx), layout.serving_table("data_quality"))["rows"],
     }
-    return out
+    return run_concurrently(tasks)
 
 
 def run_all(spark: SparkSession, specs: Sequence[SourceSpec], landing: str, layout: Layout, ctx: RunContext,
