@@ -19,7 +19,7 @@ from conform.context import RunContext, audit_stamp
 from conform.functions.scalars import key_normalise, lenient_number, lenient_ts
 from conform.operators.conform import conform_dim_source, conform_fact_source, union_all
 from conform.operators.dedup import latest_per_key
-from conform.operators.merge import scd2_from_history, upsert
+from conform.operators.merge import scd2_apply, scd2_from_history, upsert
 from conform.operators.quality import (
     DIM_CHECKS,
     FACT_CHECKS,
@@ -289,6 +289,40 @@ def q_scd2_history(spark, d):
     return scd2_from_history(o, ["o_custkey"], ["o_orderpriority"], "o_orderdate", ["o_orderkey"])
 
 
+SCD2_CUT, SCD2_END = "1997-01-01", "2002-01-01"
+
+
+def _latest_priority(orders: DataFrame) -> DataFrame:
+    return latest_per_key(orders.select("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority"),
+                          ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderpriority")
+
+
+@register("scd2_apply", f"""
+    WITH b1 AS (SELECT o_custkey, o_orderpriority FROM (
+                    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+                    FROM orders WHERE o_orderdate < TIMESTAMP '{SCD2_CUT}') WHERE rn = 1),
+         b2 AS (SELECT o_custkey, o_orderpriority FROM (
+                    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+                    FROM orders) WHERE rn = 1),
+         kept AS (SELECT b1.* FROM b1 LEFT JOIN b2 USING (o_custkey)
+                  WHERE b2.o_custkey IS NULL OR b2.o_orderpriority IS NOT DISTINCT FROM b1.o_orderpriority),
+         closing AS (SELECT b1.* FROM b1 JOIN b2 USING (o_custkey)
+                     WHERE b2.o_orderpriority IS DISTINCT FROM b1.o_orderpriority)
+    SELECT o_custkey, o_orderpriority, DATE '{SCD2_CUT}' AS effective_from, NULL::DATE AS effective_to,
+           true AS is_current FROM kept
+    UNION ALL
+    SELECT o_custkey, o_orderpriority, DATE '{SCD2_CUT}', DATE '{SCD2_END}', false FROM closing
+    UNION ALL
+    SELECT o_custkey, o_orderpriority, DATE '{SCD2_END}', NULL::DATE, true FROM b2
+    WHERE o_custkey NOT IN (SELECT o_custkey FROM kept)""")
+def q_scd2_apply(spark, d):
+    """A type-2 table built from one batch, then a later batch applied: changed keys closed and re-opened."""
+    o = tb.table(spark, d, "orders")
+    first = _latest_priority(o.where(F.col("o_orderdate") < F.lit(SCD2_CUT).cast("timestamp_ntz")))
+    current = scd2_apply(None, first, ["o_custkey"], ["o_orderpriority"], date.fromisoformat(SCD2_CUT))
+    return scd2_apply(current, _latest_priority(o), ["o_custkey"], ["o_orderpriority"], date.fromisoformat(SCD2_END))
+
+
 # ------------------------------------------------------------------ checks
 def circ2_with_nulls(spark, d) -> DataFrame:
     _utc(spark)
