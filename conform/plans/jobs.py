@@ -101,10 +101,12 @@ def pipe_raw(spark: SparkSession, specs: Sequence[SourceSpec], landing: str, lay
 
 
 # ---------------------------------------------------------------- checks during a write
-def staged_with_checks(df: DataFrame, checks: Sequence[Check], name: str, table: str) -> tuple[DataFrame, list[dict]]:
+def staged_with_checks(df: DataFrame, checks: Sequence[Check], name: str,
+                       table: str) -> tuple[DataFrame, list[dict], int]:
     """Write ``df`` once to the scratch folder, counting every check in that same job.
 
-    Returns the staged rows (read back, lineage cut) after ``drop`` checks, and the report.
+    Returns the staged rows (read back, lineage cut) after ``drop`` checks, the report and the
+    number of staged rows (an upper bound of what survives the checks).
     A failing ``fail`` check raises before anything is published.
     """
     spark = df.sparkSession
@@ -128,7 +130,7 @@ def staged_with_checks(df: DataFrame, checks: Sequence[Check], name: str, table:
         if r["failed_rows"]:
             log.warning("[%s] %s %s: %d/%d rows failed", table, ch.severity.upper(), ch.name,
                         r["failed_rows"], r["total_rows"])
-    return drop_failing(staged, checks), report
+    return drop_failing(staged, checks), report, m["_rows"]
 
 
 # ---------------------------------------------------------------- conform
@@ -192,22 +194,23 @@ def pipe_conform(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layou
 
     lap("bridges")
     dim_rows = union_all([conform_dim_source(raws[(s.source_id, s.circuits_dataset)], s) for s in specs])
-    dim_clean, out["dim_checks"] = staged_with_checks(dim_rows, DIM_CHECKS, "dim", "dim_feeder")
+    dim_clean, out["dim_checks"], dim_rows_n = staged_with_checks(dim_rows, DIM_CHECKS, "dim", "dim_feeder")
     lap("dim_stage")
     dim_new = audit_stamp(latest_per_key(dim_clean, DIM_KEYS, DIM_ORDER), ctx, keep_batch_date=True)
     dim_path = layout.conformed_table("dim_feeder")
-    dim_state = upsert(read_table(spark, dim_path), dim_new, DIM_KEYS, only_newer=only_newer)
+    dim_state = upsert(read_table(spark, dim_path), dim_new, DIM_KEYS, only_newer=only_newer, source_rows=dim_rows_n)
     out["dim_feeder"] = publish(dim_state, dim_path, partition_cols=("utility_id",))["rows"]
     dim = read_table(spark, dim_path)
     lap("dim_publish")
 
     _, fact_rows, _ = build_conformed(raws, specs, known_dim=dim, bridges=bridges)
     fact_latest = latest_per_key(fact_rows, FACT_KEYS, FACT_ORDER)
-    fact_clean, out["fact_checks"] = staged_with_checks(fact_latest, FACT_CHECKS, "fact", "fact_der")
+    fact_clean, out["fact_checks"], fact_rows_n = staged_with_checks(fact_latest, FACT_CHECKS, "fact", "fact_der")
     lap("fact_stage")
     fact_new = audit_stamp(fact_clean, ctx, keep_batch_date=True)
     fact_path = layout.conformed_table("fact_der")
-    fact_state = upsert(read_table(spark, fact_path), fact_new, FACT_KEYS, only_newer=only_newer)
+    fact_state = upsert(read_table(spark, fact_path), fact_new, FACT_KEYS, only_newer=only_newer,
+                        source_rows=fact_rows_n)
     out["fact_der"] = publish(fact_state, fact_path, partition_cols=("utility_id",))["rows"]
     lap("fact_publish")
     return out

@@ -88,3 +88,19 @@ def test_scd2_history_and_apply(spark):
     rows = sorted((x.k, x.s, str(x.effective_from), str(x.effective_to), x.is_current) for x in nxt.collect())
     assert rows == [(1, "a", "2026-01-01", "None", True), (2, "b", "2026-01-01", "2026-02-01", False),
                     (2, "c", "2026-02-01", "None", True), (3, "d", "2026-02-01", "None", True)]
+
+
+def test_upsert_broadcasts_only_a_bounded_batch(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+        s = spark.range(990, 1010).select(F.col("id").cast("string").alias("k"), (F.col("id") * 10).alias("v"))
+        small = upsert(t, s, ["k"], source_rows=20)
+        big = upsert(t, s, ["k"], source_rows=10**9)
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in big._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+        assert small.count() == 1010
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
