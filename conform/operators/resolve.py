@@ -84,23 +84,31 @@ def resolve_two_step(
     feeder and ``feeder_id_unresolved``. Exactly one output row per input row: the bridge is
     reduced to one feeder per circuit and the known feeders are made distinct first.
 
-    Both lookups are left equi-joins without hints (``left_lookup``): a side is broadcast only
+    Bridge and known feeders are first merged into one small lookup table (id → bridge hit,
+    direct hit), so the large row side is joined — and, if not broadcast, shuffled — once.
+    The lookup is a left equi-join without hints (``left_lookup``): it is broadcast only
     when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``, else sort-merge
     joined with AQE splitting hot ids; rows without an id get spread-out never-matching keys
     instead of all hashing into one task.
     """
-    out = rows
+    bf, df_ = F.lit(None).cast("string"), F.lit(None).cast("string")
+    b = d = None
     if bridge is not None:
-        b = bridge_one_per_key(bridge).withColumnRenamed("feeder_id", "_bridge_feeder")
-        out = left_lookup(out, ref_col, b, "circuit_id")
-    else:
-        out = out.withColumn("_bridge_feeder", F.lit(None).cast("string"))
+        b = bridge_one_per_key(bridge).select(F.col("circuit_id").alias("_k"), F.col("feeder_id").alias("_bridge_feeder"))
     if known_feeders is not None:
-        d = known_feeders.select("feeder_id").where(F.col("feeder_id").isNotNull()).distinct() \
-            .withColumn("_direct_feeder", F.col("feeder_id"))
-        out = left_lookup(out, ref_col, d, "feeder_id")
+        d = known_feeders.where(F.col("feeder_id").isNotNull()).select(F.col("feeder_id").alias("_k")).distinct() \
+            .withColumn("_direct_feeder", F.col("_k"))
+    if b is None and d is None:
+        out = rows.withColumns({"_bridge_feeder": bf, "_direct_feeder": df_})
     else:
-        out = out.withColumn("_direct_feeder", F.lit(None).cast("string"))
+        # one lookup table keyed by id → (bridge hit, direct hit): the large row side is joined once
+        if b is None:
+            lookup = d.withColumn("_bridge_feeder", bf)
+        elif d is None:
+            lookup = b.withColumn("_direct_feeder", df_)
+        else:
+            lookup = b.join(d, "_k", "full_outer")
+        out = left_lookup(rows, ref_col, lookup, "_k")
     feeder = F.coalesce(F.col("_bridge_feeder"), F.col("_direct_feeder"))
     return (
         out.withColumn("feeder_id", feeder)
