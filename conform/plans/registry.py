@@ -158,7 +158,9 @@ def q_ts_parse(spark, d):
 
 @register("wide_to_label", tb.with_views("SELECT der_id, status, batch_date, der_type FROM der1_typed", "der1_typed"))
 def q_wide_to_label(spark, d):
-    return u1_fact_rows(spark, d).select("der_id", "status", "batch_date", "der_type")
+    d1 = tb.der1(spark, d)        # labels need no feeder resolution
+    return union_all([conform_fact_source(d1[ds.dataset], UTILITY1, st) for st, ds in UTILITY1.der]) \
+        .select("der_id", "status", "batch_date", "der_type")
 
 
 # ------------------------------------------------------------------ roll-up, bridge, resolution
