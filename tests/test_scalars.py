@@ -109,3 +109,17 @@ def test_wide_to_label_stays_in_codegen(spark):
     plan = df.select(wide_to_label([(c, c) for c in LABEL_COLS], "Hybrid").alias("t"))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "lambdafunction" not in plan
+
+
+from hypothesis import given, settings, strategies as st
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(min_value=-10**15, max_value=10**15), st.sampled_from(["int", "dot", "exp", "pad"])),
+                min_size=1, max_size=20))
+def test_key_normalise_spellings(spark, values):
+    """Every spelling of an integer id normalises to its plain decimal text."""
+    def spell(n, how):
+        return {"int": str(n), "dot": f"{n}.0", "exp": f"{n}E0", "pad": f" {n} "}[how]
+    df = spark.createDataFrame([(spell(n, h),) for n, h in values], "x string")
+    assert [r[0] for r in df.select(key_normalise("x")).collect()] == [str(n) for n, _ in values]
