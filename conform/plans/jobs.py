@@ -31,9 +31,11 @@ from conform.operators.quality import (
     FACT_CHECKS,
     Check,
     CheckFailed,
-    _guards,
+    check_aggregates,
     drop_failing,
+    failing_rows,
     quality_summary,
+    report_rows,
 )
 from conform.operators.serve import feeder_details
 from conform.session import scratch_path
@@ -111,20 +113,15 @@ def staged_with_checks(df: DataFrame, checks: Sequence[Check], name: str,
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"stage-{name}")
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, (ch, g) in enumerate(zip(checks, _guards(checks))):
-        aggs += [F.count_if(g).alias(f"t{i}"), F.count_if(g & ~ch.passes()).alias(f"f{i}"),
-                 F.count_if(g & ch.value().isNull()).alias(f"u{i}")]
     obs = Observation(f"checks-{uuid.uuid4().hex[:8]}")
-    df.observe(obs, *aggs).write.mode("errorifexists").parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("_rows"), *check_aggregates(checks)) \
+        .write.mode("errorifexists").parquet(path)
     m = obs.get
-    report = [dict(check_name=ch.name, severity=ch.severity, total_rows=m[f"t{i}"], failed_rows=m[f"f{i}"],
-                   unknown_rows=m[f"u{i}"]) for i, ch in enumerate(checks)]
+    report = report_rows(checks, m)
     staged = spark.read.parquet(path)
-    for ch, r in zip(checks, report):
+    for i, (ch, r) in enumerate(zip(checks, report)):
         if r["failed_rows"] and ch.severity == "fail":
-            g = _guards(checks)[checks.index(ch)]
-            sample = staged.where(g & ~ch.passes()).limit(5).collect()
+            sample = failing_rows(staged, checks, i).limit(5).collect()
             raise CheckFailed(f"[{table}] {ch.name}: {r['failed_rows']:,}/{r['total_rows']:,} rows failed"
                               f"\nSample: {sample}")
         if r["failed_rows"]:
