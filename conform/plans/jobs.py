@@ -174,13 +174,6 @@ def pipe_conform(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layou
     raws = {(s.source_id, ds): batch_scan(spark, layout.raw_table(s.source_id, ds), batch_date=batch)
             for s in specs for ds in s.datasets}
     out: dict = {}
-    # bridges: written first, read back (small, reused by both statuses)
-    bridges = {}
-    for s in specs:
-        b = conform_bridge_source(raws[(s.source_id, s.circuits_dataset)], s)
-        if b is not None:
-            out[f"bridge_{s.source_id}"] = publish(b, layout.conformed_table(f"bridge_{s.source_id}"))["rows"]
-            bridges[s.source_id] = read_table(spark, layout.conformed_table(f"bridge_{s.source_id}"))
     timings = out["seconds"] = {}
     mark = time.perf_counter()
 
@@ -189,10 +182,21 @@ def pipe_conform(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layou
         now = time.perf_counter()
         timings[name], mark = round(now - mark, 3), now
 
-    lap("bridges")
+    # bridges (small, reused by both statuses) and the dimension's staging are independent jobs: run together
+    tasks: dict[str, Callable[[], object]] = {}
+    for s in specs:
+        b = conform_bridge_source(raws[(s.source_id, s.circuits_dataset)], s)
+        if b is not None:
+            tasks[f"bridge_{s.source_id}"] = (lambda b=b, s=s: publish(
+                b, layout.conformed_table(f"bridge_{s.source_id}"))["rows"])
     dim_rows = union_all([conform_dim_source(raws[(s.source_id, s.circuits_dataset)], s) for s in specs])
-    dim_clean, out["dim_checks"], dim_rows_n = staged_with_checks(dim_rows, DIM_CHECKS, "dim", "dim_feeder")
-    lap("dim_stage")
+    tasks["_dim"] = lambda: staged_with_checks(dim_rows, DIM_CHECKS, "dim", "dim_feeder")
+    done = run_concurrently(tasks)
+    dim_clean, out["dim_checks"], dim_rows_n = done.pop("_dim")
+    out.update(done)
+    bridges = {s.source_id: read_table(spark, layout.conformed_table(f"bridge_{s.source_id}"))
+               for s in specs if f"bridge_{s.source_id}" in done}
+    lap("bridges_and_dim_stage")
     dim_new = audit_stamp(latest_per_key(dim_clean, DIM_KEYS, DIM_ORDER), ctx, keep_batch_date=True)
     dim_path = layout.conformed_table("dim_feeder")
     dim_state = upsert(read_table(spark, dim_path), dim_new, DIM_KEYS, only_newer=only_newer, source_rows=dim_rows_n)

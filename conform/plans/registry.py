@@ -672,10 +672,11 @@ def q_stream_ingest(spark, d):
 # ------------------------------------------------------------------ whole chain
 def write_landing(spark, d, landing: str) -> None:
     """Write both sources' drops as CSV files named as the specs expect."""
+    from conform.plans.jobs import run_concurrently
     raws = tb.raw_sources(spark, d)
-    for (sid, ds), df in raws.items():
-        spec = UTILITY1 if sid == "utility1" else UTILITY2
-        _write_csv(df.drop("batch_date"), f"{landing}/{spec.file_name(ds)}")
+    specs = {"utility1": UTILITY1, "utility2": UTILITY2}
+    run_concurrently({f"{sid}_{ds}": (lambda df=df, sid=sid, ds=ds: _write_csv(
+        df.drop("batch_date"), f"{landing}/{specs[sid].file_name(ds)}")) for (sid, ds), df in raws.items()})
 
 
 def run_chain(spark, d, times: int = 1) -> tuple[Layout, dict]:
