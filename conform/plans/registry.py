@@ -420,14 +420,15 @@ def q_expect_fail(spark, d):
 @register("serve_capacity", tb.with_views("SELECT * FROM dim_latest", "dim_latest"))
 def q_serve_capacity(spark, d):
     path = scratch_path(spark, "feeder_capacity")
-    publish(dim_latest(spark, d), path, partition_cols=("utility_id",), cluster_col="max_hosting_capacity")
+    publish(dim_latest(spark, d), path, partition_cols=("utility_id",), cluster_col="max_hosting_capacity",
+            materialise=True)
     return ntz(read_table(spark, path))
 
 
 @register("clustered_write", tb.with_views("SELECT * FROM dim_latest", "dim_latest"))
 def q_clustered_write(spark, d):
     path = scratch_path(spark, "clustered")
-    clustered_write(dim_latest(spark, d), path, "utility_id", "max_hosting_capacity")
+    clustered_write(dim_latest(spark, d), path, "utility_id", "max_hosting_capacity", materialise=True)
     return ntz(spark.read.parquet(path))
 
 
@@ -440,13 +441,18 @@ def q_serve_details(spark, d):
                                            "dim_latest"))
 def q_q_capacity_over(spark, d):
     path = scratch_path(spark, "feeder_capacity")
-    publish(dim_latest(spark, d), path, partition_cols=("utility_id",), cluster_col="max_hosting_capacity")
+    publish(dim_latest(spark, d), path, partition_cols=("utility_id",), cluster_col="max_hosting_capacity",
+            materialise=True)
     return ntz(q_capacity_over(read_table(spark, path), CAPACITY_X))
 
 
 @register("q_feeder_ders", tb.with_views(f"SELECT * FROM details WHERE feeder_id = '{FEEDER_X}'", "details"))
 def q_q_feeder_ders(spark, d):
-    return ntz(q_feeder_ders(feeder_details(fact_latest(spark, d), dim_latest(spark, d)), FEEDER_X))
+    """Point lookup on the published details table, laid out by (utility, feeder) for file skipping."""
+    path = scratch_path(spark, "feeder_der_details")
+    publish(feeder_details(fact_latest(spark, d), dim_latest(spark, d)), path, ("utility_id",), cluster_col="feeder_id",
+            materialise=True)
+    return ntz(q_feeder_ders(read_table(spark, path), FEEDER_X))
 
 
 @register("top_capacity", tb.with_views("""

@@ -58,14 +58,32 @@ def clustered(df: DataFrame, partition_col: str | None, cluster_col: str, n: int
     return df.sortWithinPartitions(*cols)
 
 
+def precompute(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once as a Parquet table in the shared scratch folder and read it back.
+
+    Range partitioning samples its input in a job of its own; over an expensive plan (joins,
+    dedup) that would compute it twice. The written copy (below ``spark.checkpoint.dir``, never
+    a machine-local folder) cuts the lineage, so sample and write read stored rows.
+    """
+    from conform.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, "materialised")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def clustered_write(df: DataFrame, path: str, partition_col: str | None, cluster_col: str,
-                    n: int | None = None, mode: str = "overwrite") -> dict:
+                    n: int | None = None, mode: str = "overwrite", materialise: bool = False) -> dict:
+    if materialise:
+        df = precompute(df)
+
     def _w(d: DataFrame):
-        w = clustered(d, partition_col, cluster_col, n).write.mode(mode)
+        w = d.write.mode(mode)
         if partition_col:
             w = w.partitionBy(partition_col)
         w.parquet(path)
-    return write_observed(df, _w, "clustered_write")
+    # observed above the range exchange: the boundary-sampling job does not pass the observation
+    return write_observed(clustered(df, partition_col, cluster_col, n), _w, "clustered_write")
 
 
 # --- published snapshots -----------------------------------------------------------------
@@ -103,17 +121,24 @@ def read_table(spark: SparkSession, table_path: str) -> DataFrame | None:
 
 
 def publish(df: DataFrame, table_path: str, partition_cols: Sequence[str] = (), view: str | None = None,
-            cluster_col: str | None = None) -> dict:
-    """Write ``df`` as the new version of a table; optionally (re)point a temp view at it."""
+            cluster_col: str | None = None, materialise: bool = False) -> dict:
+    """Write ``df`` as the new version of a table; optionally (re)point a temp view at it.
+
+    ``cluster_col`` lays the version out for skipping on that column (``clustered``); pass
+    ``materialise=True`` when ``df`` is expensive to compute, so the range sampling does not
+    compute it a second time.
+    """
+    if cluster_col and materialise:
+        df = precompute(df)
     version = f"{table_path.rstrip('/')}/v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:6]}"
 
     def _w(d: DataFrame):
-        if cluster_col:
-            d = clustered(d, partition_cols[0] if partition_cols else None, cluster_col)
         w = d.write.mode("errorifexists")
         if partition_cols:
             w = w.partitionBy(*partition_cols)
         w.parquet(version)
+    if cluster_col:   # observed above the range exchange: the boundary-sampling job does not pass the observation
+        df = clustered(df, partition_cols[0] if partition_cols else None, cluster_col)
     metrics = write_observed(df, _w, "publish")
     spark = df.sparkSession
     if view:

@@ -83,3 +83,9 @@ def test_third_source_by_spec_only(spark, tmp_path, layout):
     assert sorted((r.der_id, r.der_type, r.feeder_id) for r in fact.collect()) == [("a1", "Wind", "S_1"),
                                                                                    ("a2", "Solar", "S_9")]
     assert read_table(spark, layout.conformed_table("fact_der")).count() == 12
+
+
+def test_clustered_publish_counts_rows_once(spark, tmp_path):
+    df = spark.range(5000).select((F.col("id") % 7).cast("string").alias("u"), F.rand(1).alias("c"))
+    assert publish(df, str(tmp_path / "a"), ("u",), cluster_col="c")["rows"] == 5000
+    assert publish(df, str(tmp_path / "b"), ("u",), cluster_col="c", materialise=True)["rows"] == 5000
