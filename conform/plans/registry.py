@@ -35,7 +35,7 @@ from conform.operators.quality import (
     run_summary,
     schema_drift,
 )
-from conform.operators.resolve import bridge_build, bridge_one_per_key, resolve_two_step, segment_rollup
+from conform.operators.resolve import bridge_build, bridge_one_per_key, segment_rollup
 from conform.operators.serve import feeder_details, q_capacity_over, q_feeder_ders, sample_feeder, top_capacity
 from conform.plans import testbed as tb
 from conform.plans.jobs import DIM_KEYS, DIM_ORDER, FACT_KEYS, FACT_ORDER, Layout, build_conformed, run_all

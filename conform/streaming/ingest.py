@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conform.context import RunContext, audit_stamp
-from conform.sources.csv import csv_options, string_schema
+from conform.sources.csv import csv_options, header_columns, string_schema
 from conform.sources.csv import provenance
 
 
 def stream_ingest(
     spark: SparkSession,
     landing_dir: str,
-    columns: Sequence[str],
+    columns: Sequence[str] | None,
     source_id: str,
     table_path: str,
     checkpoint: str,
@@ -26,6 +26,8 @@ def stream_ingest(
 ) -> dict:
     """Ingest files that arrived in ``landing_dir`` since the last run, then stop.
 
+    ``columns`` fixes the (all-string) schema; None reads it from the header of the files present.
+
     Same rows as the batch path (strings, provenance, audit columns) into the same
     partitioned raw table. The checkpoint records which files were read, so each file is
     ingested exactly once; a run with no new files writes nothing. ``availableNow`` processes
@@ -34,6 +36,8 @@ def stream_ingest(
     dynamic partition overwrite, so a micro-batch that is re-run after a failure replaces its
     own earlier attempt instead of appending duplicates.
     """
+    if columns is None:                 # take the names from a file already there (cleaned header)
+        columns = header_columns(spark, landing_dir, multiline)
     reader = spark.readStream.options(**csv_options(multiline)).schema(string_schema(list(columns)))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

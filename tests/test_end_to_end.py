@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conform.context import RunContext
 from conform.operators.serve import q_capacity_over, q_feeder_ders
-from conform.plans.jobs import pipe_conform, pipe_raw, pipe_serve, run_all
+from conform.plans.jobs import pipe_conform, pipe_raw, run_all
 from conform.sources.tables import read_table
 from conform.spec import RECOMMENDED_NULL_TOKENS, UTILITY1, UTILITY2
 
@@ -141,4 +141,3 @@ def test_fail_check_stops_before_publish(spark, tmp_path, layout):
     with pytest.raises(CheckFailed, match="der_id_not_null"):
         pipe_conform(spark, SPECS, layout, CTX)
     assert read_table(spark, layout.conformed_table("fact_der")) is None
-    pipe_serve  # imported for completeness of the chain API

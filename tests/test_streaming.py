@@ -27,3 +27,12 @@ def test_stream_ingest_exactly_once(spark, tmp_path):
     assert df.count() == 4 and df.select("Master_CDF").distinct().count() == 4
     assert {r.utility_id for r in df.collect()} == {"utility2"}
     assert all(r.source_file.endswith((".csv")) for r in df.collect())
+
+
+def test_stream_columns_from_header(spark, tmp_path):
+    land = tmp_path / "land2"
+    write_drop(land, {"a.csv": "\ufeff" + U2_CIRCUITS})
+    ctx = RunContext("run-s", date(2026, 4, 1))
+    stream_ingest(spark, str(land), None, "utility2", str(tmp_path / "raw2"), str(tmp_path / "ckpt2"), ctx)
+    df = spark.read.parquet(str(tmp_path / "raw2"))
+    assert "Master_CDF" in df.columns and df.count() == 2
