@@ -25,6 +25,8 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(n in plan for n in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas")), "Python in the hot path"
     rows = [tuple(r) for r in df.collect()]
     res = con.execute(ORACLE[name])
     c1, r1 = canon(df.columns, rows)
