@@ -14,8 +14,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("
     All comparisons are descending with NULL lowest, so the result is a total order and does
     not depend on input partitioning or file order. Implemented as ``max(struct(...))`` per
     key: an aggregate with map-side partial evaluation, so a key holding a large share of the
-    rows is reduced to one row per task before the shuffle (a window would send all of its
-    rows to one task).
+    rows is reduced to one row per task before the shuffle (a window over the key would send
+    all of its rows to one task unless the planner adds a partial group limit).
     """
     keys = list(keys)
     order = [c for c in order if c in df.columns and c not in keys]
