@@ -23,14 +23,31 @@ def spread_null_key(key: Column, row_cols: Sequence[str]) -> Column:
     return F.coalesce(key.cast("string"), spread)
 
 
-def left_lookup(rows: DataFrame, key: str, lookup: DataFrame, lookup_key: str) -> DataFrame:
+def left_lookup(rows: DataFrame, key: str | Sequence[str], lookup: DataFrame,
+                lookup_key: str | Sequence[str]) -> DataFrame:
     """``rows LEFT JOIN lookup ON rows.key = lookup.lookup_key`` with NULL keys spread out.
 
-    ``lookup`` must be unique on ``lookup_key`` (one output row per input row). No join hint:
-    the planner broadcasts ``lookup`` only when its measured size is under
+    Keys may be composite (equal-length lists). A row with any NULL key part cannot match;
+    its last key part is replaced by a distinct never-matching text so such rows spread over
+    all partitions. ``lookup`` must be unique on ``lookup_key`` (one output row per input row).
+    No join hint: the planner broadcasts ``lookup`` only when its measured size is under
     ``spark.sql.autoBroadcastJoinThreshold``, otherwise both sides are shuffled and AQE's
     skew handling splits partitions of hot non-NULL keys.
     """
-    probe = rows.withColumn("_jk", spread_null_key(F.col(key), rows.columns))
-    build = lookup.withColumnRenamed(lookup_key, "_jk")
-    return probe.join(build, "_jk", "left").drop("_jk")
+    keys = [key] if isinstance(key, str) else list(key)
+    lkeys = [lookup_key] if isinstance(lookup_key, str) else list(lookup_key)
+    if len(keys) != len(lkeys):
+        raise ValueError("key and lookup_key differ in length")
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    last = len(keys) - 1
+    spread = F.concat(F.lit(NULL_KEY_PREFIX), F.xxhash64(*[F.col(c) for c in rows.columns]).cast("string"))
+    jk = [f"_jk{i}" for i in range(len(keys))]
+    probe = rows.withColumns({
+        jk[i]: (F.when(any_null, spread).otherwise(F.col(k).cast("string")) if i == last else F.col(k))
+        for i, k in enumerate(keys)
+    })
+    build = lookup.withColumns({jk[i]: (F.col(k).cast("string") if i == last else F.col(k))
+                                for i, k in enumerate(lkeys)}).drop(*[k for k in lkeys if k not in jk])
+    return probe.join(build, jk, "left").drop(*jk)
