@@ -48,13 +48,13 @@ level as (select arg_min(own_level, turn) as l from levels where own_level * wei
 targets as (
   select source, source_size, coalesce(least(cap::double, (select l from level) * weight), cap::double) as target from levels),
 placed as (
-  select s.*, t.source_size, t.target, case when t.source_size > 0 then t.target / t.source_size else 0 end as each,
+  select s.*, t.source_size, t.target, case when t.source_size > 0 then t.target / t.source_size else 0 end as rate,
     ('0x' || substr(md5('42:' || coalesce(s.source, '')), 1, 8))::bigint / 4294967296.0::double as u,
-    row_number() over (partition by s.source order by s.size, s.doc_id nulls first) as at
+    row_number() over (partition by s.source order by s.size, s.doc_id nulls first) as pos
   from sized s join targets t on s.source is not distinct from t.source)
 select doc_id, size, source_size, target,
-  (size * least(floor(at * each + u) - floor((at - 1) * each + u), 2))::bigint as taken,
-  least(floor(at * each + u) - floor((at - 1) * each + u), 2)::int as copies, source
+  (size * least(floor(pos * rate + u) - floor((pos - 1) * rate + u), 2))::bigint as taken,
+  least(floor(pos * rate + u) - floor((pos - 1) * rate + u), 2)::int as copies, source
 from placed
 """
 
