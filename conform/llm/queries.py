@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conform.llm.common import table
 from conform.llm.mixing import mix
 from conform.llm.sharding import place
+from conform.llm.simhash import as_hex, near_duplicates
 from conform.llm.url_filter import RULES, filter_urls, page_outcomes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +121,9 @@ select page_id, host, path, rule,
   n::bigint as host_labelled, b::bigint as host_bad, round(bound, 4) as bad_bound
 from ruled
 """
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")

@@ -1,0 +1,7 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def make(spark):
+    """DataFrame from a list of tuples and a schema string."""
+    return lambda rows, schema: spark.createDataFrame(rows, schema)
