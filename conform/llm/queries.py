@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conform.llm.common import table
+from conform.llm.decontaminate import contaminated
 from conform.llm.mixing import mix
 from conform.llm.sharding import place
 from conform.llm.simhash import as_hex, near_duplicates
+from conform.llm.suffix_dedup import repeated_passages
 from conform.llm.url_filter import RULES, filter_urls, page_outcomes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +129,14 @@ from ruled
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start_word", "n_words", "n_same", "item_words")
+
+
+@query
+def op5_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))

@@ -37,3 +37,27 @@ def components(n, linked):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     return [find(i) for i in range(n)]
+
+
+def repeated_spans(docs, min_words=50):
+    """{(doc_id, start, end)} of maximal passages in windows that several documents (by id and text) have."""
+    docs = sorted(set(docs), key=str)
+    seen = {}
+    for d, t in docs:
+        w = blank_words(t)
+        for i in range(len(w) - min_words + 1):
+            seen.setdefault(tuple(w[i:i + min_words]), set()).add((d, t))
+    out = set()
+    for d, t in docs:
+        w, end, begin = blank_words(t), None, None
+        for i in range(len(w) - min_words + 1):
+            if len(seen[tuple(w[i:i + min_words])]) > 1:
+                if end is not None and i <= end:
+                    end = i + min_words
+                else:
+                    if end is not None:
+                        out.add((d, begin, end))
+                    begin, end = i, i + min_words
+        if end is not None:
+            out.add((d, begin, end))
+    return out
