@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conform.llm.common import table
 from conform.llm.decontaminate import contaminated
 from conform.llm.mixing import mix
+from conform.llm.quality import classify
 from conform.llm.sharding import place
 from conform.llm.simhash import as_hex, near_duplicates
 from conform.llm.suffix_dedup import repeated_passages
@@ -140,3 +141,8 @@ def op2_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
