@@ -15,6 +15,7 @@ from conform.llm.sharding import place
 from conform.llm.simhash import as_hex, near_duplicates
 from conform.llm.suffix_dedup import repeated_passages
 from conform.llm.url_filter import RULES, filter_urls, page_outcomes
+from conform.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -146,3 +147,36 @@ def op5_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = archive_pages(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "position")
+
+
+ORACLE["op7_warc_index"] = r"""
+with cut as (
+  select page_id, url, encode(coalesce(html, '')) as payload, sha1(coalesce(html, '')) as hex from pages),
+shared as (select hex, max(page_id) as response from cut group by hex),
+quints as (
+  select hex, list_transform(range(0, 8), lambda i: ('0x' || substr(hex, 1 + 5 * i, 5))::bigint) as q from (select distinct hex from cut)),
+digests as (
+  select hex, array_to_string(list_transform(q, lambda v:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> 15 & 31)::bigint + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> 10 & 31)::bigint + 1, 1) ||
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> 5 & 31)::bigint + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v & 31)::bigint + 1, 1)), '') as digest
+  from quints),
+parsed as (
+  select c.*, contains(coalesce(url, ''), '://') as has, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from cut c),
+keyed as (
+  select *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    case when has then regexp_replace(rest, '^[^/?#]*', '') else coalesce(url, '') end as tail from parsed),
+entries as (
+  select k.page_id, octet_length(payload)::bigint as payload_bytes, d.digest as payload_digest,
+    case when s.response is distinct from k.page_id and s.response is not null then 'revisit' else 'response' end as record_type,
+    case when s.response is distinct from k.page_id then s.response end as refers_to,
+    case when has then array_to_string(list_reverse(string_split(host, '.')), ',') else '' end || ')' || split_part(tail, '#', 1) as url_key,
+    strftime(timestamp '2026-01-01' + to_seconds(((coalesce(k.page_id, 0) % 100000000) + 100000000) % 100000000), '%Y%m%d%H%M%S') as captured
+  from keyed k join shared s using (hex) join digests d using (hex))
+select *, row_number() over (order by url_key, captured, page_id nulls first) as position from entries
+"""
