@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from conform.llm.common import table
 from conform.llm.decontaminate import contaminated
+from conform.llm.license_scan import scan_licenses
 from conform.llm.mixing import mix
 from conform.llm.quality import classify
 from conform.llm.sharding import place
 from conform.llm.simhash import as_hex, near_duplicates
 from conform.llm.suffix_dedup import repeated_passages
+from conform.llm.topk_search import top_k
 from conform.llm.url_filter import RULES, filter_urls, page_outcomes
 from conform.llm.warc import archive_pages
 
@@ -180,3 +182,25 @@ entries as (
   from keyed k join shared s using (hex) join digests d using (hex))
 select *, row_number() over (order by url_key, captured, page_id nulls first) as position from entries
 """
+
+
+@query
+def op1_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op1_pivot_topk"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as x from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.x) = len(c.x) where q.vec_id % 50 = 0),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+
+@query
+def op6_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))

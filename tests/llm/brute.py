@@ -61,3 +61,36 @@ def repeated_spans(docs, min_words=50):
         if end is not None:
             out.add((d, begin, end))
     return out
+
+
+def license_words(text):
+    return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text)) if w]
+
+
+def licenses(texts, phrases, templates, rarest=3):
+    """(n_words, starts, base labels, labels) of each text."""
+    words = [license_words(t) for t in texts]
+    vocab = {w for p, _ in phrases for w in p.split()} | {w for _, t, _ in templates for w in t.split()}
+    df = {v: sum(v in set(ws) for ws in words) for v in vocab}
+    out = []
+    for ws in words:
+        def at(phrase, ws=ws):
+            p = phrase.split()
+            return [i for i in range(len(ws) - len(p) + 1) if ws[i:i + len(p)] == p]
+
+        starts = sorted(s for p, _ in phrases for s in at(p))
+        base = {label for p, label in phrases if at(p)}
+        more = set()
+        for label, t, keys in templates:
+            tw = t.split()
+            once = sorted((w for w in set(tw) if tw.count(w) == 1), key=lambda w: (df[w], w))
+            need = min(rarest, len(once))
+            rare = [w for w in once if w in ws][:need]
+            if len(rare) < need:
+                continue
+            agreed = set.intersection(*({i - tw.index(w) for i, x in enumerate(ws) if x == w} for w in rare))
+            for s in agreed:
+                if all(s + o in at(k) for k in keys for o in [next(i for i in range(len(tw)) if tw[i:i + len(k.split())] == k.split())]):
+                    more.add(label)
+        out.append((len(ws), starts, base, base | more))
+    return out
