@@ -11,6 +11,8 @@ Everything after the postings happens inside a file's row: no joins and no shuff
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -61,52 +63,45 @@ def index_files(docs: DataFrame, vocab: Sequence[str]) -> DataFrame:
     return out.withColumn("found", F.array_distinct(F.transform("postings", lambda x: x["w"])))
 
 
-NONE = F.array().cast("array<int>")
+NONE = "cast(array() as array<int>)"
 
 
-def _places(word: Column, shift: Column) -> Column:
-    """Where a text that has ``word`` as its word number ``shift`` would begin."""
-    return F.transform(F.filter("postings", lambda x: x["w"] == word), lambda x: x["i"] - shift)
+def _texts(words: Sequence[str]) -> str:
+    return "array(" + ", ".join(f"'{w}'" for w in words) + ")"
 
 
-def _texts(words: Sequence[str]) -> Column:
-    return F.array(*[F.lit(w) for w in words])
+def _word_at(start: str, offset: int, word: str) -> str:
+    return f"exists(postings, x -> x.i = {start} + {offset} and x.w = '{word}')"
 
 
-def phrase_places(phrase: str, by_rarity: Sequence[str]) -> Column:
-    """Starts of all places where the phrase's words stand consecutively; the rarest words are looked up first."""
+def phrase_places(phrase: str, by_rarity: Sequence[str]) -> str:
+    """SQL: starts of all places where the phrase's words stand consecutively; the rarest words are looked up first."""
     words = phrase.split()
     at = sorted(range(len(words)), key=lambda j: by_rarity.index(words[j]))
-    starts = reduce(F.array_intersect, [_places(F.lit(words[j]), F.lit(j)) for j in at])
-    there = reduce(lambda a, b: a & b, (F.array_contains("found", words[j]) for j in at))
-    return F.when(there, starts).otherwise(NONE)
+    starts = [f"transform(filter(postings, x -> x.w = '{words[j]}'), x -> x.i - {j})" for j in at]
+    there = " and ".join(f"array_contains(found, '{words[j]}')" for j in at)
+    return f"case when {there} then {reduce(lambda a, b: f'array_intersect({a}, {b})', starts)} else {NONE} end"
 
 
-def _word_at(start: Column, offset: int, word: str) -> Column:
-    return F.exists("postings", lambda x: (x["i"] == start + F.lit(offset)) & (x["w"] == F.lit(word)))
-
-
-def template_places(template: str, phrases: Sequence[str], by_rarity: Sequence[str], rarest: int) -> Column:
-    """Beginnings of the template on which the file's ``rarest`` highest-IDF words of it agree and where all key phrases stand.
+def template_places(template: str, phrases: Sequence[str], by_rarity: Sequence[str], rarest: int) -> str:
+    """SQL: beginnings of the template on which the file's ``rarest`` highest-IDF words of it agree and where all key
+    phrases stand.
 
     Words that the template repeats don't fix a beginning and aren't looked up.
     """
     words = template.split()
     once = [w for w in by_rarity if words.count(w) == 1]
     need = min(rarest, len(once))
-    rare = F.slice(F.array_intersect(_texts(once), F.col("found")), 1, need)      # in the order of by_rarity
-    starts = F.transform(rare, lambda w: _places(w, F.array_position(_texts(words), w).cast("int") - 1))
-    agreed = F.aggregate(F.slice(starts, 2, max(need - 1, 1)), F.element_at(starts, 1), F.array_intersect)
-
-    def verified(s: Column) -> Column:
-        checks = []
-        for p in phrases:
-            part = p.split()
-            offset = next(i for i in range(len(words)) if words[i:i + len(part)] == part)
-            checks += [_word_at(s, offset + i, w) for i, w in enumerate(part)]
-        return reduce(lambda a, b: a & b, checks)
-
-    return F.when(F.size(rare) == need, F.filter(agreed, verified)).otherwise(NONE)
+    rare = f"slice(array_intersect({_texts(once)}, found), 1, {need})"      # in the order of by_rarity
+    place = f"cast(array_position({_texts(words)}, w) as int) - 1"
+    starts = f"transform({rare}, w -> transform(filter(postings, x -> x.w = w), x -> x.i - ({place})))"
+    agreed = f"aggregate({starts}, cast(null as array<int>), (a, b) -> case when a is null then b else array_intersect(a, b) end)"
+    checks = []
+    for p in phrases:
+        part = p.split()
+        offset = next(i for i in range(len(words)) if words[i:i + len(part)] == part)
+        checks += [_word_at("s", offset + i, w) for i, w in enumerate(part)]
+    return f"case when size({rare}) = {need} then filter({agreed}, s -> {' and '.join(checks)}) else {NONE} end"
 
 
 def scan_licenses(docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES, templates: Sequence[tuple] = TEMPLATES,
@@ -121,37 +116,31 @@ def scan_licenses(docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES,
     """
     spark = docs.sparkSession
     vocab = vocabulary(phrases, templates)
+    if not all(re.fullmatch("[a-z0-9]+", w) for w in vocab):
+        raise ValueError("phrases and templates must consist of the words a-z, 0-9")
     files = staged(spark, index_files(docs, vocab), "license-postings")
     total = files.count()
     seen = {w: n for w, n in files.select(F.explode("found").alias("w")).groupBy("w").count().collect()}   # one row a licence word
     by_rarity = sorted(vocab, key=lambda w: (seen.get(w, 0), w))
-    idf = {w: F.log(F.lit((total + 1) / (seen.get(w, 0) + 1)) + F.lit(1e-9)) for w in vocab}
-
-    out = files
-    base, found, scores = [], [], []
-    for k, (phrase, label) in enumerate(phrases):
-        out = out.withColumn(f"p{k}", phrase_places(phrase, by_rarity))
-        base.append((F.col(f"p{k}"), label))
-    for k, (label, template, keys) in enumerate(templates):
-        name = f"t{k}"
-        out = out.withColumn(name, template_places(template, keys, by_rarity, rarest))
-        found.append((F.col(name), label))
-        words = template.split()
-        begin = F.element_at(F.col(name), 1)
-        weight = reduce(lambda a, b: a + b, (idf[w] for w in words))
-        stand = reduce(lambda a, b: a + b, (F.when(_word_at(begin, i, w), idf[w]).otherwise(F.lit(0.0)) for i, w in enumerate(words)))
-        scores.append(F.when(F.size(name) > 0, stand / weight).otherwise(F.lit(0.0)))
-
-    def labels(of: Sequence[tuple[Column, str]]) -> Column:
-        return F.array_compact(F.array(*[F.when(F.size(c) > 0, F.lit(label)) for c, label in of]))
-
-    def joined(c: Column) -> Column:
-        return F.concat_ws(",", F.array_sort(F.array_distinct(c)))
-
-    starts = F.concat(*[c for c, _ in base])
+    idf = {w: math.log((total + 1) / (seen.get(w, 0) + 1)) + 1e-9 for w in vocab}
+
+    base = {f"p{k}": (label, phrase_places(phrase, by_rarity)) for k, (phrase, label) in enumerate(phrases)}
+    found = {f"t{k}": (label, template_places(t, keys, by_rarity, rarest)) for k, (label, t, keys) in enumerate(templates)}
+    out = files.select("doc_id", "n_words", "postings", *[F.expr(sql).alias(c) for c, (_, sql) in {**base, **found}.items()])
+    scores = []
+    for c, (_, t, _) in zip(found, templates):
+        words = t.split()
+        stand = " + ".join(f"if({_word_at(f'{c}[0]', i, w)}, {idf[w]!r}D, 0D)" for i, w in enumerate(words))
+        scores.append(F.expr(f"case when size({c}) > 0 then ({stand}) / {sum(idf[w] for w in words)!r}D else 0D end"))
+
+    def joined(of: dict[str, tuple[str, str]]) -> Column:
+        labels = F.array(*[F.when(F.size(c) > 0, F.lit(label)) for c, (label, _) in of.items()])
+        return F.concat_ws(",", F.array_sort(F.array_distinct(F.array_compact(labels))))
+
+    starts = F.concat(*base)
     out = out.select(
         "doc_id", "n_words", F.size(starts).cast("long").alias("n_base"), F.array_min(starts).cast("long").alias("first_word"),
-        F.array_max(starts).cast("long").alias("last_word"), joined(labels(base)).alias("base_labels"), joined(labels([*base, *found])).alias("labels"),
+        F.array_max(starts).cast("long").alias("last_word"), joined(base).alias("base_labels"), joined({**base, **found}).alias("labels"),
         F.greatest(F.lit(0.0), *scores).alias("best"))
     score = F.when(F.col("n_base") > 0, 1.0).otherwise(F.round(F.least("best", F.lit(1.0)), 6))
     return out.withColumn("score", score).drop("best")
