@@ -14,6 +14,7 @@ from conform.llm.mixing import mix
 from conform.llm.quality import classify
 from conform.llm.sharding import place
 from conform.llm.simhash import as_hex, near_duplicates
+from conform.llm.stages import SHARDS
 from conform.llm.suffix_dedup import repeated_passages
 from conform.llm.topk_search import top_k
 from conform.llm.url_filter import RULES, filter_urls, page_outcomes
@@ -22,8 +23,6 @@ from conform.llm.warc import archive_pages
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
-
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[f.__name__] = f
@@ -204,3 +203,10 @@ select query_id, rank, vec_id, score from ranked where rank <= 5
 @query
 def op6_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

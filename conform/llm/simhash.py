@@ -235,24 +235,26 @@ def near_links(spark: SparkSession, distinct: DataFrame, bits: int = 2, n_pivots
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 2, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, (carried columns,) fp, component_id for every row of ``docs`` (doc_id, text).
+    """doc_id, (carried columns,) fp, component_id, root for every row of ``docs`` (doc_id, text).
 
-    component_id is the smallest doc_id that can be reached over links, the row's own included. Equal fingerprints are
-    one node, so copies cost one row each and no links among themselves. A null or empty text has fingerprint 0 and
-    links like any other. Rows without doc_id take part; a component that has no other rows has a null id. Repeated
-    rows come out as often as they came in, an empty table gives an empty result; other columns are not read.
+    component_id is the smallest doc_id that can be reached over links, the row's own included; root is the smallest
+    fingerprint of the component. Equal fingerprints are one node, so copies cost one row each and no links among
+    themselves. A null or empty text has fingerprint 0 and links like any other. Rows without doc_id take part; a
+    component that has no other rows has a null id. Repeated rows come out as often as they came in, an empty table
+    gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
     fps = staged(spark, fingerprints(docs, width, carry), "simhash-fp")
-    distinct = staged(spark, fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    distinct = staged(spark, fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-distinct")
     edges = near_links(spark, distinct, bits)
     roots = connected_components(spark, edges)
-    linked = distinct.join(roots, distinct["fp"] == roots["node"]).select("fp", "root", "least")
-    least = linked.groupBy("root").agg(F.min("least").alias("component"))
-    linked = linked.join(least, "root").select(F.col("fp").alias("node"), "component")
+    linked = distinct.join(roots, distinct["fp"] == roots["node"]).select("node", "root", "least")
+    least = linked.groupBy("root").agg(F.min("least").alias("component")).withColumnRenamed("root", "r")
+    linked = linked.join(least, linked["root"] == least["r"]).select("node", "root", "component")
     named = distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
-        F.col("fp").alias("node"), F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component")).alias("component_id"))
-    return fps.join(named, fps["fp"] == named["node"]).select("doc_id", *carry, "fp", "component_id")
+        "fp", "n", F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    named = named.withColumnRenamed("fp", "node").drop("n")
+    return fps.join(named, fps["fp"] == named["node"]).select("doc_id", *carry, "fp", "component_id", "root")
 
 
 def as_hex(fp: Column) -> Column:

@@ -1,7 +1,8 @@
-"""The pipeline's stages: (spark, docs, sf_dir) -> DataFrame; all but the last keep the columns of documents.
+"""The pipeline's stages: (spark, docs, sf_dir) -> DataFrame; all but the last return the columns of ``docs``.
 
-A stage decides on narrow rows and then joins its decisions to the documents once. The join key is (doc_id, hash of
-the text), null-safe, so rows without an id and repeated ids are told apart by their text.
+Decisions are taken on narrow rows and joined to the documents once, by (doc_id, hash of the whole row), null-safe: rows
+without an id and repeated ids are told apart by what they hold. The classifier's stage needs no join at all.
+Rows that are equal in every column count as one document where a stage joins its decisions.
 """
 
 from __future__ import annotations
@@ -9,13 +10,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm.common import join_decisions, with_row_key
+from conform.llm.common import join_decisions, table, with_row_key
+from conform.llm.decontaminate import contaminated
 from conform.llm.mixing import mix
+from conform.llm.quality import THRESHOLD, train, with_score
 from conform.llm.sharding import place
+from conform.llm.simhash import near_duplicates
 
 SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the positive-unlabelled classifier doesn't reject; empty texts are scored like others."""
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return with_score(docs, model, score="__score", drop_text=False, least=THRESHOLD).select(*docs.columns)
+
+
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every SimHash component the document with the smallest doc_id (no id: last; then by row hash)."""
+    keyed = with_row_key(docs)
+    found = near_duplicates(keyed, carry=("__h",))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__h")).alias("m"))
+    return join_decisions(keyed, first.select("m.doc_id", "m.__h")).select(*docs.columns)
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    keyed = with_row_key(docs)
+    bad = contaminated(keyed, table(spark, sf_dir, "benchmark"), carry=("__h",)).select(
+        F.col("doc_id").alias("__bad_id"), F.col("__h").alias("__bad_h")).distinct()
+    same = (keyed["__h"] == bad["__bad_h"]) & keyed["doc_id"].eqNullSafe(bad["__bad_id"])
+    return keyed.join(bad, same, "left_anti").select(*docs.columns)
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it (0, 1 or 2 times)."""
     keyed = with_row_key(docs)
