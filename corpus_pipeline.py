@@ -9,10 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from conform.llm.common import staged, table
-from conform.llm.stages import mix_stage, shard_stage
+from conform.llm.stages import decontaminate_stage, dedup_stage, mix_stage, quality_stage, shard_stage
 
 STAGES = [
-    ("mixing", mix_stage),
+    ("quality classifier", quality_stage),
+    ("SimHash near-dedup", dedup_stage),
+    ("benchmark decontamination", decontaminate_stage),
+    ("mixing sources to target weights", mix_stage),
     ("sharding", shard_stage),
 ]
 
