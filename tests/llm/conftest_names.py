@@ -1,0 +1,3 @@
+"""Schemas shared by the tests of this folder."""
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
