@@ -143,8 +143,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, n_
     spark = vectors.sparkSession
     base = quantised(vectors, scale)
     sample = base.orderBy(F.xxhash64("vec_id"), "vec_id", "x").limit(sample_rows).select("dim", "x").collect()
-    pivots = {dim: choose_pivots(np.array([r.x for r in sample if r.dim == dim], dtype=float).reshape(-1, dim), n_pivots)
-              for dim in sorted({r.dim for r in sample})}
+    by_dim: dict[int, list] = {}
+    for r in sample:
+        by_dim.setdefault(r.dim, []).append(r.x)
+    pivots = {dim: choose_pivots(np.array(x, dtype=float).reshape(len(x), dim), n_pivots) for dim, x in sorted(by_dim.items())}
     queries = base.where(is_query).groupBy("vec_id").agg(F.min(F.struct("dim", "x")).alias("m")).select("vec_id", "m.x", "m.dim")
     q = staged(spark, _pack(queries, pivots, query_rows), "topk-queries")
     c = staged(spark, _pack(base, pivots, block_rows), "topk-candidates")

@@ -4,7 +4,8 @@ Reputation: of every host the labelled pages n and the bad ones b are counted. T
 a beta prior whose mean is the shrunk rate of its registered domain, that of the domain one around its
 suffix, that of the suffix one around the whole set. How strongly a level is drawn to the next one is
 estimated from the counts themselves (moment estimator of the beta-binomial's overdispersion). A host is
-blocked if the lower bound of its posterior bad rate reaches a threshold, so few labels never block a host.
+blocked if the lower bound of its posterior bad rate reaches a threshold: one with few labels only if its domain's and
+suffix's pages leave little doubt.
 
 DataFrame functions only. Everything grows with the number of hosts after one partial aggregation;
 three numbers a level come to the driver.

@@ -1,0 +1,70 @@
+import hashlib
+import math
+from fractions import Fraction
+
+import brute
+from conftest import prose
+from conftest_names import DOCS
+
+from conform.llm.mixing import mix, word_count
+
+
+def targets(docs, weights=(5, 2, 1), share=Fraction(3, 2), most=2):
+    """Share by weight; what lies above a source's cap is shared again among those below, until none is above."""
+    size = {}
+    for _, t, s in docs:
+        size[s] = size.get(s, 0) + len(brute.blank_words(t))
+    order = sorted(size, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % 3] for i, s in enumerate(order)}
+    left, open_, out = share * sum(size.values()), set(order), {}
+    while open_:
+        level = left / sum(w[s] for s in open_)
+        over = {s for s in open_ if level * w[s] > most * size[s]}
+        if not over:
+            return size, {**out, **{s: level * w[s] for s in open_}}
+        for s in over:
+            out[s] = most * size[s]
+            left -= out[s]
+        open_ -= over
+    return size, out
+
+
+def check(make, docs):
+    got = mix(make([(d, t, None, s, None) for d, t, s in docs], DOCS)).collect()
+    size, target = targets(docs)
+    assert sorted(((r.doc_id, r.size, r.source) for r in got), key=str) == sorted(((d, len(brute.blank_words(t)), s) for d, t, s in docs), key=str)
+    for s in size:
+        own = [r for r in got if r.source == s]
+        assert all(r.source_size == size[s] and math.isclose(r.target, target[s], abs_tol=1e-9) for r in own)
+        assert all(0 <= r.copies <= 2 for r in own)
+        assert abs(sum(r.copies * r.size for r in own) - target[s]) <= 2 * max(r.size for r in own)
+        # the definition: prefix sums of the expected copies in the order (size, id), one offset, one copy a boundary
+        own.sort(key=lambda r: (r.size, r.doc_id is not None, r.doc_id or 0))
+        c = own[0].target / size[s] if size[s] else 0.0
+        u = int(hashlib.md5(f"42:{s or ''}".encode()).hexdigest()[:8], 16) / 2 ** 32
+        want = [math.floor((i + 1) * c + u) - math.floor(i * c + u) for i in range(len(own))]
+        assert sorted((str(r.doc_id), r.size, r.copies) for r in own) == sorted((str(r.doc_id), r.size, k) for r, k in zip(own, want)) or \
+            sorted((r.size, r.copies) for r in own) == sorted((r.size, k) for r, k in zip(own, want))
+    return got
+
+
+def test_sources_with_null_and_one_hot(make):
+    docs = [(i, prose(i, 1 + i % 40), None if i % 11 == 0 else "hot" if i % 3 else f"s{i % 7}") for i in range(600)]
+    docs += [(None, prose(1, 5), "hot"), (700, None, "s1"), (701, "", "hot"), (702, " \t", None), (5, docs[5][1], docs[5][2]), (703, prose(9, 20_000), "s2"), (704, None, "none")]
+    first = check(make, docs)
+    again = mix(make([(d, t, None, s, None) for d, t, s in reversed(docs)], DOCS)).collect()
+    assert sorted(map(str, first)) == sorted(map(str, again))
+
+
+def test_few_documents(make):
+    check(make, [(1, "a b c", "x")])
+    check(make, [(1, "a b c", "x"), (2, "a", "y"), (3, "a b c d e f g", None)])
+    check(make, [(1, None, None), (2, "", "x")])
+
+
+def test_empty_table_and_word_count(make):
+    assert mix(make([], DOCS)).collect() == []
+    texts = [None, "", " ", "a", "a\tb\nc\x0bd\x0ce\rf  g", "é\u00a0x y", "x" * 1000]
+    df = make([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r.c for r in df.select("doc_id", word_count(df["text"]).alias("c")).collect()}
+    assert [got[i] for i in range(len(texts))] == [len(brute.blank_words(t)) for t in texts]
