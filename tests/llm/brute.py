@@ -94,3 +94,57 @@ def licenses(texts, phrases, templates, rarest=3):
                     more.add(label)
         out.append((len(ws), starts, base, base | more))
     return out
+
+
+def alnum_words(text):
+    return [w for w in re.split(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").lower()) if w]
+
+
+def contaminated(text, item, similarity=0.8, min_words=13):
+    """Whether the item, or a long enough stretch of it, stands in the text along any alignment, with few other words."""
+    a, b = alnum_words(item), alnum_words(text)
+    if len(a) < 5:
+        return False
+    for shift in range(-len(a) + 1, len(b)):
+        same = [0 <= shift + i < len(b) and b[shift + i] == w for i, w in enumerate(a)]
+        if sum(same) < 4:
+            continue
+        if sum(same) >= similarity * len(a):
+            return True
+        for i in range(len(a)):
+            for j in range(i + min_words, len(a) + 1):
+                if sum(same[i:j]) >= similarity * (j - i) - 1e-9:
+                    return True
+    return False
+
+
+def mixed(docs, weights=(5, 2, 1), most=2):
+    """Copies of each (doc_id, text, source), in order, by the definition of systematic sampling."""
+    import hashlib
+    import math
+
+    size = [len(blank_words(t)) for _, t, _ in docs]
+    total = {}
+    for n, (_, _, s) in zip(size, docs):
+        total[s] = total.get(s, 0) + n
+    order = sorted(total, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    left, open_, target = 1.5 * sum(total.values()), set(order), {}
+    while open_:
+        level = left / sum(w[s] for s in open_)
+        over = {s for s in open_ if level * w[s] > most * total[s]}
+        if not over:
+            target |= {s: level * w[s] for s in open_}
+            break
+        for s in over:
+            target[s] = most * total[s]
+            left -= target[s]
+        open_ -= over
+    copies = [0] * len(docs)
+    for s in order:
+        own = sorted((i for i in range(len(docs)) if docs[i][2] == s), key=lambda i: (size[i], docs[i][0] is not None, docs[i][0] or 0))
+        c = target[s] / total[s] if total[s] else 0.0
+        u = int(hashlib.md5(f"42:{s or ''}".encode()).hexdigest()[:8], 16) / 2 ** 32
+        for k, i in enumerate(own):
+            copies[i] = math.floor((k + 1) * c + u) - math.floor(k * c + u)
+    return copies

@@ -1,7 +1,10 @@
+"""Schemas, texts and fixtures shared by the tests of this folder (imported, not a conftest: the folder above has one)."""
+
 import random
 
 import pytest
 
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that the operators use for columns of their own.
 CLASHING = ("score", "slot", "shard", "n", "words", "fp", "root", "h", "at", "doc", "copies", "size", "target", "rank", "response", "sha", "host", "rule",
             "segment", "run", "seeds", "found", "postings", "held_out", "predicted", "component_id", "item", "start", "near", "hits", "place", "part")

@@ -1,5 +1,5 @@
-from conftest import prose
-from conftest_names import DOCS
+
+from samples import DOCS, make, prose  # noqa: F401 (fixtures)
 
 from conform.llm.decontaminate import contaminated
 

@@ -1,6 +1,5 @@
 import brute
-from conftest import prose
-from conftest_names import DOCS
+from samples import DOCS, make, prose  # noqa: F401 (fixtures)
 
 from conform.llm.license_scan import PHRASES, TEMPLATES, scan_licenses
 

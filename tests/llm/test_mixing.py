@@ -3,8 +3,7 @@ import math
 from fractions import Fraction
 
 import brute
-from conftest import prose
-from conftest_names import DOCS
+from samples import DOCS, make, prose  # noqa: F401 (fixtures)
 
 from conform.llm.mixing import mix, word_count
 

@@ -1,8 +1,7 @@
 import numpy as np
 import pytest
 import zlib
-from conftest import prose
-from conftest_names import DOCS
+from samples import DOCS, make, prose  # noqa: F401 (fixtures)
 
 from conform.llm.quality import FEATURES, Sample, block_features, classify, estimate_prior, fit
 

@@ -2,8 +2,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest_names import DOCS
 from pyspark.sql import functions as F
+from samples import DOCS, make  # noqa: F401 (fixtures)
 
 from conform.llm.sharding import fill_table, place, write_shards
 from conform.session import scratch_path

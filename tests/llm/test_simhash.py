@@ -1,7 +1,7 @@
 import brute
 import numpy as np
 import pytest
-from conftest_names import DOCS
+from samples import DOCS, make, odd_docs  # noqa: F401 (fixtures)
 
 from conform.llm import simhash
 from conform.llm.simhash import as_hex, fingerprints, near_duplicates, near_links

@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from samples import make  # noqa: F401 (fixtures)
 
 from conform.llm.topk_search import Best, choose_pivots, top_k
 

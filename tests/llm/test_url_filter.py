@@ -1,4 +1,5 @@
 import math
+from samples import make  # noqa: F401 (fixtures)
 
 from conform.llm.url_filter import RULES, Reputation, domain_of, filter_urls, page_outcomes, suffix_of
 

@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import pytest
-from conftest import prose
+from samples import make, prose  # noqa: F401 (fixtures)
 
 from conform.llm.warc import LoserTree, archive_pages, capture_time, parse_archive, url_key, write_archives
 from conform.session import scratch_path
