@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from conform.functions.scalars import lenient_number, lenient_ts, lookup_key, null_tokens, wide_to_label
-from conform.operators.resolve import bridge_build, resolve_two_step, segment_rollup
+from conform.operators.resolve import bridge_build, circuit_lookup, feeder_lookup, resolve, segment_rollup
 from conform.operators.schemas import DIM_COLUMNS, FACT_COLUMNS, enforce
 from conform.spec import SourceSpec
 
@@ -70,18 +70,11 @@ def der_type_column(raw: DataFrame, spec: SourceSpec, type_col: str | None) -> C
     return F.lit(None).cast("string")
 
 
-def conform_fact_source(
-    raw: DataFrame,
-    spec: SourceSpec,
-    status: str,
-    bridge: DataFrame | None = None,
-    known_feeders: DataFrame | None = None,
-) -> DataFrame:
-    """One source's DER rows of one status → fact rows (declared schema + ``batch_date``).
+def _der_rows(raw: DataFrame, spec: SourceSpec, status: str) -> DataFrame:
+    """One source's DER rows of one status in the shared columns, the feeder not yet resolved.
 
-    Sources that send an ambiguous circuit-or-feeder id go through two-step resolution
-    (``bridge`` then ``known_feeders``, the dimension's feeder ids of this source); sources
-    that send the feeder directly are unresolved only when the id is missing.
+    ``der_id`` is part of the merge key and stays exactly as sent (``7.5``, ``007`` and ``7`` are three
+    DERs); only feeder and circuit ids, which are looked up, are normalised.
     """
     ds = spec.der_for(status)
     if ds is None:
@@ -89,21 +82,51 @@ def conform_fact_source(
     raw = _prepare(raw, spec)
     types = _types(raw)
     ref = _id(spec, ds.circuit_id or ds.feeder_id, types)
-    rows = raw.select(
+    return raw.select(
         *(["batch_date"] if "batch_date" in raw.columns else []),
         F.lit(spec.source_id).alias("utility_id"),
-        _id(spec, ds.der_id, types).alias("der_id"),
+        null_tokens(F.col(ds.der_id), spec.null_tokens, types.get(ds.der_id)).cast("string").alias("der_id"),
         der_type_column(raw, spec, ds.der_type).alias("der_type"),
         lenient_number(ds.nameplate, types.get(ds.nameplate)).alias("capacity_kw"),
         F.lit(status).alias("status"),
         ref.alias("source_feeder_ref"),
     )
-    if ds.circuit_id:
-        rows = resolve_two_step(rows, "source_feeder_ref", bridge, known_feeders)
-    else:
-        rows = rows.withColumn("feeder_id", F.col("source_feeder_ref")) \
-                   .withColumn("feeder_id_unresolved", F.col("source_feeder_ref").isNull())
-    return enforce(rows, FACT_COLUMNS)
+
+
+def conform_facts(raws: dict[str, DataFrame], spec: SourceSpec, lookup: DataFrame | None = None) -> DataFrame:
+    """One source's DER rows of all statuses (``raws`` by status) → fact rows (declared schema + ``batch_date``).
+
+    Datasets that send an ambiguous circuit-or-feeder id are resolved against ``lookup`` (``feeder_lookup``
+    or ``circuit_lookup``) in one join for all their statuses; those that send the feeder directly are
+    unresolved only when the id is missing.
+    """
+    direct, ambiguous = [], []
+    for status, raw in raws.items():
+        rows = _der_rows(raw, spec, status)
+        (ambiguous if spec.der_for(status).circuit_id else direct).append(rows)
+    out = [resolve(union_all(ambiguous), "source_feeder_ref", lookup)] if ambiguous else []
+    out += [rows.withColumns({"feeder_id": F.col("source_feeder_ref"), "feeder_id_unresolved": F.col("source_feeder_ref").isNull()})
+            for rows in direct]
+    return enforce(union_all(out), FACT_COLUMNS)
+
+
+def conform_fact_source(
+    raw: DataFrame,
+    spec: SourceSpec,
+    status: str,
+    bridge: DataFrame | None = None,
+    known_feeders: DataFrame | None = None,
+) -> DataFrame:
+    """Fact rows of one status, resolved against ``bridge``, then against ``known_feeders`` (the dimension's
+    feeder ids of this source)."""
+    return conform_facts({status: raw}, spec, feeder_lookup(bridge, known_feeders))
+
+
+def conform_lookup_source(raw: DataFrame, spec: SourceSpec) -> DataFrame | None:
+    """Circuit and feeder ids of a drop's own circuits rows as one lookup (one pass); None for sources without circuit ids."""
+    if not spec.circuit_id:
+        return None
+    return circuit_lookup(_prepare(raw, spec), spec.circuit_id, spec.feeder_id, spec.null_tokens)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -72,46 +72,59 @@ def bridge_one_per_key(bridge: DataFrame) -> DataFrame:
     return bridge.groupBy("circuit_id").agg(F.min("feeder_id").alias("feeder_id"))
 
 
-def resolve_two_step(
-    rows: DataFrame,
-    ref_col: str,
-    bridge: DataFrame | None,
-    known_feeders: DataFrame | None,
-) -> DataFrame:
-    """Resolve an id that may name a circuit or a feeder.
+def _merge_lookup(pairs: DataFrame) -> DataFrame:
+    """(_k, _bridge_feeder, _direct_feeder) candidates → one row per id: one grouped minimum, no join."""
+    return pairs.where(F.col("_k").isNotNull()).groupBy("_k").agg(
+        F.min("_bridge_feeder").alias("_bridge_feeder"), F.min("_direct_feeder").alias("_direct_feeder"))
 
-    Bridge hit (circuit → feeder) wins over a direct hit on a known feeder; neither → NULL
-    feeder and ``feeder_id_unresolved``. Exactly one output row per input row: the bridge is
-    reduced to one feeder per circuit and the known feeders are made distinct first.
 
-    Bridge and known feeders are first merged into one small lookup table (id → bridge hit,
-    direct hit), so the large row side is joined — and, if not broadcast, shuffled — once.
-    The lookup is a left equi-join without hints (``left_lookup``): it is broadcast only
-    when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``, else sort-merge
-    joined with AQE splitting hot ids; rows without an id get spread-out never-matching keys
-    instead of all hashing into one task.
-    """
-    bf, df_ = F.lit(None).cast("string"), F.lit(None).cast("string")
-    b = d = None
+def feeder_lookup(bridge: DataFrame | None, known_feeders: DataFrame | None) -> DataFrame | None:
+    """Published bridge and known feeders → lookup id → (bridge hit, direct hit)."""
+    none = F.lit(None).cast("string")
+    frames = []
     if bridge is not None:
-        b = bridge_one_per_key(bridge).select(F.col("circuit_id").alias("_k"), F.col("feeder_id").alias("_bridge_feeder"))
+        frames.append(bridge.select(F.col("circuit_id").alias("_k"), F.col("feeder_id").alias("_bridge_feeder"),
+                                    none.alias("_direct_feeder")))
     if known_feeders is not None:
-        d = known_feeders.where(F.col("feeder_id").isNotNull()).select(F.col("feeder_id").alias("_k")).distinct() \
-            .withColumn("_direct_feeder", F.col("_k"))
-    if b is None and d is None:
-        out = rows.withColumns({"_bridge_feeder": bf, "_direct_feeder": df_})
+        frames.append(known_feeders.select(F.col("feeder_id").alias("_k"), none.alias("_bridge_feeder"),
+                                           F.col("feeder_id").alias("_direct_feeder")))
+    if not frames:
+        return None
+    return _merge_lookup(frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1]))
+
+
+def circuit_lookup(raw: DataFrame, circuit_col: str, feeder_col: str, tokens: tuple[str, ...] = ("",)) -> DataFrame:
+    """The same lookup straight from circuits rows, in one pass: every row stands under its circuit and its feeder id."""
+    types = {f.name: f.dataType for f in raw.schema.fields}
+
+    def key(c):
+        return lookup_key(null_tokens(c, tokens, types.get(c)), types.get(c))
+
+    none = F.lit(None).cast("string")
+    ids = raw.select(key(circuit_col).alias("c"), key(feeder_col).alias("f")).where("f IS NOT NULL")
+    return _merge_lookup(ids.select(F.inline(F.array(
+        F.struct(F.col("c").alias("_k"), F.col("f").alias("_bridge_feeder"), none.alias("_direct_feeder")),
+        F.struct(F.col("f").alias("_k"), none.alias("_bridge_feeder"), F.col("f").alias("_direct_feeder"))))))
+
+
+def resolve(rows: DataFrame, ref_col: str, lookup: DataFrame | None) -> DataFrame:
+    """Resolve an id that may name a circuit or a feeder.
+
+    Bridge hit (circuit → feeder, the smallest feeder of the circuit) wins over a direct hit on a known
+    feeder; neither → NULL feeder and ``feeder_id_unresolved``. Exactly one output row per input row: the
+    lookup has one row per id. The rows are joined, and if the lookup isn't small shuffled, once
+    (``left_lookup``): broadcast only when the measured size is under ``spark.sql.autoBroadcastJoinThreshold``,
+    else sort-merge joined with AQE splitting hot ids; rows without an id get spread-out never-matching keys.
+    """
+    if lookup is None:
+        none = F.lit(None).cast("string")
+        out = rows.withColumns({"_bridge_feeder": none, "_direct_feeder": none})
     else:
-        # one lookup table keyed by id → (bridge hit, direct hit): the large row side is joined once
-        if b is None:
-            lookup = d.withColumn("_bridge_feeder", bf)
-        elif d is None:
-            lookup = b.withColumn("_direct_feeder", df_)
-        else:
-            lookup = b.join(d, "_k", "full_outer")
         out = left_lookup(rows, ref_col, lookup, "_k")
     feeder = F.coalesce(F.col("_bridge_feeder"), F.col("_direct_feeder"))
-    return (
-        out.withColumn("feeder_id", feeder)
-        .withColumn("feeder_id_unresolved", feeder.isNull())
-        .drop("_bridge_feeder", "_direct_feeder")
-    )
+    return out.withColumns({"feeder_id": feeder, "feeder_id_unresolved": feeder.isNull()}).drop("_bridge_feeder", "_direct_feeder")
+
+
+def resolve_two_step(rows: DataFrame, ref_col: str, bridge: DataFrame | None, known_feeders: DataFrame | None) -> DataFrame:
+    """``resolve`` against a bridge and a list of known feeders."""
+    return resolve(rows, ref_col, feeder_lookup(bridge, known_feeders))

@@ -21,7 +21,8 @@ from conform.context import RunContext, audit_stamp
 from conform.operators.conform import (
     conform_bridge_source,
     conform_dim_source,
-    conform_fact_source,
+    conform_facts,
+    conform_lookup_source,
     union_all,
 )
 from conform.operators.dedup import latest_per_key
@@ -37,11 +38,12 @@ from conform.operators.quality import (
     quality_summary,
     report_rows,
 )
+from conform.operators.resolve import feeder_lookup
 from conform.operators.serve import feeder_details
 from conform.session import scratch_path
 from conform.sources.csv import csv_scan, provenance
 from conform.sources.tables import batch_scan, partition_replace, publish, read_table
-from conform.spec import STATUSES, SourceSpec
+from conform.spec import SourceSpec
 
 log = logging.getLogger("conform.jobs")
 
@@ -104,11 +106,10 @@ def pipe_raw(spark: SparkSession, specs: Sequence[SourceSpec], landing: str, lay
 
 # ---------------------------------------------------------------- checks during a write
 def staged_with_checks(df: DataFrame, checks: Sequence[Check], name: str,
-                       table: str) -> tuple[DataFrame, list[dict], int]:
+                       table: str) -> tuple[DataFrame, list[dict]]:
     """Write ``df`` once to the scratch folder, counting every check in that same job.
 
-    Returns the staged rows (read back, lineage cut) after ``drop`` checks, the report and the
-    number of staged rows (an upper bound of what survives the checks).
+    Returns the staged rows (read back, lineage cut) after ``drop`` checks, and the report.
     A failing ``fail`` check raises before anything is published.
     """
     spark = df.sparkSession
@@ -127,7 +128,7 @@ def staged_with_checks(df: DataFrame, checks: Sequence[Check], name: str,
         if r["failed_rows"]:
             log.warning("[%s] %s %s: %d/%d rows failed", table, ch.severity.upper(), ch.name,
                         r["failed_rows"], r["total_rows"])
-    return drop_failing(staged, checks), report, m["_rows"]
+    return drop_failing(staged, checks), report
 
 
 # ---------------------------------------------------------------- conform
@@ -139,26 +140,24 @@ def build_conformed(
 ) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
     """Pure plan of the conform layer: (dim rows, fact rows, bridges) before checks/dedup/upsert.
 
-    ``raws[(source_id, dataset)]`` are raw rows. Direct feeder hits resolve against
-    ``known_dim`` when given, else against this drop's own dimension rows.
+    ``raws[(source_id, dataset)]`` are raw rows. Ambiguous ids resolve against the published ``bridges``
+    and ``known_dim`` when given, else against a lookup built in one pass over this drop's own circuits.
     """
     bridges = dict(bridges or {})
-    for s in specs:
-        if s.source_id not in bridges:
-            b = conform_bridge_source(raws[(s.source_id, s.circuits_dataset)], s)
-            if b is not None:
-                bridges[s.source_id] = b
     dim_rows = union_all([conform_dim_source(raws[(s.source_id, s.circuits_dataset)], s) for s in specs])
-    known = known_dim if known_dim is not None else dim_rows
     facts = []
-    for status in STATUSES:
-        for s in specs:
-            ds = s.der_for(status)
-            if ds is None:
-                continue
-            kf = known.where(F.col("utility_id") == F.lit(s.source_id)).select("feeder_id")
-            facts.append(conform_fact_source(raws[(s.source_id, ds.dataset)], s, status,
-                                             bridges.get(s.source_id), kf))
+    for s in specs:
+        circuits = raws[(s.source_id, s.circuits_dataset)]
+        if known_dim is not None:
+            if s.source_id not in bridges and s.circuit_id:
+                bridges[s.source_id] = conform_bridge_source(circuits, s)
+            known = known_dim.where(F.col("utility_id") == F.lit(s.source_id)).select("feeder_id")
+            lookup = feeder_lookup(bridges.get(s.source_id), known) if s.circuit_id else None
+        else:
+            lookup = conform_lookup_source(circuits, s)
+        ders = {status: raws[(s.source_id, ds.dataset)] for status, ds in s.der}
+        if ders:
+            facts.append(conform_facts(ders, s, lookup))
     return dim_rows, union_all(facts), bridges
 
 
@@ -192,26 +191,25 @@ def pipe_conform(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layou
     dim_rows = union_all([conform_dim_source(raws[(s.source_id, s.circuits_dataset)], s) for s in specs])
     tasks["_dim"] = lambda: staged_with_checks(dim_rows, DIM_CHECKS, "dim", "dim_feeder")
     done = run_concurrently(tasks)
-    dim_clean, out["dim_checks"], dim_rows_n = done.pop("_dim")
+    dim_clean, out["dim_checks"] = done.pop("_dim")
     out.update(done)
     bridges = {s.source_id: read_table(spark, layout.conformed_table(f"bridge_{s.source_id}"))
                for s in specs if f"bridge_{s.source_id}" in done}
     lap("bridges_and_dim_stage")
     dim_new = audit_stamp(latest_per_key(dim_clean, DIM_KEYS, DIM_ORDER), ctx, keep_batch_date=True)
     dim_path = layout.conformed_table("dim_feeder")
-    dim_state = upsert(read_table(spark, dim_path), dim_new, DIM_KEYS, only_newer=only_newer, source_rows=dim_rows_n)
+    dim_state = upsert(read_table(spark, dim_path), dim_new, DIM_KEYS, only_newer=only_newer)
     out["dim_feeder"] = publish(dim_state, dim_path, partition_cols=("utility_id",))["rows"]
     dim = read_table(spark, dim_path)
     lap("dim_publish")
 
     _, fact_rows, _ = build_conformed(raws, specs, known_dim=dim, bridges=bridges)
     fact_latest = latest_per_key(fact_rows, FACT_KEYS, FACT_ORDER)
-    fact_clean, out["fact_checks"], fact_rows_n = staged_with_checks(fact_latest, FACT_CHECKS, "fact", "fact_der")
+    fact_clean, out["fact_checks"] = staged_with_checks(fact_latest, FACT_CHECKS, "fact", "fact_der")
     lap("fact_stage")
     fact_new = audit_stamp(fact_clean, ctx, keep_batch_date=True)
     fact_path = layout.conformed_table("fact_der")
-    fact_state = upsert(read_table(spark, fact_path), fact_new, FACT_KEYS, only_newer=only_newer,
-                        source_rows=fact_rows_n)
+    fact_state = upsert(read_table(spark, fact_path), fact_new, FACT_KEYS, only_newer=only_newer)
     out["fact_der"] = publish(fact_state, fact_path, partition_cols=("utility_id",))["rows"]
     lap("fact_publish")
     return out

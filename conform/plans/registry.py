@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from conform.context import RunContext, audit_stamp
 from conform.functions.scalars import key_normalise, lenient_number, lenient_ts
-from conform.operators.conform import conform_dim_source, conform_fact_source, union_all
+from conform.operators.conform import conform_dim_source, conform_fact_source, conform_facts, conform_lookup_source, union_all
 from conform.operators.dedup import latest_per_key
 from conform.operators.merge import scd2_apply, scd2_from_history, upsert
 from conform.operators.quality import (
@@ -112,10 +112,8 @@ def fact_latest(spark, d) -> DataFrame:
 def u1_fact_rows(spark, d) -> DataFrame:
     _utc(spark)
     seg = tb.seg1(spark, d)
-    bridge = bridge_build(seg, UTILITY1.circuit_id, UTILITY1.feeder_id)
-    known = conform_dim_source(seg, UTILITY1).select("feeder_id")
     d1 = tb.der1(spark, d)
-    return union_all([conform_fact_source(d1[ds.dataset], UTILITY1, st, bridge, known) for st, ds in UTILITY1.der])
+    return conform_facts({st: d1[ds.dataset] for st, ds in UTILITY1.der}, UTILITY1, conform_lookup_source(seg, UTILITY1))
 
 
 # ------------------------------------------------------------------ scalars
@@ -190,6 +188,27 @@ def q_resolve_two_step(spark, d):
                                          "feeder_id_unresolved", "batch_date")
 
 
+@register("der_id_exact", """
+    SELECT 'utility1' AS utility_id, status, count(*) AS total_rows, count(DISTINCT der_id) AS der_ids FROM (
+        SELECT CASE l_linestatus WHEN 'F' THEN 'installed' ELSE 'planned' END AS status,
+               CASE l_linenumber % 4 WHEN 0 THEN l_orderkey::VARCHAR || '.' || l_linenumber::VARCHAR
+                    WHEN 1 THEN '00' || l_orderkey::VARCHAR || '0' || l_linenumber::VARCHAR
+                    WHEN 2 THEN l_orderkey::VARCHAR || 'E' || l_linenumber::VARCHAR
+                    ELSE l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR END AS der_id FROM lineitem)
+    GROUP BY status""")
+def q_der_id_exact(spark, d):
+    """DER ids with fractions, leading zeros and exponents: all distinct ids survive conform and dedup."""
+    _utc(spark)
+    part = lambda i: F.split("ProjectID", "-").getItem(i)
+    spelled = (F.when(part(1).cast("int") % 4 == 0, F.concat(part(0), F.lit("."), part(1)))
+               .when(part(1).cast("int") % 4 == 1, F.concat(F.lit("00"), part(0), F.lit("0"), part(1)))
+               .when(part(1).cast("int") % 4 == 2, F.concat(part(0), F.lit("E"), part(1))).otherwise(F.col("ProjectID")))
+    d1 = {k: v.withColumn("ProjectID", spelled) for k, v in tb.der1(spark, d).items()}
+    rows = conform_facts({st: d1[ds.dataset] for st, ds in UTILITY1.der}, UTILITY1, conform_lookup_source(tb.seg1(spark, d), UTILITY1))
+    kept = latest_per_key(rows, FACT_KEYS, FACT_ORDER).groupBy("utility_id", "status").agg(F.count("*").alias("der_ids"))
+    return rows.groupBy("utility_id", "status").agg(F.count("*").alias("total_rows")).join(kept, ["utility_id", "status"])
+
+
 @register("conform_dim", tb.with_views("SELECT * FROM dim_latest", "dim_latest"))
 def q_conform_dim(spark, d):
     return ntz(dim_latest(spark, d))
@@ -241,7 +260,7 @@ UPSERT_DIM_SQL = """
     WITH t AS (SELECT * FROM dim2_rows WHERE CAST(substr(feeder_id, 3) AS BIGINT) % 3 <> 0),
          s AS (SELECT utility_id, feeder_id, max_hosting_capacity + 1 AS max_hosting_capacity, min_hosting_capacity,
                       last_refresh_date, voltage_kv, batch_date
-               FROM dim2_rows WHERE CAST(substr(feeder_id, 3) AS BIGINT) % 2 = 0)
+               FROM dim2_rows WHERE CAST(substr(feeder_id, 3) AS BIGINT) % 3 = 0 OR CAST(substr(feeder_id, 3) AS BIGINT) % 2 = 0)
     SELECT * FROM t WHERE feeder_id NOT IN (SELECT feeder_id FROM s) UNION ALL SELECT * FROM s"""
 
 
@@ -251,7 +270,7 @@ def q_upsert_dim(spark, d):
     dim = conform_dim_source(tb.circ2(spark, d), UTILITY2)
     k = F.substring("feeder_id", 3, 20).cast("bigint")
     target = dim.where(k % 3 != 0)
-    source = dim.where(k % 2 == 0).withColumn("max_hosting_capacity", F.col("max_hosting_capacity") + 1)
+    source = dim.where((k % 3 == 0) | (k % 2 == 0)).withColumn("max_hosting_capacity", F.col("max_hosting_capacity") + 1)
     return ntz(upsert(target, source, DIM_KEYS))
 
 
@@ -259,7 +278,7 @@ UPSERT_FACT_SQL = """
     WITH t AS (SELECT * FROM f2 WHERE CAST(der_id AS BIGINT) % 3 <> 0),
          s AS (SELECT utility_id, der_id, der_type, capacity_kw + 1 AS capacity_kw, status, feeder_id,
                       feeder_id_unresolved, source_feeder_ref, batch_date
-               FROM f2 WHERE CAST(der_id AS BIGINT) % 2 = 0)
+               FROM f2 WHERE CAST(der_id AS BIGINT) % 3 = 0 OR CAST(der_id AS BIGINT) % 2 = 0)
     SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.utility_id = t.utility_id AND s.der_id = t.der_id
                                       AND s.status = t.status)
     UNION ALL SELECT * FROM s"""
@@ -271,7 +290,7 @@ def q_upsert_fact(spark, d):
     fact = union_all([conform_fact_source(d2[ds.dataset], UTILITY2, st) for st, ds in UTILITY2.der])
     k = F.col("der_id").cast("bigint")
     target = fact.where(k % 3 != 0)
-    source = fact.where(k % 2 == 0).withColumn("capacity_kw", F.col("capacity_kw") + 1)
+    source = fact.where((k % 3 == 0) | (k % 2 == 0)).withColumn("capacity_kw", F.col("capacity_kw") + 1)
     return upsert(target, source, FACT_KEYS)
 
 

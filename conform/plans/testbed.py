@@ -2,10 +2,10 @@
 
 The benchmark tables have no utilities, so each source is mapped onto them:
 
-* ``utility1`` circuits (segment rows)  ← lineitem rows with ``l_partkey % 3 = 0``
+* ``utility1`` circuits (segment rows)  ← every lineitem row
 * ``utility1`` DERs (wide type columns) ← every lineitem row, status from ``l_linestatus``
 * ``utility2`` circuits (feeder rows)   ← customer
-* ``utility2`` DERs (direct feeder id)  ← orders with status F or O
+* ``utility2`` DERs (direct feeder id)  ← orders: status F installed, all others planned
 * ``utility3`` circuits (third source)  ← supplier
 
 Spark frames carry the *source* column names (numbers typed, as a Parquet drop would have
@@ -45,7 +45,7 @@ def _month(c: str) -> Column:
 
 def seg1(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return li.where(F.col("l_partkey") % 3 == 0).select(
+    return li.select(
         F.concat(F.lit("P"), _s("l_partkey")).alias("Circuits_Phase3_CIRCUIT"),
         F.col("l_suppkey").cast("double").alias("NYHCPV_csv_NFEEDER"),     # float-typed id, as real drops
         F.col("l_extendedprice").alias("NYHCPV_csv_FMAXHC"),
@@ -85,7 +85,7 @@ def der1(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     d = der1_all(spark, sf_dir)
     return {
         "install_der": d.where(F.col("l_linestatus") == "F").drop("l_linestatus"),
-        "planned_der": d.where(F.col("l_linestatus") == "O").drop("l_linestatus"),
+        "planned_der": d.where(~F.col("l_linestatus").eqNullSafe("F")).drop("l_linestatus"),
     }
 
 
@@ -104,7 +104,7 @@ def circ2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def der2(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin("F", "O"))
+    o = table(spark, sf_dir, "orders")
     cust = F.col("o_custkey") + F.when(F.col("o_orderkey") % 11 == 0, F.lit(1000000)).otherwise(F.lit(0))
     base = o.select(
         F.col("o_orderstatus"),
@@ -118,7 +118,7 @@ def der2(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "install_der": base.where(F.col("o_orderstatus") == "F").drop("o_orderstatus")
                            .withColumnRenamed("_id", "DER_ID"),
-        "planned_der": base.where(F.col("o_orderstatus") == "O").drop("o_orderstatus")
+        "planned_der": base.where(~F.col("o_orderstatus").eqNullSafe("F")).drop("o_orderstatus")
                            .withColumnRenamed("_id", "INTERCONNECTION_QUEUE_REQUEST_ID"),
     }
 
@@ -155,7 +155,7 @@ SQL_VIEWS = {
         SELECT 'P' || CAST(l_partkey AS VARCHAR) AS circuit_id, CAST(l_suppkey AS VARCHAR) AS feeder_id,
                l_extendedprice AS max_hc, l_discount AS min_hc, l_shipdate AS refresh, l_tax AS voltage,
                CAST(date_trunc('month', l_shipdate) AS DATE) AS batch_date
-        FROM lineitem WHERE l_partkey % 3 = 0""",
+        FROM lineitem""",
     "der1": """
         SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS der_id,
                CASE l_linestatus WHEN 'F' THEN 'installed' ELSE 'planned' END AS status,
@@ -184,7 +184,7 @@ SQL_VIEWS = {
                     ELSE 'C_' || CAST(o_custkey + CASE WHEN o_orderkey % 11 = 0 THEN 1000000 ELSE 0 END AS VARCHAR)
                END AS loc,
                CAST(date_trunc('month', o_orderdate) AS DATE) AS batch_date, o_orderkey
-        FROM orders WHERE o_orderstatus IN ('F', 'O')""",
+        FROM orders""",
     "circ3": f"""
         SELECT 'S_' || CAST(s_suppkey AS VARCHAR) AS feeder_id, s_acctbal AS max_hc,
                CAST(s_nationkey AS DOUBLE) AS voltage, DATE '{SOURCE2_BATCH}' AS batch_date
