@@ -38,12 +38,13 @@ from conform.operators.quality import (
 from conform.operators.resolve import bridge_build, bridge_one_per_key, segment_rollup
 from conform.operators.serve import feeder_details, q_capacity_over, q_feeder_ders, sample_feeder, top_capacity
 from conform.plans import testbed as tb
-from conform.plans.jobs import DIM_KEYS, DIM_ORDER, FACT_KEYS, FACT_ORDER, Layout, build_conformed, run_all
+from conform.plans.jobs import CAPACITY_CLUSTER, DETAILS_CLUSTER, DIM_KEYS, DIM_ORDER, FACT_KEYS, FACT_ORDER, Layout, build_conformed, run_all
 from conform.session import scratch_path
 from conform.sources.csv import csv_scan, header_clean, provenance
 from conform.sources.tables import (
     batch_scan,
     clustered_write,
+    load_batch,
     partition_replace,
     publish,
     read_table,
@@ -439,7 +440,7 @@ def q_expect_fail(spark, d):
 @register("serve_capacity", tb.with_views("SELECT * FROM dim_latest", "dim_latest"))
 def q_serve_capacity(spark, d):
     path = scratch_path(spark, "feeder_capacity")
-    publish(dim_latest(spark, d), path, partition_cols=("utility_id",), cluster_col="max_hosting_capacity",
+    publish(dim_latest(spark, d), path, partition_cols=("utility_id",), cluster_cols=CAPACITY_CLUSTER,
             materialise=True)
     return ntz(read_table(spark, path))
 
@@ -447,7 +448,7 @@ def q_serve_capacity(spark, d):
 @register("clustered_write", tb.with_views("SELECT * FROM dim_latest", "dim_latest"))
 def q_clustered_write(spark, d):
     path = scratch_path(spark, "clustered")
-    clustered_write(dim_latest(spark, d), path, "utility_id", "max_hosting_capacity", materialise=True)
+    clustered_write(dim_latest(spark, d), path, "utility_id", CAPACITY_CLUSTER, materialise=True)
     return ntz(spark.read.parquet(path))
 
 
@@ -460,7 +461,7 @@ def q_serve_details(spark, d):
                                            "dim_latest"))
 def q_q_capacity_over(spark, d):
     path = scratch_path(spark, "feeder_capacity")
-    publish(dim_latest(spark, d), path, partition_cols=("utility_id",), cluster_col="max_hosting_capacity",
+    publish(dim_latest(spark, d), path, partition_cols=("utility_id",), cluster_cols=CAPACITY_CLUSTER,
             materialise=True)
     return ntz(q_capacity_over(read_table(spark, path), CAPACITY_X))
 
@@ -469,7 +470,7 @@ def q_q_capacity_over(spark, d):
 def q_q_feeder_ders(spark, d):
     """Point lookup on the published details table, laid out by (utility, feeder) for file skipping."""
     path = scratch_path(spark, "feeder_der_details")
-    publish(feeder_details(fact_latest(spark, d), dim_latest(spark, d)), path, ("utility_id",), cluster_col="feeder_id",
+    publish(feeder_details(fact_latest(spark, d), dim_latest(spark, d)), path, ("utility_id",), cluster_cols=DETAILS_CLUSTER,
             materialise=True)
     return ntz(q_feeder_ders(read_table(spark, path), FEEDER_X))
 
@@ -607,7 +608,8 @@ def q_csv_ingest(spark, d):
     bom = c.where(F.col("c_custkey") % 2 == 0)
     bom = bom.toDF(*[("\ufeff" + n) if i == 0 else n for i, n in enumerate(bom.columns)])   # BOM in the header
     _write_csv(bom, f"{land}/a")
-    _write_csv(c.where(F.col("c_custkey") % 2 == 1), f"{land}/b")
+    other = c.where(F.col("c_custkey") % 2 == 1).select(*reversed(c.columns))                # another column order
+    _write_csv(other, f"{land}/b")
     return customer_back(csv_scan(spark, [f"{land}/a", f"{land}/b"]))
 
 
@@ -672,9 +674,10 @@ def q_write_metrics(spark, d):
     m = write_observed(tb.table(spark, d, "orders"),
                        lambda x: x.write.partitionBy("o_orderstatus").parquet(path), "orders",
                        extra=[F.count_if(F.col("o_orderstatus") == "F").alias("written_f")])
-    # the metrics were gathered by the write job itself; expose them as a one-row frame
-    return spark.range(1).select(F.lit(m["rows"]).cast("bigint").alias("written_rows"),
-                                 F.lit(m["written_f"]).cast("bigint").alias("written_f"))
+    # the metrics were gathered by the write job itself; each is given only if the stored rows say the same
+    back = spark.read.parquet(path).agg(F.count("*").alias("rows"), F.count_if(F.col("o_orderstatus") == "F").alias("f"))
+    return back.select(F.when(F.col("rows") == m["rows"], F.col("rows")).alias("written_rows"),
+                       F.when(F.col("f") == m["written_f"], F.col("f")).alias("written_f"))
 
 
 STREAM_COLUMNS = list(CUSTOMER_TYPES)
@@ -688,12 +691,26 @@ def q_stream_ingest(spark, d):
     ckpt = scratch_path(spark, "ckpt-stream")
     _write_csv(c.where(F.col("c_custkey") % 2 == 0), f"{land}/drop1")
     stream_ingest(spark, land + "/*", STREAM_COLUMNS, "utility2", table_path, ckpt, FIXED_CTX)
-    _write_csv(c.where(F.col("c_custkey") % 2 == 1), f"{land}/drop2")
+    _write_csv(c.where(F.col("c_custkey") % 2 == 1).select(*reversed(c.columns)), f"{land}/drop2")
     stream_ingest(spark, land + "/*", STREAM_COLUMNS, "utility2", table_path, ckpt, FIXED_CTX)
     stream_ingest(spark, land + "/*", STREAM_COLUMNS, "utility2", table_path, ckpt, FIXED_CTX)   # nothing new
     return customer_back(spark.read.parquet(table_path))
 
 
+@register("batch_and_stream", "SELECT * FROM customer")
+def q_batch_and_stream(spark, d):
+    """One raw table: half of it from a batch drop, half from a stream."""
+    c = tb.table(spark, d, "customer")
+    land, table_path = scratch_path(spark, "landing-both"), scratch_path(spark, "raw-both")
+    _write_csv(c.where(F.col("c_custkey") % 2 == 0), f"{land}/batch/drop")
+    _write_csv(c.where(F.col("c_custkey") % 2 == 1), f"{land}/stream/drop")
+    rows = audit_stamp(csv_scan(spark, f"{land}/batch/drop", source_id="utility2"), FIXED_CTX)
+    for _ in range(2):                                  # the second load replaces the first
+        load_batch(rows, table_path, "utility2", FIXED_CTX.batch_date, FIXED_CTX.pipeline_run_id)
+    stream_ingest(spark, f"{land}/stream/*", STREAM_COLUMNS, "utility2", table_path, scratch_path(spark, "ckpt-both"), FIXED_CTX)
+    return customer_back(batch_scan(spark, table_path, batch_date=FIXED_CTX.batch_date, source_id="utility2", run_id=FIXED_CTX.pipeline_run_id))
+
+
 # ------------------------------------------------------------------ whole chain
 def write_landing(spark, d, landing: str) -> None:
     """Write both sources' drops as CSV files named as the specs expect."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,8 +34,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (tests, a bare
-    local session) a fresh folder is created and registered as the checkpoint dir.
+    Uses the cluster's ``spark.checkpoint.dir``. Only a session on a local master may leave it unset (tests): a fresh
+    folder is created and registered as the checkpoint dir. On a cluster executors would write to their own
+    disks, so an unset folder is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -43,6 +45,9 @@ def scratch_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share (master {master!r})")
         root = tempfile.mkdtemp(prefix="conform-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)

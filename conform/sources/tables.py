@@ -21,39 +21,78 @@ def write_observed(df: DataFrame, write, name: str = "write", extra: Sequence |
     return obs.get
 
 
+LOAD_COL = "load"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the table store, if it is there."""
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    fs, p, _ = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()] if fs.exists(p) else []
+
+
 def partition_replace(df: DataFrame, path: str, partition_cols: Sequence[str] = ("utility_id", "batch_date"),
                       fmt: str = "parquet") -> dict:
     """Write rows into a partitioned table, replacing only the partitions present in ``df``.
 
-    Dynamic partition overwrite: a re-run or back-fill of one batch replaces that batch,
-    all other batches stay. First write creates the table. Returns ``{"rows": n}``.
+    Dynamic partition overwrite: partitions that ``df`` has rows for are replaced, all others stay. The
+    rows are first balanced by partition (AQE merges small and splits large ones), so a partition gets
+    files of a sensible size, not one from every task. Returns ``{"rows": n}``.
     """
     def _w(d: DataFrame):
         (d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_cols).format(fmt).save(path))
-    return write_observed(df, _w, "partition_replace")
+    return write_observed(df.hint("rebalance", *partition_cols), _w, "partition_replace")
+
+
+def load_batch(df: DataFrame, path: str, source_id: str, batch_date, load: str, replace: bool = True) -> dict:
+    """Write one load of one (source, batch) of a raw table, by default in place of all its other loads.
+
+    Raw tables have one layout for batch and streaming: ``utility_id / batch_date / load``. ``df`` holds rows of that source and
+    batch only. The new load is written first and the others are removed after it, so a job that dies in
+    between loses nothing and a re-run completes it; a load written twice replaces itself. An empty re-send clears
+    the batch. ``replace=False`` adds the load beside the others (a micro-batch of a stream).
+    """
+    spark = df.sparkSession
+    where = f"{path.rstrip('/')}/utility_id={source_id}/batch_date={batch_date}"
+    metrics = partition_replace(df.withColumn(LOAD_COL, F.lit(load)), path, ("utility_id", "batch_date", LOAD_COL))
+    own = f"{LOAD_COL}={load}"
+    for name in _folders(spark, where):
+        if (replace and name != own) or (name == own and not metrics["rows"]):
+            remove(spark, f"{where}/{name}")
+    return metrics
 
 
 def batch_scan(spark: SparkSession, path: str, batch_date=None, run_id: str | None = None,
                source_id: str | None = None) -> DataFrame:
-    """Read a raw table limited to one batch / run / source (partition pruning on the folders)."""
+    """Read a raw table limited to one batch / run / source (partition pruning on the folders).
+
+    A limit on a column that the table lacks is an error, never ignored.
+    """
     df = spark.read.parquet(path)
-    if source_id is not None and "utility_id" in df.columns:
-        df = df.where(F.col("utility_id") == F.lit(source_id))
-    if batch_date is not None and "batch_date" in df.columns:
-        df = df.where(F.col("batch_date") == F.lit(batch_date).cast("date"))
-    if run_id is not None and "pipeline_run_id" in df.columns:
-        df = df.where(F.col("pipeline_run_id") == F.lit(run_id))
+    for column, value in (("utility_id", source_id), ("batch_date", batch_date), ("pipeline_run_id", run_id)):
+        if value is None:
+            continue
+        if column not in df.columns:
+            raise ValueError(f"{path} has no column {column!r} to limit the scan by")
+        df = df.where(F.col(column) == (F.lit(value).cast("date") if column == "batch_date" else F.lit(value)))
     return df
 
 
-def clustered(df: DataFrame, partition_col: str | None, cluster_col: str, n: int | None = None) -> DataFrame:
-    """Range-partition and sort by (partition, cluster column) before writing.
+def clustered(df: DataFrame, partition_col: str | None, cluster_cols: str | Sequence[str], n: int | None = None) -> DataFrame:
+    """Range-partition and sort by (partition, cluster columns) before writing.
 
-    Each output file then covers a narrow, non-overlapping range of ``cluster_col`` and the
-    Parquet row-group min/max statistics let a filter on it skip most files and row groups.
+    Each output file then covers a narrow, non-overlapping range and the Parquet row-group min/max
+    statistics let a filter on the first cluster column skip most files and row groups. Further cluster columns that
+    make rows distinct let the ranges cut through a value that holds many rows (a hot feeder, no feeder at
+    all): equal keys can't be parted otherwise.
     """
-    cols = [c for c in (partition_col, cluster_col) if c]
+    cluster = [cluster_cols] if isinstance(cluster_cols, str) else list(cluster_cols)
+    cols = [c for c in (partition_col, *cluster) if c]
     df = df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
     return df.sortWithinPartitions(*cols)
 
@@ -62,8 +101,7 @@ def precompute(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once as a Parquet table in the shared scratch folder and read it back.
 
     Range partitioning samples its input in a job of its own; over an expensive plan (joins,
-    dedup) that would compute it twice. The written copy (below ``spark.checkpoint.dir``, never
-    a machine-local folder) cuts the lineage, so sample and write read stored rows.
+    dedup) that would compute it twice. The written copy (below ``spark.checkpoint.dir``) cuts the lineage, so sample and write read stored rows.
     """
     from conform.session import scratch_path
     spark = df.sparkSession
@@ -72,7 +110,7 @@ def precompute(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def clustered_write(df: DataFrame, path: str, partition_col: str | None, cluster_col: str,
+def clustered_write(df: DataFrame, path: str, partition_col: str | None, cluster_cols: str | Sequence[str],
                     n: int | None = None, mode: str = "overwrite", materialise: bool = False) -> dict:
     if materialise:
         df = precompute(df)
@@ -83,14 +121,18 @@ def clustered_write(df: DataFrame, path: str, partition_col: str | None, cluster
             w = w.partitionBy(partition_col)
         w.parquet(path)
     # observed above the range exchange: the boundary-sampling job does not pass the observation
-    return write_observed(clustered(df, partition_col, cluster_col, n), _w, "clustered_write")
+    return write_observed(clustered(df, partition_col, cluster_cols, n), _w, "clustered_write")
 
 
 # --- published snapshots -----------------------------------------------------------------
 # A derived table is a folder of immutable versions ``v<millis>-<id>``; a version counts once
-# Spark's commit wrote its ``_SUCCESS`` marker. Readers take the newest complete version, so
-# a job that dies mid-write leaves the previous state readable, and a table can be rebuilt
-# from itself (Spark refuses to overwrite a path it is reading).
+# its marker file was written, after the write succeeded. Readers take the newest complete
+# version, so a job that dies mid-write leaves the previous state readable, and a table can be
+# rebuilt from itself (Spark refuses to overwrite a path it is reading).
+
+MARKER = "_COMPLETE"
+KEEP_VERSIONS = 3
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -99,19 +141,21 @@ def _fs(spark: SparkSession, path: str):
 
 
 def snapshot_versions(spark: SparkSession, table_path: str) -> list[str]:
-    fs, p, jvm = _fs(spark, table_path)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(name)
-    return sorted(out)
+    """Names of the complete versions, oldest first."""
+    fs, _, jvm = _fs(spark, table_path)
+    return sorted(n for n in _folders(spark, table_path)
+                  if n.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/{n}/{MARKER}")))
 
 
 def current_snapshot(spark: SparkSession, table_path: str) -> str | None:
+    """Path of the newest complete version; None only if nothing was ever written.
+
+    Versions without a complete one among them are an error: taken for "no table", an upsert would publish
+    its batch alone and the history would be gone.
+    """
     v = snapshot_versions(spark, table_path)
+    if not v and any(n.startswith("v") for n in _folders(spark, table_path)):
+        raise RuntimeError(f"{table_path} has no complete version (no {MARKER} file); remove the folder to start anew")
     return f"{table_path.rstrip('/')}/{v[-1]}" if v else None
 
 
@@ -121,14 +165,15 @@ def read_table(spark: SparkSession, table_path: str) -> DataFrame | None:
 
 
 def publish(df: DataFrame, table_path: str, partition_cols: Sequence[str] = (), view: str | None = None,
-            cluster_col: str | None = None, materialise: bool = False) -> dict:
+            cluster_cols: str | Sequence[str] = (), materialise: bool = False, keep: int = KEEP_VERSIONS) -> dict:
     """Write ``df`` as the new version of a table; optionally (re)point a temp view at it.
 
-    ``cluster_col`` lays the version out for skipping on that column (``clustered``); pass
+    ``cluster_cols`` lays the version out for skipping on the first of them (``clustered``); pass
     ``materialise=True`` when ``df`` is expensive to compute, so the range sampling does not
-    compute it a second time.
+    compute it a second time. The newest ``keep`` complete versions stay, older ones are removed (readers of
+    an older version must have ended by then).
     """
-    if cluster_col and materialise:
+    if cluster_cols and materialise:
         df = precompute(df)
     version = f"{table_path.rstrip('/')}/v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:6]}"
 
@@ -137,10 +182,14 @@ def publish(df: DataFrame, table_path: str, partition_cols: Sequence[str] = (),
         if partition_cols:
             w = w.partitionBy(*partition_cols)
         w.parquet(version)
-    if cluster_col:   # observed above the range exchange: the boundary-sampling job does not pass the observation
-        df = clustered(df, partition_cols[0] if partition_cols else None, cluster_col)
+    if cluster_cols:   # observed above the range exchange: the boundary-sampling job does not pass the observation
+        df = clustered(df, partition_cols[0] if partition_cols else None, cluster_cols)
     metrics = write_observed(df, _w, "publish")
     spark = df.sparkSession
+    fs, _, jvm = _fs(spark, version)
+    fs.create(jvm.org.apache.hadoop.fs.Path(f"{version}/{MARKER}"), True).close()
+    for old in snapshot_versions(spark, table_path)[:-keep]:
+        remove(spark, f"{table_path.rstrip('/')}/{old}")
     if view:
         spark.read.parquet(version).createOrReplaceTempView(view)
     return {**metrics, "path": version}

@@ -42,7 +42,7 @@ class SourceSpec:
     null_tokens: tuple[str, ...] = ("",)  # texts read as NULL in id columns
     numeric_ids: bool = False            # ids exported as numbers (maybe floats): normalise 7.0 → '7'
     file_pattern: str = "{source_id}_{dataset}.csv"
-    multiline: bool = True               # quoted multi-line records; False lets large files split
+    multiline: bool = False              # quoted line breaks in records; makes each file one task
     transform: Callable[[DataFrame], DataFrame] | None = field(default=None, compare=False)
 
     @property
@@ -99,6 +99,7 @@ UTILITY1 = SourceSpec(
         ("planned", DerDataset("planned_der", der_id="ProjectID", nameplate="NamePlateRating", circuit_id="ProjectCircuitID")),
     ),
     label_columns=UTILITY1_LABELS,
+    null_tokens=RECOMMENDED_NULL_TOKENS,
     hybrid_flag="Hybrid",
 )
 
@@ -110,6 +111,8 @@ UTILITY2 = SourceSpec(
     refresh_date="hca_refresh_date",
     voltage="feeder_voltage",
     ts_format="yyyy/MM/dd HH:mm:ssx",
+    multiline=True,                      # street addresses may hold line breaks
+    null_tokens=RECOMMENDED_NULL_TOKENS,
     der=(
         ("installed", DerDataset("install_der", der_id="DER_ID", nameplate="DER_NAMEPLATE_RATING",
                                  feeder_id="DER_INTERCONNECTION_LOCATION", der_type="DER_TYPE")),

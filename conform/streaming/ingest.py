@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from conform.context import RunContext, audit_stamp
-from conform.sources.csv import csv_options, header_columns, string_schema
-from conform.sources.csv import provenance
+from conform.sources.csv import csv_scan
+from conform.sources.tables import load_batch
+
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def stream_ingest(
@@ -20,37 +22,35 @@ def stream_ingest(
     table_path: str,
     checkpoint: str,
     ctx: RunContext,
-    partition_cols: Sequence[str] = ("utility_id", "batch_date"),
-    multiline: bool = True,
-    max_files_per_trigger: int | None = None,
+    multiline: bool = False,
+    max_files_per_trigger: int = 1000,
 ) -> dict:
     """Ingest files that arrived in ``landing_dir`` since the last run, then stop.
 
-    ``columns`` fixes the (all-string) schema; None reads it from the header of the files present.
+    The stream carries file names (their contents aren't read by it); each micro-batch reads its files as the
+    batch path does, by the names in their own headers. With ``columns`` a file that lacks one of them stops
+    the run. Same rows, columns and layout as the batch path, so both may fill the same raw table.
 
-    Same rows as the batch path (strings, provenance, audit columns) into the same
-    partitioned raw table. The checkpoint records which files were read, so each file is
-    ingested exactly once; a run with no new files writes nothing. ``availableNow`` processes
-    the backlog in bounded micro-batches (``max_files_per_trigger``) and ends.
-    Each micro-batch lands in its own ``stream_epoch`` partition under (source, batch) with
-    dynamic partition overwrite, so a micro-batch that is re-run after a failure replaces its
-    own earlier attempt instead of appending duplicates.
+    The checkpoint records which files were read, so each file is ingested exactly once; a run with no new
+    files writes nothing. ``availableNow`` processes the backlog in micro-batches of at most
+    ``max_files_per_trigger`` files and ends. Each micro-batch is a load of its own, named by the stream's id
+    and the epoch: one that is re-run after a failure replaces its own earlier attempt, and a stream that
+    starts over with a new checkpoint doesn't touch what an earlier one wrote.
     """
-    if columns is None:                 # take the names from a file already there (cleaned header)
-        columns = header_columns(spark, landing_dir, multiline)
-    reader = spark.readStream.options(**csv_options(multiline)).schema(string_schema(list(columns)))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    rows = audit_stamp(provenance(reader.csv(landing_dir), source_id), ctx)
+    files = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
+             .option("maxFilesPerTrigger", str(max_files_per_trigger)).load(landing_dir).select("path"))
     batches: list[int] = []
 
     def _write(df: DataFrame, epoch_id: int):
-        (df.withColumn("stream_epoch", F.lit(epoch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_cols, "stream_epoch").parquet(table_path))
+        paths = sorted(r.path for r in df.collect())              # at most max_files_per_trigger names
+        if not paths:
+            return
+        stream_id = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first().value)["id"]
+        rows = audit_stamp(csv_scan(spark, paths, multiline, columns, source_id), ctx)
+        load_batch(rows, table_path, source_id, ctx.batch_date, f"stream-{stream_id}-{epoch_id}", replace=False)
         batches.append(epoch_id)
 
-    q = (rows.writeStream.foreachBatch(_write)
+    q = (files.writeStream.foreachBatch(_write)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
