@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: prefix of stand-in keys for NULL ids; it sorts before every printable id and
@@ -12,24 +12,13 @@ from pyspark.sql import functions as F
 NULL_KEY_PREFIX = "\u0001"
 
 
-def spread_null_key(key: Column, row_cols: Sequence[str]) -> Column:
-    """Join key in which NULL is replaced by a distinct never-matching text.
-
-    NULL ids cannot match, but hash partitioning sends them all to one shuffle partition;
-    when a large share of the rows has no id that one task gets them all. Hashing the row's
-    columns spreads them evenly instead, in the same single pass (no split-and-union rescan).
-    """
-    spread = F.concat(F.lit(NULL_KEY_PREFIX), F.xxhash64(*[F.col(c) for c in row_cols]).cast("string"))
-    return F.coalesce(key.cast("string"), spread)
-
-
 def left_lookup(rows: DataFrame, key: str | Sequence[str], lookup: DataFrame,
                 lookup_key: str | Sequence[str]) -> DataFrame:
     """``rows LEFT JOIN lookup ON rows.key = lookup.lookup_key`` with NULL keys spread out.
 
     Keys may be composite (equal-length lists). A row with any NULL key part cannot match;
     its last key part is replaced by a distinct never-matching text so such rows spread over
-    all partitions. ``lookup`` must be unique on ``lookup_key`` (one output row per input row).
+    all partitions, where one hash of NULL would give them to one task. ``lookup`` must be unique on ``lookup_key`` (one output row per input row).
     No join hint: the planner broadcasts ``lookup`` only when its measured size is under
     ``spark.sql.autoBroadcastJoinThreshold``, otherwise both sides are shuffled and AQE's
     skew handling splits partitions of hot non-NULL keys.

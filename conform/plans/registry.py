@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,10 +25,13 @@ from conform.operators.quality import (
     FACT_CHECKS,
     Check,
     check_report,
+    apply_checks,
     drop_failing,
     dup_keys,
+    expected_columns,
     failing_rows,
     missing_categories,
+    null_key_rows,
     null_key_triage,
     quality_snapshot,
     quality_summary,
@@ -222,6 +225,15 @@ def q_third_source(spark, d):
     return ntz(dim_latest(spark, d, third=True))
 
 
+@register("third_source_ders", tb.with_views(
+    tb.latest_sql("(SELECT * FROM fact_all UNION ALL SELECT * FROM f3)", "utility_id, der_id, status", tb.LATEST_FACT_ORDER), "fact_all", "f3"))
+def q_third_source_ders(spark, d):
+    """All three sources' DERs; the third is one more spec."""
+    _utc(spark)
+    _, fact, _ = build_conformed(tb.raw_sources(spark, d, third=True), [UTILITY1, UTILITY2, tb.UTILITY3])
+    return latest_per_key(fact, FACT_KEYS, FACT_ORDER)
+
+
 @register("conform_fact", tb.with_views("SELECT * FROM fact_latest", "fact_latest"))
 def q_conform_fact(spark, d):
     return fact_latest(spark, d)
@@ -295,6 +307,27 @@ def q_upsert_fact(spark, d):
     return upsert(target, source, FACT_KEYS)
 
 
+UPSERT_NEWER_SQL = """
+    WITH s AS (SELECT * REPLACE (capacity_kw + 1 AS capacity_kw, CASE WHEN CAST(der_id AS BIGINT) % 2 = 0
+                      THEN batch_date + INTERVAL 1 MONTH ELSE batch_date - INTERVAL 1 MONTH END::DATE AS batch_date)
+               FROM f2 WHERE CAST(der_id AS BIGINT) % 3 <> 1),
+         t AS (SELECT * FROM f2 WHERE CAST(der_id AS BIGINT) % 3 <> 2)
+    SELECT s.* FROM s LEFT JOIN t USING (utility_id, der_id, status) WHERE t.batch_date IS NULL OR s.batch_date >= t.batch_date
+    UNION ALL
+    SELECT t.* FROM t LEFT JOIN s USING (utility_id, der_id, status) WHERE s.batch_date IS NULL OR s.batch_date < t.batch_date"""
+
+
+@register("upsert_only_newer", tb.with_views(UPSERT_NEWER_SQL, "f2"))
+def q_upsert_only_newer(spark, d):
+    """A re-sent batch replaces a row only where it isn't older; every DER is in the target, the batch or both."""
+    d2 = tb.der2(spark, d)
+    fact = conform_facts({st: d2[ds.dataset] for st, ds in UTILITY2.der}, UTILITY2)
+    k = F.col("der_id").cast("bigint")
+    months = F.when(k % 2 == 0, F.add_months("batch_date", 1)).otherwise(F.add_months("batch_date", -1))
+    source = fact.where(k % 3 != 1).withColumns({"capacity_kw": F.col("capacity_kw") + 1, "batch_date": months})
+    return upsert(fact.where(k % 3 != 2), source, FACT_KEYS, only_newer=True)
+
+
 @register("scd2_history", """
     WITH h AS (
         SELECT o_custkey, o_orderpriority, o_orderdate, o_orderkey,
@@ -410,6 +443,12 @@ def q_expect_compose(spark, d):
     return check_report(circ2_with_nulls(spark, d), COMPOSE)
 
 
+@register("apply_checks", tb.with_views(f"WITH x AS ({CIRC2_NULLS}) SELECT * FROM x WHERE max_hosting_capacity > 1000", "circ2"))
+def q_apply_checks(spark, d):
+    """What is left after all checks were counted and settled in one go."""
+    return ntz(apply_checks(circ2_with_nulls(spark, d), COMPOSE, "circuits")[0])
+
+
 @register("expect_dim", tb.with_views(_report_sql("dim_all", list(DIM_CHECKS), _guards_sql(DIM_CHECKS)), "dim_all"))
 def q_expect_dim(spark, d):
     return check_report(dim_rows(spark, d), list(DIM_CHECKS))
@@ -475,6 +514,25 @@ def q_q_feeder_ders(spark, d):
     return ntz(q_feeder_ders(read_table(spark, path), FEEDER_X))
 
 
+@register("q_feeder_ders_of", tb.with_views(f"SELECT *, row_number() OVER (ORDER BY status, der_type, der_id) AS place FROM details "
+                                            f"WHERE feeder_id = '{FEEDER_X}' AND utility_id = 'utility1'", "details"))
+def q_q_feeder_ders_of(spark, d):
+    """The same lookup for one source; ``place`` is the row's place in the listing's order."""
+    path = scratch_path(spark, "feeder_der_details")
+    publish(feeder_details(fact_latest(spark, d), dim_latest(spark, d)), path, ("utility_id",), cluster_cols=DETAILS_CLUSTER,
+            materialise=True)
+    listed = q_feeder_ders(read_table(spark, path), FEEDER_X, "utility1")
+    order = Window.orderBy("status", "der_type", "der_id")     # one feeder's DERs
+    return ntz(listed.withColumn("place", F.row_number().over(order)))
+
+
+@register("clustered_details", tb.with_views("SELECT * FROM details", "details"))
+def q_clustered_details(spark, d):
+    path = scratch_path(spark, "clustered-details")
+    clustered_write(feeder_details(fact_latest(spark, d), dim_latest(spark, d)), path, "utility_id", DETAILS_CLUSTER, materialise=True)
+    return ntz(spark.read.parquet(path))
+
+
 @register("top_capacity", tb.with_views("""
     SELECT utility_id, feeder_id, max_hosting_capacity, voltage_kv, last_refresh_date FROM dim_latest
     WHERE max_hosting_capacity > 5 ORDER BY max_hosting_capacity DESC, utility_id, feeder_id LIMIT 20""", "dim_latest"))
@@ -546,46 +604,76 @@ def q_run_summary(spark, d):
     return run_summary(der1_runs(spark, d), 10)
 
 
-@register("null_key_triage", tb.with_views("""
-    SELECT utility_id, status, count(*) AS total_rows, count(*) FILTER (WHERE feeder_id IS NULL) AS null_key_rows,
-           round(avg(CAST(feeder_id IS NULL AS DOUBLE)), 6) AS null_key_rate,
-           CASE WHEN round(avg(CAST(feeder_id IS NULL AS DOUBLE)), 6) < 0.01 THEN 'tolerable'
-                WHEN round(avg(CAST(feeder_id IS NULL AS DOUBLE)), 6) > 0.05 THEN 'format_change'
+def der1_null_ids(spark, d) -> DataFrame:
+    """Raw DER rows of source 1 of which some lack the project id, more of them in some batches."""
+    rows = tb.der1_all(spark, d).withColumn("utility_id", F.lit("utility1"))
+    key = F.split("ProjectID", "-").getItem(0).cast("bigint")
+    lost = F.when(F.month("batch_date") % 4 == 0, key % 10 == 0).when(F.month("batch_date") % 4 == 1, key % 40 == 0).otherwise(key % 997 == 0)
+    return rows.withColumn("ProjectID", F.when(~lost, F.col("ProjectID")))
+
+
+NULL_IDS_SQL = """
+    SELECT *, CASE WHEN month(batch_date) % 4 = 0 THEN l_orderkey % 10 = 0 WHEN month(batch_date) % 4 = 1 THEN l_orderkey % 40 = 0
+                   ELSE l_orderkey % 997 = 0 END AS lost FROM der1"""
+
+
+@register("null_key_triage", tb.with_views(f"""
+    SELECT 'utility1' AS utility_id, batch_date, count(*) AS total_rows, count(*) FILTER (WHERE lost) AS null_key_rows,
+           round(avg(CAST(lost AS DOUBLE)), 6) AS null_key_rate,
+           CASE WHEN round(avg(CAST(lost AS DOUBLE)), 6) < 0.01 THEN 'tolerable'
+                WHEN round(avg(CAST(lost AS DOUBLE)), 6) > 0.05 THEN 'format_change'
                 ELSE 'investigate' END AS triage
-    FROM fact_all GROUP BY utility_id, status""", "fact_all"))
+    FROM ({NULL_IDS_SQL}) GROUP BY batch_date""", "der1"))
 def q_null_key_triage(spark, d):
-    return null_key_triage(fact_rows(spark, d), "feeder_id")
+    """Missing DER ids per raw batch."""
+    return null_key_triage(der1_null_ids(spark, d), "ProjectID", ("utility_id", "batch_date"))
 
 
-DRIFT_EXPECTED = {"ProjectID": "string", "ProjectCircuitID": "string", "NamePlateRating": "double",
-                  "Hybrid": "string", "SolarPV": "double", "EnergyStorageSystem": "double", "Wind": "double",
-                  "Other": "double"}
+@register("null_key_rows", tb.with_views(f"""
+    SELECT ref AS source_feeder_ref, capacity_kw, batch_date FROM ({NULL_IDS_SQL}) WHERE lost""", "der1"))
+def q_null_key_rows(spark, d):
+    """The raw rows without a DER id themselves."""
+    rows = null_key_rows(der1_null_ids(spark, d), "ProjectID")
+    return rows.select(F.col("ProjectCircuitID").alias("source_feeder_ref"), F.col("NamePlateRating").alias("capacity_kw"), "batch_date")
 
 
-def _drift_sql() -> str:
+def _drift_sql(dataset: str, rel: str, expected: dict[str, str], nulls: dict[str, str], fails: dict[str, str], absent: set[str]) -> str:
     rows = []
-    nulls = {"ProjectCircuitID": "ref IS NULL"}
-    fails = {"NamePlateRating": "l_orderkey % 10 = 0"}
-    for c, t in DRIFT_EXPECTED.items():
-        if c == "EnergyStorageSystem":
-            rows.append(f"SELECT batch_date, count(*) AS total_rows, '{c}' AS column_name, '{t}' AS expected_type, "
-                        f"false AS present, NULL::DOUBLE AS null_rate, NULL::DOUBLE AS cast_fail_rate FROM der1 GROUP BY batch_date")
-            continue
-        n = nulls.get(c, "false")
-        f = fails.get(c, "false")
-        rows.append(f"SELECT batch_date, count(*) AS total_rows, '{c}' AS column_name, '{t}' AS expected_type, "
-                    f"true AS present, round(count(*) FILTER (WHERE {n}) / count(*), 6) AS null_rate, "
-                    f"round(count(*) FILTER (WHERE {f}) / count(*), 6) AS cast_fail_rate FROM der1 GROUP BY batch_date")
+    for c, t in expected.items():
+        rates = ("false AS present, NULL::DOUBLE AS null_rate, NULL::DOUBLE AS cast_fail_rate" if c in absent else
+                 f"true AS present, round(count(*) FILTER (WHERE {nulls.get(c, 'false')}) / count(*), 6) AS null_rate, "
+                 f"round(count(*) FILTER (WHERE {fails.get(c, 'false')}) / count(*), 6) AS cast_fail_rate")
+        rows.append(f"SELECT '{dataset}' AS dataset, batch_date, count(*) AS total_rows, '{c}' AS column_name, '{t}' AS expected_type, "
+                    f"{rates} FROM {rel} GROUP BY batch_date")
     return "\nUNION ALL\n".join(rows)
 
 
-@register("schema_drift", tb.with_views(_drift_sql(), "der1"))
+DRIFT_DER = expected_columns(UTILITY1, "install_der")
+DRIFT_CIRCUITS = expected_columns(UTILITY2, "circuits")
+DRIFT_SQL = "\nUNION ALL\n".join([
+    _drift_sql("utility1_der", "der1", DRIFT_DER, {"ProjectCircuitID": "ref IS NULL"}, {"NamePlateRating": "l_orderkey % 10 = 0"},
+               set(DRIFT_DER) - {"ProjectID", "ProjectCircuitID", "NamePlateRating", "Hybrid", "SolarPV", "Wind", "Other"}),
+    _drift_sql("utility2_circuits", "circ2", DRIFT_CIRCUITS, {"feeder_voltage": "voltage IS NULL"}, {"hca_refresh_date": "c_custkey % 9 = 0"}, set()),
+])
+
+
+@register("schema_drift", tb.with_views(DRIFT_SQL, "der1", "circ2"))
 def q_schema_drift(spark, d):
+    """Both sources' mapped columns, taken from their specs, the date by the spec's own pattern."""
+    _utc(spark)
+
+    def text(df):
+        return df.select(*[F.col(c).cast("string").alias(c) if c != "batch_date" else F.col(c) for c in df.columns])
+
     li_key = F.split("ProjectID", "-").getItem(0).cast("bigint")
-    text = tb.der1_all(spark, d)
-    raw = text.select(*[F.col(c).cast("string") if c != "batch_date" else F.col(c) for c in text.columns]).withColumn(
+    der = text(tb.der1_all(spark, d)).withColumn(
         "NamePlateRating", F.when(li_key % 10 == 0, F.lit("n/a")).otherwise(F.col("NamePlateRating")))
-    return schema_drift(raw, DRIFT_EXPECTED, ["batch_date"])
+    key = F.regexp_extract("Master_CDF", r"C_(\d+)", 1).cast("bigint")
+    circuits = text(tb.circ2(spark, d)).withColumn(
+        "hca_refresh_date", F.when(key % 9 == 0, F.lit("2022-10")).otherwise(F.col("hca_refresh_date")))
+    frames = [schema_drift(der, DRIFT_DER, ["batch_date"], UTILITY1.ts_format).withColumn("dataset", F.lit("utility1_der")),
+              schema_drift(circuits, DRIFT_CIRCUITS, ["batch_date"], UTILITY2.ts_format).withColumn("dataset", F.lit("utility2_circuits"))]
+    return union_all(frames)
 
 
 # ------------------------------------------------------------------ raw layer
@@ -745,10 +833,62 @@ def q_pipe_conform(spark, d):
     return ntz(read_table(spark, layout.conformed_table("fact_der")))
 
 
-@register("rerun_idempotent", PIPE_FACT_SQL)
+# Columns of the serving tables that are compared as text.
+CHAIN_COLUMNS = {
+    "feeder_capacity": ("utility_id", "feeder_id", "last_refresh_date"),
+    "feeder_der_details": ("utility_id", "feeder_id", "der_id", "status", "der_type", "feeder_id_unresolved", "feeder_matched", "feeder_data_missing"),
+    "data_quality": ("utility_id", "dataset", "status", "total_rows", "null_feeder_id_count", "unresolved_feeder_id_count", "last_refresh_date"),
+}
+CHAIN_ALL = tuple(dict.fromkeys(c for cols in CHAIN_COLUMNS.values() for c in cols))
+
+
+def _chain_sql() -> str:
+    rels = {"feeder_capacity": "dim_latest", "feeder_der_details": "details",
+            "data_quality": f"({QUALITY_SQL})"}
+    parts = []
+    for name, rel in rels.items():
+        cols = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in CHAIN_COLUMNS[name] else f"NULL::VARCHAR AS {c}" for c in CHAIN_ALL)
+        parts.append(f"SELECT '{name}' AS table_name, {cols} FROM {rel}")
+    return "\nUNION ALL\n".join(parts)
+
+
+SERVE_SQL = tb.with_views(_chain_sql(), "dim_latest", "details", "fact_latest", redate=CHAIN_REDATE)
+
+
+def served(spark, layout: Layout) -> DataFrame:
+    """The three serving tables as one frame of texts (empty where a table lacks a column)."""
+    frames = []
+    for name, own in CHAIN_COLUMNS.items():
+        t = ntz(read_table(spark, layout.serving_table(name)))
+        frames.append(t.select(F.lit(name).alias("table_name"), *[
+            (F.col(c) if c in own else F.lit(None)).cast("string").alias(c) for c in CHAIN_ALL]))
+    return union_all(frames)
+
+
+@register("pipe_serve", SERVE_SQL)
+def q_pipe_serve(spark, d):
+    """The three serving tables as the pipeline publishes them."""
+    layout, _ = run_chain(spark, d)
+    return served(spark, layout)
+
+
+RERUN_SQL = tb.with_views(f"""
+    SELECT * FROM ({_chain_sql()})
+    UNION ALL BY NAME SELECT 'fact_der' AS table_name, utility_id, feeder_id, der_id, status, der_type FROM fact_latest
+    UNION ALL BY NAME SELECT 'raw_utility1_der' AS table_name, der_id, NULL::VARCHAR AS status FROM der1
+    UNION ALL BY NAME SELECT 'raw_utility2_circuits' AS table_name, feeder_id FROM circ2""",
+    "dim_latest", "details", "fact_latest", "der1", "circ2", redate=CHAIN_REDATE)
+
+
+@register("rerun_idempotent", RERUN_SQL)
 def q_rerun_idempotent(spark, d):
+    """The same drop twice: raw rows aren't doubled, conformed and serving tables stay as they are."""
     layout, _ = run_chain(spark, d, times=2)
-    return ntz(read_table(spark, layout.conformed_table("fact_der")))
+    raw1 = [spark.read.parquet(layout.raw_table("utility1", ds)).select(F.lit("raw_utility1_der").alias("table_name"), F.col("ProjectID").alias("der_id"))
+            for ds in ("install_der", "planned_der")]
+    raw2 = spark.read.parquet(layout.raw_table("utility2", "circuits")).select(F.lit("raw_utility2_circuits").alias("table_name"), F.col("Master_CDF").alias("feeder_id"))
+    fact = read_table(spark, layout.conformed_table("fact_der")).select(F.lit("fact_der").alias("table_name"), "utility_id", "feeder_id", "der_id", "status", "der_type")
+    return union_all([served(spark, layout), fact, *raw1, raw2])
 
 
 @register("pipe_raw", tb.with_views("""

@@ -7,6 +7,7 @@ The benchmark tables have no utilities, so each source is mapped onto them:
 * ``utility2`` circuits (feeder rows)   ← customer
 * ``utility2`` DERs (direct feeder id)  ← orders: status F installed, all others planned
 * ``utility3`` circuits (third source)  ← supplier
+* ``utility3`` DERs                     ← part, each on the supplier with its key modulo 10
 
 Spark frames carry the *source* column names (numbers typed, as a Parquet drop would have
 them; the CSV jobs write them out as text), so the shipped ``SourceSpec``s apply unchanged. ``SQL_VIEWS`` holds the same derivations as
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.spec import SourceSpec
+from conform.spec import DerDataset, SourceSpec
 
 # Fixed values of the derivation (shared with SQL_VIEWS below).
 SOURCE2_BATCH = "2022-10-01"
@@ -28,6 +29,7 @@ UTILITY3 = SourceSpec(
     feeder_id="feeder_code",
     max_hc="hosting_capacity",
     voltage="nominal_kv",
+    der=(("installed", DerDataset("install_der", der_id="site_no", nameplate="rated_kw", feeder_id="feeder", der_type="kind")),),
 )
 
 
@@ -133,6 +135,17 @@ def circ3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def der3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return p.select(
+        F.col("p_partkey").alias("site_no"),
+        F.col("p_retailprice").alias("rated_kw"),
+        F.when(F.col("p_size") % 5 != 0, F.concat(F.lit("S_"), _s(F.col("p_partkey") % 10))).alias("feeder"),
+        F.col("p_brand").alias("kind"),
+        F.lit(SOURCE2_BATCH).cast("date").alias("batch_date"),
+    )
+
+
 def raw_sources(spark: SparkSession, sf_dir: str, third: bool = False) -> dict[tuple[str, str], DataFrame]:
     d1, d2 = der1(spark, sf_dir), der2(spark, sf_dir)
     out = {
@@ -145,6 +158,7 @@ def raw_sources(spark: SparkSession, sf_dir: str, third: bool = False) -> dict[t
     }
     if third:
         out[("utility3", "circuits")] = circ3(spark, sf_dir)
+        out[("utility3", "install_der")] = der3(spark, sf_dir)
     return out
 
 
@@ -189,6 +203,13 @@ SQL_VIEWS = {
         SELECT 'S_' || CAST(s_suppkey AS VARCHAR) AS feeder_id, s_acctbal AS max_hc,
                CAST(s_nationkey AS DOUBLE) AS voltage, DATE '{SOURCE2_BATCH}' AS batch_date
         FROM supplier""",
+    "f3": f"""
+        SELECT 'utility3' AS utility_id, CAST(p_partkey AS VARCHAR) AS der_id, p_brand AS der_type, p_retailprice AS capacity_kw,
+               'installed' AS status, CASE WHEN p_size % 5 <> 0 THEN 'S_' || CAST(p_partkey % 10 AS VARCHAR) END AS feeder_id,
+               NOT p_size % 5 <> 0 AS feeder_id_unresolved,
+               CASE WHEN p_size % 5 <> 0 THEN 'S_' || CAST(p_partkey % 10 AS VARCHAR) END AS source_feeder_ref,
+               DATE '{SOURCE2_BATCH}' AS batch_date
+        FROM part""",
     # conform layer
     "der1_typed": """
         SELECT *, CASE WHEN hybrid = 'Y' OR (CAST(solar > 0 AS INT) + CAST(wind > 0 AS INT) + CAST(other > 0 AS INT)) > 1
