@@ -25,8 +25,6 @@ FACT_COLUMNS = (
     ("source_feeder_ref", "string"),   # id as the source sent it (after NULL tokens); lineage for triage
 )
 
-BRIDGE_COLUMNS = (("circuit_id", "string"), ("feeder_id", "string"))
-
 
 def enforce(df: DataFrame, columns, extra: tuple[str, ...] = ("batch_date",)) -> DataFrame:
     """Select the declared columns in order, cast to their types; missing → typed NULL.

@@ -1,4 +1,4 @@
-"""Edge inputs the reference's own fixtures lack."""
+"""Edge inputs."""
 
 from __future__ import annotations
 

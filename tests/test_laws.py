@@ -90,17 +90,44 @@ def test_scd2_history_and_apply(spark):
                     (2, "c", "2026-02-01", "None", True), (3, "d", "2026-02-01", "None", True)]
 
 
-def test_upsert_broadcasts_only_a_bounded_batch(spark):
+def test_upsert_never_forces_a_broadcast(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         t = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
         s = spark.range(990, 1010).select(F.col("id").cast("string").alias("k"), (F.col("id") * 10).alias("v"))
-        small = upsert(t, s, ["k"], source_rows=20)
-        big = upsert(t, s, ["k"], source_rows=10**9)
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in big._jdf.queryExecution().executedPlan().toString()
-        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
-        assert small.count() == 1010
+        got = upsert(t, s, ["k"])
+        assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == 1010 and got.agg(F.sum("v")).first()[0] == sum(range(990)) + sum(10 * i for i in range(990, 1010))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_one_lookup_and_one_join_per_source(spark):
+    """Circuits are read once, nothing is joined in full, and both statuses share one lookup join."""
+    plan = r.u1_fact_rows(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan and plan.count("Join") == 1
+    assert plan.count("Scan parquet") == 3                      # circuits and the two DER datasets
+
+
+def test_der_ids_stay_exact(spark):
+    from conform.operators.conform import conform_facts
+
+    raw = spark.createDataFrame([("7.5",), ("7",), ("007",), ("12E3",), ("12000",), ("null",)], "ProjectID string").selectExpr(
+        "ProjectID", "'1' AS ProjectCircuitID", "'5' AS NamePlateRating")
+    ids = [x.der_id for x in conform_facts({"installed": raw}, UTILITY1).collect()]
+    assert ids == ["7.5", "7", "007", "12E3", "12000", None]
+
+
+def test_scd2_apply_rejects_an_older_batch(spark):
+    from datetime import date
+
+    import pytest
+
+    cur = scd2_apply(None, spark.createDataFrame([(1, "a"), (2, "b")], "k int, s string"), ["k"], ["s"], date(2026, 3, 1))
+    with pytest.raises(Exception, match="older than a live version"):
+        scd2_apply(cur, spark.createDataFrame([(1, "x")], "k int, s string"), ["k"], ["s"], date(2026, 2, 1)).collect()
+    same = scd2_apply(cur, spark.createDataFrame([(1, "a")], "k int, s string"), ["k"], ["s"], date(2026, 2, 1))
+    assert same.count() == 2                                    # nothing to close: nothing wrong
+    plan = same._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1

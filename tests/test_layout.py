@@ -33,7 +33,7 @@ def test_clustered_files_do_not_overlap(spark, tmp_path):
 
 def test_capacity_filter_pushed_to_scan(spark, tmp_path):
     path = str(tmp_path / "cap2")
-    publish(r.dim_latest(spark, SF_SMALL), path, ("utility_id",), cluster_col="max_hosting_capacity")
+    publish(r.dim_latest(spark, SF_SMALL), path, ("utility_id",), cluster_cols="max_hosting_capacity")
     q = q_capacity_over(read_table(spark, path), 5000).select("feeder_id")
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(max_hosting_capacity), GreaterThan(max_hosting_capacity,5000.0)]" in plan
@@ -43,7 +43,7 @@ def test_capacity_filter_pushed_to_scan(spark, tmp_path):
 def test_feeder_lookup_prunes_partition(spark, tmp_path):
     path = str(tmp_path / "det")
     details = r.fact_latest(spark, SF_SMALL)
-    publish(details, path, ("utility_id",), cluster_col="feeder_id")
+    publish(details, path, ("utility_id",), cluster_cols="feeder_id")
     q = q_feeder_ders(read_table(spark, path), "7", "utility1")
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(utility_id" in plan and "EqualTo(feeder_id,7)" in plan

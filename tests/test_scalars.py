@@ -25,11 +25,11 @@ def _label(spark, rows, with_flag=True):
 
 
 @pytest.mark.parametrize("row,expected", [
-    (("N", "100", "0", "0", "0"), "Solar"),             # one type
-    (("Y", "50", "0", "0", "0"), "Hybrid"),             # flag
-    (("N", "50", "0", "30", "0"), "Hybrid"),            # several
-    (("N", "0", "0", "0", "0"), "Unknown"),             # none
-    (("N", "NULL", "", "100", None), "Wind"),           # garbage text and empty
+    (("N", "0", "0", "8.25", "0"), "Wind"),             # one type
+    (("Y", "0", "0", "0", "3"), "Hybrid"),              # flag
+    (("N", "1", "2", "0", "4"), "Hybrid"),              # several
+    (("N", "0.0", "0", None, "0"), "Unknown"),          # none
+    (("N", "n/a", "6", "", "-"), "Energy Storage"),     # garbage text and empty
     (("y", "10", "0", "0", "0"), "Hybrid"),             # lower-case flag
     ((None, "0", "0", "0", "7"), "Other"),              # NULL flag
     (("N", "-5", "0", "0", "0"), "Unknown"),            # negative does not count

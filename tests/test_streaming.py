@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import date
 
+import pytest
+
 from conform.context import RunContext
 from conform.streaming import stream_ingest
 
@@ -21,7 +23,7 @@ def test_stream_ingest_exactly_once(spark, tmp_path):
     assert stream_ingest(spark, str(land), COLS, "utility2", table, ckpt, ctx)["micro_batches"] == 1
     assert spark.read.parquet(table).count() == 2
     assert stream_ingest(spark, str(land), COLS, "utility2", table, ckpt, ctx)["micro_batches"] == 0
-    write_drop(land, {"b.csv": U2_CIRCUITS.replace("36_13_8175", "36_13_9175")})
+    write_drop(land, {"b.csv": U2_CIRCUITS.replace("F_", "G_")})
     stream_ingest(spark, str(land), COLS, "utility2", table, ckpt, ctx)
     df = spark.read.parquet(table)
     assert df.count() == 4 and df.select("Master_CDF").distinct().count() == 4
@@ -36,3 +38,25 @@ def test_stream_columns_from_header(spark, tmp_path):
     stream_ingest(spark, str(land), None, "utility2", str(tmp_path / "raw2"), str(tmp_path / "ckpt2"), ctx)
     df = spark.read.parquet(str(tmp_path / "raw2"))
     assert "Master_CDF" in df.columns and df.count() == 2
+
+
+def test_header_order_is_respected_and_missing_columns_stop(spark, tmp_path):
+    land = tmp_path / "land3"
+    write_drop(land, {"a.csv": "id,cap\n1,10\n", "b.csv": "\ufeffcap,id\n20,2\n", "c.csv": ""})
+    ctx = RunContext("run-s", date(2026, 4, 1))
+    table = str(tmp_path / "raw3")
+    assert stream_ingest(spark, str(land), ["id", "cap"], "u", table, str(tmp_path / "ck3"), ctx)["micro_batches"] == 1
+    assert sorted((r.id, r["cap"]) for r in spark.read.parquet(table).collect()) == [("1", "10"), ("2", "20")]
+    write_drop(land, {"d.csv": "id,other\n3,30\n"})
+    with pytest.raises(Exception, match="lacks the columns"):
+        stream_ingest(spark, str(land), ["id", "cap"], "u", table, str(tmp_path / "ck3"), ctx)
+
+
+def test_new_checkpoint_keeps_what_an_earlier_stream_wrote(spark, tmp_path):
+    ctx = RunContext("run-s", date(2026, 4, 1))
+    table = str(tmp_path / "raw4")
+    for i in range(2):
+        land = tmp_path / f"land4-{i}"
+        write_drop(land, {"a.csv": f"id\nx{i}\n"})
+        stream_ingest(spark, str(land), None, "u", table, str(tmp_path / f"ck4-{i}"), ctx)
+    assert sorted(r.id for r in spark.read.parquet(table).collect()) == ["x0", "x1"]

@@ -5,11 +5,24 @@ from __future__ import annotations
 import os
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from conform.context import RunContext
 from conform.plans.jobs import pipe_conform, pipe_raw
-from conform.sources.tables import partition_replace, publish, read_table, snapshot_versions, write_observed
+from conform.operators.merge import upsert
+from conform.session import scratch_root
+from conform.sources.csv import csv_scan
+from conform.sources.tables import (
+    batch_scan,
+    clustered_write,
+    load_batch,
+    partition_replace,
+    publish,
+    read_table,
+    snapshot_versions,
+    write_observed,
+)
 from conform.spec import DerDataset, SourceSpec, UTILITY1, UTILITY2
 
 from conftest import DROP, write_drop
@@ -87,5 +100,101 @@ def test_third_source_by_spec_only(spark, tmp_path, layout):
 
 def test_clustered_publish_counts_rows_once(spark, tmp_path):
     df = spark.range(5000).select((F.col("id") % 7).cast("string").alias("u"), F.rand(1).alias("c"))
-    assert publish(df, str(tmp_path / "a"), ("u",), cluster_col="c")["rows"] == 5000
-    assert publish(df, str(tmp_path / "b"), ("u",), cluster_col="c", materialise=True)["rows"] == 5000
+    assert publish(df, str(tmp_path / "a"), ("u",), cluster_cols="c")["rows"] == 5000
+    assert publish(df, str(tmp_path / "b"), ("u",), cluster_cols="c", materialise=True)["rows"] == 5000
+
+
+def test_versions_without_marker_are_an_error_not_an_empty_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert read_table(spark, path) is None                 # nothing was ever written
+    publish(spark.range(3), path)
+    os.remove(os.path.join(path, snapshot_versions(spark, path)[0], "_COMPLETE"))
+    with pytest.raises(RuntimeError, match="no complete version"):
+        upsert(read_table(spark, path), spark.range(1), ["id"])
+
+
+def test_old_versions_are_removed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(5):
+        publish(spark.range(i), path, keep=2)
+    assert len(snapshot_versions(spark, path)) == 2 and read_table(spark, path).count() == 4
+
+
+def test_scan_limits_on_absent_columns_are_errors(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    for limit in ({"batch_date": "2026-01-01"}, {"run_id": "r"}, {"source_id": "u"}):
+        with pytest.raises(ValueError, match="no column"):
+            batch_scan(spark, path, **limit)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf(dict):
+        def get(self, k, d=None):
+            return dict.get(self, k, d)
+
+    class Cluster:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+        class sparkContext:  # noqa: N801
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Cluster())
+
+
+def test_loads_replace_a_batch_whole(spark, tmp_path):
+    path, day = str(tmp_path / "raw"), date(2026, 4, 1)
+
+    def rows(*ids, d=day):
+        return spark.createDataFrame([(i,) for i in ids], "id long").select("id", F.lit("u").alias("utility_id"), F.lit(d).alias("batch_date"))
+
+    def there():
+        return sorted(r.id for r in spark.read.parquet(path).collect())
+
+    load_batch(rows(1, 2), path, "u", day, "run-1")
+    load_batch(rows(9, d=date(2026, 5, 1)), path, "u", date(2026, 5, 1), "run-1")
+    load_batch(rows(3), path, "u", day, "stream-x-0", replace=False)
+    assert there() == [1, 2, 3, 9]
+    load_batch(rows(4), path, "u", day, "run-2")                 # a re-send: every load of the batch goes
+    assert there() == [4, 9]
+    load_batch(rows(4, 5), path, "u", day, "run-2")              # the same run again
+    assert there() == [4, 5, 9]
+    load_batch(rows(1).where("id > 1"), path, "u", day, "run-3")  # an empty re-send clears the batch
+    assert there() == [9]
+
+
+def test_partition_writes_have_few_files(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    df = spark.range(0, 16000, 1, 32).select("id", (F.col("id") % 80).alias("batch_date"))
+    partition_replace(df, path, ["batch_date"])
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert spark.read.parquet(path).count() == 16000 and len(files) <= 160
+
+
+def test_no_hot_range_in_a_clustered_write(spark, tmp_path):
+    """45 % of the rows have no feeder, a fifth share one: ranges stay even and still are ranges of the feeder."""
+    df = spark.range(20000).select(
+        F.lit("u").alias("utility_id"), F.col("id").cast("string").alias("der_id"), F.lit("installed").alias("status"),
+        F.when(F.col("id") % 20 < 9, None).when(F.col("id") % 5 == 0, "HOT").otherwise(F.concat(F.lit("F"), F.col("id") % 700)).alias("feeder_id"))
+    path = str(tmp_path / "details")
+    clustered_write(df, path, "utility_id", ("feeder_id", "der_id", "status"), n=16)
+    back = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("f"), "feeder_id")
+    files = back.groupBy("f").agg(F.count("*").alias("n"), F.min("feeder_id").alias("a"), F.max("feeder_id").alias("b")).collect()
+    assert max(r.n for r in files) <= 2 * 20000 / len(files) and len(files) >= 12
+    ranges = sorted((r.a, r.b) for r in files if r.a)
+    assert all(x[1] <= y[0] for x, y in zip(ranges, ranges[1:]))
+
+
+def test_csv_files_are_read_by_their_own_headers(spark, tmp_path):
+    write_drop(tmp_path / "d", {"a.csv": "id,cap\n1,10\n", "b.csv": "\ufeff cap ,id\n20,2\n", "c.csv": "id,cap,more\n3,30,x\n", "e.csv": ""})
+    got = csv_scan(spark, str(tmp_path / "d"), source_id="u")
+    assert sorted((r.id, r["cap"], r.more, r.source_file[-5:]) for r in got.collect()) == [
+        ("1", "10", None, "a.csv"), ("2", "20", None, "b.csv"), ("3", "30", "x", "c.csv")]
+    assert csv_scan(spark, str(tmp_path / "d"), columns=["cap", "id"]).columns == ["cap", "id"]
+    with pytest.raises(ValueError, match="lacks the columns"):
+        csv_scan(spark, str(tmp_path / "d"), columns=["more"])
+    with pytest.raises(Exception):
+        csv_scan(spark, str(tmp_path / "nothing"))
