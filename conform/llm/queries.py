@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conform.llm.common import table
 from conform.llm.decontaminate import contaminated
-from conform.llm.license_scan import scan_licenses
+from conform.llm.license_scan import PHRASES, TEMPLATES, scan_licenses
 from conform.llm.mixing import mix
 from conform.llm.quality import classify
 from conform.llm.sharding import place
@@ -205,6 +205,64 @@ def op6_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def _license_sql() -> str:
+    """The scan as joins of word positions: a start is a position less the word's place in a phrase or template."""
+    def rows(items) -> str:
+        return ", ".join("(" + ", ".join(repr(x) for x in r) + ")" for r in items)
+
+    phrases = [(k, p, w) for k, (text, _) in enumerate(PHRASES) for p, w in enumerate(text.split())]
+    templates = [(k, p, w) for k, (_, text, _) in enumerate(TEMPLATES) for p, w in enumerate(text.split())]
+    keys = []
+    for k, (_, text, parts) in enumerate(TEMPLATES):
+        words = text.split()
+        for part in (x.split() for x in parts):
+            at = next(i for i in range(len(words)) if words[i:i + len(part)] == part)
+            keys += [(k, at + i, w) for i, w in enumerate(part)]
+    return rf"""
+with docs as (
+  select row_number() over () as r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+  from documents),
+phrase_words(k, p, w) as (values {rows(phrases)}), template_words(k, p, w) as (values {rows(templates)}), key_words(k, p, w) as (values {rows(sorted(set(keys)))}),
+phrase_labels(k, label) as (values {rows((k, x[1]) for k, x in enumerate(PHRASES))}), template_labels(k, label) as (values {rows((k, x[0]) for k, x in enumerate(TEMPLATES))}),
+vocab as (select w from phrase_words union select w from template_words),
+posts as (select * from (select r, unnest(ws) as w, unnest(range(len(ws))) as i from docs) where w in (select w from vocab)),
+df as (select v.w, count(distinct r) as n from vocab v left join posts using (w) group by 1),
+idf as (select w, n, ln(((select count(*) from docs) + 1) / (n + 1)) + 1e-9 as idf from df),
+base as (
+  select r, k, s from (select r, k, i - p as s from posts join phrase_words using (w)) join (select k, count(*) as c from phrase_words group by 1) using (k)
+  group by r, k, s having count(*) = any_value(c)),
+once as (select k, w, min(p) as p from template_words group by 1, 2 having count(*) = 1),
+need as (select k, least(3, count(*)) as c from once group by 1),
+rare as (
+  select * from (select r, k, w, p, row_number() over (partition by r, k order by n, w) as place
+    from (select distinct r, w from posts) join once using (w) join idf using (w)) join need using (k) where place <= c),
+agreed as (select r, k, s from (select r, k, c, i - p as s from rare join posts using (r, w)) group by r, k, s having count(*) = any_value(c)),
+verified as (
+  select a.r, a.k, a.s from agreed a join key_words y on y.k = a.k join (select k, count(*) as c from key_words group by 1) z on z.k = a.k
+  join posts q on q.r = a.r and q.w = y.w and q.i = a.s + y.p group by a.r, a.k, a.s having count(*) = any_value(z.c)),
+first_at as (select r, k, min(s) as s from verified group by 1, 2),
+total as (select k, sum(idf) as total from template_words join idf using (w) group by 1),
+shares as (
+  select f.r, f.k, sum(d.idf) / any_value(t.total) as share from first_at f join template_words y using (k) join idf d using (w)
+  join posts q on q.r = f.r and q.w = y.w and q.i = f.s + y.p join total t on t.k = f.k group by 1, 2),
+base_of as (
+  select r, count(*) as n, min(s) as a, max(s) as b, string_agg(distinct label, ',' order by label) as labels from base join phrase_labels using (k) group by 1),
+all_of as (
+  select r, string_agg(distinct label, ',' order by label) as labels from (
+    select r, label from base join phrase_labels using (k) union all select r, label from verified join template_labels using (k)) group by 1),
+best as (select r, max(share) as best from shares group by 1)
+select doc_id, len(ws)::bigint as n_words, coalesce(b.n, 0)::bigint as n_base, b.a::bigint as first_word, b.b::bigint as last_word,
+  coalesce(b.labels, '') as base_labels, coalesce(x.labels, '') as labels,
+  case when b.n > 0 then 1.0 else round(least(coalesce(m.best, 0.0), 1.0), 6) end::double as score
+from docs d left join base_of b using (r) left join all_of x using (r) left join best m using (r)
+"""
+
+
+ORACLE["op6_license_index"] = _license_sql()
+
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
