@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 
 # Odd multipliers of the polynomials over bytes and over words.
 BYTE_BASE = 0x9E3779B97F4A7C15
