@@ -44,3 +44,21 @@ def join_decisions(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     d = decisions.withColumnsRenamed({"doc_id": "__d_id", "__h": "__d_h"})
     both = docs.join(d, (docs["__h"] == d["__d_h"]) & docs["doc_id"].eqNullSafe(d["__d_id"]), "inner")
     return both.drop("__d_id", "__d_h").dropDuplicates(["doc_id", "__h"])
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, count: str, by: list[str]) -> DataFrame:
+    """``left`` (inner) joined to ``right``, which has one row a key and in ``count`` the key's rows in ``left``.
+
+    A key with more than its even share of the rows is split: its left rows get a salt from the columns ``by``, its right row
+    is repeated for each salt. Such keys are fewer than the shuffle partitions by the choice of the share, so
+    their list has a proven bound and is broadcast. ``key`` comes out once, ``count`` not at all.
+    """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = right.agg(F.sum(count)).first()[0] or 0
+    share = max(1, total // parts)
+    pieces = F.ceil(F.col(count) / share).cast("int")
+    hot = right.where(F.col(count) > share).select(F.col(key).alias("__key"), pieces.alias("__pieces"))
+    salted = left.join(F.broadcast(hot), left[key] == hot["__key"], "left").drop("__key")
+    salted = salted.withColumn("__salt", F.coalesce(F.pmod(F.xxhash64(*by), F.col("__pieces")), F.lit(0)).cast("int")).drop("__pieces")
+    repeated = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.when(F.col(count) > share, pieces - 1).otherwise(F.lit(0))))).drop(count)
+    return salted.join(repeated, [key, "__salt"]).drop("__salt")

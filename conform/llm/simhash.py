@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conform.llm import tokens
-from conform.llm.common import staged
+from conform.llm.common import spread_join, staged
 from conform.llm.components import connected_components
 
 SEED = 42  # fixed: the shingle hash's seed
@@ -253,8 +253,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 2, carry: tuple
     linked = linked.join(least, linked["root"] == least["r"]).select("node", "root", "component")
     named = distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
         "fp", "n", F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
-    named = named.withColumnRenamed("fp", "node").drop("n")
-    return fps.join(named, fps["fp"] == named["node"]).select("doc_id", *carry, "fp", "component_id", "root")
+    return spread_join(fps, named, "fp", "n", ["doc_id", *carry]).select("doc_id", *carry, "fp", "component_id", "root")
 
 
 def as_hex(fp: Column) -> Column:
