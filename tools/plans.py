@@ -28,10 +28,10 @@ def facts(plan: str) -> dict:
 
 def main():
     sf_dir = sys.argv[1]
-    import __spark_entry__ as e
+    from conform.plans.registry import QUERIES
     from conform.session import local_session
     spark = local_session(8, 8)
-    q = e.queries()
+    q = QUERIES
     print("# Physical plans of the registered jobs\n")
     print(f"Generated by `python tools/plans.py {sf_dir}` (initial adaptive plan, before runtime re-planning).")
     print("Columns: file scans; widest scan (columns read); scans with pushed filters; shuffles; broadcast and")
