@@ -13,11 +13,11 @@ PAGE = 1 << 15  # positions of one bitmap row
 def build(spark: SparkSession, hashes: DataFrame, column: str, least_bits: int = 20, most_bits: int = 27) -> tuple[Broadcast, int]:
     """(broadcast bytes, log2 of the number of positions) over the hashes of ``column``.
 
-    About 32 positions a hash, but 2^most_bits (16 MB) at the most: beyond that it lets more rows through, never
-    fewer, so it may only be used ahead of an exact join. Bitmaps are aggregated by page on the executors.
+    About 256 positions a hash, so that one in 16,000 other hashes gets through, but 2^most_bits (16 MB) at the most:
+    beyond that it lets more rows through, never fewer, so it may only be used ahead of an exact join. Bitmaps are aggregated by page on the executors.
     """
     n = hashes.count()
-    bits = int(min(max(np.ceil(np.log2(32 * max(n, 1))), least_bits), most_bits))
+    bits = int(min(max(np.ceil(np.log2(256 * max(n, 1))), least_bits), most_bits))
     at = F.explode(F.array(F.shiftrightunsigned(F.col(column), 64 - bits), F.col(column).bitwiseAND((1 << bits) - 1)))
     pages = (hashes.select(at.alias("at")).groupBy(F.shiftright("at", 15).alias("page"))
              .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(PAGE - 1)).alias("map")))
