@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from conform.llm.common import staged
 
 MAX_NORM2 = 2.0 ** 62  # scores of longer vectors wouldn't fit a long
-ROUND = 256            # candidates evaluated between two looks at the bound
+ROUND = 256            # candidates evaluated before the first look at the bound; twice as many before each next one
 
 
 def quantised(vectors: DataFrame, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -94,10 +94,14 @@ class Best:
         exact = (x ** 2).sum(axis=1)
         big = max(exact.max(initial=0), (self.x ** 2).sum(axis=1).max(initial=0)) >= 2.0 ** 52
         dot = x.astype(np.int64) if big else x
+        by_pivot = np.ascontiguousarray(d.T)
+        one, gap = np.empty(len(ids)), np.empty(len(ids))
         for i, q in enumerate(self.ids):
-            gap = np.zeros(len(ids))
-            for p in range(d.shape[1]):
-                np.maximum(gap, np.abs(d[:, p] - self.d[i, p]), out=gap)
+            gap.fill(0)
+            for p, column in enumerate(by_pivot):
+                np.subtract(column, self.d[i, p], out=one)
+                np.abs(one, out=one)
+                np.maximum(gap, one, out=gap)
             q2 = self.d[i, 0] ** 2
             # distances are rounded; the slack keeps the bound an upper one
             bound = (q2 + norms - gap * gap) / 2 + 1e-6 * (q2 + norms) + 1e-6
@@ -107,20 +111,25 @@ class Best:
     def _search(self, i: int, ids: np.ndarray, dot: np.ndarray, bound: np.ndarray) -> None:
         q = self.x[i].astype(dot.dtype)
         left = np.flatnonzero(bound > -np.inf)
+        batch = ROUND // 2
         while len(left):
+            batch *= 2
             top = self.top[i]
             if len(top) == self.k:
                 left = left[bound[left] >= top[-1][0]]        # the exact stop: nothing below can enter
                 if not len(left):
                     return
-            if len(left) > ROUND:
-                order = np.argpartition(-bound[left], ROUND)
-                now, left = left[order[:ROUND]], left[order[ROUND:]]
+            if len(left) > batch:
+                order = np.argpartition(-bound[left], batch)
+                now, left = left[order[:batch]], left[order[batch:]]
             else:
                 now, left = left, left[:0]
             scores = dot[now] @ q
             self.evaluated += len(now)
-            few = np.lexsort((ids[now], -scores))[:self.k]
+            few = np.arange(len(now))
+            if len(now) > 4 * self.k:                            # those at least as good as the k-th best of the batch
+                few = np.flatnonzero(scores >= np.partition(scores, -self.k)[-self.k])
+            few = few[np.lexsort((ids[now[few]], -scores[few]))[:self.k]]
             self.top[i] = sorted([*top, *((int(scores[j]), int(ids[now[j]])) for j in few)], key=lambda t: (-t[0], t[1]))[:self.k]
 
     def rows(self) -> Iterator[tuple[int, int, int]]:
