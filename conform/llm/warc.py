@@ -85,9 +85,11 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
     """
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("payload"))
     p = p.withColumn("sha", F.sha1(F.col("payload").cast("binary"))).withColumn("size", F.octet_length("payload").cast("long"))
+    digests = staged(pages.sparkSession, p.select("page_id", "sha", "size"), "warc-digests")
     # one narrow row for each payload that occurs more than once
-    shared = (p.where(F.col("size") >= least_bytes).groupBy("sha").agg(F.max("page_id").alias("response"), F.count("*").alias("n"))
+    shared = (digests.where(F.col("size") >= least_bytes).groupBy("sha").agg(F.max("page_id").alias("response"), F.count("*").alias("n"))
               .where("n > 1").select(F.col("sha").alias("s"), "response"))
+    total = digests.agg(F.sum("size")).first()[0] or 0
     p = p.join(shared, p["sha"] == shared["s"], "left").withColumn(
         "response", F.when(~F.col("response").eqNullSafe(F.col("page_id")), F.col("response")))
 
@@ -104,7 +106,9 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
                 records.append(record)
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(records, pa.string())], names=["archive", "value"])
 
-    records = p.select("page_id", "url", "payload", "sha", "size", "response").mapInArrow(build, "archive int, value string")
+    # about a task an archive: many shuffle partitions don't turn into as many small files
+    p = p.select("page_id", "url", "payload", "sha", "size", "response").coalesce(max(1, -(-total // archive_bytes)))
+    records = p.mapInArrow(build, "archive int, value string")
     records.write.partitionBy("archive").option("lineSep", RECORD_END).option("compression", "gzip").text(path)
 
 
