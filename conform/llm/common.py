@@ -10,13 +10,23 @@ from conform.session import scratch_path
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back.
+FILE_ROWS = 500_000  # narrow rows in a file
+TEXT_ROWS = 10_000   # documents in a file
+
+
+def gathered(df: DataFrame, rows: int, per_file: int = FILE_ROWS) -> DataFrame:
+    """``df`` of at most ``rows`` rows in no more partitions than that needs: few rows in many shuffle partitions would be
+    written as many tiny files. Never more partitions than before, so nothing changes where there are many rows."""
+    return df.coalesce(max(1, -(-rows // per_file)))
+
+
+def staged(spark: SparkSession, df: DataFrame, name: str, rows: int | None = None, per_file: int = FILE_ROWS) -> DataFrame:
+    """Write ``df`` (of at most ``rows`` rows, if that is known) to the shared scratch folder and read it back.
 
     Cuts the lineage: an executor lost later only costs the tasks that read the stored rows again.
     """
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df if rows is None else gathered(df, rows, per_file)).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -43,7 +53,7 @@ def join_decisions(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """
     d = decisions.withColumnsRenamed({"doc_id": "__d_id", "__h": "__d_h"})
     both = docs.join(d, (docs["__h"] == d["__d_h"]) & docs["doc_id"].eqNullSafe(d["__d_id"]), "inner")
-    return both.drop("__d_id", "__d_h").dropDuplicates(["doc_id", "__h"])
+    return gathered(both.drop("__d_id", "__d_h").dropDuplicates(["doc_id", "__h"]), docs.count(), TEXT_ROWS)
 
 
 def spread_join(left: DataFrame, right: DataFrame, key: str, count: str, by: list[str]) -> DataFrame:

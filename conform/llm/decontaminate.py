@@ -114,7 +114,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     may be empty. Other columns are not read.
     """
     spark = docs.sparkSession
-    items = staged(spark, benchmark_items(benchmark), "decon-items")
+    items = staged(spark, benchmark_items(benchmark), "decon-items", benchmark.count())
     seeds = items.select("item", F.explode("seeds").alias("s")).select("item", F.col("s.h").alias("h"), F.col("s.at").alias("at"))
     longest = items.agg(F.max("n")).first()[0] or 0
     short = [n for (n,) in items.where(F.col("n") < len(MASKS[0])).select("n").distinct().collect()]  # at most 4 values

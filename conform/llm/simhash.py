@@ -26,10 +26,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conform.llm import tokens
-from conform.llm.common import spread_join, staged
+from conform.llm.common import gathered, spread_join, staged
 from conform.llm.components import connected_components
 
 SEED = 42  # fixed: the shingle hash's seed
+RESULT_ROWS = 50_000  # rows of the result in a task
 LANES = np.uint64(0x0101010101010101)
 
 
@@ -245,15 +246,17 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 2, carry: tuple
     """
     spark = docs.sparkSession
     fps = staged(spark, fingerprints(docs, width, carry), "simhash-fp")
-    distinct = staged(spark, fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-distinct")
+    rows = fps.count()
+    distinct = staged(spark, fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-distinct", rows)
     edges = near_links(spark, distinct, bits)
-    roots = connected_components(spark, edges)
+    roots = connected_components(spark, edges, rows)
     linked = distinct.join(roots, distinct["fp"] == roots["node"]).select("node", "root", "least")
     least = linked.groupBy("root").agg(F.min("least").alias("component")).withColumnRenamed("root", "r")
     linked = linked.join(least, linked["root"] == least["r"]).select("node", "root", "component")
     named = distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
         "fp", "n", F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
-    return spread_join(fps, named, "fp", "n", ["doc_id", *carry]).select("doc_id", *carry, "fp", "component_id", "root")
+    out = spread_join(fps, named, "fp", "n", ["doc_id", *carry]).select("doc_id", *carry, "fp", "component_id", "root")
+    return gathered(out, rows, RESULT_ROWS)
 
 
 def as_hex(fp: Column) -> Column:

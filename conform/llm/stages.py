@@ -1,6 +1,6 @@
 """The pipeline's stages: (spark, docs, sf_dir) -> DataFrame; all but the last return the columns of ``docs``.
 
-Decisions are taken on narrow rows and joined to the documents once, by (doc_id, hash of the whole row), null-safe: rows
+Decisions are taken on narrow rows and joined to the documents once, by a hash of the whole row and doc_id: rows
 without an id and repeated ids are told apart by what they hold. The classifier's stage needs no join at all.
 Rows that are equal in every column count as one document where a stage joins its decisions.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm.common import join_decisions, table, with_row_key
+from conform.llm.common import TEXT_ROWS, gathered, join_decisions, table, with_row_key
 from conform.llm.decontaminate import contaminated
 from conform.llm.mixing import mix
 from conform.llm.quality import THRESHOLD, train, with_score
@@ -40,7 +40,7 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     bad = contaminated(keyed, table(spark, sf_dir, "benchmark"), carry=("__h",)).select(
         F.col("doc_id").alias("__bad_id"), F.col("__h").alias("__bad_h")).distinct()
     same = (keyed["__h"] == bad["__bad_h"]) & keyed["doc_id"].eqNullSafe(bad["__bad_id"])
-    return keyed.join(bad, same, "left_anti").select(*docs.columns)
+    return gathered(keyed.join(bad, same, "left_anti").select(*docs.columns), docs.count(), TEXT_ROWS)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
