@@ -40,11 +40,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_row_key(docs: DataFrame) -> DataFrame:
-    """Adds ``__h``, a hash over all columns: with doc_id it tells rows apart that share an id (or have none)."""
+    """Adds ``__h``, a hash over all columns, doc_id too: it tells rows apart that share an id (or have none)."""
     usable = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "void"]
     return docs.withColumn("__h", F.xxhash64(*usable))
 
 
+def same_row(left: DataFrame, h: str, doc_id: str, right: DataFrame, right_h: str, right_id: str) -> Column:
+    """Join condition on the row hash, with doc_id (null as 0, the hash tells them apart) as a check of it.
+
+    The check is no equality, so it doesn't become part of the shuffle's key: what follows by (doc_id, hash) then finds the rows of a
+    key together and needs no shuffle of its own.
+    """
+    own, other = F.coalesce(left[doc_id], F.lit(0)), F.coalesce(right[right_id], F.lit(0))
+    return (left[h] == right[right_h]) & own.between(other, other)
+
+
 def join_decisions(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """``docs`` with ``__h`` joined to ``decisions`` (doc_id, __h, more), one row for each kept (doc_id, __h).
 
@@ -52,7 +62,7 @@ def join_decisions(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     collapse on the same partitioning.
     """
     d = decisions.withColumnsRenamed({"doc_id": "__d_id", "__h": "__d_h"})
-    both = docs.join(d, (docs["__h"] == d["__d_h"]) & docs["doc_id"].eqNullSafe(d["__d_id"]), "inner")
+    both = docs.join(d, same_row(docs, "__h", "doc_id", d, "__d_h", "__d_id"), "inner")
     return gathered(both.drop("__d_id", "__d_h").dropDuplicates(["doc_id", "__h"]), docs.count(), TEXT_ROWS)
 
 
