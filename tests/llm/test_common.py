@@ -1,0 +1,64 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from conform.llm import bloom, tokens
+from conform.llm.common import gathered, join_decisions, spread_join, staged, with_row_key
+
+
+def test_spread_join_splits_a_hot_key_and_loses_nothing(spark):
+    left = spark.range(6000).select((F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500)).alias("k"), "id")
+    right = left.groupBy("k").agg(F.count("*").alias("n")).withColumn("v", F.col("k") * 10)
+    want = sorted(map(tuple, left.join(right.drop("n"), "k").select("id", "k", "v").collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = spread_join(left, right, "k", "n", ["id"])
+        assert sorted(got.columns) == ["id", "k", "v"]
+        assert sorted(map(tuple, got.select("id", "k", "v").collect())) == want
+        in_part = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(in_part) < 0.3 * 6000                       # the hot key alone holds a third
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[0])
+        spark.conf.set("spark.sql.adaptive.enabled", old[1])
+    assert spread_join(left.where("id < 0"), right.where("n < 0"), "k", "n", ["id"]).collect() == []
+
+
+def test_decisions_tell_rows_apart_and_collapse_equal_ones(spark):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (None, "a"), (None, "a"), (None, None), (0, "a"), (2, "c")]
+    docs = with_row_key(spark.createDataFrame(rows, "doc_id long, text string"))
+    all_rows = docs.select("doc_id", "__h").distinct()
+    assert sorted(((r.doc_id, r.text) for r in join_decisions(docs, all_rows).collect()), key=str) == sorted(set(rows), key=str)
+    some = docs.where("text = 'a'").select("doc_id", "__h").distinct().withColumn("x", F.lit(5))
+    assert sorted(((r.doc_id, r.text, r.x) for r in join_decisions(docs, some).collect()), key=str) == [(0, "a", 5), (1, "a", 5), (None, "a", 5)]
+
+
+def test_gathered_only_ever_lowers_the_number_of_partitions(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 20)
+    assert [gathered(df, rows, 100).rdd.getNumPartitions() for rows in (0, 100, 101, 10 ** 9)] == [1, 1, 2, 20]
+    assert staged(spark, df, "few", 1000).count() == 1000
+
+
+def test_bloom_filter_misses_nothing(spark):
+    h = tokens.mix64(np.arange(3000, dtype=np.uint64))
+    held, bits = bloom.build(spark, spark.createDataFrame([(int(x),) for x in h[:2000].view(np.int64)], "h long"), "h")
+    found = bloom.contains(np.frombuffer(held.value, np.uint8), bits, h)
+    assert found[:2000].all() and found[2000:].sum() < 20
+    held, bits = bloom.build(spark, spark.createDataFrame([], "h long"), "h")
+    assert not bloom.contains(np.frombuffer(held.value, np.uint8), bits, h).any()
+
+
+def test_words_and_runs():
+    import pyarrow as pa
+
+    texts = ["a b", None, "", " x\ty\x0bz ", "a b", " é b"]
+    data, offsets = tokens.text_bytes(pa.array(["skipped"] + texts)[1:])
+    w = tokens.find_words(data, offsets, tokens.NOT_BLANK)
+    assert w.counts().tolist() == [2, 0, 0, 3, 2, 2]
+    assert [bytes(data[s:e]).decode() for s, e in zip(w.start, w.end)] == ["a", "b", "x", "y", "z", "a", "b", " é", "b"]
+    h = w.hashes()
+    assert h[0] == h[5] and h[1] == h[6] == h[8] and len(set(h.tolist())) == 6
+    runs = tokens.Runs(h, tokens.WORD_POWERS)
+    assert runs.hash(np.array([0]), np.array([2])) == runs.hash(np.array([5]), np.array([7])) != runs.hash(np.array([1]), np.array([3]))
+    parts = list(tokens.blocks(pa.array(texts * 50), 16))
+    assert sum(len(c) for _, c in parts) == 300 and [lo for lo, _ in parts] == np.cumsum([0] + [len(c) for _, c in parts])[:-1].tolist()
