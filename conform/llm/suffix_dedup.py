@@ -123,7 +123,8 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, run_words: int = RUN
                     names=["doc_id", "doc", "first", "last", "run", "hood"])
 
     suffixes = staged(spark, base.mapInArrow(keep, "doc_id long, doc long, first int, last int, run long, hood long"), "suffixes")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), suffixes.count() // 500_000)
+    rows = suffixes.count()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // 500_000)
     order = ["run", "hood", "doc", "first"]
     ranged = suffixes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
@@ -132,7 +133,8 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, run_words: int = RUN
         if held:
             yield from _compare(pa.Table.from_batches(held)).combine_chunks().to_batches()
 
-    compared = staged(spark, ranged.mapInArrow(compare, "doc_id long, doc long, first int, last int, run long, hood long, state byte"), "suffixes-compared")
+    compared = ranged.mapInArrow(compare, "doc_id long, doc long, first int, last int, run long, hood long, state byte")
+    compared = staged(spark, compared, "suffixes-compared", rows, 200_000)
     whole = compared.where("state = 1").select("doc_id", "doc", F.col("first").alias("b"), (F.col("last") + min_words).alias("e"))
 
     # extension: the windows around the suffixes that aren't settled, and around one or two of each settled kind
