@@ -17,7 +17,6 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,10 +74,9 @@ def _number(spark: SparkSession, sized: DataFrame) -> DataFrame:
     in the order of (source, size, doc_id) that also holds between partitions."""
     order = [F.col("source").asc_nulls_first(), F.col("size").asc(), F.col("doc_id").asc_nulls_first()]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = sized.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranged = sized.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
 
     def number(batches):
-        part = TaskContext.get().partitionId()
         source, count = object(), 0
         for b in batches:
             runs = pc.run_end_encode(b.column("source"))
@@ -88,11 +86,10 @@ def _number(spark: SparkSession, sized: DataFrame) -> DataFrame:
                 places[begin:end] = np.arange(count + 1, count + 1 + end - begin)
                 source, count, begin = s, count + int(end) - begin, int(end)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.full(b.num_rows, part, np.int32)), pa.array(places)],
-                names=[*b.schema.names, "part", "place"])
+                [*b.columns, pa.array(places)], names=[*b.schema.names, "place"])
 
-    numbered = ranged.mapInArrow(number, T.StructType([*sized.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("place", T.LongType())]))
-    return staged(spark, numbered, "mix-numbered")
+    numbered = ranged.mapInArrow(number, T.StructType([*ranged.schema.fields, T.StructField("place", T.LongType())]))
+    return staged(spark, numbered, "mix-numbered", sized.count())
 
 
 def _earlier(numbered: DataFrame) -> DataFrame:
