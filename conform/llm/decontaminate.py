@@ -16,6 +16,7 @@ words around possible hits out of the scan; all else stays where it is.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,14 @@ from pyspark.sql import functions as F
 from conform.llm import bloom, tokens
 from conform.llm.common import staged
 
-# Fixed masks: 1 is compared, 0 ignored.
-MASKS = ("110110011", "101101101", "111001011", "110010111")
+# Fixed masks: 1 is compared, 0 ignored. Of a stretch of 13 words or more of which 80 % agree, one mask at one place meets agreeing
+# words only, whichever they are. A stretch of 26 words or more can be cut into ones of 13 to 25, of which one has that share
+# too, so these lengths are the whole proof; the tests go through all their patterns. Masks begin and end with a compared
+# word, so none reaches over the end of a document in which an item is cut off.
+MASKS = ("110110011", "101101101", "111001011", "110010111", "111000000111")
+MASKS_FROM, MASKS_SHARE = 13, 0.8
+# The same for whole items of 9 to 12 words.
+SHORT_MASKS = {9: ("1111011", "1101111"), 10: ("111011", "11010011", "11111"), 11: ("1101011", "1110011"), 12: ("11101011", "101100111", "111111")}
 SHORTEST = 5  # items with fewer words would be found in any text and are not searched
 
 
@@ -54,11 +61,20 @@ def _seeds(h: np.ndarray, first: np.ndarray, mask: str) -> tuple[np.ndarray, np.
     return at, tokens.mix64(total[at])
 
 
-def _item_masks(n_words: int) -> tuple[str, ...]:
-    return MASKS if n_words >= len(MASKS[0]) else ("1" * n_words,) if n_words >= SHORTEST else ()
+def _item_masks(n_words: int, similarity: float, min_words: int) -> tuple[str, ...]:
+    if n_words < SHORTEST:
+        return ()
+    if n_words < min(SHORT_MASKS):
+        return ("1" * n_words,)
+    if similarity >= MASKS_SHARE and (min_words >= MASKS_FROM or n_words <= min_words):
+        return MASKS if n_words >= MASKS_FROM else SHORT_MASKS[n_words]
+    # a looser criterion than the masks are made for: k changed words leave one of k + 1 runs that long
+    lengths = range(min(n_words, min_words), min(n_words, 2 * min_words - 1) + 1)
+    changed = ((n, math.floor(n - similarity * n + 1e-9)) for n in lengths)
+    return ("1" * max(1, min(-(-(n - k) // (k + 1)) for n, k in changed)),)
 
 
-def benchmark_items(benchmark: DataFrame) -> DataFrame:
+def benchmark_items(benchmark: DataFrame, similarity: float, min_words: int) -> DataFrame:
     """item (key), item_id, n, words (hashes as bytes), seeds; items with equal words are one, under the smallest id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -66,7 +82,7 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
             rows = []
             for i, item_id in enumerate(b.column("item_id").to_pylist()):
                 own = h[w.first[i]:w.first[i + 1]]
-                found = [_seeds(own, np.array([0, len(own)]), m) for m in _item_masks(len(own))]
+                found = [_seeds(own, np.array([0, len(own)]), m) for m in _item_masks(len(own), similarity, min_words)]
                 if found:
                     at, s = (np.concatenate(x) for x in zip(*found))
                     rows.append((item_id, len(own), own.tobytes(), [{"h": int(x), "at": int(a)} for a, x in zip(at, s.view(np.int64))]))
@@ -110,15 +126,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     ``docs`` (doc_id, text), ``benchmark`` (item_id, text). Of several places of an item in a document the one with most
     agreeing words is given, the first of equal ones. Repeated rows of ``docs`` give one row; rows that share an id
     but not the text are searched each. Null and empty texts contain nothing; items with fewer than 5 words are not
-    searched, those with fewer than 9 by their whole word sequence. A null doc_id is returned as it is. Either table
+    searched, those with fewer than 9 by their whole word sequence; in all others every place that meets the criterion is found. A null doc_id is returned as it is. Either table
     may be empty. Other columns are not read.
     """
     spark = docs.sparkSession
-    items = staged(spark, benchmark_items(benchmark), "decon-items", benchmark.count())
+    items = staged(spark, benchmark_items(benchmark, similarity, min_words), "decon-items", benchmark.count())
     seeds = items.select("item", F.explode("seeds").alias("s")).select("item", F.col("s.h").alias("h"), F.col("s.at").alias("at"))
     longest = items.agg(F.max("n")).first()[0] or 0
-    short = [n for (n,) in items.where(F.col("n") < len(MASKS[0])).select("n").distinct().collect()]  # at most 4 values
-    masks = (*MASKS, *("1" * n for n in sorted(short)))
+    alike = max(MASKS_FROM, 2 * min_words)  # items from that length on have the same masks
+    lengths = sorted(n for (n,) in items.select(F.least("n", F.lit(alike))).distinct().collect())
+    masks = list(dict.fromkeys(m for n in lengths for m in _item_masks(n, similarity, min_words))) or MASKS
     held, bits = bloom.build(spark, seeds.select("h"), "h")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.xxhash64("text").alias("__t"), "text")
     names = source.columns[:-1]

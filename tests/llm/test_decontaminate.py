@@ -1,7 +1,12 @@
 
+import math
+from itertools import combinations
+
+import brute
+import pytest
 from samples import DOCS, make, prose  # noqa: F401 (fixtures)
 
-from conform.llm.decontaminate import contaminated
+from conform.llm.decontaminate import _item_masks, contaminated
 
 ITEM, SHORT, LONG = prose(50, 30), prose(51, 6), prose(52, 400)
 BENCH = [(1, ITEM), (2, SHORT), (3, LONG), (4, None), (5, ""), (6, "of the"), (None, prose(53, 20)), (8, ITEM.upper() + "!")]
@@ -51,3 +56,47 @@ def test_every_random_substitution_up_to_a_fifth_is_found(make):
             words[j] = "changed"
         docs.append((i, around(" ".join(words), 2000 + 2 * i)))
     assert found(make, docs, items) == sorted([(i, i) for i in range(60)], key=str)
+
+
+def changed_at(text, places):
+    return " ".join(f"changed{i}" if i in places else w for i, w in enumerate(text.split()))
+
+
+def kept(n, changed, masks):
+    """Whether a mask meets no changed place of n words somewhere."""
+    return any(not any(m[c - at] == "1" for c in changed if 0 <= c - at < len(m)) for m in masks for at in range(n - len(m) + 1))
+
+
+@pytest.mark.parametrize("n", range(9, 26))
+def test_every_pattern_of_a_fifth_keeps_a_seed(n):
+    masks = _item_masks(n, 0.8, 13)
+    assert all(kept(n, c, masks) for c in combinations(range(n), n // 5))
+    assert all(m[0] == m[-1] == "1" for m in masks)
+    if n >= 13:
+        assert _item_masks(500, 0.8, 13) == masks
+
+
+@pytest.mark.parametrize("similarity, min_words", [(0.7, 13), (0.8, 10), (0.9, 13), (0.5, 6)])
+def test_other_criteria_keep_a_seed_too(similarity, min_words):
+    for n in range(9, 15):
+        masks = _item_masks(n, similarity, min_words)
+        assert all(kept(n, c, masks) for c in combinations(range(n), n - math.ceil(similarity * n)))
+
+
+def test_every_substitution_of_exactly_a_fifth_is_found(make):
+    docs, items, want = [], [], []
+    for n in (9, 10, 11, 12, 15):
+        text = prose(300 + n, n)
+        items.append((n, text))
+        for places in combinations(range(n), n // 5):
+            docs.append((len(docs), around(changed_at(text, places), 4000 + 2 * len(docs))))
+            want.append((len(docs) - 1, n))
+    assert all(brute.contaminated(t, dict(items)[n]) for (_, t), (_, n) in zip(docs, want))
+    assert found(make, docs, items) == sorted(want, key=str)
+
+
+def test_stretch_of_a_long_item_and_items_cut_off(make):
+    words = LONG.split()
+    docs = [(1, around(changed_at(" ".join(words[200:215]), (5, 7, 8)), 130)),          # 12 of 15 words inside 400
+            (2, " ".join(ITEM.split()[6:])), (3, " ".join(ITEM.split()[:24])), (4, " ".join(ITEM.split()[:10]))]
+    assert found(make, docs, [(1, ITEM), (3, LONG)]) == [(1, 3), (2, 1), (3, 1)]
