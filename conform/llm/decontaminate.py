@@ -34,9 +34,10 @@ from conform.llm.common import staged
 # word, so none reaches over the end of a document in which an item is cut off.
 MASKS = ("110110011", "101101101", "111001011", "110010111", "111000000111")
 MASKS_FROM, MASKS_SHARE = 13, 0.8
-# The same for whole items of 9 to 12 words.
-SHORT_MASKS = {9: ("1111011", "1101111"), 10: ("111011", "11010011", "11111"), 11: ("1101011", "1110011"), 12: ("11101011", "101100111", "111111")}
-SHORTEST = 5  # items with fewer words would be found in any text and are not searched
+# The same for whole items of 5 to 12 words. Fewer words have to agree all of them.
+SHORT_MASKS = {5: ("1111", "10111", "11011", "11101"), 6: ("11111", "101111", "110111", "111011", "111101"), 7: ("11111", "1101011", "1110111"),
+               8: ("111111", "11001111", "11110011"), 9: ("1111011", "1101111"), 10: ("111011", "11010011", "11111"), 11: ("1101011", "1110011"), 12: ("11101011", "101100111", "111111")}
+SHORTEST = 5  # items with fewer words are found in almost any text and are searched only if asked for
 
 
 def _words(column: pa.Array) -> tuple[tokens.Words, np.ndarray]:
@@ -61,12 +62,17 @@ def _seeds(h: np.ndarray, first: np.ndarray, mask: str) -> tuple[np.ndarray, np.
     return at, tokens.mix64(total[at])
 
 
+def _exact(n_words: int, similarity: float) -> bool:
+    """Whether an item of that length has no words to spare."""
+    return n_words < min(SHORT_MASKS) and n_words - 1 < similarity * n_words
+
+
 def _item_masks(n_words: int, similarity: float, min_words: int) -> tuple[str, ...]:
-    if n_words < SHORTEST:
+    if n_words < 1:
         return ()
-    if n_words < min(SHORT_MASKS):
+    if _exact(n_words, similarity):
         return ("1" * n_words,)
-    if similarity >= MASKS_SHARE and (min_words >= MASKS_FROM or n_words <= min_words):
+    if n_words >= min(SHORT_MASKS) and similarity >= MASKS_SHARE and (min_words >= MASKS_FROM or n_words <= min_words):
         return MASKS if n_words >= MASKS_FROM else SHORT_MASKS[n_words]
     # a looser criterion than the masks are made for: k changed words leave one of k + 1 runs that long
     lengths = range(min(n_words, min_words), min(n_words, 2 * min_words - 1) + 1)
@@ -74,7 +80,7 @@ def _item_masks(n_words: int, similarity: float, min_words: int) -> tuple[str, .
     return ("1" * max(1, min(-(-(n - k) // (k + 1)) for n, k in changed)),)
 
 
-def benchmark_items(benchmark: DataFrame, similarity: float, min_words: int) -> DataFrame:
+def benchmark_items(benchmark: DataFrame, similarity: float, min_words: int, shortest: int) -> DataFrame:
     """item (key), item_id, n, words (hashes as bytes), seeds; items with equal words are one, under the smallest id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -83,7 +89,7 @@ def benchmark_items(benchmark: DataFrame, similarity: float, min_words: int) ->
             for i, item_id in enumerate(b.column("item_id").to_pylist()):
                 own = h[w.first[i]:w.first[i + 1]]
                 found = [_seeds(own, np.array([0, len(own)]), m) for m in _item_masks(len(own), similarity, min_words)]
-                if found:
+                if found and len(own) >= shortest:
                     at, s = (np.concatenate(x) for x in zip(*found))
                     rows.append((item_id, len(own), own.tobytes(), [{"h": int(x), "at": int(a)} for a, x in zip(at, s.view(np.int64))]))
             yield pa.RecordBatch.from_arrays(
@@ -120,22 +126,25 @@ def _verify(a: np.ndarray, b: np.ndarray, similarity: float, min_words: int) ->
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 13,
-                 carry: tuple[str, ...] = ()) -> DataFrame:
+                 carry: tuple[str, ...] = (), shortest: int = SHORTEST) -> DataFrame:
     """doc_id, (carried,) item_id, start_word, n_words, n_same, item_words: one row for each document and item found.
 
     ``docs`` (doc_id, text), ``benchmark`` (item_id, text). Of several places of an item in a document the one with most
     agreeing words is given, the first of equal ones. Repeated rows of ``docs`` give one row; rows that share an id
-    but not the text are searched each. Null and empty texts contain nothing; items with fewer than 5 words are not
-    searched, those with fewer than 9 by their whole word sequence; in all others every place that meets the criterion is found. A null doc_id is returned as it is. Either table
+    but not the text are searched each. Null and empty texts contain nothing; items with fewer than ``shortest``
+    words are not searched (1: all are; below 5 words 80 % are all words); of all others every place that meets the criterion is found. A null doc_id is returned as it is. Either table
     may be empty. Other columns are not read.
     """
     spark = docs.sparkSession
-    items = staged(spark, benchmark_items(benchmark, similarity, min_words), "decon-items", benchmark.count())
+    items = staged(spark, benchmark_items(benchmark, similarity, min_words, shortest), "decon-items", benchmark.count())
     seeds = items.select("item", F.explode("seeds").alias("s")).select("item", F.col("s.h").alias("h"), F.col("s.at").alias("at"))
     longest = items.agg(F.max("n")).first()[0] or 0
     alike = max(MASKS_FROM, 2 * min_words)  # items from that length on have the same masks
     lengths = sorted(n for (n,) in items.select(F.least("n", F.lit(alike))).distinct().collect())
     masks = list(dict.fromkeys(m for n in lengths for m in _item_masks(n, similarity, min_words))) or MASKS
+    # a few common words stand in a text often, and all their places are alike: the first is enough
+    once = {"1" * n for n in lengths if _exact(n, similarity)}
+    once -= {m for n in lengths if not _exact(n, similarity) for m in _item_masks(n, similarity, min_words)}
     held, bits = bloom.build(spark, seeds.select("h"), "h")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.xxhash64("text").alias("__t"), "text")
     names = source.columns[:-1]
@@ -149,8 +158,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
                 found = []
                 for m in masks:
                     at, s = _seeds(h, w.first, m)
-                    ok = bloom.contains(table, bits, s)
-                    found.append((at[ok], s[ok], np.full(int(ok.sum()), len(m))))
+                    ok = np.flatnonzero(bloom.contains(table, bits, s))
+                    if m in once and len(ok):
+                        doc = np.searchsorted(w.first, at[ok], "right") - 1
+                        order = np.lexsort((at[ok], s[ok], doc))
+                        d, k = doc[order], s[ok][order]
+                        ok = ok[order[np.append(True, (d[1:] != d[:-1]) | (k[1:] != k[:-1]))]]
+                    found.append((at[ok], s[ok], np.full(len(ok), len(m))))
                 at, s, span = (np.concatenate(x) for x in zip(*found))
                 if not len(at):
                     continue

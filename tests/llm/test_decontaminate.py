@@ -7,6 +7,9 @@ import pytest
 from samples import DOCS, make, prose  # noqa: F401 (fixtures)
 
 from conform.llm.decontaminate import _item_masks, contaminated
+from conform.llm.queries import QUERIES
+from conform.llm.stages import decontaminate_stage
+from conform.session import scratch_path
 
 ITEM, SHORT, LONG = prose(50, 30), prose(51, 6), prose(52, 400)
 BENCH = [(1, ITEM), (2, SHORT), (3, LONG), (4, None), (5, ""), (6, "of the"), (None, prose(53, 20)), (8, ITEM.upper() + "!")]
@@ -67,7 +70,7 @@ def kept(n, changed, masks):
     return any(not any(m[c - at] == "1" for c in changed if 0 <= c - at < len(m)) for m in masks for at in range(n - len(m) + 1))
 
 
-@pytest.mark.parametrize("n", range(9, 26))
+@pytest.mark.parametrize("n", range(1, 26))
 def test_every_pattern_of_a_fifth_keeps_a_seed(n):
     masks = _item_masks(n, 0.8, 13)
     assert all(kept(n, c, masks) for c in combinations(range(n), n // 5))
@@ -78,7 +81,7 @@ def test_every_pattern_of_a_fifth_keeps_a_seed(n):
 
 @pytest.mark.parametrize("similarity, min_words", [(0.7, 13), (0.8, 10), (0.9, 13), (0.5, 6)])
 def test_other_criteria_keep_a_seed_too(similarity, min_words):
-    for n in range(9, 15):
+    for n in range(1, 15):
         masks = _item_masks(n, similarity, min_words)
         assert all(kept(n, c, masks) for c in combinations(range(n), n - math.ceil(similarity * n)))
 
@@ -100,3 +103,33 @@ def test_stretch_of_a_long_item_and_items_cut_off(make):
     docs = [(1, around(changed_at(" ".join(words[200:215]), (5, 7, 8)), 130)),          # 12 of 15 words inside 400
             (2, " ".join(ITEM.split()[6:])), (3, " ".join(ITEM.split()[:24])), (4, " ".join(ITEM.split()[:10]))]
     assert found(make, docs, [(1, ITEM), (3, LONG)]) == [(1, 3), (2, 1), (3, 1)]
+
+
+def test_short_items_with_one_changed_word(make):
+    docs, items, want = [], [], []
+    for n in (5, 6, 7, 8):
+        text = prose(320 + n, n)
+        items.append((n, text))
+        for i in range(n):
+            docs += [(len(docs), around(changed_at(text, (i,)), 6000 + 2 * len(docs))), (len(docs) + 1, around(changed_at(text, (i, (i + 2) % n)), 8000 + 2 * len(docs)))]
+            want.append((len(docs) - 2, n))
+    assert found(make, docs, items) == sorted(want, key=str)
+
+
+def test_items_below_five_words_if_asked_for(make):
+    bench = [(1, "yes"), (2, "of the"), (3, "Of the four"), (4, "one two three four"), (5, "one two three four five"), (6, ""), (7, None), (8, "...")]
+    docs = [(1, "so yes, of the one two three four and yes of the"), (2, "of four"), (3, "one two three six five yesterday"), (4, None), (5, "OF THE FOUR"),
+            (6, "the of " * 40 + "of the " * 40), (None, "yes")]
+    want = {(1, 1): 1, (1, 2): 2, (1, 4): 4, (1, 5): 4, (3, 5): 0, (5, 2): 0, (5, 3): 0, (6, 2): 1, (None, 1): 0}
+    rows = [(d, t, None, None, None) for d, t in docs]
+    got = contaminated(make(rows, DOCS), make(bench, SCHEMA), shortest=1).collect()
+    assert {(r.doc_id, r.item_id): r.start_word for r in got} == want and len(got) == len(want)
+    assert found(make, docs, bench) == [(1, 5), (3, 5)]
+
+
+def test_query_and_stage_search_items_below_five_words(spark):
+    path = scratch_path(spark, "short-items-sf")
+    spark.createDataFrame([(1, "blue whale"), (2, ITEM)], SCHEMA).write.parquet(f"{path}/benchmark.parquet")
+    spark.createDataFrame([(1, "a Blue-Whale", "en", "s", 12), (2, "a blue or whale", "en", "s", 15)], DOCS).write.parquet(f"{path}/documents.parquet")
+    assert [(r.doc_id, r.item_id) for r in QUERIES["op2_spaced_seeds"](spark, path).collect()] == [(1, 1)]
+    assert [r.doc_id for r in decontaminate_stage(spark, spark.read.parquet(f"{path}/documents.parquet"), path).collect()] == [2]
