@@ -81,7 +81,7 @@ def _item_masks(n_words: int, similarity: float, min_words: int) -> tuple[str, .
 
 
 def benchmark_items(benchmark: DataFrame, similarity: float, min_words: int, shortest: int) -> DataFrame:
-    """item (key), item_id, n, words (hashes as bytes), seeds; items with equal words are one, under the smallest id."""
+    """item (key), item_id, item_ids, n, words (hashes as bytes), seeds; items with equal words are one, under the smallest id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             w, h = _words(b.column("text"))
@@ -99,8 +99,8 @@ def benchmark_items(benchmark: DataFrame, similarity: float, min_words: int, sho
 
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(
         run, "item_id long, n int, words binary, seeds array<struct<h: long, at: int>>")
-    return items.groupBy("words").agg(F.min("item_id").alias("item_id"), F.first("n").alias("n"), F.first("seeds").alias("seeds")).select(
-        F.xxhash64("words").alias("item"), "item_id", "n", "words", "seeds")
+    return items.groupBy("words").agg(F.min("item_id").alias("item_id"), F.collect_set(F.struct("item_id")).alias("item_ids"), F.first("n").alias("n"), F.first("seeds").alias("seeds")).select(
+        F.xxhash64("words").alias("item"), "item_id", "item_ids", "n", "words", "seeds")
 
 
 def _verify(a: np.ndarray, b: np.ndarray, similarity: float, min_words: int) -> tuple[int, int, int] | None:
@@ -126,12 +126,13 @@ def _verify(a: np.ndarray, b: np.ndarray, similarity: float, min_words: int) ->
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 13,
-                 carry: tuple[str, ...] = (), shortest: int = SHORTEST) -> DataFrame:
+                 carry: tuple[str, ...] = (), shortest: int = SHORTEST, every_id: bool = False) -> DataFrame:
     """doc_id, (carried,) item_id, start_word, n_words, n_same, item_words: one row for each document and item found.
 
     ``docs`` (doc_id, text), ``benchmark`` (item_id, text). Of several places of an item in a document the one with most
     agreeing words is given, the first of equal ones. Repeated rows of ``docs`` give one row; rows that share an id
-    but not the text are searched each. Null and empty texts contain nothing; items with fewer than ``shortest``
+    but not the text are searched each. Items with equal words are found under the smallest of their ids; ``every_id`` gives
+    a row for each of the ids (a null one too). Null and empty texts contain nothing; items with fewer than ``shortest``
     words are not searched (1: all are; below 5 words 80 % are all words); of all others every place that meets the criterion is found. A null doc_id is returned as it is. Either table
     may be empty. Other columns are not read.
     """
@@ -196,8 +197,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     segments = segments.withColumn("segment", F.xxhash64("doc_id", *carry, "__t", "start"))
     hit = segments.select("segment", F.explode("hits").alias("s")).select("segment", F.col("s.h").alias("h"), F.col("s.at").alias("p"))
     lines = hit.join(seeds, "h").select("segment", "item", (F.col("p") - F.col("at")).alias("shift")).distinct()
-    pairs = lines.join(segments.drop("hits").dropDuplicates(["segment"]), "segment").join(items.drop("seeds"), "item")
-    pairs = pairs.select("doc_id", *carry, "item_id", "n", "shift", "start", "near", "words")
+    pairs = lines.join(segments.drop("hits").dropDuplicates(["segment"]), "segment").join(items.drop("seeds", "item_ids"), "item")
+    pairs = pairs.select("doc_id", *carry, "item", "item_id", "n", "shift", "start", "near", "words")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -216,11 +217,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
                 own = b.take(pa.array(rows, pa.int64()))
                 s, n, same = zip(*out)
                 yield pa.RecordBatch.from_arrays(
-                    [*(own.column(c) for c in ("doc_id", *carry, "item_id", "n")), pa.array(s, pa.int32()), pa.array(n, pa.int32()), pa.array(same, pa.int32())],
-                    names=["doc_id", *carry, "item_id", "item_words", "start_word", "n_words", "n_same"])
+                    [*(own.column(c) for c in ("doc_id", *carry, "item", "item_id", "n")), pa.array(s, pa.int32()), pa.array(n, pa.int32()), pa.array(same, pa.int32())],
+                    names=["doc_id", *carry, "item", "item_id", "item_words", "start_word", "n_words", "n_same"])
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in ("doc_id", *carry)) + ", item_id long, item_words int, start_word int, n_words int, n_same int"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in ("doc_id", *carry)) + ", item long, item_id long, item_words int, start_word int, n_words int, n_same int"
     found = pairs.mapInArrow(check, schema)
+    if every_id:
+        ids = items.where(F.size("item_ids") > 1).select(F.col("item").alias("same"), F.explode("item_ids").alias("own"))
+        found = found.join(ids, found["item"] == ids["same"], "left").withColumn(
+            "item_id", F.when(F.col("own").isNull(), F.col("item_id")).otherwise(F.col("own.item_id")))
     best = F.max(F.struct("n_same", (-F.col("start_word")).alias("s"), "n_words")).alias("m")
     return found.groupBy("doc_id", *carry, "item_id", "item_words").agg(best).select(
         "doc_id", *carry, "item_id", (-F.col("m.s")).alias("start_word"), F.col("m.n_words").alias("n_words"), F.col("m.n_same").alias("n_same"), "item_words")

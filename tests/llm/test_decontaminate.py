@@ -133,3 +133,16 @@ def test_query_and_stage_search_items_below_five_words(spark):
     spark.createDataFrame([(1, "a Blue-Whale", "en", "s", 12), (2, "a blue or whale", "en", "s", 15)], DOCS).write.parquet(f"{path}/documents.parquet")
     assert [(r.doc_id, r.item_id) for r in QUERIES["op2_spaced_seeds"](spark, path).collect()] == [(1, 1)]
     assert [r.doc_id for r in decontaminate_stage(spark, spark.read.parquet(f"{path}/documents.parquet"), path).collect()] == [2]
+
+
+def test_every_id_of_items_with_equal_words(make, spark):
+    bench = [(1, ITEM), (8, ITEM.upper() + "!"), (8, ITEM), (None, ITEM), (3, LONG), (4, prose(53, 20))]
+    docs = [(1, around(ITEM, 100)), (2, around(substituted(ITEM, 6), 104)), (3, around(" ".join(LONG.split()[100:140]), 108))]
+    want = [(1, 1), (1, 8), (1, None), (2, 1), (2, 8), (2, None), (3, 3)]
+    got = contaminated(make([(d, t, None, None, None) for d, t in docs], DOCS), make(bench, SCHEMA), every_id=True).collect()
+    assert sorted(((r.doc_id, r.item_id) for r in got), key=str) == sorted(want, key=str)
+    assert {(r.start_word, r.n_words, r.n_same) for r in got if r.doc_id == 1} == {(40, 30, 30)}
+    path = scratch_path(spark, "equal-items-sf")
+    make(bench, SCHEMA).write.parquet(f"{path}/benchmark.parquet")
+    make([(d, t, None, None, None) for d, t in docs], DOCS).write.parquet(f"{path}/documents.parquet")
+    assert sorted(((r.doc_id, r.item_id) for r in QUERIES["op2_spaced_seeds"](spark, path).collect()), key=str) == sorted(want, key=str)
