@@ -43,6 +43,25 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1:width - 1 + n])
 
 
+def _picks(run: np.ndarray, width: int) -> np.ndarray:
+    """Place of the smallest hash in every run of ``width`` places, the leftmost of equal ones.
+
+    A place goes into the low bits of the key, so it counts from the begin of a slice that these bits can number.
+    """
+    slice_len = int(POSITION_BITS) + 1
+    if width > slice_len:
+        raise ValueError("min_words is too large")
+    n = len(run) - width + 1
+    picks = np.empty(n, np.int64)
+    step = slice_len - width + 1                             # slices overlap, so that each window lies in one whole
+    for lo in range(0, n, step):
+        part = run[lo:lo + slice_len]
+        key = (part & ~POSITION_BITS) | np.arange(len(part), dtype=np.uint64)
+        own = (_sliding_least(key, width) & POSITION_BITS).astype(np.int64) + lo
+        picks[lo:lo + len(own)] = own
+    return picks
+
+
 def block_suffixes(column: pa.Array, min_words: int, run_words: int) -> tuple[np.ndarray, ...]:
     """Kept suffixes of a block: (text, first window, last window, run hash, neighbourhood hash)."""
     data, offsets = tokens.text_bytes(column)
@@ -54,8 +73,7 @@ def block_suffixes(column: pa.Array, min_words: int, run_words: int) -> tuple[np
     runs = tokens.Runs(h, tokens.WORD_POWERS)
     at = np.arange(len(h) - run_words + 1)
     run = runs.hash(at, at + run_words)
-    key = (run & ~POSITION_BITS) | at.astype(np.uint64)      # ties: the leftmost
-    pick = (_sliding_least(key, min_words - run_words + 1) & POSITION_BITS).astype(np.int64)
+    pick = _picks(run, min_words - run_words + 1)
     text = w.text_of_word()
     begin = np.arange(len(pick))
     inside = text[begin] == text[begin + min_words - 1]

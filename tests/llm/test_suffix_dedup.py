@@ -1,6 +1,9 @@
 import brute
+import numpy as np
+import pyarrow as pa
 from samples import DOCS, make, odd_docs, prose  # noqa: F401 (fixtures)
 
+from conform.llm import suffix_dedup
 from conform.llm.suffix_dedup import mark_repeats, repeated_passages
 
 
@@ -44,3 +47,15 @@ def test_empty_table_and_summary(make, spark):
     p = prose(66, 60)
     rows = mark_repeats(spark, make([(1, p, None, None, None), (2, p, None, None, None)], DOCS)).collect()
     assert sorted((r.doc_id, r.repeated_words) for r in rows) == [(1, 60), (2, 60)]
+
+
+def test_texts_with_more_words_than_a_key_can_number(monkeypatch):
+    words = prose(70, 3000)
+    column = pa.array([prose(71, 700) + " " + words, words, "short", prose(72, 200)])
+    whole = suffix_dedup.block_suffixes(column, 50, 8)
+    for bits in (6, 8, 10):
+        monkeypatch.setattr(suffix_dedup, "POSITION_BITS", np.uint64((1 << bits) - 1))
+        got = suffix_dedup.block_suffixes(column, 50, 8)
+        assert all((a == b).all() for a, b in zip(whole, got, strict=True))
+    in_both = [set(whole[4][whole[0] == t].tolist()) for t in (0, 1)]
+    assert len(in_both[0] & in_both[1]) >= len(in_both[1]) - 2
