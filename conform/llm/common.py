@@ -12,12 +12,20 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 FILE_ROWS = 500_000  # narrow rows in a file
 TEXT_ROWS = 10_000   # documents in a file
+TEXT_BYTES = 64 << 20  # of text in a file
 
 
-def gathered(df: DataFrame, rows: int, per_file: int = FILE_ROWS) -> DataFrame:
-    """``df`` of at most ``rows`` rows in no more partitions than that needs: few rows in many shuffle partitions would be
-    written as many tiny files. Never more partitions than before, so nothing changes where there are many rows."""
-    return df.coalesce(max(1, -(-rows // per_file)))
+def gathered(df: DataFrame, rows: int, per_file: int = FILE_ROWS, size: int = 0) -> DataFrame:
+    """``df`` of at most ``rows`` rows and ``size`` bytes of text in no more partitions than these need: few rows in many shuffle
+    partitions would be written as many tiny files. Never more partitions than before, so nothing changes where there is much."""
+    return df.coalesce(max(1, -(-rows // per_file), -(-size // TEXT_BYTES)))
+
+
+def gathered_texts(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """``df``, rows of ``docs`` each at most once, in the partitions that the rows and bytes of ``docs`` need."""
+    texts = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)).cast("long") for c, kind in docs.dtypes if kind in ("string", "binary")]
+    r = docs.agg(F.count("*").alias("rows"), F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0)).alias("size")).first()
+    return gathered(df, r["rows"], TEXT_ROWS, r["size"])
 
 
 def staged(spark: SparkSession, df: DataFrame, name: str, rows: int | None = None, per_file: int = FILE_ROWS) -> DataFrame:
@@ -63,7 +71,7 @@ def join_decisions(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """
     d = decisions.withColumnsRenamed({"doc_id": "__d_id", "__h": "__d_h"})
     both = docs.join(d, same_row(docs, "__h", "doc_id", d, "__d_h", "__d_id"), "inner")
-    return gathered(both.drop("__d_id", "__d_h").dropDuplicates(["doc_id", "__h"]), docs.count(), TEXT_ROWS)
+    return gathered_texts(both.drop("__d_id", "__d_h").dropDuplicates(["doc_id", "__h"]), docs)
 
 
 def spread_join(left: DataFrame, right: DataFrame, key: str, count: str, by: list[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm.common import TEXT_ROWS, gathered, join_decisions, same_row, table, with_row_key
+from conform.llm.common import gathered_texts, join_decisions, same_row, table, with_row_key
 from conform.llm.decontaminate import contaminated
 from conform.llm.mixing import mix
 from conform.llm.quality import THRESHOLD, train, with_score
@@ -40,7 +40,7 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     bad = contaminated(keyed, table(spark, sf_dir, "benchmark"), carry=("__h",), shortest=1).select(
         F.col("doc_id").alias("__bad_id"), F.col("__h").alias("__bad_h")).distinct()
     same = same_row(keyed, "__h", "doc_id", bad, "__bad_h", "__bad_id")
-    return gathered(keyed.join(bad, same, "left_anti").select(*docs.columns), docs.count(), TEXT_ROWS)
+    return gathered_texts(keyed.join(bad, same, "left_anti").select(*docs.columns), docs)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

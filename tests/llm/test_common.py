@@ -1,8 +1,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from conform.llm import bloom, tokens
-from conform.llm.common import gathered, join_decisions, spread_join, staged, with_row_key
+from conform.llm import bloom, common, tokens
+from conform.llm.common import gathered, gathered_texts, join_decisions, spread_join, staged, with_row_key
 
 
 def test_spread_join_splits_a_hot_key_and_loses_nothing(spark):
@@ -62,3 +62,19 @@ def test_words_and_runs():
     assert runs.hash(np.array([0]), np.array([2])) == runs.hash(np.array([5]), np.array([7])) != runs.hash(np.array([1]), np.array([3]))
     parts = list(tokens.blocks(pa.array(texts * 50), 16))
     assert sum(len(c) for _, c in parts) == 300 and [lo for lo, _ in parts] == np.cumsum([0] + [len(c) for _, c in parts])[:-1].tolist()
+
+
+def test_few_long_texts_are_not_joined_in_one_task(spark, monkeypatch):
+    docs = with_row_key(spark.range(200).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 2000).alias("text")))
+    monkeypatch.setattr(common, "TEXT_BYTES", 400_000)         # 2 MB of text: 6 of the 8 shuffle partitions
+    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    for c, v in zip(old, ("false", "-1")):
+        spark.conf.set(c, v)
+    try:
+        both = join_decisions(docs, docs.select("doc_id", "__h"))
+        sizes = [r["count"] for r in both.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert len(sizes) >= 5 and sum(sizes) == 200 and max(sizes) < 100
+    assert gathered_texts(docs.where("doc_id < 0"), docs.where("doc_id < 0")).collect() == []
