@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from conform.llm.common import table
 from conform.llm.decontaminate import contaminated
+from conform.llm.filter_audit import audit_filters
 from conform.llm.license_scan import PHRASES, TEMPLATES, scan_licenses
+from conform.llm.merkle import audit, lowered_text
 from conform.llm.mixing import mix
+from conform.llm.packing import pack
 from conform.llm.quality import classify
 from conform.llm.sharding import place
 from conform.llm.simhash import as_hex, near_duplicates
@@ -262,6 +265,115 @@ from docs d left join base_of b using (r) left join all_of x using (r) left join
 ORACLE["op6_license_index"] = _license_sql()
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return audit(docs, tampered=lowered_text())
+
+
+ORACLE["op11_merkle_manifest"] = r"""
+with recursive table_of as (
+  select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)))) as t),
+docs as (
+  select *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lowered,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as crc
+  from documents, table_of),
+framed as (
+  select doc_id, lang, crc, concat_ws('', f(doc_id), f(source), f(lang), f(n_chars)) as head, f(text) as body, f(lowered) as lowered from docs),
+leaves as (
+  select doc_id, lang, sha256(head || body) as leaf, sha256(head || case when crc % 3 = 0 then lowered else body end) as tampered from framed),
+placed as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as size from leaves),
+nodes as (
+  select lang, 0 as h, pos, size as n, leaf as d from placed
+  union all
+  select lang, h, pos, n, sha256(string_agg(d, '' order by below)) as d
+  from (select lang, h + 1 as h, pos // 8 as pos, (n + 7) // 8 as n, pos as below, d from nodes where n > 1) group by lang, h, pos, n),
+subroots as (
+  select lang, h, d, row_number() over (order by lang nulls first) - 1 as place, count(*) over () as groups from nodes where n = 1),
+tops as (
+  select 0 as h, place as pos, groups as n, d from subroots
+  union all
+  select h, pos, n, sha256(string_agg(d, '' order by below)) as d
+  from (select h + 1 as h, pos // 8 as pos, (n + 7) // 8 as n, pos as below, d from tops where n > 1) group by h, pos, n),
+runs as (
+  select lang, h, pos, d, list(d) over (partition by lang, h, pos // 8 order by pos rows between unbounded preceding and unbounded following) as run from nodes where n > 1),
+top_runs as (
+  select h, pos, d, list(d) over (partition by h, pos // 8 order by pos rows between unbounded preceding and unbounded following) as run from tops where n > 1),
+ways as (
+  select p.lang, p.pos, s.d as subroot, list(list_concat([r.run[:(p.pos // (8 ** r.h)::bigint) % 8], r.run[(p.pos // (8 ** r.h)::bigint) % 8 + 2:]]) order by r.h) filter (r.h is not null) as segments
+  from placed p join subroots s on s.lang is not distinct from p.lang
+  left join runs r on r.lang is not distinct from p.lang and r.pos = p.pos // (8 ** r.h)::bigint group by 1, 2, 3),
+top_ways as (
+  select s.lang, list(list_concat([r.run[:(s.place // (8 ** r.h)::bigint) % 8], r.run[(s.place // (8 ** r.h)::bigint) % 8 + 2:]]) order by r.h) filter (r.h is not null) as segments
+  from subroots s left join top_runs r on r.pos = s.place // (8 ** r.h)::bigint group by 1),
+paths as (
+  select w.lang, w.pos, w.subroot, list_transform(list_concat(coalesce(w.segments, []), coalesce(t.segments, [])), lambda s:
+    {'before': array_to_string(s[1], ''), 'after': array_to_string(s[2], '')}) as path
+  from ways w join top_ways t on t.lang is not distinct from w.lang)
+select p.doc_id, p.leaf, w.subroot, r.d as root, sha256(array_to_string(list_transform(w.path, lambda s: s.before || s.after), '')) as proof_sha256,
+  list_reduce(list_prepend({'before': '', 'after': p.tampered}, w.path), lambda a, s: {'before': '', 'after': sha256(s.before || a.after || s.after)}).after as folded_root,
+  folded_root = r.d as verified
+from placed p join paths w on w.lang is not distinct from p.lang and w.pos = p.pos join tops r on r.n = 1
+"""
+
+
+def _framed(sql: str) -> str:
+    """f(x): a value as the leaf's digest takes it."""
+    import re
+
+    return re.sub(r"\bf\((\w+)\)", r"case when \1 is null then '-' else strlen(\1::varchar) || ':' || \1::varchar end", sql)
+
+
+ORACLE["op11_merkle_manifest"] = _framed(ORACLE["op11_merkle_manifest"])
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op12_filter_audit"] = r"""
+with docs as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+marks as (select doc_id, max(quality = 1) as good, max(toxic = 1) as toxic from labels group by doc_id),
+failing as (
+  select d.doc_id, part, coalesce(m.good, false) as good, coalesce(m.toxic, false) as toxic,
+    (case when len(ws) < 200 then 1 else 0 end) + (case when 100 * len(list_distinct(ws)) < 50 * len(ws) then 2 else 0 end)
+    + (case when 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) then 4 else 0 end)
+    + (case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end)
+    + (case when coalesce(d.doc_id > min(d.doc_id) over (partition by t), min(d.doc_id) over (partition by t) is not null) then 16 else 0 end) as mask
+  from docs d left join marks m on m.doc_id = d.doc_id),
+masks as (
+  select part, mask, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from failing group by 1, 2),
+letters(l, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders as (
+  select a.l || b.l || c.l || d.l || e.l as filter_order from letters a, letters b, letters c, letters d, letters e
+  where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps as (
+  select filter_order, strpos(filter_order, l) as step, bit, (select sum(y.bit) from letters y where strpos(filter_order, y.l) < strpos(filter_order, x.l)) as before
+  from orders, letters x),
+counted as (
+  select part, filter_order, step, bit, sum(n) filter (mask & (coalesce(before, 0)::int | bit) = 0) as kept,
+    sum(n) filter (mask & coalesce(before, 0)::int = 0 and mask & bit > 0) as removed, sum(n) filter (mask & bit > 0) as failed,
+    sum(n) filter (mask = bit) as alone, sum(good) filter (mask & coalesce(before, 0)::int = 0 and mask & bit > 0) as good,
+    sum(toxic) filter (mask & coalesce(before, 0)::int = 0 and mask & bit > 0) as toxic
+  from masks, steps group by 1, 2, 3, 4)
+select part, filter_order, step::int as step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed,
+  (coalesce(failed, 0) - coalesce(removed, 0))::bigint as redundant, coalesce(alone, 0)::bigint as unique_fails, coalesce(good, 0)::bigint as good_lost,
+  coalesce(toxic, 0)::bigint as toxic_lost, coalesce(sum(removed) over (partition by part, bit), 0)::bigint as shapley
+from counted
+"""
+
+
+@query
+def op13_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
 
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
