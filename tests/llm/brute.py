@@ -148,3 +148,78 @@ def mixed(docs, weights=(5, 2, 1), most=2):
         for k, i in enumerate(own):
             copies[i] = math.floor((k + 1) * c + u) - math.floor(k * c + u)
     return copies
+
+
+def merkle(rows, tampered):
+    """(doc_id, leaf, subroot, root, digest of the siblings, folded root, verified) of each (doc_id, source, lang, n_chars, text)."""
+    import hashlib
+
+    def h(s):
+        return hashlib.sha256(s.encode()).hexdigest()
+
+    def leaf(r):
+        return h("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in r))
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([h("".join(out[-1][i:i + 8])) for i in range(0, len(out[-1]), 8)])
+        return out
+
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append(r)
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    for g in names:
+        groups[g].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+    trees = {g: levels([leaf(r) for r in groups[g]]) for g in names}
+    top = levels([trees[g][-1][0] for g in names])
+    out = []
+    for k, g in enumerate(names):
+        for i, r in enumerate(groups[g]):
+            folded, others = leaf((*r[:4], lower(r[4]))) if r[4] is not None and tampered(r[0]) else leaf(r), ""
+            for tree, at in ((trees[g], i), (top, k)):
+                for level in tree[:-1]:
+                    run, place = level[at // 8 * 8:at // 8 * 8 + 8], at % 8
+                    others += "".join(run[:place] + run[place + 1:])
+                    folded, at = h("".join(run[:place] + [folded] + run[place + 1:])), at // 8
+            out.append((r[0], leaf(r), trees[g][-1][0], top[-1][0], h(others), folded, folded == top[-1][0]))
+    return out
+
+
+def filter_steps(docs, labels):
+    """(part, order, step) -> counts, by running every order over the documents (doc_id, source, text)."""
+    from itertools import permutations
+
+    first = {}
+    for d, _, t in docs:
+        if d is not None:
+            first[t or ""] = min(d, first.get(t or "", d))
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, x in labels if x == 1 and d is not None}
+
+    def fails(d, text):
+        t = text or ""
+        w = blank_words(t)
+        smaller = t in first and (d is None or first[t] < d)
+        return {f for f, x in zip("ABCDE", (len(w) < 200, 100 * len(set(w)) < 50 * len(w), 100 * sum("A" <= c <= "Z" for c in t) > 2 * len(t),
+                                            any(c in "#$%&*|" for c in t), smaller)) if x}
+
+    parts = {}
+    for d, s, t in docs:
+        parts.setdefault(s or "", []).append((d, fails(d, t)))
+    out = {}
+    for part, rows in parts.items():
+        total = dict.fromkeys("ABCDE", 0)
+        for order in map("".join, permutations("ABCDE")):
+            left = rows
+            for step, f in enumerate(order, 1):
+                gone = [r for r in left if f in r[1]]
+                left = [r for r in left if f not in r[1]]
+                total[f] += len(gone)
+                out[part, order, step] = [len(left), len(gone), sum(f in r[1] for r in rows) - len(gone), sum(r[1] == {f} for r in rows),
+                                          sum(r[0] in good for r in gone), sum(r[0] in toxic for r in gone)]
+        for (p, order, step), counts in out.items():
+            if p == part:
+                counts.append(total[order[step - 1]])
+    return {k: tuple(v) for k, v in out.items()}

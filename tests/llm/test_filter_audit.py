@@ -1,0 +1,111 @@
+import random
+
+import brute
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from samples import DOCS, make, odd_docs, prose  # noqa: F401 (fixtures)
+
+from conform.llm import filter_audit
+from conform.llm.filter_audit import audit_filters, counters_of, mask_counts, may_repeat, sketch
+
+LABELS = "doc_id long, quality int, toxic int"
+NUMBERS = ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
+def found(df):
+    rows = df.collect()
+    out = {(r.part, r.filter_order, r.step): tuple(r[c] for c in NUMBERS) for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def mixed_docs(n=300, seed=3):
+    """Texts that fail any set of the filters, copies among them, null and shared ids."""
+    r = random.Random(seed)
+    base = []
+    for i in range(60):
+        w = prose(i, r.choice([150, 199, 200, 260])).split()
+        if r.random() < 0.4:
+            w = w[:40] * 6
+        if r.random() < 0.4:
+            w = [x.upper() if k % 20 == 0 else x for k, x in enumerate(w)]
+        if r.random() < 0.3:
+            w[5] += r.choice("#$%&*|")
+        base.append(r.choice([" ", "\n", " \x0b"]).join(w))
+    base += [None, "", "é É", "A", " \t"]
+    return [(r.choice([None, i, i, i, i // 3]), r.choice(base), "en", r.choice([None, "", "a", "b"]), 0) for i in range(n)]
+
+
+LABELLED = [(i, i % 2, i % 3 == 0) for i in range(0, 300, 2)] + [(4, 1, None), (6, None, 1), (None, 1, 1), (8, 0, 0), (9999, 1, 1)]
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(d, q, None if x is None else int(x)) for d, q, x in LABELLED], LABELS)
+
+
+def expected(docs):
+    return brute.filter_steps([(d, s, t) for d, t, _, s, _ in docs], LABELLED)
+
+
+def test_against_every_order_run_over_the_documents(make, labels):
+    docs = mixed_docs()
+    want = expected(docs)
+    assert len(want) == 3 * 600 and len({v for v in want.values()}) > 200
+    assert found(audit_filters(make(docs, DOCS), labels)) == want
+
+
+def test_odd_rows_and_empty_tables(make, labels, odd_docs):
+    assert found(audit_filters(make(odd_docs, DOCS), labels)) == expected(odd_docs)
+    assert audit_filters(make([], DOCS), labels).collect() == []
+    docs = mixed_docs(40)
+    assert found(audit_filters(make(docs, DOCS), labels.where("false"))) == brute.filter_steps([(d, s, t) for d, t, _, s, _ in docs], [])
+
+
+def test_texts_that_share_a_hash_are_told_apart(make, labels):
+    docs = mixed_docs(200, 8)
+    assert found(audit_filters(make(docs, DOCS), labels, text_hash=lambda t: (F.length(t) % 5).cast("long"))) == expected(docs)
+
+
+def test_a_third_of_the_rows_is_one_text(make, labels):
+    docs = mixed_docs(200) + [(1000 + i, "the same", "en", "hot", 1) for i in range(400)]
+    assert found(audit_filters(make(docs, DOCS), labels)) == expected(docs)
+
+
+def test_the_sketch_clears_unique_texts_and_no_others(spark):
+    hashes = spark.range(0, 3000, 1, 7).select(F.when(F.col("id") < 500, F.col("id") % 100).otherwise(F.col("id")).alias("k")).select("k", F.xxhash64("k").alias("h"))
+    counters, bits = sketch(spark, hashes, 3000)
+    maybe = {r.k for r in hashes.where(may_repeat(F.col("h"), counters, bits)).collect()}
+    assert set(range(100)) <= maybe and len(maybe) < 130
+    full, small = sketch(spark, hashes, 1)                     # as with far more rows than counters: nothing is lost
+    assert small == filter_audit.LEAST_BITS
+    assert set(range(100)) <= {r.k for r in hashes.where(may_repeat(F.col("h"), full, small)).collect()}
+
+
+def test_sketches_of_tasks_add_up():
+    h = np.arange(50, dtype=np.int64)
+    batch = lambda x: pa.RecordBatch.from_arrays([pa.array(x)], names=["h"])
+
+    def merged(*tasks):
+        rows = [r for t in tasks for r in filter_audit._sketches(iter([batch(x) for x in t]), 16)]
+        (one,) = filter_audit._merged(iter(rows))
+        packed = np.frombuffer(one.column("places")[0].as_py(), np.uint8)
+        return np.stack([packed >> s & 3 for s in (0, 2, 4, 6)], 1).ravel()
+
+    once, at = merged([h]), counters_of(h.view(np.uint64), 16)
+    assert set(np.flatnonzero(once)) == set(at.ravel().tolist())
+    for tasks in ([[h], [h]], [[h, h]], [[np.concatenate([h, h])]], [[h], [h, h]]):
+        assert (merged(*tasks) == np.minimum(2 * once, 2)).all()
+
+
+def test_only_possible_repeats_are_shuffled(make, labels, monkeypatch):
+    seen = []
+    kept = filter_audit.staged
+    monkeypatch.setattr(filter_audit, "staged", lambda spark, df, name, *a: seen.append((name, df)) or kept(spark, df, name, *a))
+    docs = [(i, prose(i, 50), "en", "a", 0) for i in range(200)] + [(200 + i, prose(1, 50), "en", "b", 0) for i in range(30)]
+    counts = {(r["part"], r["mask"]): r["n"] for r in mask_counts(make(docs, DOCS), labels).where("n > 0").collect()}
+    assert counts == {("a", 1): 200, ("b", 17): 30}
+    first = dict(seen)["audit-firsts"].collect()
+    assert [(r["first"], r["n"]) for r in first] == [(1, 31)]

@@ -1,0 +1,83 @@
+from collections import Counter
+from zlib import crc32
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+from samples import DOCS, make, odd_docs  # noqa: F401 (fixtures)
+
+from conform.llm import merkle
+from conform.llm.merkle import audit, fold, hex_of, lowered_text, manifest, proofs
+
+COLUMNS = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def tampered(doc_id):
+    return doc_id is not None and crc32(str(doc_id).encode()) % 3 == 0
+
+
+def expected(rows):
+    return Counter(brute.merkle([(d, s, g, n, t) for d, t, g, s, n in rows], tampered))
+
+
+def found(df):
+    return Counter(tuple(r[c] for c in COLUMNS) for r in df.collect())
+
+
+def rows_of(sizes):
+    """Documents of groups of the given sizes, ids mixed over the groups."""
+    names = [None, "", "de", "é", "en", "z"]
+    out = [(k, g) for k, g in enumerate(g for g, n in zip(names, sizes) for _ in range(n))]
+    return [((k * 7919) % 100_003, f"Text {k}", g, None if k % 5 == 0 else "s", k) for k, g in out]
+
+
+@pytest.mark.parametrize("sizes", [(1,), (0, 1, 1), (1, 2, 8, 9, 65, 3), (0, 0, 600)])
+def test_trees_of_all_shapes(spark, sizes):
+    rows = rows_of(sizes)
+    assert found(audit(spark.createDataFrame(rows, DOCS), tampered=lowered_text())) == expected(rows)
+
+
+def test_ten_groups_need_two_levels_above(spark):
+    rows = [(i, "A b", f"g{i % 10}", "s", 3) for i in range(40)]
+    assert found(audit(spark.createDataFrame(rows, DOCS), tampered=lowered_text())) == expected(rows)
+
+
+def test_odd_rows_and_clashing_columns(make, odd_docs):
+    assert found(audit(make(odd_docs, DOCS), tampered=lowered_text())) == expected(odd_docs)
+    assert audit(make([], DOCS), tampered=lowered_text()).collect() == []
+
+
+def test_repeated_rows_are_split_in_the_join_by_digest(spark):
+    rows = [(5, "same", "en", "s", 4)] * 300 + rows_of((0, 0, 0, 0, 200))
+    docs = spark.createDataFrame(rows, DOCS)
+    m = manifest(docs)
+    assert m.groups.hot and not m.above.hot
+    assert found(audit(docs, tampered=lowered_text())) == expected(rows)
+
+
+def test_requests_descend_alone(spark):
+    docs = spark.createDataFrame(rows_of((1, 30, 100, 0, 700)), DOCS)
+    m = manifest(docs)
+    every = {(r.lang, r.at): r for r in proofs(m).collect()}
+    wanted = [(None, 0), ("", 29), ("", 29), ("de", 8), ("en", 0), ("en", 699), ("en", 700), ("no", 1)]
+    got = proofs(m, spark.createDataFrame(wanted, "lang string, at long")).collect()
+    assert sorted(((r.lang, r.at) for r in got), key=str) == sorted({w for w in wanted if w in every}, key=str)
+    assert all(r == every[r.lang, r.at] for r in got)
+    folded = proofs(m).select(hex_of(fold(F.col("leaf"), F.col("path"))).alias("r")).distinct().collect()
+    assert [r.r for r in folded] == [m.root.hex()]
+
+
+def test_the_root_tells_any_change_and_only_that(spark):
+    rows = rows_of((3, 20, 40))
+    docs = spark.createDataFrame(rows, DOCS)
+    root = manifest(docs).root
+    assert manifest(docs.repartition(7).orderBy("text")).root == root
+    other = spark.createDataFrame([*rows[:-1], (*rows[-1][:4], None)], DOCS)
+    assert manifest(other).root != root
+    assert manifest(docs, columns=("doc_id", "text"), group="source").root != root
+
+
+def test_levels_are_written_once_and_hold_runs_of_eight(spark):
+    m = manifest(spark.createDataFrame(rows_of((0, 0, 0, 0, 530)), DOCS))
+    sizes = {h: [len(r.children) // merkle.BYTES for r in spark.read.parquet(f"{m.groups.path}/height={h}").collect()] for h in range(1, m.groups.most + 1)}
+    assert [sum(v) for v in sizes.values()] == [530, 67, 9, 2] and all(max(v) <= 8 for v in sizes.values())
