@@ -35,9 +35,11 @@ OUT_BYTES = 4 << 20        # of ids in a batch that a task returns
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
-#: ASCII letters, perhaps a blank before and signs (no digit, no apostrophe) behind them.
-PLAIN = re.compile(r"( ?[A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
-BLANK_SIGN = "\u0120"       # fixed value: a blank in the vocabulary of a byte-level tokenizer
+#: Latin letters, perhaps a line end and a blank before and signs (no digit, no apostrophe) behind them.
+PLAIN = re.compile(r"(\n?)( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u017F]+)([!-&(-/:-@\[-`{-~]*)")
+#: How a byte is written in the vocabulary of a byte-level tokenizer: printable ones as they are, the others in order from U+0100.
+PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+SIGNS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 #: White space beyond ASCII (fixed values): next to it, texts are cut at ASCII letters and signs only.
 WIDE_BLANKS = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
@@ -69,15 +71,17 @@ class Encoder:
         return cls.kept[path]
 
     def _new(self, chunk: str) -> bytes:
-        """The chunk's ids as bytes. ASCII letters with a blank before them are one word to the tokenizer, as are the signs
-        behind them; its model takes such words as they are."""
+        """The chunk's ids as bytes. Letters with a blank before them are one word to the tokenizer, as are the signs behind
+        them and the line end before them; its model takes such words as they are."""
         plain = PLAIN.fullmatch(chunk)
         if not plain:
             return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
-        word, signs = plain.groups()
-        if signs:
-            return self._get(word) + self._get(signs)
-        return array("I", [t.id for t in self.model.tokenize(word.replace(" ", BLANK_SIGN))]).tobytes()
+        line, word, signs = plain.groups()
+        if line or signs:
+            return b"".join(self._get(x) for x in (line, word, signs) if x)
+        # of ASCII, only the blank is written differently
+        written = word.replace(" ", chr(SIGNS[0x20])) if word.isascii() else word.encode().decode("latin-1").translate(SIGNS)
+        return array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
 
     def _get(self, chunk: str) -> bytes:
         ids = self.young.get(chunk)

@@ -99,7 +99,7 @@ def test_a_placement_adds_least_to_the_sum_of_squares():
         assert options[w.best(n)] == min(options.values())
         w.add((0, 0, np.zeros(n, np.uint32)))
         assert w.held == w.level.sum() == sum(map(len, w.open.values()))
-    assert w.held < 200
+    assert w.held < 400                                        # first fit leaves about as many; one window a piece would be 2,000
 
 
 def test_ids_of_chunks_are_those_of_the_text():
