@@ -43,8 +43,11 @@ from conform.operators.serve import feeder_details, q_capacity_over, q_feeder_de
 from conform.plans import testbed as tb
 from conform.plans.jobs import CAPACITY_CLUSTER, DETAILS_CLUSTER, DIM_KEYS, DIM_ORDER, FACT_KEYS, FACT_ORDER, Layout, build_conformed, run_all
 from conform.session import scratch_path
-from conform.sources.csv import csv_scan, header_clean, provenance
+from conform.sources.csv import csv_load, csv_scan, header_clean, provenance
 from conform.sources.tables import (
+    BATCH,
+    LOAD_COL,
+    RAW_PARTITIONS,
     batch_scan,
     clustered_write,
     load_batch,
@@ -698,7 +701,9 @@ def q_csv_ingest(spark, d):
     _write_csv(bom, f"{land}/a")
     other = c.where(F.col("c_custkey") % 2 == 1).select(*reversed(c.columns))                # another column order
     _write_csv(other, f"{land}/b")
-    return customer_back(csv_scan(spark, [f"{land}/a", f"{land}/b"]))
+    path = scratch_path(spark, "customer")
+    csv_load(spark, [f"{land}/a", f"{land}/b"], lambda rows: publish(rows, path))
+    return customer_back(read_table(spark, path))
 
 
 @register("header_clean", "SELECT * FROM customer")
@@ -799,6 +804,54 @@ def q_batch_and_stream(spark, d):
     return customer_back(batch_scan(spark, table_path, batch_date=FIXED_CTX.batch_date, source_id="utility2", run_id=FIXED_CTX.pipeline_run_id))
 
 
+@register("stream_and_batch", "SELECT * FROM customer")
+def q_stream_and_batch(spark, d):
+    """One raw batch of a source with signs in its id: streamed, dropped, streamed, and the drop sent again in full.
+
+    The drop's first load lacks rows, and one that a dead job left behind is still there; only the last one counts, beside all micro-batches.
+    """
+    c, source = tb.table(spark, d, "customer"), "u:2 50%/x"
+    land, path, ckpt = (scratch_path(spark, f"{x}-mixed") for x in ("landing", "raw", "ckpt"))
+    key = F.col("c_custkey") % 4
+
+    def stream(k: int) -> None:
+        _write_csv(c.where(key == k), f"{land}/stream/drop{k}")
+        stream_ingest(spark, f"{land}/stream/*", STREAM_COLUMNS, source, path, ckpt, FIXED_CTX)
+
+    def batch(rows: DataFrame, run: str) -> None:
+        load_batch(audit_stamp(rows.withColumn("utility_id", F.lit(source)), FIXED_CTX), path, source, FIXED_CTX.batch_date, run)
+
+    _write_csv(c.where(key >= 2), f"{land}/batch")
+    drop = csv_scan(spark, f"{land}/batch")
+    stream(0)
+    batch(drop.where(F.length("c_custkey") > 1), "run-a")
+    stream(1)
+    batch(drop, "run-b")
+    left = audit_stamp(drop.withColumn("utility_id", F.lit(source)), FIXED_CTX).withColumn(LOAD_COL, F.lit(f"{BATCH}-{1:015d}-dead"))
+    partition_replace(left, path, RAW_PARTITIONS)
+    return customer_back(batch_scan(spark, path, batch_date=FIXED_CTX.batch_date, source_id=source))
+
+
+@register("stream_checks", """
+    SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal >= 0""")
+def q_stream_checks(spark, d):
+    """Checks on a stream: a drop that fails leaves nothing, and its files are read again once the check allows it."""
+    c = tb.table(spark, d, "customer")
+    land, path, ckpt = (scratch_path(spark, f"{x}-checked") for x in ("landing", "raw", "ckpt"))
+    _write_csv(c, f"{land}/drop")
+
+    def run(*checks: Check) -> None:
+        stream_ingest(spark, f"{land}/*", STREAM_COLUMNS, "utility2", path, ckpt, FIXED_CTX, checks=checks)
+
+    try:
+        run(Check("balance", "CAST(c_acctbal AS DOUBLE) >= 0", "fail"))
+    except Exception as e:  # noqa: BLE001 the stream wraps the failed check
+        if "check balance (fail)" not in str(e):
+            raise
+    run(Check("balance", "CAST(c_acctbal AS DOUBLE) >= 0", "drop"))
+    return customer_back(batch_scan(spark, path)).select("c_custkey", "c_acctbal")
+
+
 # ------------------------------------------------------------------ whole chain
 def write_landing(spark, d, landing: str) -> None:
     """Write both sources' drops as CSV files named as the specs expect."""

@@ -35,22 +35,16 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir``. Only a session on a local master may leave it unset (tests): a fresh
-    folder is created and registered as the checkpoint dir. On a cluster executors would write to their own
-    disks, so an unset folder is an error there.
+    folder is created and registered with the context, which names it from then on (the setting itself can't be
+    changed in a running session). On a cluster executors would write to their own disks, so an unset folder is an error there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # Spark Connect has no SparkContext
-            root = None
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         master = spark.conf.get("spark.master", "")
         if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share (master {master!r})")
-        root = tempfile.mkdtemp(prefix="conform-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="conform-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

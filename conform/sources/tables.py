@@ -22,6 +22,8 @@ def write_observed(df: DataFrame, write, name: str = "write", extra: Sequence |
 
 
 LOAD_COL = "load"
+BATCH, STREAM = "batch", "stream"  # kinds of loads; a load's name starts with its kind
+RAW_PARTITIONS = ("utility_id", "batch_date", LOAD_COL)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -49,29 +51,62 @@ def partition_replace(df: DataFrame, path: str, partition_cols: Sequence[str] =
     return write_observed(df.hint("rebalance", *partition_cols), _w, "partition_replace")
 
 
-def load_batch(df: DataFrame, path: str, source_id: str, batch_date, load: str, replace: bool = True) -> dict:
-    """Write one load of one (source, batch) of a raw table, by default in place of all its other loads.
+def partition_folder(spark: SparkSession, column: str, value) -> str:
+    """The folder name that Spark's writer gives a partition value (it escapes signs such as a colon or a blank)."""
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return utils.getPartitionPathString(column, str(value))
 
-    Raw tables have one layout for batch and streaming: ``utility_id / batch_date / load``. ``df`` holds rows of that source and
-    batch only. The new load is written first and the others are removed after it, so a job that dies in
-    between loses nothing and a re-run completes it; a load written twice replaces itself. An empty re-send clears
-    the batch. ``replace=False`` adds the load beside the others (a micro-batch of a stream).
+
+def kind_of(load: str) -> str:
+    """A load's kind; loads from before there were kinds are batches."""
+    return STREAM if load.startswith(f"{STREAM}-") else BATCH
+
+
+def load_batch(df: DataFrame, path: str, source_id: str, batch_date, load: str, kind: str = BATCH) -> dict:
+    """Write one load of one (source, batch) of a raw table; ``df`` holds rows of that source and batch only.
+
+    Raw tables have one layout for batch and streaming: ``utility_id / batch_date / load``. A load of the kind ``batch`` stands for
+    the whole drop: it takes the place of all earlier batch loads, and an empty one clears them. Its name holds the time of the
+    load, and ``batch_scan`` reads the newest only, so readers never see two; the older ones are removed after the new one
+    was written, and what a job that died in between left is removed by the next. A load of the kind ``stream`` is one
+    micro-batch: it replaces an earlier attempt of itself and nothing else. The kinds don't touch each other, so a drop
+    may be sent again while a stream fills the same batch.
     """
     spark = df.sparkSession
-    where = f"{path.rstrip('/')}/utility_id={source_id}/batch_date={batch_date}"
-    metrics = partition_replace(df.withColumn(LOAD_COL, F.lit(load)), path, ("utility_id", "batch_date", LOAD_COL))
-    own = f"{LOAD_COL}={load}"
-    for name in _folders(spark, where):
-        if (replace and name != own) or (name == own and not metrics["rows"]):
-            remove(spark, f"{where}/{name}")
+    where = "/".join([path.rstrip("/"), partition_folder(spark, "utility_id", source_id), partition_folder(spark, "batch_date", batch_date)])
+    name = f"{BATCH}-{int(time.time() * 1000):015d}-{load}" if kind == BATCH else f"{STREAM}-{load}"
+    own = partition_folder(spark, LOAD_COL, name)
+    metrics = partition_replace(df.withColumn(LOAD_COL, F.lit(name)), path, RAW_PARTITIONS)
+    for folder in _folders(spark, where):
+        replaced = kind == BATCH and folder != own and kind_of(folder.partition("=")[2]) == BATCH
+        if replaced or (folder == own and not metrics["rows"]):
+            remove(spark, f"{where}/{folder}")
     return metrics
 
 
+def superseded(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
+    """(utility_id, batch_date, load) folders of batch loads that a newer one of the same batch has replaced but that are still there.
+
+    From a listing of the folders; as a rule there are none.
+    """
+    fs, p, jvm = _fs(spark, path)
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    held: dict[tuple[str, str], list[str]] = {}
+    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(p, "utility_id=*/batch_date=*/load=*")) or []:
+        parts = [unescape(x.partition("=")[2]) for x in st.getPath().toString().rsplit("/", 3)[1:]]
+        if kind_of(parts[2]) == BATCH:
+            held.setdefault((parts[0], parts[1]), []).append(parts[2])
+    # names from before there were kinds have no time: any timed load is newer
+    timed = lambda n: (n.startswith(f"{BATCH}-"), n)
+    return [(*k, n) for k, names in held.items() for n in sorted(names, key=timed)[:-1]]
+
+
 def batch_scan(spark: SparkSession, path: str, batch_date=None, run_id: str | None = None,
                source_id: str | None = None) -> DataFrame:
     """Read a raw table limited to one batch / run / source (partition pruning on the folders).
 
-    A limit on a column that the table lacks is an error, never ignored.
+    Of a batch's loads all micro-batches count, but only the newest whole drop, also while it is being replaced. A limit on a
+    column that the table lacks is an error, never ignored.
     """
     df = spark.read.parquet(path)
     for column, value in (("utility_id", source_id), ("batch_date", batch_date), ("pipeline_run_id", run_id)):
@@ -80,6 +115,9 @@ def batch_scan(spark: SparkSession, path: str, batch_date=None, run_id: str | No
         if column not in df.columns:
             raise ValueError(f"{path} has no column {column!r} to limit the scan by")
         df = df.where(F.col(column) == (F.lit(value).cast("date") if column == "batch_date" else F.lit(value)))
+    if LOAD_COL in df.columns:
+        for utility_id, day, load in superseded(spark, path):
+            df = df.where(~((F.col("utility_id") == utility_id) & (F.col("batch_date") == F.lit(day).cast("date")) & (F.col(LOAD_COL) == load)))
     return df
 
 

@@ -7,6 +7,8 @@ from datetime import date
 import pytest
 
 from conform.context import RunContext
+from conform.operators.quality import Check
+from conform.sources.tables import batch_scan, load_batch
 from conform.streaming import stream_ingest
 
 from conftest import U2_CIRCUITS, write_drop
@@ -60,3 +62,39 @@ def test_new_checkpoint_keeps_what_an_earlier_stream_wrote(spark, tmp_path):
         write_drop(land, {"a.csv": f"id\nx{i}\n"})
         stream_ingest(spark, str(land), None, "u", table, str(tmp_path / f"ck4-{i}"), ctx)
     assert sorted(r.id for r in spark.read.parquet(table).collect()) == ["x0", "x1"]
+
+
+def test_stream_and_drop_of_one_batch_in_any_order(spark, tmp_path):
+    """A drop replaces earlier drops only: streamed rows stay, and the stream wouldn't read their files again."""
+    ctx, table, land = RunContext("run-s", date(2026, 4, 1)), str(tmp_path / "raw5"), tmp_path / "land5"
+
+    def stream(name):
+        write_drop(land, {f"{name}.csv": f"id\n{name}\n"})
+        return stream_ingest(spark, str(land), ["id"], "u", table, str(tmp_path / "ck5"), ctx)["micro_batches"]
+
+    def drop(*ids):
+        rows = spark.createDataFrame([(i, "u", ctx.batch_date) for i in ids], "id string, utility_id string, batch_date date")
+        load_batch(rows, table, "u", ctx.batch_date, "run")
+
+    assert stream("s1") == 1
+    drop("d1", "d2")
+    assert stream("s2") == 1
+    drop("d3")
+    assert sorted(r.id for r in batch_scan(spark, table, ctx.batch_date).select("id").collect()) == ["d3", "s1", "s2"]
+
+
+def test_a_failing_check_leaves_no_load_and_the_files_unread(spark, tmp_path):
+    ctx, table, land, ckpt = RunContext("run-s", date(2026, 4, 1)), str(tmp_path / "raw6"), tmp_path / "land6", str(tmp_path / "ck6")
+    write_drop(land, {"a.csv": "id,n\n1,5\n2,-1\n"})
+
+    def run(severity):
+        return stream_ingest(spark, str(land), ["id", "n"], "u", table, ckpt, ctx, checks=[Check("positive", "CAST(n AS INT) > 0", severity)])
+
+    for _ in range(2):
+        with pytest.raises(Exception, match="check positive .fail. rejects 1 of 2 rows"):
+            run("fail")
+        assert not (tmp_path / "raw6").exists()
+    out = run("drop")
+    assert out["micro_batches"] == 1 and [r["failed_rows"] for r in out["checks"]] == [1]
+    assert [r.id for r in spark.read.parquet(table).collect()] == ["1"]
+    assert run("fail") == {"micro_batches": 0, "checks": []}

@@ -12,8 +12,11 @@ from conform.context import RunContext
 from conform.plans.jobs import pipe_conform, pipe_raw
 from conform.operators.merge import upsert
 from conform.session import scratch_root
-from conform.sources.csv import csv_scan
+from conform.sources.csv import csv_load, csv_scan
 from conform.sources.tables import (
+    LOAD_COL,
+    RAW_PARTITIONS,
+    STREAM,
     batch_scan,
     clustered_write,
     load_batch,
@@ -21,6 +24,7 @@ from conform.sources.tables import (
     publish,
     read_table,
     snapshot_versions,
+    superseded,
     write_observed,
 )
 from conform.spec import DerDataset, SourceSpec, UTILITY1, UTILITY2
@@ -156,14 +160,45 @@ def test_loads_replace_a_batch_whole(spark, tmp_path):
 
     load_batch(rows(1, 2), path, "u", day, "run-1")
     load_batch(rows(9, d=date(2026, 5, 1)), path, "u", date(2026, 5, 1), "run-1")
-    load_batch(rows(3), path, "u", day, "stream-x-0", replace=False)
+    load_batch(rows(3), path, "u", day, "x-0", kind=STREAM)
     assert there() == [1, 2, 3, 9]
-    load_batch(rows(4), path, "u", day, "run-2")                 # a re-send: every load of the batch goes
-    assert there() == [4, 9]
+    load_batch(rows(4), path, "u", day, "run-2")                 # a re-send: the batch's earlier drops go, the stream stays
+    assert there() == [3, 4, 9]
     load_batch(rows(4, 5), path, "u", day, "run-2")              # the same run again
-    assert there() == [4, 5, 9]
-    load_batch(rows(1).where("id > 1"), path, "u", day, "run-3")  # an empty re-send clears the batch
-    assert there() == [9]
+    load_batch(rows(6), path, "u", day, "x-0", kind=STREAM)      # a replayed micro-batch
+    load_batch(rows(7), path, "u", day, "x-1", kind=STREAM)
+    assert there() == [4, 5, 6, 7, 9]
+    load_batch(rows(1).where("id > 1"), path, "u", day, "run-3")  # an empty re-send clears the drop
+    assert there() == [6, 7, 9]
+
+
+@pytest.mark.parametrize("source", ["u:1", "50% a/b", "a=b", "ü 'x'\"#"])
+def test_a_source_id_with_any_signs_is_not_doubled(spark, tmp_path, source):
+    path, day = str(tmp_path / "raw"), date(2026, 4, 1)
+    for run in ("run:1", "run 2"):
+        load_batch(spark.range(2).select("id", F.lit(source).alias("utility_id"), F.lit(day).alias("batch_date")), path, source, day, run)
+    assert [tuple(r) for r in batch_scan(spark, path, day, source_id=source).select("id", "utility_id").orderBy("id").collect()] == [(0, source), (1, source)]
+
+
+def test_a_reader_never_sees_two_drops_of_a_batch(spark, tmp_path):
+    path, day = str(tmp_path / "raw"), date(2026, 4, 1)
+
+    def rows(*ids, u="u"):
+        return spark.createDataFrame([(i,) for i in ids], "id long").select("id", F.lit(u).alias("utility_id"), F.lit(day).alias("batch_date"))
+
+    def left(load, *ids, u="u"):                                 # as a job leaves it that died before it removed the others
+        partition_replace(rows(*ids, u=u).withColumn(LOAD_COL, F.lit(load)), path, RAW_PARTITIONS)
+
+    load_batch(rows(1, 2), path, "u", day, "run-1")
+    left("batch-000000000000001-old", 7)
+    left("run-without-kind", 8)                                  # a load from before there were kinds
+    left("stream-x-0", 3)
+    left("batch-000000000000002-other", 9, u="v")
+    assert len(superseded(spark, path)) == 2
+    assert sorted(r.id for r in batch_scan(spark, path, day).collect()) == [1, 2, 3, 9]
+    load_batch(rows(5), path, "u", day, "run-2")
+    assert superseded(spark, path) == []
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [3, 5, 9]
 
 
 def test_partition_writes_have_few_files(spark, tmp_path):
@@ -188,13 +223,44 @@ def test_no_hot_range_in_a_clustered_write(spark, tmp_path):
     assert all(x[1] <= y[0] for x, y in zip(ranges, ranges[1:]))
 
 
+def csv_rows(spark, path, **kw):
+    return csv_load(spark, str(path), lambda rows: rows.collect(), **kw)
+
+
 def test_csv_files_are_read_by_their_own_headers(spark, tmp_path):
     write_drop(tmp_path / "d", {"a.csv": "id,cap\n1,10\n", "b.csv": "\ufeff cap ,id\n20,2\n", "c.csv": "id,cap,more\n3,30,x\n", "e.csv": ""})
-    got = csv_scan(spark, str(tmp_path / "d"), source_id="u")
-    assert sorted((r.id, r["cap"], r.more, r.source_file[-5:]) for r in got.collect()) == [
+    got = csv_rows(spark, tmp_path / "d", source_id="u")
+    assert sorted((r.id, r["cap"], r.more, r.source_file[-5:]) for r in got) == [
         ("1", "10", None, "a.csv"), ("2", "20", None, "b.csv"), ("3", "30", "x", "c.csv")]
-    assert csv_scan(spark, str(tmp_path / "d"), columns=["cap", "id"]).columns == ["cap", "id"]
+    assert sorted(map(tuple, csv_rows(spark, tmp_path / "d", columns=["cap", "id"]))) == [("1", "10"), ("2", "20"), ("3", "30")]
     with pytest.raises(ValueError, match="lacks the columns"):
-        csv_scan(spark, str(tmp_path / "d"), columns=["more"])
+        csv_rows(spark, tmp_path / "d", columns=["more"])
     with pytest.raises(Exception):
-        csv_scan(spark, str(tmp_path / "nothing"))
+        csv_rows(spark, tmp_path / "nothing")
+
+
+@pytest.mark.parametrize("other", ["cap,id\n20,2\n", "id\n2\n", "id,cap,more\n2,20,x\n", "id,size\n2,20\n"])
+@pytest.mark.parametrize("multiline", [False, True])
+def test_a_file_with_another_header_is_never_read_under_wrong_names(spark, tmp_path, other, multiline):
+    write_drop(tmp_path / "d", {"a.csv": "id,cap\n1,10\n", "b.csv": other})
+    with pytest.raises(Exception, match="header"):
+        csv_scan(spark, str(tmp_path / "d"), multiline).collect()
+    rows = csv_rows(spark, tmp_path / "d", multiline=multiline)
+    assert sorted((r.id, r["cap"]) for r in rows) == [("1", "10"), ("2", "20" if "cap" in other else None)]
+
+
+def test_one_bom_and_blank_lines(spark, tmp_path):
+    write_drop(tmp_path / "d", {"a.csv": "\ufeffid, cap\n1,10\n", "b.csv": "\ufeffid, cap\n2,20\n", "c.csv": "\n\n", "e.csv": ""})
+    assert sorted((r.id, r["cap"]) for r in csv_rows(spark, tmp_path / "d")) == [("1", "10"), ("2", "20")]
+    write_drop(tmp_path / "none", {"a.csv": ""})
+    assert csv_rows(spark, tmp_path / "none", columns=["id"], source_id="u") == []
+
+
+def test_driver_jobs_do_not_grow_with_the_files(spark, tmp_path):
+    write_drop(tmp_path / "many", {f"f{i:03d}.csv": f"id,cap\n{i},{i}\n" for i in range(200)})
+    sc = spark.sparkContext
+    sc.setJobGroup("many-files", "scan")
+    rows = csv_scan(spark, str(tmp_path / "many"))
+    jobs = len(sc.statusTracker().getJobIdsForGroup("many-files"))
+    sc.setJobGroup("", "")
+    assert jobs <= 3 and rows.count() == 200
