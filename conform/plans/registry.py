@@ -19,7 +19,7 @@ from conform.context import RunContext, audit_stamp
 from conform.functions.scalars import key_normalise, lenient_number, lenient_ts
 from conform.operators.conform import conform_dim_source, conform_fact_source, conform_facts, conform_lookup_source, union_all
 from conform.operators.dedup import latest_per_key
-from conform.operators.merge import scd2_apply, scd2_from_history, upsert
+from conform.operators.merge import scd2_apply, scd2_from_history, scd2_insert, upsert
 from conform.operators.quality import (
     DIM_CHECKS,
     FACT_CHECKS,
@@ -30,6 +30,7 @@ from conform.operators.quality import (
     dup_keys,
     expected_columns,
     failing_rows,
+    header_drift,
     missing_categories,
     null_key_rows,
     null_key_triage,
@@ -44,6 +45,7 @@ from conform.plans import testbed as tb
 from conform.plans.jobs import CAPACITY_CLUSTER, DETAILS_CLUSTER, DIM_KEYS, DIM_ORDER, FACT_KEYS, FACT_ORDER, Layout, build_conformed, run_all
 from conform.session import scratch_path
 from conform.sources.csv import csv_load, csv_scan, header_clean, provenance
+from conform.sources.keyed import read_keyed, upsert_keyed, without_bucket
 from conform.sources.tables import (
     BATCH,
     LOAD_COL,
@@ -53,6 +55,7 @@ from conform.sources.tables import (
     load_batch,
     partition_replace,
     publish,
+    raw_headers,
     read_table,
     write_observed,
 )
@@ -331,6 +334,26 @@ def q_upsert_only_newer(spark, d):
     return upsert(fact.where(k % 3 != 2), source, FACT_KEYS, only_newer=True)
 
 
+@register("upsert_keyed", tb.with_views("""
+    SELECT * REPLACE (capacity_kw + CASE WHEN CAST(der_id AS BIGINT) % 3 = 0 OR CAST(der_id AS BIGINT) % 2 = 0 THEN 1 ELSE 0 END
+                      + CASE WHEN CAST(der_id AS BIGINT) = (SELECT min(o_orderkey) FROM orders) THEN 5 ELSE 0 END AS capacity_kw)
+    FROM f2""", "f2"))
+def q_upsert_keyed(spark, d):
+    """A fact table in buckets of its key: two thirds loaded, a batch that changes and adds, then a batch of a single DER, which rewrites one bucket."""
+    d2 = tb.der2(spark, d)
+    fact = conform_facts({st: d2[ds.dataset] for st, ds in UTILITY2.der}, UTILITY2)
+    k, path = F.col("der_id").cast("bigint"), scratch_path(spark, "fact-keyed")
+    upsert_keyed(fact.where(k % 3 != 0), path, FACT_KEYS, ("utility_id",), 16)
+    upsert_keyed(fact.where((k % 3 == 0) | (k % 2 == 0)).withColumn("capacity_kw", F.col("capacity_kw") + 1), path, FACT_KEYS, ("utility_id",), 16)
+    state = without_bucket(read_keyed(spark, path, fact.schema))
+    least = state.agg(F.min(k).alias("k"))
+    one = state.join(least, F.col("der_id").cast("bigint") == F.col("k"), "left_semi").withColumn("capacity_kw", F.col("capacity_kw") + 5)
+    done = upsert_keyed(one, path, FACT_KEYS, ("utility_id",), 16)
+    out = without_bucket(read_keyed(spark, path, fact.schema)).select(*fact.columns)
+    # the last batch is a single DER: that it rewrote one bucket is part of the result
+    return ntz(out.where(F.lit(done["buckets"] == 1)))
+
+
 @register("scd2_history", """
     WITH h AS (
         SELECT o_custkey, o_orderpriority, o_orderdate, o_orderkey,
@@ -381,6 +404,30 @@ def q_scd2_apply(spark, d):
     return scd2_apply(current, _latest_priority(o), ["o_custkey"], ["o_orderpriority"], date.fromisoformat(SCD2_END))
 
 
+YEARS_APPLIED = (1995, 1992, 1998, 1993, 1997, 1994, 1996, 1993)  # late batches, and one that is sent twice
+
+
+@register("scd2_late", """
+    WITH y AS (SELECT o_custkey, CAST(date_trunc('year', o_orderdate) AS DATE) AS day, o_orderpriority,
+                      row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders),
+    h AS (SELECT *, lag(o_orderpriority) OVER w AS prev, row_number() OVER w AS n FROM y WHERE rn = 1 WINDOW w AS (PARTITION BY o_custkey ORDER BY day)),
+    s AS (SELECT * FROM h WHERE n = 1 OR prev IS DISTINCT FROM o_orderpriority)
+    SELECT o_custkey, o_orderpriority, day AS effective_from, lead(day) OVER (PARTITION BY o_custkey ORDER BY day) AS effective_to,
+           lead(day) OVER (PARTITION BY o_custkey ORDER BY day) IS NULL AS is_current FROM s""")
+def q_scd2_late(spark, d):
+    """Yearly batches of the customers' last priority, applied out of order; one first came with other values and is sent again."""
+    o = tb.table(spark, d, "orders").withColumn("_year", F.year("o_orderdate"))
+    path, seen = scratch_path(spark, "scd2-late"), set()
+    years = [r[0] for r in o.select("_year").distinct().collect()]
+    for year in [*YEARS_APPLIED, *sorted(set(years) - set(YEARS_APPLIED))]:
+        batch = _latest_priority(o.where(F.col("_year") == year))
+        if year == YEARS_APPLIED[-1] and year not in seen:
+            batch = batch.withColumn("o_orderpriority", F.reverse("o_orderpriority"))
+        seen.add(year)
+        publish(scd2_insert(read_table(spark, path), batch, ["o_custkey"], ["o_orderpriority"], date(year, 1, 1)), path)
+    return read_table(spark, path).drop("seen")
+
+
 # ------------------------------------------------------------------ checks
 def circ2_with_nulls(spark, d) -> DataFrame:
     _utc(spark)
@@ -852,6 +899,51 @@ def q_stream_checks(spark, d):
     return customer_back(batch_scan(spark, path)).select("c_custkey", "c_acctbal")
 
 
+# Three batches of one raw table whose headers differ: all columns; one renamed and one more; one lacking and one renamed past recognition.
+DRIFT_BATCHES = ("2024-01-01", "2024-02-01", "2024-03-01")
+DRIFT_EXPECTED = {"o_orderkey": "double", "o_custkey": "double", "o_totalprice": "double", "o_orderpriority": "string"}
+
+
+def drifting_loads(spark, d) -> str:
+    path = scratch_path(spark, "raw-drift")
+    o = tb.table(spark, d, "orders").select(*[F.col(c).cast("string") for c in DRIFT_EXPECTED], F.lit("utility2").alias("utility_id"))
+    shapes = (lambda x: x, lambda x: x.withColumnRenamed("o_totalprice", "O_Total_Price").withColumn("remarks", F.col("o_orderkey")),
+              lambda x: x.drop("o_orderpriority").withColumnRenamed("o_custkey", "buyer"))
+    for i, (day, shape) in enumerate(zip(DRIFT_BATCHES, shapes)):
+        rows = shape(o.where(F.col("o_orderkey").cast("bigint") % 3 == i)).withColumn("batch_date", F.lit(day).cast("date"))
+        load_batch(rows, path, "utility2", day, f"run-{i}")
+    return path
+
+
+@register("header_drift", f"""
+    SELECT 'utility2' AS utility_id, CAST(day AS DATE) AS batch_date, column_name, state, renamed FROM (VALUES
+      ('{DRIFT_BATCHES[0]}', 'o_orderkey', 'present', NULL), ('{DRIFT_BATCHES[0]}', 'o_custkey', 'present', NULL),
+      ('{DRIFT_BATCHES[0]}', 'o_totalprice', 'present', NULL), ('{DRIFT_BATCHES[0]}', 'o_orderpriority', 'present', NULL),
+      ('{DRIFT_BATCHES[1]}', 'o_orderkey', 'present', NULL), ('{DRIFT_BATCHES[1]}', 'o_custkey', 'present', NULL),
+      ('{DRIFT_BATCHES[1]}', 'o_totalprice', 'missing', 'O_Total_Price'), ('{DRIFT_BATCHES[1]}', 'O_Total_Price', 'unexpected', 'o_totalprice'),
+      ('{DRIFT_BATCHES[1]}', 'remarks', 'unexpected', NULL), ('{DRIFT_BATCHES[1]}', 'o_orderpriority', 'present', NULL),
+      ('{DRIFT_BATCHES[2]}', 'o_orderkey', 'present', NULL), ('{DRIFT_BATCHES[2]}', 'o_custkey', 'missing', NULL),
+      ('{DRIFT_BATCHES[2]}', 'buyer', 'unexpected', NULL), ('{DRIFT_BATCHES[2]}', 'o_totalprice', 'present', NULL),
+      ('{DRIFT_BATCHES[2]}', 'o_orderpriority', 'missing', NULL)) AS v(day, column_name, state, renamed)
+    WHERE (SELECT count(DISTINCT o_orderkey % 3) FROM orders) = 3""")
+def q_header_drift(spark, d):
+    """Lacking, new and renamed columns of each batch of a raw table."""
+    return header_drift(raw_headers(spark, drifting_loads(spark, d)), list(DRIFT_EXPECTED))
+
+
+@register("schema_drift_by_batch", f"""
+    WITH b AS (SELECT o_orderkey % 3 AS i, count(*) AS n, [{", ".join(f"DATE '{x}'" for x in DRIFT_BATCHES)}][CAST(o_orderkey % 3 AS INT) + 1] AS batch_date
+               FROM orders GROUP BY o_orderkey % 3),
+    c(column_name, expected_type, lacking) AS (VALUES ('o_orderkey', 'double', -1), ('o_custkey', 'double', 2), ('o_totalprice', 'double', 1), ('o_orderpriority', 'string', 2))
+    SELECT batch_date, n AS total_rows, column_name, expected_type, i <> lacking AS present, CASE WHEN i <> lacking THEN 0.0::DOUBLE END AS null_rate,
+           CASE WHEN i <> lacking THEN 0.0::DOUBLE END AS cast_fail_rate FROM b, c""")
+def q_schema_drift_by_batch(spark, d):
+    """A column that one batch's files lack is absent there, not empty."""
+    path = drifting_loads(spark, d)
+    raw = spark.read.option("mergeSchema", "true").parquet(path)
+    return schema_drift(raw, DRIFT_EXPECTED, ["batch_date"], headers=raw_headers(spark, path))
+
+
 # ------------------------------------------------------------------ whole chain
 def write_landing(spark, d, landing: str) -> None:
     """Write both sources' drops as CSV files named as the specs expect."""

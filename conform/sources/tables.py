@@ -5,9 +5,11 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_observed(df: DataFrame, write, name: str = "write", extra: Sequence | None = None) -> dict:
@@ -24,6 +26,7 @@ def write_observed(df: DataFrame, write, name: str = "write", extra: Sequence |
 LOAD_COL = "load"
 BATCH, STREAM = "batch", "stream"  # kinds of loads; a load's name starts with its kind
 RAW_PARTITIONS = ("utility_id", "batch_date", LOAD_COL)
+RAW_TYPES = {"utility_id": T.StringType(), "batch_date": T.DateType(), LOAD_COL: T.StringType()}
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -57,6 +60,18 @@ def partition_folder(spark: SparkSession, column: str, value) -> str:
     return utils.getPartitionPathString(column, str(value))
 
 
+def read_typed(spark: SparkSession, path: str, types: dict[str, T.DataType]) -> DataFrame:
+    """A table of files whose columns have the given types where it has them.
+
+    Spark types partition values by their looks, so a source called 007 would be read as the number 7; such a table is
+    opened again with the types stated.
+    """
+    df = spark.read.parquet(path)
+    if all(types.get(f.name, f.dataType) == f.dataType for f in df.schema.fields):
+        return df
+    return spark.read.schema(T.StructType([T.StructField(f.name, types.get(f.name, f.dataType), True) for f in df.schema.fields])).parquet(path)
+
+
 def kind_of(load: str) -> str:
     """A load's kind; loads from before there were kinds are batches."""
     return STREAM if load.startswith(f"{STREAM}-") else BATCH
@@ -101,6 +116,29 @@ def superseded(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
     return [(*k, n) for k, names in held.items() for n in sorted(names, key=timed)[:-1]]
 
 
+def raw_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(utility_id, batch_date, load, column_name) of a raw table: which columns each load has, from its own files' footers.
+
+    A read of the whole table would take one schema for all loads. One footer a load is read, eight at a time; loads
+    that a newer drop has replaced are left out.
+    """
+    fs, p, jvm = _fs(spark, path)
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    old, loads = set(superseded(spark, path)), {}
+    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(p, "utility_id=*/batch_date=*/load=*")) or []:
+        folder = st.getPath().toString()
+        key = tuple(unescape(x.partition("=")[2]) for x in folder.rsplit("/", 3)[1:])
+        if key not in old:
+            loads[key] = folder
+    if not loads:
+        return spark.createDataFrame([], "utility_id string, batch_date date, load string, column_name string")
+    with ThreadPoolExecutor(max_workers=min(8, len(loads))) as pool:
+        columns = pool.map(lambda folder: spark.read.parquet(folder).columns, loads.values())
+        rows = [(u, day, load, c) for (u, day, load), names in zip(loads, columns) for c in names]
+    return spark.createDataFrame(rows, "utility_id string, batch_date string, load string, column_name string") \
+        .withColumn("batch_date", F.col("batch_date").cast("date"))
+
+
 def batch_scan(spark: SparkSession, path: str, batch_date=None, run_id: str | None = None,
                source_id: str | None = None) -> DataFrame:
     """Read a raw table limited to one batch / run / source (partition pruning on the folders).
@@ -108,7 +146,7 @@ def batch_scan(spark: SparkSession, path: str, batch_date=None, run_id: str | No
     Of a batch's loads all micro-batches count, but only the newest whole drop, also while it is being replaced. A limit on a
     column that the table lacks is an error, never ignored.
     """
-    df = spark.read.parquet(path)
+    df = read_typed(spark, path, RAW_TYPES)
     for column, value in (("utility_id", source_id), ("batch_date", batch_date), ("pipeline_run_id", run_id)):
         if value is None:
             continue
