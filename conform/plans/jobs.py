@@ -35,6 +35,7 @@ from conform.operators.quality import (
 from conform.operators.resolve import feeder_lookup
 from conform.operators.serve import feeder_details
 from conform.sources.csv import csv_load
+from conform.sources.keyed import upsert_keyed
 from conform.sources.tables import batch_scan, load_batch, publish, read_table
 from conform.spec import SourceSpec
 
@@ -55,6 +56,7 @@ class Layout:
     raw: str
     conformed: str
     serving: str
+    fact_buckets: int = 16  # of the fact table's key, fixed once it exists; more for a table of many TB
 
     def raw_table(self, source_id: str, dataset: str) -> str:
         return f"{self.raw}/{source_id}_{dataset}"
@@ -136,7 +138,8 @@ def pipe_conform(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layou
 
     Order: bridges → dimension (checks, then latest row per feeder, then upsert) → facts of
     both statuses (latest row per DER, checks, upsert). Facts resolve direct feeder ids
-    against the *upserted* dimension, so feeders of earlier batches still resolve.
+    against the *upserted* dimension, so feeders of earlier batches still resolve. The dimension is published as a whole; of
+    the facts, all history, only the sources and key buckets of the batch are rewritten (``fact_der`` counts these rows).
     """
     batch = ctx.batch_date if batch_date is None else batch_date
     raws = {(s.source_id, ds): batch_scan(spark, layout.raw_table(s.source_id, ds), batch_date=batch)
@@ -178,9 +181,9 @@ def pipe_conform(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layou
     lap("fact_stage")
     fact_new = audit_stamp(fact_clean, ctx, keep_batch_date=True)
     fact_path = layout.conformed_table("fact_der")
-    fact_state = upsert(read_table(spark, fact_path), fact_new, FACT_KEYS, only_newer=only_newer)
-    out["fact_der"] = publish(fact_state, fact_path, partition_cols=("utility_id",))["rows"]
-    lap("fact_publish")
+    written = upsert_keyed(fact_new, fact_path, FACT_KEYS, ("utility_id",), layout.fact_buckets, only_newer)
+    out["fact_der"], out["fact_buckets"] = written["rows"], written["buckets"]
+    lap("fact_upsert")
     return out
 
 

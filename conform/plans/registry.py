@@ -42,7 +42,7 @@ from conform.operators.quality import (
 from conform.operators.resolve import bridge_build, bridge_one_per_key, segment_rollup
 from conform.operators.serve import feeder_details, q_capacity_over, q_feeder_ders, sample_feeder, top_capacity
 from conform.plans import testbed as tb
-from conform.plans.jobs import CAPACITY_CLUSTER, DETAILS_CLUSTER, DIM_KEYS, DIM_ORDER, FACT_KEYS, FACT_ORDER, Layout, build_conformed, run_all
+from conform.plans.jobs import CAPACITY_CLUSTER, DETAILS_CLUSTER, DIM_KEYS, DIM_ORDER, FACT_KEYS, FACT_ORDER, Layout, build_conformed, pipe_conform, run_all
 from conform.session import scratch_path
 from conform.sources.csv import csv_load, csv_scan, header_clean, provenance
 from conform.sources.keyed import read_keyed, upsert_keyed, without_bucket
@@ -1066,26 +1066,29 @@ def q_pipe_raw(spark, d):
            batch_date
     FROM f2""", "f2"))
 def q_backfill(spark, d):
-    """All monthly drops of source 2 loaded, then one past month re-sent with changed ratings."""
+    """All monthly drops of source 2 loaded and conformed, then one past month sent again with changed ratings, through the jobs.
+
+    Another month is sent again empty: its raw rows go, what was conformed of them stays.
+    """
     _utc(spark)
     root = scratch_path(spark, "backfill")
-    d2 = tb.der2(spark, d)
-    for ds, df in d2.items():
-        partition_replace(df.withColumn("utility_id", F.lit("utility2")), f"{root}/raw/utility2_{ds}")
-    fact_path = f"{root}/conformed/fact_der"
-
-    def conform_batch(batch=None):
-        fr = [conform_fact_source(batch_scan(spark, f"{root}/raw/utility2_{ds.dataset}", batch_date=batch),
-                                  UTILITY2, st) for st, ds in UTILITY2.der]
-        return latest_per_key(union_all(fr), FACT_KEYS, FACT_ORDER)
-
-    publish(upsert(read_table(spark, fact_path), conform_batch(), FACT_KEYS), fact_path)
+    layout = Layout(f"{root}/raw", f"{root}/conformed", f"{root}/serving")
+    d2, source = tb.der2(spark, d), F.lit("utility2").alias("utility_id")
+    for ds, df in d2.items():                           # the history, all months in one write
+        partition_replace(df.select("*", source, F.lit(f"{BATCH}-{0:015d}-history").alias(LOAD_COL)), layout.raw_table("utility2", ds), RAW_PARTITIONS)
+    raws = {st: batch_scan(spark, layout.raw_table("utility2", ds.dataset)) for st, ds in UTILITY2.der}
+    history = latest_per_key(conform_facts(raws, UTILITY2), FACT_KEYS, FACT_ORDER)
+    upsert_keyed(audit_stamp(history, FIXED_CTX, keep_batch_date=True), layout.conformed_table("fact_der"), FACT_KEYS, ("utility_id",), layout.fact_buckets)
+
+    ctx = RunContext.for_batch(BACKFILL_MONTH, "run-backfill", FIXED_CTX.ingestion_ts)
+    circuits = tb.circ2(spark, d).select(*[c for c in tb.circ2(spark, d).columns if c != "batch_date"], source, F.lit(ctx.batch_date).alias("batch_date"))
+    load_batch(circuits, layout.raw_table("utility2", "circuits"), "utility2", ctx.batch_date, ctx.pipeline_run_id)
     for ds, df in d2.items():
-        col = "DER_NAMEPLATE_RATING"
-        resend = df.where(F.col("batch_date") == F.lit(BACKFILL_MONTH).cast("date")) \
-                   .withColumn(col, F.col(col) + 1)
-        partition_replace(resend.withColumn("utility_id", F.lit("utility2")), f"{root}/raw/utility2_{ds}")
-    publish(upsert(read_table(spark, fact_path), conform_batch(BACKFILL_MONTH), FACT_KEYS), fact_path)
-    return read_table(spark, fact_path).select(
+        month = df.select("*", source).where(F.col("batch_date") == F.lit(ctx.batch_date))
+        changed = month.withColumn("DER_NAMEPLATE_RATING", F.col("DER_NAMEPLATE_RATING") + 1)
+        load_batch(changed, layout.raw_table("utility2", ds), "utility2", ctx.batch_date, ctx.pipeline_run_id)
+        load_batch(month.where("false"), layout.raw_table("utility2", ds), "utility2", date(1996, 2, 1), ctx.pipeline_run_id)
+    pipe_conform(spark, [UTILITY2], layout, ctx)
+    return read_table(spark, layout.conformed_table("fact_der")).select(
         "utility_id", "der_id", "der_type", "status", "feeder_id", "feeder_id_unresolved", "source_feeder_ref",
         "capacity_kw", "batch_date")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Sequence
@@ -235,9 +236,21 @@ def current_snapshot(spark: SparkSession, table_path: str) -> str | None:
     return f"{table_path.rstrip('/')}/{v[-1]}" if v else None
 
 
+BUCKET = re.compile(r"bucket_of_(\d+)")  # the bucket column of a keyed table (sources/keyed.py)
+
+
+def without_bucket(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if BUCKET.fullmatch(c)])
+
+
 def read_table(spark: SparkSession, table_path: str) -> DataFrame | None:
+    """The newest version of a published table, or a keyed table's rows; None if nothing was ever written."""
     cur = current_snapshot(spark, table_path)
-    return spark.read.parquet(cur) if cur else None
+    if cur:
+        return read_typed(spark, cur, RAW_TYPES)
+    if any("=" in n for n in _folders(spark, table_path)):
+        return without_bucket(read_typed(spark, table_path, RAW_TYPES))
+    return None
 
 
 def publish(df: DataFrame, table_path: str, partition_cols: Sequence[str] = (), view: str | None = None,
