@@ -47,6 +47,7 @@ DIM_ORDER = ("batch_date", "last_refresh_date")
 FACT_ORDER = ("batch_date",)
 CAPACITY_CLUSTER = ("max_hosting_capacity", "feeder_id")
 DETAILS_CLUSTER = ("feeder_id", "der_id", "status")
+DETAILS_BLOOM = {"feeder_id": 100_000}  # feeders a file: a look-up without a source meets every source's files
 
 
 @dataclass(frozen=True)
@@ -201,7 +202,8 @@ def pipe_serve(spark: SparkSession, layout: Layout, ctx: RunContext) -> dict:
         "feeder_capacity": lambda: publish(dim, layout.serving_table("feeder_capacity"), ("utility_id",),
                                            cluster_cols=CAPACITY_CLUSTER)["rows"],
         "feeder_der_details": lambda: publish(feeder_details(fact, dim), layout.serving_table("feeder_der_details"),
-                                              ("utility_id",), cluster_cols=DETAILS_CLUSTER, materialise=True)["rows"],
+                                              ("utility_id",), cluster_cols=DETAILS_CLUSTER, materialise=True,
+                                              bloom=DETAILS_BLOOM)["rows"],
         "data_quality": lambda: publish(quality_summary(dim, fact, ctx), layout.serving_table("data_quality"))["rows"],
     }
     return run_concurrently(tasks)

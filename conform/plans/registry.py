@@ -42,7 +42,7 @@ from conform.operators.quality import (
 from conform.operators.resolve import bridge_build, bridge_one_per_key, segment_rollup
 from conform.operators.serve import feeder_details, q_capacity_over, q_feeder_ders, sample_feeder, top_capacity
 from conform.plans import testbed as tb
-from conform.plans.jobs import CAPACITY_CLUSTER, DETAILS_CLUSTER, DIM_KEYS, DIM_ORDER, FACT_KEYS, FACT_ORDER, Layout, build_conformed, pipe_conform, run_all
+from conform.plans.jobs import CAPACITY_CLUSTER, DETAILS_CLUSTER, DIM_KEYS, DIM_ORDER, FACT_KEYS, FACT_ORDER, Layout, build_conformed, pipe_conform, pipe_raw, run_all
 from conform.session import scratch_path
 from conform.sources.csv import csv_load, csv_scan, header_clean, provenance
 from conform.sources.keyed import read_keyed, upsert_keyed, without_bucket
@@ -52,6 +52,7 @@ from conform.sources.tables import (
     RAW_PARTITIONS,
     batch_scan,
     clustered_write,
+    footer_counts,
     load_batch,
     partition_replace,
     publish,
@@ -60,6 +61,7 @@ from conform.sources.tables import (
     write_observed,
 )
 from conform.spec import UTILITY1, UTILITY2
+from conform.streaming.conform import stream_conform
 from conform.streaming.ingest import stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -978,21 +980,30 @@ def q_pipe_conform(spark, d):
     return ntz(read_table(spark, layout.conformed_table("fact_der")))
 
 
-# Columns of the serving tables that are compared as text.
+# Columns of the serving tables: numbers are compared as numbers, all others as text.
+AUDIT = ("pipeline_run_id", "batch_date", "ingestion_ts")
 CHAIN_COLUMNS = {
-    "feeder_capacity": ("utility_id", "feeder_id", "last_refresh_date"),
-    "feeder_der_details": ("utility_id", "feeder_id", "der_id", "status", "der_type", "feeder_id_unresolved", "feeder_matched", "feeder_data_missing"),
-    "data_quality": ("utility_id", "dataset", "status", "total_rows", "null_feeder_id_count", "unresolved_feeder_id_count", "last_refresh_date"),
+    "feeder_capacity": ("utility_id", "feeder_id", "last_refresh_date", "max_hosting_capacity", "min_hosting_capacity", "voltage_kv", *AUDIT),
+    "feeder_der_details": ("utility_id", "feeder_id", "der_id", "status", "der_type", "feeder_id_unresolved", "source_feeder_ref", "feeder_matched",
+                           "feeder_data_missing", "capacity_kw", "voltage_kv", "last_refresh_date", *AUDIT),
+    "data_quality": ("utility_id", "dataset", "status", "total_rows", "null_feeder_id_count", "unresolved_feeder_id_count", "last_refresh_date", *AUDIT),
 }
+CHAIN_NUMBERS = ("max_hosting_capacity", "min_hosting_capacity", "voltage_kv", "capacity_kw", "total_rows", "null_feeder_id_count", "unresolved_feeder_id_count")
 CHAIN_ALL = tuple(dict.fromkeys(c for cols in CHAIN_COLUMNS.values() for c in cols))
 
 
+def chain_type(c: str) -> str:
+    return "double" if c in CHAIN_NUMBERS else "string"
+
+
 def _chain_sql() -> str:
-    rels = {"feeder_capacity": "dim_latest", "feeder_der_details": "details",
+    stamped = "(SELECT * EXCLUDE (batch_date), " + CTX_SQL + " FROM {})"
+    rels = {"feeder_capacity": stamped.format("dim_latest"), "feeder_der_details": stamped.format("details"),
             "data_quality": f"({QUALITY_SQL})"}
     parts = []
     for name, rel in rels.items():
-        cols = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in CHAIN_COLUMNS[name] else f"NULL::VARCHAR AS {c}" for c in CHAIN_ALL)
+        kind = lambda c: "DOUBLE" if c in CHAIN_NUMBERS else "VARCHAR"
+        cols = ", ".join(f"CAST({c} AS {kind(c)}) AS {c}" if c in CHAIN_COLUMNS[name] else f"NULL::{kind(c)} AS {c}" for c in CHAIN_ALL)
         parts.append(f"SELECT '{name}' AS table_name, {cols} FROM {rel}")
     return "\nUNION ALL\n".join(parts)
 
@@ -1001,12 +1012,12 @@ SERVE_SQL = tb.with_views(_chain_sql(), "dim_latest", "details", "fact_latest",
 
 
 def served(spark, layout: Layout) -> DataFrame:
-    """The three serving tables as one frame of texts (empty where a table lacks a column)."""
+    """The three serving tables as one frame of numbers and texts (empty where a table lacks a column)."""
     frames = []
     for name, own in CHAIN_COLUMNS.items():
         t = ntz(read_table(spark, layout.serving_table(name)))
         frames.append(t.select(F.lit(name).alias("table_name"), *[
-            (F.col(c) if c in own else F.lit(None)).cast("string").alias(c) for c in CHAIN_ALL]))
+            (F.col(c) if c in own else F.lit(None)).cast(chain_type(c)).alias(c) for c in CHAIN_ALL]))
     return union_all(frames)
 
 
@@ -1019,9 +1030,9 @@ def q_pipe_serve(spark, d):
 
 RERUN_SQL = tb.with_views(f"""
     SELECT * FROM ({_chain_sql()})
-    UNION ALL BY NAME SELECT 'fact_der' AS table_name, utility_id, feeder_id, der_id, status, der_type FROM fact_latest
-    UNION ALL BY NAME SELECT 'raw_utility1_der' AS table_name, der_id, NULL::VARCHAR AS status FROM der1
-    UNION ALL BY NAME SELECT 'raw_utility2_circuits' AS table_name, feeder_id FROM circ2""",
+    UNION ALL BY NAME SELECT 'fact_der' AS table_name, utility_id, feeder_id, der_id, status, der_type, capacity_kw, source_feeder_ref FROM fact_latest
+    UNION ALL BY NAME SELECT 'raw_utility1_der' AS table_name, der_id, NULL::VARCHAR AS status, capacity_kw, ref AS source_feeder_ref FROM der1
+    UNION ALL BY NAME SELECT 'raw_utility2_circuits' AS table_name, feeder_id, max_hc AS max_hosting_capacity, voltage AS voltage_kv FROM circ2""",
     "dim_latest", "details", "fact_latest", "der1", "circ2", redate=CHAIN_REDATE)
 
 
@@ -1029,35 +1040,87 @@ RERUN_SQL = tb.with_views(f"""
 def q_rerun_idempotent(spark, d):
     """The same drop twice: raw rows aren't doubled, conformed and serving tables stay as they are."""
     layout, _ = run_chain(spark, d, times=2)
-    raw1 = [spark.read.parquet(layout.raw_table("utility1", ds)).select(F.lit("raw_utility1_der").alias("table_name"), F.col("ProjectID").alias("der_id"))
+    raw1 = [spark.read.parquet(layout.raw_table("utility1", ds)).select(F.lit("raw_utility1_der").alias("table_name"), F.col("ProjectID").alias("der_id"),
+                                                                                     F.col("NamePlateRating").cast("double").alias("capacity_kw"), F.col("ProjectCircuitID").alias("source_feeder_ref"))
             for ds in ("install_der", "planned_der")]
-    raw2 = spark.read.parquet(layout.raw_table("utility2", "circuits")).select(F.lit("raw_utility2_circuits").alias("table_name"), F.col("Master_CDF").alias("feeder_id"))
-    fact = read_table(spark, layout.conformed_table("fact_der")).select(F.lit("fact_der").alias("table_name"), "utility_id", "feeder_id", "der_id", "status", "der_type")
+    raw2 = spark.read.parquet(layout.raw_table("utility2", "circuits")).select(F.lit("raw_utility2_circuits").alias("table_name"), F.col("Master_CDF").alias("feeder_id"),
+                                                                                      F.col("feeder_max_hc").cast("double").alias("max_hosting_capacity"), F.col("feeder_voltage").cast("double").alias("voltage_kv"))
+    fact = read_table(spark, layout.conformed_table("fact_der")).select(F.lit("fact_der").alias("table_name"), "utility_id", "feeder_id", "der_id", "status", "der_type", "capacity_kw", "source_feeder_ref")
     return union_all([served(spark, layout), fact, *raw1, raw2])
 
 
-@register("pipe_raw", tb.with_views("""
-    SELECT 'utility1' AS utility_id, 'circuits' AS dataset, count(*) AS row_count FROM seg1
-    UNION ALL SELECT 'utility1', 'install_der', count(*) FROM der1 WHERE status = 'installed'
-    UNION ALL SELECT 'utility1', 'planned_der', count(*) FROM der1 WHERE status = 'planned'
-    UNION ALL SELECT 'utility2', 'circuits', count(*) FROM circ2
-    UNION ALL SELECT 'utility2', 'install_der', count(*) FROM der2 WHERE status = 'installed'
-    UNION ALL SELECT 'utility2', 'planned_der', count(*) FROM der2 WHERE status = 'planned'""",
+# What a raw row of each dataset is compared by: id, reference, a number and a date, as the file has them.
+RAW_COLUMNS = {
+    ("utility1", "circuits"): ("Circuits_Phase3_CIRCUIT", "NYHCPV_csv_NFEEDER", "NYHCPV_csv_FMAXHC", "NYHCPV_csv_FVOLTAGE"),
+    ("utility1", "install_der"): ("ProjectID", "ProjectCircuitID", "NamePlateRating", "SolarPV"),
+    ("utility1", "planned_der"): ("ProjectID", "ProjectCircuitID", "NamePlateRating", "SolarPV"),
+    ("utility2", "circuits"): ("Master_CDF", "hca_refresh_date", "feeder_max_hc", "feeder_voltage"),
+    ("utility2", "install_der"): ("DER_ID", "DER_INTERCONNECTION_LOCATION", "DER_NAMEPLATE_RATING", None),
+    ("utility2", "planned_der"): ("INTERCONNECTION_QUEUE_REQUEST_ID", "DER_INTERCONNECTION_LOCATION", "DER_NAMEPLATE_RATING", None),
+}
+
+
+@register("pipe_raw", tb.with_views(f"""
+    SELECT *, {CTX_SQL} FROM (
+    SELECT 'utility1' AS utility_id, 'circuits' AS dataset, circuit_id AS row_id, feeder_id || '.0' AS ref, max_hc AS n, voltage AS m FROM seg1
+    UNION ALL SELECT 'utility1', CASE status WHEN 'installed' THEN 'install_der' ELSE 'planned_der' END, der_id, ref, capacity_kw, solar FROM der1
+    UNION ALL SELECT 'utility2', 'circuits', feeder_id, strftime(refresh, '%Y/%m/%d %H:%M:%S+00'), max_hc, voltage FROM circ2
+    UNION ALL SELECT 'utility2', CASE status WHEN 'installed' THEN 'install_der' ELSE 'planned_der' END, der_id, loc, capacity_kw, NULL FROM der2)""",
                                        "seg1", "der1", "circ2", "der2"))
 def q_pipe_raw(spark, d):
-    from conform.plans.jobs import pipe_raw
+    """Every row of the raw tables as the pipeline ingests them: ids, references, numbers and audit columns."""
     _utc(spark)
     root = scratch_path(spark, "raw-chain")
     write_landing(spark, d, f"{root}/landing")
     layout = Layout(f"{root}/raw", f"{root}/conformed", f"{root}/serving")
-    pipe_raw(spark, [UTILITY1, UTILITY2], f"{root}/landing", layout, FIXED_CTX)
+    counts = pipe_raw(spark, [UTILITY1, UTILITY2], f"{root}/landing", layout, FIXED_CTX)
     frames = []
-    for spec in (UTILITY1, UTILITY2):
-        for ds in spec.datasets:
-            frames.append(spark.read.parquet(layout.raw_table(spec.source_id, ds))
-                          .groupBy("utility_id").agg(F.count(F.lit(1)).alias("row_count"))
-                          .select("utility_id", F.lit(ds).alias("dataset"), "row_count"))
-    return union_all(frames)
+    for (source, ds), (row_id, ref, n, m) in RAW_COLUMNS.items():
+        rows = batch_scan(spark, layout.raw_table(source, ds), FIXED_CTX.batch_date, FIXED_CTX.pipeline_run_id, source)
+        assert footer_counts(spark, layout.raw_table(source, ds)).first()["row_count"] == counts[f"{source}_{ds}"]
+        frames.append(rows.select("utility_id", F.lit(ds).alias("dataset"), F.col(row_id).alias("row_id"), F.col(ref).alias("ref"), F.col(n).cast("double").alias("n"),
+                                  (F.lit(None) if m is None else F.col(m)).cast("double").alias("m"), *AUDIT))
+    return ntz(union_all(frames))
+
+
+@register("footer_counts", """
+    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS batch_date, count(*) AS row_count, min(o_orderkey) AS min_o_orderkey, max(o_orderkey) AS max_o_orderkey
+    FROM orders GROUP BY 1""")
+def q_footer_counts(spark, d):
+    """Rows and key range a batch without reading a column of the table."""
+    path = scratch_path(spark, "orders-by-month")
+    partition_replace(orders_by_month(spark, d), path, ["batch_date"])
+    return footer_counts(spark, path, ["batch_date"], ["o_orderkey"])
+
+
+STREAMED = ("2024-01-01", "2024-02-01")
+
+
+@register("stream_conform", tb.with_views(f"""
+    SELECT * EXCLUDE (batch_date, capacity_kw), capacity_kw + CASE WHEN CAST(der_id AS BIGINT) % 10 = 0 THEN 1 ELSE 0 END AS capacity_kw,
+           CASE WHEN CAST(der_id AS BIGINT) % 2 = 1 OR CAST(der_id AS BIGINT) % 10 = 0 THEN DATE '{STREAMED[1]}' ELSE DATE '{STREAMED[0]}' END AS batch_date
+    FROM f2""", "f2"))
+def q_stream_conform(spark, d):
+    """Conform by a stream over the raw tables: the newer batch first, the older one late, then all of it replayed."""
+    _utc(spark)
+    root = scratch_path(spark, "streamed")
+    layout = Layout(f"{root}/raw", f"{root}/conformed", f"{root}/serving", fact_buckets=4)
+    ids = {"install_der": "DER_ID", "planned_der": "INTERCONNECTION_QUEUE_REQUEST_ID"}
+
+    def arrive(day: str, keep: str, more: int) -> None:
+        for ds, df in {"circuits": tb.circ2(spark, d), **tb.der2(spark, d)}.items():
+            if ds in ids:
+                key = F.col(ids[ds]).cast("bigint")
+                df = df.withColumn("_k", key).where(keep).withColumn("DER_NAMEPLATE_RATING", F.col("DER_NAMEPLATE_RATING") + F.when(key % 10 == 0, more).otherwise(0)).drop("_k")
+            rows = df.withColumn("utility_id", F.lit("utility2")).withColumn("batch_date", F.lit(day).cast("date"))
+            load_batch(rows, layout.raw_table("utility2", ds), "utility2", day, FIXED_CTX.pipeline_run_id)
+        stream_conform(spark, [UTILITY1, UTILITY2], layout, f"{root}/checkpoint", FIXED_CTX)
+
+    arrive(STREAMED[1], "_k % 2 = 1 OR _k % 10 = 0", 1)
+    arrive(STREAMED[0], "_k % 2 = 0", 0)
+    stream_conform(spark, [UTILITY2], layout, f"{root}/checkpoint-anew", FIXED_CTX)
+    return read_table(spark, layout.conformed_table("fact_der")).select(
+        "utility_id", "der_id", "der_type", "status", "feeder_id", "feeder_id_unresolved", "source_feeder_ref", "capacity_kw", "batch_date")
 
 
 @register("backfill", tb.with_views(f"""

@@ -55,6 +55,19 @@ def partition_replace(df: DataFrame, path: str, partition_cols: Sequence[str] =
     return write_observed(df.hint("rebalance", *partition_cols), _w, "partition_replace")
 
 
+def footer_counts(spark: SparkSession, path: str, by: Sequence[str] = ("utility_id", "batch_date"), bounds: Sequence[str] = ()) -> DataFrame:
+    """Rows a partition (``row_count``), and least and greatest value of the columns ``bounds``, from the files' footers alone.
+
+    Spark's Parquet aggregate push-down reads no column data for this; it needs the newer reader, which a session of
+    its own switches on, so the caller's settings stay. ``by`` may hold partition columns only.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    more = [f(c).alias(f"{name}_{c}") for c in bounds for name, f in (("min", F.min), ("max", F.max))]
+    return own.read.parquet(path).groupBy(*by).agg(F.count("*").alias("row_count"), *more)
+
+
 def partition_folder(spark: SparkSession, column: str, value) -> str:
     """The folder name that Spark's writer gives a partition value (it escapes signs such as a colon or a blank)."""
     utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
@@ -254,12 +267,14 @@ def read_table(spark: SparkSession, table_path: str) -> DataFrame | None:
 
 
 def publish(df: DataFrame, table_path: str, partition_cols: Sequence[str] = (), view: str | None = None,
-            cluster_cols: str | Sequence[str] = (), materialise: bool = False, keep: int = KEEP_VERSIONS) -> dict:
+            cluster_cols: str | Sequence[str] = (), materialise: bool = False, keep: int = KEEP_VERSIONS,
+            bloom: dict[str, int] | None = None) -> dict:
     """Write ``df`` as the new version of a table; optionally (re)point a temp view at it.
 
     ``cluster_cols`` lays the version out for skipping on the first of them (``clustered``); pass
     ``materialise=True`` when ``df`` is expensive to compute, so the range sampling does not
-    compute it a second time. The newest ``keep`` complete versions stay, older ones are removed (readers of
+    compute it a second time. ``bloom`` (column: distinct values expected in a file) stores a Bloom filter of the column in each
+    row group, by which a look-up of a value that lies inside the group's range but isn't there skips it. The newest ``keep`` complete versions stay, older ones are removed (readers of
     an older version must have ended by then).
     """
     if cluster_cols and materialise:
@@ -270,6 +285,8 @@ def publish(df: DataFrame, table_path: str, partition_cols: Sequence[str] = (),
         w = d.write.mode("errorifexists")
         if partition_cols:
             w = w.partitionBy(*partition_cols)
+        for column, values in (bloom or {}).items():
+            w = w.option(f"parquet.bloom.filter.enabled#{column}", "true").option(f"parquet.bloom.filter.expected.ndv#{column}", str(values))
         w.parquet(version)
     if cluster_cols:   # observed above the range exchange: the boundary-sampling job does not pass the observation
         df = clustered(df, partition_cols[0] if partition_cols else None, cluster_cols)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conform.operators.serve import q_capacity_over, q_feeder_ders
 from conform.plans import registry as r
-from conform.sources.tables import clustered_write, publish, read_table
+from conform.sources.tables import clustered_write, footer_counts, partition_replace, publish, read_table
 
 from conftest import SF_SMALL
 
@@ -48,3 +48,41 @@ def test_feeder_lookup_prunes_partition(spark, tmp_path):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(utility_id" in plan and "EqualTo(feeder_id,7)" in plan
     assert q.count() == details.where((F.col("feeder_id") == "7") & (F.col("utility_id") == "utility1")).count()
+
+
+def scanned_rows(df) -> int:
+    """Rows that the scans of a plan returned when it ran (rows of skipped row groups aren't among them)."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_bloom_filter_skips_row_groups_for_an_absent_value(spark, tmp_path):
+    """Feeders F0, F2, ...: an odd one lies inside every range, so only the Bloom filter can tell that it isn't there."""
+    details = spark.range(20000).select(F.concat(F.lit("F"), F.lpad((F.col("id") % 500 * 2).cast("string"), 4, "0")).alias("feeder_id"),
+                                        F.col("id").cast("string").alias("der_id"), F.lit("u").alias("utility_id"))
+    plain, with_bloom = str(tmp_path / "plain"), str(tmp_path / "bloom")
+    spark.conf.set("parquet.enable.dictionary", "false")    # a dictionary of few values would tell as well
+    try:
+        publish(details, plain, ("utility_id",))
+        publish(details, with_bloom, ("utility_id",), bloom={"feeder_id": 1000})
+    finally:
+        spark.conf.unset("parquet.enable.dictionary")
+    look_up = lambda path, f: read_table(spark, path).where(F.col("feeder_id") == f)
+    assert scanned_rows(look_up(plain, "F0101")) > 0
+    assert scanned_rows(look_up(with_bloom, "F0101")) == 0
+    assert look_up(with_bloom, "F0102").count() == look_up(plain, "F0102").count() == 40
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    rows = spark.range(1000).select("id", F.lit("x").alias("text"), F.lit("u").alias("utility_id"), (F.col("id") % 3).alias("batch_date"))
+    partition_replace(rows, path)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    counts = footer_counts(spark, path, bounds=("id",))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(id), MAX(id)]" in plan and "PushedGroupBy: [utility_id, batch_date]" in plan
+    assert "text" not in plan.split("ReadSchema")[1][:200]
+    assert sorted((r.batch_date, r.row_count, r.min_id, r.max_id) for r in counts.collect()) == [(0, 334, 0, 999), (1, 333, 1, 997), (2, 333, 2, 998)]
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before

@@ -98,3 +98,21 @@ def test_scd2_numeric_effective_column_with_a_hot_key(spark):
     starts = h.withColumn("p", F.lag("s").over(w)).where(F.col("p").isNull() | (F.col("s") != F.col("p")))
     want = starts.select("k", "s", "ts", F.lead("ts").over(w).alias("t"))
     assert sorted((tuple(r)[:4] for r in out.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_latest_row_by_aggregate_and_by_window(spark, capsys):
+    """Both ways pick the same rows: ties in the order, NULL keys and values, NaN; and both reduce a hot key before the shuffle."""
+    n = F.col("id")
+    df = spark.range(4000).select(
+        F.when(n % 3 == 0, 7).when(n % 50 == 1, None).otherwise(n % 400).alias("k"), F.when(n % 5 > 0, n % 4).alias("batch_date"),
+        F.when(n % 11 > 0, F.when(n % 13 == 0, F.lit(float("nan"))).otherwise((n * 7919) % 1000 / 3)).alias("x"), (n * 31 % 17).cast("string").alias("y"))
+    key = lambda r: str(tuple(r))
+    got = [sorted(latest_per_key(df, ["k"], ["batch_date"], wide=w).collect(), key=key) for w in (False, True)]
+    assert list(map(key, got[0])) == list(map(key, got[1])) and len(got[0]) == len(df.select("k").distinct().collect())
+    latest_per_key(df, ["k"], ["batch_date"], wide=True).explain()
+    plan = capsys.readouterr().out
+    below = plan[plan.index("Exchange"):]
+    assert "WindowGroupLimit" in below and "Partial" in below
+    wide = df.select("*", *[F.lit(i).alias(f"c{i}") for i in range(40)])
+    latest_per_key(wide, ["k"]).explain()
+    assert "Window" in capsys.readouterr().out
