@@ -74,20 +74,33 @@ def _word_at(start: str, offset: int, word: str) -> str:
     return f"exists(postings, x -> x.i = {start} + {offset} and x.w = '{word}')"
 
 
+def _starts(word: str, offset: int) -> str:
+    """SQL: where a text would begin that has the word at ``offset``, for all places of the word, in order."""
+    return f"transform(filter(postings, x -> x.w = '{word}'), x -> x.i - {offset})"
+
+
+def _all_agree(starts: Sequence[str]) -> str:
+    """SQL: beginnings in all of the arrays, in the order of the first; each array is read once, whatever their lengths."""
+    return reduce(lambda a, b: f"array_intersect({a}, {b})", starts)
+
+
+def _there(words: Sequence[str]) -> str:
+    return " and ".join(f"array_contains(found, '{w}')" for w in dict.fromkeys(words))
+
+
 def phrase_places(phrase: str, by_rarity: Sequence[str]) -> str:
     """SQL: starts of all places where the phrase's words stand consecutively; the rarest words are looked up first."""
     words = phrase.split()
     at = sorted(range(len(words)), key=lambda j: by_rarity.index(words[j]))
-    starts = [f"transform(filter(postings, x -> x.w = '{words[j]}'), x -> x.i - {j})" for j in at]
-    there = " and ".join(f"array_contains(found, '{words[j]}')" for j in at)
-    return f"case when {there} then {reduce(lambda a, b: f'array_intersect({a}, {b})', starts)} else {NONE} end"
+    return f"case when {_there([words[j] for j in at])} then {_all_agree([_starts(words[j], j) for j in at])} else {NONE} end"
 
 
 def template_places(template: str, phrases: Sequence[str], by_rarity: Sequence[str], rarest: int) -> str:
     """SQL: beginnings of the template on which the file's ``rarest`` highest-IDF words of it agree and where all key
     phrases stand.
 
-    Words that the template repeats don't fix a beginning and aren't looked up.
+    Words that the template repeats don't fix a beginning and aren't looked up. The words of the key phrases are looked up in
+    the same way, by the beginnings that their places ask for, so the work is in proportion to the file's postings.
     """
     words = template.split()
     once = [w for w in by_rarity if words.count(w) == 1]
@@ -96,12 +109,13 @@ def template_places(template: str, phrases: Sequence[str], by_rarity: Sequence[s
     place = f"cast(array_position({_texts(words)}, w) as int) - 1"
     starts = f"transform({rare}, w -> transform(filter(postings, x -> x.w = w), x -> x.i - ({place})))"
     agreed = f"aggregate({starts}, cast(null as array<int>), (a, b) -> case when a is null then b else array_intersect(a, b) end)"
-    checks = []
+    keys = []
     for p in phrases:
         part = p.split()
         offset = next(i for i in range(len(words)) if words[i:i + len(part)] == part)
-        checks += [_word_at("s", offset + i, w) for i, w in enumerate(part)]
-    return f"case when size({rare}) = {need} then filter({agreed}, s -> {' and '.join(checks)}) else {NONE} end"
+        keys += [(w, offset + i) for i, w in enumerate(part)]
+    guard = f"size({rare}) = {need} and {_there([w for w, _ in keys])}"
+    return f"case when {guard} then {_all_agree([agreed, *(_starts(w, at) for w, at in dict.fromkeys(keys))])} else {NONE} end"
 
 
 def scan_licenses(docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES, templates: Sequence[tuple] = TEMPLATES,

@@ -26,3 +26,13 @@ def test_rows_as_brute_force(make):
 
 def test_empty_table(make):
     assert scan_licenses(make([], DOCS)).collect() == []
+
+
+def test_a_long_file_of_licence_lines(make):
+    """Hundreds of beginnings in one file: each is found, and none where a key phrase is cut."""
+    line = "licensed under the gnu general public license version 3 "
+    rows = [(1, line * 200, None, None, None), (2, line.replace("general ", "") * 200, None, None, None), (3, ("cc by nc 4 0 " + line) * 150, None, None, None)]
+    got = {r.doc_id: r for r in scan_licenses(make(rows, DOCS)).collect()}
+    for (d, *_), (n, starts, base, labels) in zip(rows, brute.licenses([r[1] for r in rows], PHRASES, TEMPLATES)):
+        assert (got[d].n_words, got[d].n_base, got[d].labels) == (n, len(starts), ",".join(sorted(labels)))
+    assert got[1].labels == "gpl-3" and got[2].labels == "" and got[3].n_base == 150
