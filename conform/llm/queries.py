@@ -20,7 +20,7 @@ from conform.llm.simhash import as_hex, near_duplicates
 from conform.llm.stages import SHARDS
 from conform.llm.suffix_dedup import repeated_passages
 from conform.llm.topk_search import top_k
-from conform.llm.url_filter import RULES, filter_urls, page_outcomes
+from conform.llm.url_filter import RULES, SUFFIXES, filter_urls, page_outcomes
 from conform.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,10 +95,14 @@ outcomes as (
   select p.host, m.bad from (select host, regexp_extract(path, '/(\d{1,18})[^/]*/?$', 1) as doc from parsed) p
   join marked m on p.doc <> '' and try_cast(p.doc as bigint) = m.doc_id),
 hosts as (
-  select host, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') as domain, count(bad) as n, coalesce(sum(bad), 0) as b
-  from (select host, bad from outcomes union all select host, null from parsed) group by 1, 2),
+  select host, case when regexp_matches(site, '^([0-9]{1,3}\.){3}[0-9]{1,3}$') or prefix(site, '[') then site
+      else array_to_string(list_slice(string_split(site, '.'), case when list_contains(SUFFIXES, array_to_string(list_slice(string_split(site, '.'), -2, -1), '.')) then -3 else -2 end, -1), '.') end as domain,
+    count(bad) as n, coalesce(sum(bad), 0) as b
+  from (select host, regexp_replace(host, ':[0-9]*$', '') as site, bad from (select host, bad from outcomes union all select host, null from parsed)) group by 1, 2),
 domains as (
-  select domain, array_to_string(list_slice(string_split(domain, '.'), -1, -1), '.') as suffix, sum(n) as n, sum(b) as b from hosts group by 1, 2),
+  select domain, case when regexp_matches(domain, '^([0-9]{1,3}\.){3}[0-9]{1,3}$') or prefix(domain, '[') then 'address'
+      else array_to_string(list_slice(string_split(domain, '.'), case when list_contains(SUFFIXES, array_to_string(list_slice(string_split(domain, '.'), -2, -1), '.')) then -2 else -1 end, -1), '.') end as suffix,
+    sum(n) as n, sum(b) as b from hosts group by 1, 2),
 suffixes as (select suffix, sum(n) as n, sum(b) as b from domains group by 1),
 sums as (
   select lvl, count(*)::double as k, sum(n)::double as n, sum(b)::double as b, sum(n::double * n) as nn, sum(b::double * b / n) as r
@@ -128,7 +132,7 @@ select page_id, host, path, rule,
        when bound >= 0.5 then 'block' else 'allow' end as verdict,
   n::bigint as host_labelled, b::bigint as host_bad, round(bound, 4) as bad_bound
 from ruled
-"""
+""".replace("SUFFIXES", str(list(SUFFIXES)))
 
 
 @query

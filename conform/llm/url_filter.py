@@ -26,6 +26,12 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 
 LEVELS = ("host", "domain", "suffix")
 
+# Public suffixes of two labels. All others are taken to have one; a fuller list may be put here.
+SUFFIXES = ("ac.uk", "co.uk", "gov.uk", "net.uk", "org.uk", "ac.jp", "co.jp", "go.jp", "ne.jp", "or.jp", "com.au", "net.au", "org.au", "co.nz", "org.nz",
+            "co.za", "org.za", "com.br", "net.br", "org.br", "com.cn", "net.cn", "org.cn", "com.mx", "com.ar", "com.tr", "co.in", "co.kr", "or.kr",
+            "com.sg", "com.hk", "com.tw", "org.tw", "co.il", "co.id", "com.my", "com.ph", "com.ua", "com.pl")
+ADDRESS = "address"
+
 
 @dataclass(frozen=True)
 class Reputation:
@@ -52,13 +58,25 @@ def _after(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.substring(url, F.instr(url, "://") + F.lit(3), F.length(url)))
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def site_of(host: Column) -> Column:
+    """The host without a port."""
+    return F.regexp_replace(host, r":[0-9]*$", "")
+
+
+def _is_address(site: Column) -> Column:
+    return site.rlike(r"^([0-9]{1,3}\.){3}[0-9]{1,3}$") | site.startswith("[")
+
+
+def suffix_of(site: Column) -> Column:
+    """Public suffix: one of ``SUFFIXES``, else the last label; addresses have one of their own."""
+    two = F.substring_index(site, ".", -2)
+    return F.when(_is_address(site), F.lit(ADDRESS)).when(two.isin(*SUFFIXES), two).otherwise(F.substring_index(site, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
-    """Registered domain: the last two labels."""
-    return F.substring_index(host, ".", -2)
+def domain_of(site: Column) -> Column:
+    """Registered domain: the public suffix and the label before it; an address is one as it is."""
+    return F.when(_is_address(site), site).when(F.substring_index(site, ".", -2).isin(*SUFFIXES), F.substring_index(site, ".", -3)) \
+        .otherwise(F.substring_index(site, ".", -2))
 
 
 def match_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:
@@ -98,7 +116,7 @@ def reputation(hosts: DataFrame, conf: Reputation = Reputation()) -> DataFrame:
     Null counts count as zero. An empty table gives an empty one.
     """
     h = hosts.select("host", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("b", F.lit(0)).alias("b"),
-                     domain_of(F.col("host")).alias("domain"))
+                     domain_of(site_of(F.col("host"))).alias("domain"))
     d = h.groupBy("domain").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).withColumn("suffix", suffix_of(F.col("domain")))
     s = d.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
     all_rate, m_s = _strength(s, conf)

@@ -1,7 +1,9 @@
 import math
+
+from pyspark.sql import functions as F
 from samples import make  # noqa: F401 (fixtures)
 
-from conform.llm.url_filter import RULES, Reputation, domain_of, filter_urls, page_outcomes, suffix_of
+from conform.llm.url_filter import RULES, Reputation, domain_of, filter_urls, page_outcomes, site_of, suffix_of
 
 PAGES = "page_id long, url string, html string"
 URLS = ["http://example.net/en/1", "http://www.Example.NET/en", "https://a.net", "https://a.net/", "https://a.net?x/", "http://example.com/de/x", "http://xexample.com/de/x",
@@ -90,7 +92,13 @@ def test_outcomes_and_empty_tables(make):
 
 
 def test_host_levels(spark):
-    from pyspark.sql import functions as F
-
     r = spark.createDataFrame([("a.b.c.com",), ("com",), ("",)], "h string").select(domain_of(F.col("h")).alias("d"), suffix_of(F.col("h")).alias("s")).collect()
     assert [tuple(x) for x in r] == [("c.com", "com"), ("com", "com"), ("", "")]
+
+
+def test_domains_of_ports_addresses_and_long_suffixes(spark):
+    hosts = {"a.example.co.uk": ("example.co.uk", "co.uk"), "b.co.uk:8080": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.com:8080": ("x.com", "com"),
+             "10.1.2.3": ("10.1.2.3", "address"), "10.9.2.3:80": ("10.9.2.3", "address"), "[2001:db8::1]:443": ("[2001:db8::1]", "address"),
+             "a.b.example.com.au": ("example.com.au", "com.au"), "com.example.org": ("example.org", "org"), "1.2.3.4.org": ("4.org", "org"), "": ("", "")}
+    df = spark.createDataFrame([(h,) for h in hosts], "h string").select("h", domain_of(site_of(F.col("h"))).alias("d"))
+    assert {r.h: (r.d, r.s) for r in df.select("h", "d", suffix_of(F.col("d")).alias("s")).collect()} == hosts
