@@ -25,18 +25,20 @@ from pyspark.sql import functions as F
 
 from conform.llm.common import staged
 
-MAX_NORM2 = 2.0 ** 62  # scores of longer vectors wouldn't fit a long
+EXACT = 2.0 ** 53      # doubles hold every integer below
+SAFE = 2.0 ** 62       # products that add up to less are summed in 64 bits
 ROUND = 256            # candidates evaluated before the first look at the bound; twice as many before each next one
 
 
 def quantised(vectors: DataFrame, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id, x (doubles holding floor(scale * component)), dim; vectors that can't take part are left out."""
-    x = F.transform(F.col(vector_col).cast("array<double>"), lambda v: F.floor(v * F.lit(scale)).cast("double"))
-    bad = F.exists(F.col(vector_col).cast("array<double>"), lambda v: v.isNull() | F.isnan(v) | (F.abs(v) > F.lit(2.0 ** 60 / scale)))
+    def whole(v: Column) -> Column:
+        return F.when(F.abs(v * scale) < F.lit(EXACT), F.floor(v * F.lit(scale)).cast("double")).otherwise(v * scale)
+
+    x = F.transform(F.col(vector_col).cast("array<double>"), whole)
+    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
     out = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & ~F.coalesce(bad, F.lit(True)))
-    out = out.select(F.col(id_col).cast("long").alias("vec_id"), x.alias("x"), F.size(vector_col).alias("dim"))
-    norm2 = F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)
-    return out.where(norm2 < MAX_NORM2)
+    return out.select(F.col(id_col).cast("long").alias("vec_id"), x.alias("x"), F.size(vector_col).alias("dim"))
 
 
 def choose_pivots(rows: np.ndarray, n: int) -> np.ndarray:
@@ -81,6 +83,19 @@ def _pack(df: DataFrame, pivots: dict[int, np.ndarray], rows: int) -> DataFrame:
     return df.mapInArrow(run, "dim int, ids binary, vectors binary, distances binary")
 
 
+def exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products of integers held as doubles: 64-bit sums where these can't overflow, else Python's integers."""
+    with np.errstate(all="ignore"):
+        far = ~(np.abs(x) @ np.abs(q) < SAFE)
+        scores = x.astype(np.int64) @ q.astype(np.int64)
+    if far.any():
+        scores = scores.astype(object)
+        whole = [int(v) for v in q]
+        for j in np.flatnonzero(far):
+            scores[j] = sum(int(a) * b for a, b in zip(x[j], whole))
+    return scores
+
+
 class Best:
     """The k best (score, smaller id first) of every query of a block."""
 
@@ -93,7 +108,6 @@ class Best:
         norms = d[:, 0] ** 2                                  # pivot 0 is the origin
         exact = (x ** 2).sum(axis=1)
         big = max(exact.max(initial=0), (self.x ** 2).sum(axis=1).max(initial=0)) >= 2.0 ** 52
-        dot = x.astype(np.int64) if big else x
         by_pivot = np.ascontiguousarray(d.T)
         one, gap = np.empty(len(ids)), np.empty(len(ids))
         for i, q in enumerate(self.ids):
@@ -104,12 +118,14 @@ class Best:
                 np.maximum(gap, one, out=gap)
             q2 = self.d[i, 0] ** 2
             # distances are rounded; the slack keeps the bound an upper one
-            bound = (q2 + norms - gap * gap) / 2 + 1e-6 * (q2 + norms) + 1e-6
+            with np.errstate(all="ignore"):
+                bound = (q2 + norms - gap * gap) / 2 + 1e-6 * (q2 + norms) + 1e-6
+            bound[~np.isfinite(bound)] = np.inf               # too long to bound in doubles: to be evaluated
             bound[ids == q] = -np.inf
-            self._search(i, ids, dot, bound)
+            self._search(i, ids, x, bound, big)
 
-    def _search(self, i: int, ids: np.ndarray, dot: np.ndarray, bound: np.ndarray) -> None:
-        q = self.x[i].astype(dot.dtype)
+    def _search(self, i: int, ids: np.ndarray, x: np.ndarray, bound: np.ndarray, big: bool) -> None:
+        q = self.x[i]
         left = np.flatnonzero(bound > -np.inf)
         batch = ROUND // 2
         while len(left):
@@ -124,17 +140,22 @@ class Best:
                 now, left = left[order[:batch]], left[order[batch:]]
             else:
                 now, left = left, left[:0]
-            scores = dot[now] @ q
+            scores = exact_scores(x[now], q) if big else x[now] @ q
             self.evaluated += len(now)
             few = np.arange(len(now))
-            if len(now) > 4 * self.k:                            # those at least as good as the k-th best of the batch
+            if len(now) > 4 * self.k and scores.dtype != object:  # those at least as good as the k-th best of the batch
                 few = np.flatnonzero(scores >= np.partition(scores, -self.k)[-self.k])
-            few = few[np.lexsort((ids[now[few]], -scores[few]))[:self.k]]
+            if scores.dtype == object:
+                few = np.array(sorted(few.tolist(), key=lambda j: (-scores[j], ids[now[j]]))[:self.k], dtype=np.int64)
+            else:
+                few = few[np.lexsort((ids[now[few]], -scores[few]))[:self.k]]
             self.top[i] = sorted([*top, *((int(scores[j]), int(ids[now[j]])) for j in few)], key=lambda t: (-t[0], t[1]))[:self.k]
 
     def rows(self) -> Iterator[tuple[int, int, int]]:
         for q, top in zip(self.ids.tolist(), self.top):
             for score, c in top:
+                if not -(1 << 63) <= score < 1 << 63:
+                    raise OverflowError(f"the score {score} of {q} and {c} doesn't fit a long")
                 yield q, c, score
 
 
@@ -143,8 +164,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, n_
     """query_id, rank (from 1), vec_id, score: each query's k best candidates by integer inner product, ties to smaller ids.
 
     ``vectors`` (vec_id, embedding); ``is_query`` is a condition on vec_id. Candidates are all rows but those with the
-    query's own id. Null vectors, vectors with null or non-finite components, those whose scores wouldn't fit a long (squared
-    integer norm from 2^62 on) and rows without an id take no part. Vectors only meet vectors of their length. A repeated
+    query's own id. Null vectors, vectors with null or non-finite components (scaled, so from 2^1016 on) and rows without an id take
+    no part. Vectors of any other length do, with exact scores; one among a query's k best that doesn't fit a long is an error. Vectors only meet vectors of their length. A repeated
     query id is one query, with its smallest vector; repeated candidates take a rank each. Fewer candidates than k give
     fewer rows; an empty table gives none. Other columns are not read. ``sample_rows`` bounds the rows from which pivots
     are chosen; every row is bounded by them and none is skipped otherwise.

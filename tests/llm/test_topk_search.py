@@ -24,8 +24,8 @@ def want(rows, step=5, k=5):
     return sorted(out)
 
 
-def run(make, rows, **kw):
-    found = top_k(make(rows, SCHEMA), F.col("vec_id") % 5 == 0, **kw)
+def run(make, rows, step=5, **kw):
+    found = top_k(make(rows, SCHEMA), F.col("vec_id") % step == 0, **kw)
     return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect())
 
 
@@ -49,8 +49,20 @@ def test_small_blocks_and_lanes(make):
 
 
 def test_large_numbers_stay_exact(make):
-    rows = [(i, [float(2 ** 20 + i), float(2 ** 19 - i)], None) for i in range(40)] + [(50, [1e30, 1e30], None), (51, [3e13, 0.0], None)]
-    assert run(make, rows) == want(rows[:40])
+    rows = [(i, [float(2 ** 20 + i), float(2 ** 19 - i)], None) for i in range(40)]
+    assert run(make, rows) == want(rows)
+
+
+def test_long_vectors_are_kept(make):
+    """Vectors whose own squared length leaves a long still have scores that fit, with short queries or at right angles."""
+    rows = [(0, [1.0, 0.0], None), (1, [3e7, 0.0], None), (2, [0.5, 0.0], None), (3, [-3e13, 0.0], None), (4, [0.0, 1e30], None), (5, [2e7, 1e30], None),
+            (6, [2e7, -1e38], None)] + [(7 + i, [float(2 ** 33 + 4096 * i), float(i)], None) for i in range(20)]
+    got = run(make, rows, step=1000)
+    assert got == want(rows, step=1000) and {c for _, _, c, _ in got} == {26, 25, 24, 23, 22}
+    assert run(make, rows[:4], step=1000)[0] == (0, 1, 1, 1_966_080_000_000)
+    assert run(make, rows[:7], step=1000) == want(rows[:7], step=1000)
+    with pytest.raises(Exception, match="fit a long"):
+        run(make, [(0, [1e13, 0.0], None), (1, [1e13, 0.0], None)], step=1000)
 
 
 def test_empty_table_and_lone_query(make):
