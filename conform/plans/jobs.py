@@ -182,7 +182,7 @@ def pipe_conform(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layou
     lap("fact_stage")
     fact_new = audit_stamp(fact_clean, ctx, keep_batch_date=True)
     fact_path = layout.conformed_table("fact_der")
-    written = upsert_keyed(fact_new, fact_path, FACT_KEYS, ("utility_id",), layout.fact_buckets, only_newer)
+    written = upsert_keyed(fact_new, fact_path, FACT_KEYS, ("utility_id",), layout.fact_buckets, only_newer, stored=True)
     out["fact_der"], out["fact_buckets"] = written["rows"], written["buckets"]
     lap("fact_upsert")
     return out
