@@ -74,15 +74,16 @@ def join_decisions(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     return gathered_texts(both.drop("__d_id", "__d_h").dropDuplicates(["doc_id", "__h"]), docs)
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, count: str, by: list[str]) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, key: str, count: str, by: list[str], rows: int | None = None) -> DataFrame:
     """``left`` (inner) joined to ``right``, which has one row a key and in ``count`` the key's rows in ``left``.
 
     A key with more than its even share of the rows is split: its left rows get a salt from the columns ``by``, its right row
     is repeated for each salt. Such keys are fewer than the shuffle partitions by the choice of the share, so
-    their list has a proven bound and is broadcast. ``key`` comes out once, ``count`` not at all.
+    their list has a proven bound and is broadcast. ``key`` comes out once, ``count`` not at all. ``rows`` is the sum of ``count``
+    where it is known; a bound above it makes the share larger, nothing else.
     """
     parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = right.agg(F.sum(count)).first()[0] or 0
+    total = (right.agg(F.sum(count)).first()[0] or 0) if rows is None else rows
     share = max(1, total // parts)
     pieces = F.ceil(F.col(count) / share).cast("int")
     hot = right.where(F.col(count) > share).select(F.col(key).alias("__key"), pieces.alias("__pieces"))

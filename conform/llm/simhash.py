@@ -7,8 +7,9 @@ Search: Hamming distances to reference fingerprints ("pivots") are the coordinat
 fingerprints within t bits differ by at most t in every coordinate, so a pair with a larger difference anywhere
 is discarded without being looked at. The discarding is done by a partition tree: a node holds a pivot and a
 threshold c; rows with distance <= c + t - 1 go left, those with distance >= c go right (the few in between go
-both ways), so no pair that could link is separated. Inside a leaf two more coordinates are sorted and only
-rows with differences up to t in both are compared, by XOR and bit count. Leaves give a spanning forest, never all pairs.
+both ways), so no pair that could link is separated. Inside a leaf the table of all distances is sorted by its two most
+telling coordinates; pairs within t in both are held against the table's other coordinates, and what the maximum
+difference doesn't discard is verified by XOR and bit count. Leaves give a spanning forest, never all pairs.
 
 The tree is fitted to a bounded sample (its size only affects speed); every fingerprint is put through it. A leaf
 that still is large is cut into blocks, and every pair of blocks becomes a task of its own.
@@ -153,28 +154,49 @@ def fit_tree(sample: np.ndarray, total: int, refs: np.ndarray, bits: int, leaf_r
     return Tree(refs[t[:, 0]], t[:, 1], t[:, 2], t[:, 3], leaves, bits)
 
 
-def link_leaf(fp: np.ndarray, refs: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _within(table: np.ndarray, i: np.ndarray, j: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs whose largest difference in any row of ``table`` is at most ``bits``.
+
+    Rows are taken eight at a time, each on the pairs that are left. Eight rows that discard less than a hundredth of
+    many pairs end it: these are close in earnest, and verifying them is cheaper than looking on.
+    """
+    for k in range(0, len(table), 8):
+        before = len(i)
+        if not before:
+            break
+        for row in table[k:k + 8]:
+            near = np.abs(row[i] - row[j]) <= bits
+            i, j = i[near], j[near]
+        if len(i) > 1 << 16 and len(i) > 0.99 * before:
+            break
+    return i, j
+
+
+def link_leaf(fp: np.ndarray, refs: np.ndarray, bits: int, chunk: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links among distinct fingerprints: (row, row of its root)."""
     n = len(fp)
-    d = np.bitwise_count(fp[None, :] ^ refs[:, None]).astype(np.int64)
-    one, two = np.argsort(-d.var(axis=1), kind="stable")[:2]
-    key = d[one] * 128 + d[two]
+    d = np.bitwise_count(fp[None, :] ^ refs[:, None]).astype(np.int8)
+    d = d[np.argsort(-d.astype(np.float32).var(axis=1), kind="stable")]
+    key = d[0].astype(np.int64) * 128 + d[1]
     order = np.argsort(key, kind="stable")
-    key, sorted_fp = key[order], fp[order]
-    cells, begin = np.unique(key, return_index=True)
-    ends = np.append(begin[1:], n)
+    key, sorted_fp, table = key[order], fp[order], d[2:, order]
     firsts, seconds = [], []
     for a in range(bits + 1):
-        lo = np.searchsorted(key, cells + a * 128 - (bits if a else 0), "left")
-        hi = np.searchsorted(key, cells + a * 128 + bits, "right")
-        for b0, b1, l0, l1 in zip(begin.tolist(), ends.tolist(), lo.tolist(), hi.tolist()):
-            if l0 < l1:
-                near = np.bitwise_count(sorted_fp[b0:b1, None] ^ sorted_fp[None, l0:l1]) <= bits
-                i, j = np.nonzero(near)
-                i, j = i + b0, j + l0
-                real = i != j
-                firsts.append(i[real])
-                seconds.append(j[real])
+        lo = np.searchsorted(key, key + a * 128 - (bits if a else 0), "left")
+        hi = np.searchsorted(key, key + a * 128 + bits, "right")
+        upto = np.append(0, np.cumsum(hi - lo))
+        r0 = 0
+        while r0 < n:                                        # rows with about ``chunk`` pairs, one row at least
+            r1 = max(r0 + 1, int(np.searchsorted(upto, upto[r0] + chunk, "right")) - 1)
+            size = (hi - lo)[r0:r1]
+            i = np.repeat(np.arange(r0, r1), size)
+            j = np.repeat(lo[r0:r1], size) + tokens.runs_of(size)
+            real = i != j
+            i, j = _within(table, i[real], j[real], bits)
+            near = np.bitwise_count(sorted_fp[i] ^ sorted_fp[j]) <= bits
+            firsts.append(i[near])
+            seconds.append(j[near])
+            r0 = r1
     i = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
     j = np.concatenate(seconds) if seconds else np.zeros(0, np.int64)
     label = np.arange(n)
@@ -251,8 +273,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 2, carry: tuple
     edges = near_links(spark, distinct, bits)
     roots = connected_components(spark, edges, rows)
     linked = distinct.join(roots, distinct["fp"] == roots["node"]).select("node", "root", "least")
-    least = linked.groupBy("root").agg(F.min("least").alias("component")).withColumnRenamed("root", "r")
-    linked = linked.join(least, linked["root"] == least["r"]).select("node", "root", "component")
+    least = linked.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("nodes"))
+    linked = spread_join(linked.select("node", "root"), least, "root", "nodes", ["node"])
     named = distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
         "fp", "n", F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
     out = spread_join(fps, named, "fp", "n", ["doc_id", *carry]).select("doc_id", *carry, "fp", "component_id", "root")

@@ -65,3 +65,23 @@ def test_tree_never_parts_close_rows():
         for r in rows:
             of[r].add(leaf)
     assert all(of[i] & of[i + 3000] for i in range(3000))
+
+
+def test_the_table_discards_by_the_largest_difference():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 2 ** 63, 500, dtype=np.uint64)
+    table = np.bitwise_count(x[None, :] ^ simhash.pivots(24)[:, None]).astype(np.int8)
+    i, j = (a.ravel() for a in np.meshgrid(np.arange(500), np.arange(500)))
+    got = simhash._within(table, i, j, 5)
+    want = np.abs(table[:, i].astype(int) - table[:, j]).max(axis=0) <= 5
+    assert 500 <= want.sum() < len(i) / 100
+    assert set(zip(*got)) == set(zip(i[want], j[want]))
+
+
+@pytest.mark.parametrize("chunk", [1, 50, 1 << 20])
+def test_a_leaf_in_chunks_of_pairs(chunk):
+    rng = np.random.default_rng(4)
+    x = np.unique(rng.integers(0, 2 ** 10, 200, dtype=np.uint64) << np.uint64(20))
+    a, b = simhash.link_leaf(x, simhash.pivots(64), 2, chunk)
+    merged = brute.components(len(x), lambda i, j: (i, j) in linked or (j, i) in linked) if (linked := set(zip(a.tolist(), b.tolist()))) else []
+    assert merged == brute.components(len(x), lambda i, j: int(x[i] ^ x[j]).bit_count() <= 2)
