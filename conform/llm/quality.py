@@ -7,9 +7,10 @@ unlabelled), the risk of a score f is
     p * E_pos[loss(f, +)] + max(0, E_unl[loss(f, -)] - p * E_pos[loss(f, -)])
 
 whose second part is an unbiased estimate of the negatives' risk, kept from going below zero. It is minimised over a
-logistic model of text statistics. The prior is estimated first: a plain positive-against-unlabelled model is
-fitted on one half of the sample, and on the other half the smallest ratio of the unlabelled to the positives above
-any of its thresholds is taken, with an allowance for small counts.
+logistic model of two kinds of inputs: statistics of the text (its make-up of characters, lines and repeats), and the rates of
+its words and word pairs, hashed into ``LEXICAL`` buckets (what it is about). The prior is estimated first, from the
+statistics: a plain positive-against-unlabelled model is fitted on one half of the sample, and on the other half the smallest
+ratio of the unlabelled to the positives above any of its thresholds is taken, with an allowance for small counts.
 
 The model is fitted on a bounded sample (``Sample``); all documents are scored, over their whole text. Statistics are
 computed in Arrow batches with numpy; the texts are never shuffled.
@@ -48,6 +49,9 @@ _N_KINDS = 9  # 0: all other characters
 FEATURES = ("words", "chars_per_word", "lower", "upper", "digits", "beyond_ascii", "blanks", "lines", "stops", "shouts", "symbols",
             "word_repeats", "word_variety", "pair_variety", "upper_words", "marked_words", "long_words", "short_words", "line_words")
 
+LEXICAL = 512         # buckets of words and pairs of neighbouring words, lower-cased
+LEXICAL_SCALE = 0.1   # a bucket's standardised rate counts that much of a statistic, so its weight costs more
+
 
 def _per_text(values: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(text, values, n)
@@ -89,7 +93,19 @@ def block_features(column: pa.Array) -> np.ndarray:
     out[:, 17] = _per_text(length <= 2, text, n) / words
     out[:, 18] = np.log1p(count / (kinds[:, 6] + 1))
     out[count == 0] = 0
-    return out
+    return np.hstack([out, _lexical(data, w, n)])
+
+
+def _lexical(data: np.ndarray, w: tokens.Words, n: int) -> np.ndarray:
+    """Square roots of the buckets' shares in a text's words and pairs; the root evens out rare and frequent ones."""
+    text = w.text_of_word()
+    h = tokens.Words(tokens.LOWER[data], w.start, w.end, w.first).hashes()
+    beside = text[1:] == text[:-1]
+    grams = np.concatenate([h, tokens.mix64(h[:-1] + h[1:] * np.uint64(3))[beside]]) if len(h) else h
+    of = np.concatenate([text, text[1:][beside]])
+    counts = np.bincount(of * LEXICAL + (grams % np.uint64(LEXICAL)).astype(np.int64), minlength=n * LEXICAL).reshape(n, LEXICAL)
+    # half precision, as the sample is sent: a score is the same wherever it is computed
+    return np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)).astype(np.float16).astype(float)
 
 
 def _distinct(h: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
@@ -104,7 +120,7 @@ def _distinct(h: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
 
 def features(column: pa.Array) -> np.ndarray:
     parts = [block_features(c) for _, c in tokens.blocks(column)]
-    return np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
+    return np.concatenate(parts) if parts else np.zeros((0, len(FEATURES) + LEXICAL))
 
 
 @dataclass(frozen=True)
@@ -116,10 +132,16 @@ class Model:
     prior: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights + self.bias
+        z = _standard(x, self.mean, self.scale) @ self.weights + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    x = np.clip((x - mean) / scale, -8, 8)
+    x[:, len(FEATURES):] *= LEXICAL_SCALE
+    return x
+
+
 def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
@@ -164,12 +186,19 @@ def fit(pos: np.ndarray, unl: np.ndarray, steps: int = 400, l2: float = 1e-4) ->
         return None
     mean, scale = unl.mean(axis=0), unl.std(axis=0)
     scale = np.where(scale > 1e-9, scale, 1.0)
-    p, u = (np.clip((x - mean) / scale, -8, 8) for x in (pos, unl))
-    prior = estimate_prior(p, u)
-    p, u = _plus_one(p), _plus_one(u)
+    p, u = (_standard(x, mean, scale).astype(np.float32) for x in (pos, unl))
+    prior = estimate_prior(p[:, :len(FEATURES)].astype(float), u[:, :len(FEATURES)].astype(float))
+    t = minimise_risk(p, u, prior, steps, l2)
+    return Model(mean, scale, t[:-1], float(t[-1]), prior)
+
+
+def minimise_risk(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 400, l2: float = 1e-4) -> np.ndarray:
+    """Weights and, last, bias of least non-negative risk plus ``l2`` / 2 times the weights' squares."""
+    p, u = _plus_one(p).astype(p.dtype), _plus_one(u).astype(u.dtype)
 
     def gradient(t: np.ndarray) -> np.ndarray:
-        zp, zu = np.clip(p @ t, -30, 30), np.clip(u @ t, -30, 30)
+        own = t.astype(p.dtype)
+        zp, zu = np.clip(p @ own, -30, 30), np.clip(u @ own, -30, 30)
         sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
         up = prior * p.T @ (sp - 1) / len(p)
         down = u.T @ su / len(u) - prior * p.T @ sp / len(p)
@@ -178,8 +207,7 @@ def fit(pos: np.ndarray, unl: np.ndarray, steps: int = 400, l2: float = 1e-4) ->
         # where the estimate of the negatives' risk has gone below zero, step back from it
         return up + down + decay if rest >= 0 else -down + decay
 
-    t = _minimise(gradient, p.shape[1], steps)
-    return Model(mean, scale, t[:-1], float(t[-1]), prior)
+    return _minimise(gradient, p.shape[1], steps)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -206,15 +234,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> Mode
     trusted = docs.join(F.broadcast(some), "doc_id")
     taken = docs.where(_share(docs.select("doc_id"), sample.unlabelled))
 
+    k = len(FEATURES)
+
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = features(b.column("text"))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "x"])
+            packed = [r[:k].tobytes() + r[k:].astype(np.float16).tobytes() for r in x]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "x"])
 
     def gather(df: DataFrame) -> np.ndarray:   # bounded by ``sample``
-        t = df.select("doc_id", "text").mapInArrow(compute, "doc_id long, x array<double>").toArrow()
-        x = np.array(t.column("x").to_pylist(), dtype=float).reshape(-1, len(FEATURES))
-        return x[np.lexsort((*x.T, t.column("doc_id").to_numpy()))]   # the same order in every run
+        t = df.select("doc_id", "text").mapInArrow(compute, "doc_id long, x binary").toArrow()
+        rows = sorted(zip(t.column("doc_id").to_pylist(), t.column("x").to_pylist()))   # the same order in every run
+        raw = np.frombuffer(b"".join(x for _, x in rows), np.uint8).reshape(len(rows), 8 * k + 2 * LEXICAL)
+        x = np.empty((len(rows), k + LEXICAL), np.float32)
+        x[:, :k] = np.ascontiguousarray(raw[:, :8 * k]).view(np.float64)
+        x[:, k:] = np.ascontiguousarray(raw[:, 8 * k:]).view(np.float16)
+        return x
 
     return fit(gather(trusted), gather(taken))
 

@@ -3,7 +3,7 @@ import pytest
 import zlib
 from samples import DOCS, make, prose  # noqa: F401 (fixtures)
 
-from conform.llm.quality import FEATURES, Sample, block_features, classify, estimate_prior, fit
+from conform.llm.quality import FEATURES, LEXICAL, Sample, block_features, classify, estimate_prior, fit, minimise_risk
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -82,4 +82,44 @@ def test_features_do_not_depend_on_the_batch():
     texts = [None, "", "a", "A b\nc", prose(1, 300), "x " * 500, "ÄÖ ü!"]
     together = block_features(pa.array(texts))
     alone = np.vstack([block_features(pa.array([t], pa.string())) for t in texts])
-    assert together.shape == (len(texts), len(FEATURES)) and np.allclose(together, alone) and np.isfinite(together).all()
+    assert together.shape == (len(texts), len(FEATURES) + LEXICAL) and np.allclose(together, alone) and np.isfinite(together).all()
+
+
+def test_the_minimiser_against_newtons_method():
+    """Where the negatives' risk stays positive the risk is convex: Newton's steps find its one minimum from second derivatives."""
+    g = np.random.default_rng(7)
+    prior, l2 = 0.4, 1e-2
+    pos = g.normal(0.5, 1, (800, 5))
+    unl = np.vstack([g.normal(0.5, 1, (400, 5)), g.normal(-0.5, 1, (600, 5))])
+    p, u = np.hstack([pos, np.ones((800, 1))]), np.hstack([unl, np.ones((1000, 1))])
+    ridge = l2 * np.diag([1.0] * 5 + [0.0])
+    t = np.zeros(6)
+    for _ in range(50):
+        s = 1 / (1 + np.exp(-u @ t))
+        slope = -prior * p.mean(axis=0) + u.T @ s / len(u) + ridge @ t
+        t = t - np.linalg.solve((u * (s * (1 - s))[:, None]).T @ u / len(u) + ridge, slope)
+    assert np.abs(slope).max() < 1e-10
+    assert np.logaddexp(0, u @ t).mean() - prior * np.logaddexp(0, p @ t).mean() > 0
+    assert np.allclose(minimise_risk(pos, unl, prior, 2000, l2), t, atol=2e-3)
+
+
+def test_the_negatives_risk_is_kept_from_going_below_zero():
+    """With a prior far too high and room to overfit, the plain estimate falls below zero; the minimiser steps back from it."""
+    g = np.random.default_rng(8)
+    pos, unl = g.normal(0, 1, (30, 60)), g.normal(0, 1, (30, 60))
+    t = minimise_risk(pos, unl, 0.9, 2000, 0.0)
+    z = lambda x: x @ t[:-1] + t[-1]
+    assert np.logaddexp(0, z(unl)).mean() - 0.9 * np.logaddexp(0, z(pos)).mean() > -0.1
+
+
+def test_fluent_texts_are_told_apart_by_their_words(make):
+    """Good and bad texts of one build, characters and lengths alike: only their words differ."""
+    g = np.random.default_rng(9)
+    spell = lambda i: "".join(chr(97 + (i * 7 + j * (i % 5 + 3)) % 26) for j in range(6))
+    good, bad, both = ([spell(k * 1000 + i) for i in range(60)] for k in (1, 2, 3))
+    text = lambda i: " ".join(g.choice(bad + both if i % 3 == 0 else good + both, 80))
+    rows = [(i, text(i), None, None, None) for i in range(1500)]
+    got = classify(make(rows, DOCS), make([(i, int(i % 3 != 0), 0) for i in range(1500) if i % 2], LABELS)).collect()
+    held = [r for r in got if r.held_out]
+    up, down = ([r.score for r in held if (r.doc_id % 3 != 0) == k] for k in (True, False))
+    assert np.mean([a > b for a in up for b in down]) > 0.95
