@@ -10,12 +10,16 @@ document is contaminated by an item if, along one alignment,
 
 Words are runs of letters and digits, lower-cased, so case and punctuation make no difference.
 
+Stretches of documents with equal words and hits are one class: they are joined and compared once, and the result goes to all of
+them. Joins whose keys may be hot (a seed in a third of the documents, a class of many copies) are split.
+
 The documents are read once. A Bloom filter of the benchmark's hashes (bounded size, exact join behind it) lets only the
 words around possible hits out of the scan; all else stays where it is.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -26,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conform.llm import bloom, tokens
-from conform.llm.common import staged
+from conform.llm.common import spread_join, staged
 
 # Fixed masks: 1 is compared, 0 ignored. Of a stretch of 13 words or more of which 80 % agree, one mask at one place meets agreeing
 # words only, whichever they are. A stretch of 26 words or more can be cut into ones of 13 to 25, of which one has that share
@@ -125,8 +129,17 @@ def _verify(a: np.ndarray, b: np.ndarray, similarity: float, min_words: int) ->
     return None if best is None else (best[0], best[1], int(same[best[0]:best[0] + best[1]].sum()))
 
 
+def _each(left: DataFrame, right: DataFrame, key: str, by: list[str]) -> DataFrame:
+    """``left`` joined to every row of ``right`` with its ``key``. Hot keys of ``left`` are split; a key's rows of ``right``, as many as
+    there are benchmark items and places, travel as a list."""
+    lists = right.groupBy(key).agg(F.collect_list(F.struct(*[c for c in right.columns if c != key])).alias("__all"))
+    counts = left.groupBy(key).agg(F.count("*").alias("__rows")).join(lists, key)
+    return spread_join(left, counts, key, "__rows", by).withColumn("__one", F.explode("__all")).select(*left.columns, "__one.*")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 13,
-                 carry: tuple[str, ...] = (), shortest: int = SHORTEST, every_id: bool = False) -> DataFrame:
+                 carry: tuple[str, ...] = (), shortest: int = SHORTEST, every_id: bool = False,
+                 any_item: bool = False) -> DataFrame:
     """doc_id, (carried,) item_id, start_word, n_words, n_same, item_words: one row for each document and item found.
 
     ``docs`` (doc_id, text), ``benchmark`` (item_id, text). Of several places of an item in a document the one with most
@@ -135,25 +148,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     a row for each of the ids (a null one too). Null and empty texts contain nothing; items with fewer than ``shortest``
     words are not searched (1: all are; below 5 words 80 % are all words); of all others every place that meets the criterion is found. A null doc_id is returned as it is. Either table
     may be empty. Other columns are not read.
+
+    ``any_item`` gives doc_id and the carried columns only, one row for a contaminated document: each seed is tried with one of its
+    items first, and only the stretches in which nothing is found that way are held against the others. Question openers that
+    many items share so cost a comparison a document, not one for each of the items.
     """
     spark = docs.sparkSession
     items = staged(spark, benchmark_items(benchmark, similarity, min_words, shortest), "decon-items", benchmark.count())
     seeds = items.select("item", F.explode("seeds").alias("s")).select("item", F.col("s.h").alias("h"), F.col("s.at").alias("at"))
     longest = items.agg(F.max("n")).first()[0] or 0
-    alike = max(MASKS_FROM, 2 * min_words)  # items from that length on have the same masks
-    lengths = sorted(n for (n,) in items.select(F.least("n", F.lit(alike))).distinct().collect())
+    most = max(MASKS_FROM, 2 * min_words)  # items from that length on have the same masks
+    lengths = sorted(n for (n,) in items.select(F.least("n", F.lit(most))).distinct().collect())
     masks = list(dict.fromkeys(m for n in lengths for m in _item_masks(n, similarity, min_words))) or MASKS
     # a few common words stand in a text often, and all their places are alike: the first is enough
     once = {"1" * n for n in lengths if _exact(n, similarity)}
     once -= {m for n in lengths if not _exact(n, similarity) for m in _item_masks(n, similarity, min_words)}
     held, bits = bloom.build(spark, seeds.select("h"), "h")
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.xxhash64("text").alias("__t"), "text")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, "text")
     names = source.columns[:-1]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(held.value, np.uint8)
         for b in batches:
-            rows, starts, words, hits = [], [], [], []
+            rows, starts, words, hits, alike = [], [], [], [], []
             for lo, block in tokens.blocks(b.column(b.num_columns - 1)):
                 w, h = _words(block)
                 found = []
@@ -183,32 +200,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
                     rows.append(lo + d)
                     starts.append(first - w.first[d])
                     words.append(h[first:end[i:j].max()].tobytes())
-                    hits.append([{"h": int(x), "at": int(p)} for x, p in zip(s[i:j].view(np.int64), at[i:j] - w.first[d])])
+                    hits.append([{"h": int(x), "at": int(p)} for x, p in zip(s[i:j].view(np.int64), at[i:j] - first)])
+                    alike.append(hashlib.blake2b(words[-1] + s[i:j].tobytes() + (at[i:j] - first).astype("<i8").tobytes(), digest_size=16).digest())
             if rows:
                 own = b.take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [*own.columns[:-1], pa.array(starts, pa.int32()), pa.array(words, pa.binary()),
-                     pa.array(hits, pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32())])))],
-                    names=[*names, "start", "near", "hits"])
+                     pa.array(hits, pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32())]))), pa.array(alike, pa.binary())],
+                    names=[*names, "start", "near", "hits", "class"])
 
     kinds = dict(source.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", start int, near binary, hits array<struct<h: long, at: int>>"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", start int, near binary, hits array<struct<h: long, at: int>>, class binary"
     segments = staged(spark, source.mapInArrow(scan, schema), "decon-segments")
-    segments = segments.withColumn("segment", F.xxhash64("doc_id", *carry, "__t", "start"))
-    hit = segments.select("segment", F.explode("hits").alias("s")).select("segment", F.col("s.h").alias("h"), F.col("s.at").alias("p"))
-    lines = hit.join(seeds, "h").select("segment", "item", (F.col("p") - F.col("at")).alias("shift")).distinct()
-    pairs = lines.join(segments.drop("hits").dropDuplicates(["segment"]), "segment").join(items.drop("seeds", "item_ids"), "item")
-    pairs = pairs.select("doc_id", *carry, "item", "item_id", "n", "shift", "start", "near", "words")
+    classes = staged(spark, segments.select("class", "near", "hits").dropDuplicates(["class"]), "decon-classes")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, out = [], []
-            for i, (shift, start, near, words) in enumerate(zip(*(b.column(c).to_pylist() for c in ("shift", "start", "near", "words")))):
+            for i, (shift, near, words) in enumerate(zip(*(b.column(c).to_pylist() for c in ("shift", "near", "words")))):
                 a, d = np.frombuffer(words, np.uint64), np.frombuffer(near, np.uint64)
-                beside = np.zeros(len(a), np.uint64)
-                lo = shift - start                     # the item's first word falls on this word of the segment
-                i0, i1 = max(0, -lo), min(len(a), len(d) - lo)
-                beside[i0:i1] = d[lo + i0:lo + i1]
+                beside = np.zeros(len(a), np.uint64)   # the item's first word falls on word ``shift`` of the stretch
+                i0, i1 = max(0, -shift), min(len(a), len(d) - shift)
+                beside[i0:i1] = d[shift + i0:shift + i1]
                 best = _verify(a, beside, similarity, min_words)
                 if best:
                     rows.append(i)
@@ -217,15 +230,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
                 own = b.take(pa.array(rows, pa.int64()))
                 s, n, same = zip(*out)
                 yield pa.RecordBatch.from_arrays(
-                    [*(own.column(c) for c in ("doc_id", *carry, "item", "item_id", "n")), pa.array(s, pa.int32()), pa.array(n, pa.int32()), pa.array(same, pa.int32())],
-                    names=["doc_id", *carry, "item", "item_id", "item_words", "start_word", "n_words", "n_same"])
+                    [*(own.column(c) for c in ("class", "item", "item_id", "n")), pa.array(s, pa.int32()), pa.array(n, pa.int32()), pa.array(same, pa.int32())],
+                    names=["class", "item", "item_id", "item_words", "s", "n_words", "n_same"])
+
+    def verified(classes: DataFrame, seeds: DataFrame) -> DataFrame:
+        hit = classes.select("class", F.explode("hits").alias("s")).select("class", F.col("s.h").alias("h"), F.col("s.at").alias("p"))
+        lines = _each(hit, seeds, "h", ["class", "p"]).select("class", "item", (F.col("p") - F.col("at")).alias("shift")).distinct()
+        pairs = lines.join(classes.select("class", "near"), "class").join(items.select("item", "item_id", "n", "words"), "item")
+        return pairs.select("class", "item", "item_id", "n", "shift", "near", "words").mapInArrow(
+            check, "class binary, item long, item_id long, item_words int, s int, n_words int, n_same int")
+
+    if any_item:
+        first = seeds.groupBy("h").agg(F.min(F.struct("item", "at")).alias("m")).select("h", "m.item", "m.at")
+        soon = staged(spark, verified(classes, first).select("class").distinct(), "decon-first")
+        later = verified(classes.join(soon, "class", "left_anti"), seeds).select("class").distinct()
+        return segments.join(soon.union(later), "class", "left_semi").select("doc_id", *carry).distinct()
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in ("doc_id", *carry)) + ", item long, item_id long, item_words int, start_word int, n_words int, n_same int"
-    found = pairs.mapInArrow(check, schema)
+    best = F.max(F.struct("n_same", (-F.col("s")).alias("s"), "n_words")).alias("m")
+    found = verified(classes, seeds).groupBy("class", "item", "item_id", "item_words").agg(best).select(
+        "class", "item", "item_id", "item_words", "m.n_same", (-F.col("m.s")).alias("s"), "m.n_words")
     if every_id:
         ids = items.where(F.size("item_ids") > 1).select(F.col("item").alias("same"), F.explode("item_ids").alias("own"))
         found = found.join(ids, found["item"] == ids["same"], "left").withColumn(
             "item_id", F.when(F.col("own").isNull(), F.col("item_id")).otherwise(F.col("own.item_id")))
+    found = _each(segments.select("doc_id", *carry, "class", "start"), found.drop("item"), "class", ["doc_id", "start"])
+    found = found.withColumn("start_word", F.col("start") + F.col("s"))
     best = F.max(F.struct("n_same", (-F.col("start_word")).alias("s"), "n_words")).alias("m")
     return found.groupBy("doc_id", *carry, "item_id", "item_words").agg(best).select(
         "doc_id", *carry, "item_id", (-F.col("m.s")).alias("start_word"), F.col("m.n_words").alias("n_words"), F.col("m.n_same").alias("n_same"), "item_words")

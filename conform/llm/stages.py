@@ -37,8 +37,8 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark; items of a few words count too, if all their words stand in a row."""
     keyed = with_row_key(docs)
-    bad = contaminated(keyed, table(spark, sf_dir, "benchmark"), carry=("__h",), shortest=1).select(
-        F.col("doc_id").alias("__bad_id"), F.col("__h").alias("__bad_h")).distinct()
+    bad = contaminated(keyed, table(spark, sf_dir, "benchmark"), carry=("__h",), shortest=1, any_item=True).select(
+        F.col("doc_id").alias("__bad_id"), F.col("__h").alias("__bad_h"))
     same = same_row(keyed, "__h", "doc_id", bad, "__bad_h", "__bad_id")
     return gathered_texts(keyed.join(bad, same, "left_anti").select(*docs.columns), docs)
 

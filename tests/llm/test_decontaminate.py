@@ -146,3 +146,37 @@ def test_every_id_of_items_with_equal_words(make, spark):
     make(bench, SCHEMA).write.parquet(f"{path}/benchmark.parquet")
     make([(d, t, None, None, None) for d, t in docs], DOCS).write.parquet(f"{path}/documents.parquet")
     assert sorted(((r.doc_id, r.item_id) for r in QUERIES["op2_spaced_seeds"](spark, path).collect()), key=str) == sorted(want, key=str)
+
+
+OPENER = prose(70, 17)
+
+
+def opened(n, seed):
+    """n texts that begin alike and go on in their own words."""
+    return [OPENER + " " + prose(seed + i, 30) for i in range(n)]
+
+
+def test_an_opener_of_many_items_in_many_documents(make):
+    items = list(enumerate(opened(25, 30_000)))
+    docs = [(i, around(t, 40_000 + 2 * i)) for i, t in enumerate(opened(25, 50_000))] + [(100, prose(1, 200)), (101, items[7][1])]
+    pairs = found(make, docs, items)
+    assert {p for p in pairs if p[0] != 101} == {(d, i) for d in range(25) for i in range(25)} and (101, 7) in pairs
+    rows = make([(d, t, None, None, None) for d, t in docs], DOCS)
+    got = contaminated(rows, make(items, SCHEMA), any_item=True)
+    assert got.columns == ["doc_id"] and sorted(r[0] for r in got.collect()) == [*range(25), 101]
+
+
+def test_any_item_looks_beyond_the_first_item_of_a_seed(make):
+    """Seeds of two items agree; the first fails where the second is found."""
+    a, b = prose(80, 9), prose(81, 40)
+    items = [(1, a + " " + prose(82, 20)), (2, a + " " + b)]
+    docs = [(5, around(a + " " + " ".join(b.split()[:12]), 90)), (6, around(a, 92)), (None, around(items[0][1], 94))]
+    rows = make([(d, t, None, None, None) for d, t in docs], DOCS)
+    got = contaminated(rows, make(items, SCHEMA), any_item=True).collect()
+    assert sorted([r[0] for r in got], key=str) == sorted({d for d, _ in found(make, docs, items)}, key=str) == [5, None]
+
+
+def test_copies_are_compared_once_and_all_come_out(make):
+    docs = [(i, around(ITEM, 100)) for i in range(40)] + [(50, prose(99, 7) + " " + around(ITEM, 100))]
+    rows = contaminated(make([(d, t, None, None, None) for d, t in docs], DOCS), make(BENCH, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.item_id, r.start_word, r.n_same) for r in rows) == [(i, 1, 40, 30) for i in range(40)] + [(50, 1, 47, 30)]
