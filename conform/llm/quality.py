@@ -49,7 +49,7 @@ _N_KINDS = 9  # 0: all other characters
 FEATURES = ("words", "chars_per_word", "lower", "upper", "digits", "beyond_ascii", "blanks", "lines", "stops", "shouts", "symbols",
             "word_repeats", "word_variety", "pair_variety", "upper_words", "marked_words", "long_words", "short_words", "line_words")
 
-LEXICAL = 512         # buckets of words and pairs of neighbouring words, lower-cased
+LEXICAL = 256         # buckets of words and pairs of neighbouring words, lower-cased
 LEXICAL_SCALE = 0.1   # a bucket's standardised rate counts that much of a statistic, so its weight costs more
 
 
@@ -137,7 +137,9 @@ class Model:
 
 
 def _standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    x = np.clip((x - mean) / scale, -8, 8)
+    x = x - mean
+    x /= scale
+    np.clip(x, -8, 8, out=x)
     x[:, len(FEATURES):] *= LEXICAL_SCALE
     return x
 
@@ -186,7 +188,8 @@ def fit(pos: np.ndarray, unl: np.ndarray, steps: int = 400, l2: float = 1e-4) ->
         return None
     mean, scale = unl.mean(axis=0), unl.std(axis=0)
     scale = np.where(scale > 1e-9, scale, 1.0)
-    p, u = (_standard(x, mean, scale).astype(np.float32) for x in (pos, unl))
+    p, u = _standard(pos, mean, scale), _standard(unl, mean, scale)
+    del pos, unl
     prior = estimate_prior(p[:, :len(FEATURES)].astype(float), u[:, :len(FEATURES)].astype(float))
     t = minimise_risk(p, u, prior, steps, l2)
     return Model(mean, scale, t[:-1], float(t[-1]), prior)
@@ -194,20 +197,20 @@ def fit(pos: np.ndarray, unl: np.ndarray, steps: int = 400, l2: float = 1e-4) ->
 
 def minimise_risk(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 400, l2: float = 1e-4) -> np.ndarray:
     """Weights and, last, bias of least non-negative risk plus ``l2`` / 2 times the weights' squares."""
-    p, u = _plus_one(p).astype(p.dtype), _plus_one(u).astype(u.dtype)
+    def pull(x: np.ndarray, residual: np.ndarray) -> np.ndarray:
+        return np.append(x.T @ residual, residual.sum()) / len(x)
 
     def gradient(t: np.ndarray) -> np.ndarray:
-        own = t.astype(p.dtype)
-        zp, zu = np.clip(p @ own, -30, 30), np.clip(u @ own, -30, 30)
+        zp, zu = (np.clip(x @ t[:-1].astype(x.dtype) + x.dtype.type(t[-1]), -30, 30) for x in (p, u))
         sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
-        up = prior * p.T @ (sp - 1) / len(p)
-        down = u.T @ su / len(u) - prior * p.T @ sp / len(p)
+        up = prior * pull(p, sp - 1)
+        down = pull(u, su) - prior * pull(p, sp)
         rest = _softplus(zu).mean() - prior * _softplus(zp).mean()
         decay = l2 * np.append(t[:-1], 0)
         # where the estimate of the negatives' risk has gone below zero, step back from it
         return up + down + decay if rest >= 0 else -down + decay
 
-    return _minimise(gradient, p.shape[1], steps)
+    return _minimise(gradient, p.shape[1] + 1, steps)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -244,11 +247,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> Mode
 
     def gather(df: DataFrame) -> np.ndarray:   # bounded by ``sample``
         t = df.select("doc_id", "text").mapInArrow(compute, "doc_id long, x binary").toArrow()
-        rows = sorted(zip(t.column("doc_id").to_pylist(), t.column("x").to_pylist()))   # the same order in every run
-        raw = np.frombuffer(b"".join(x for _, x in rows), np.uint8).reshape(len(rows), 8 * k + 2 * LEXICAL)
-        x = np.empty((len(rows), k + LEXICAL), np.float32)
-        x[:, :k] = np.ascontiguousarray(raw[:, :8 * k]).view(np.float64)
-        x[:, k:] = np.ascontiguousarray(raw[:, 8 * k:]).view(np.float16)
+        ids, packed = t.column("doc_id").to_numpy(), t.column("x").combine_chunks()
+        del t
+        if not len(ids):
+            return np.zeros((0, k + LEXICAL), np.float32)
+        size = 8 * k + 2 * LEXICAL                                   # bytes of a row
+        raw = np.frombuffer(packed.buffers()[2], np.uint8)[packed.offset * size:][:len(ids) * size].reshape(-1, size)
+        stats = np.ascontiguousarray(raw[:, :8 * k]).view(np.float64)
+        order = np.lexsort((*stats.T, ids))                          # the same in every run
+        x = np.empty((len(ids), k + LEXICAL), np.float32)
+        x[:, :k] = stats[order]
+        for lo in range(0, len(ids), 4096):
+            x[lo:lo + 4096, k:] = raw[order[lo:lo + 4096], 8 * k:].view(np.float16)
         return x
 
     return fit(gather(trusted), gather(taken))
