@@ -4,13 +4,16 @@ Only suffixes that start at a minimiser are kept: in every window of ``min_words
 word run has the smallest hash. Which position that is depends on the window's words alone, so two equal windows keep the
 same one, and every repeated passage of ``min_words`` words is seen through suffixes it shares.
 
-A kept suffix stands for its neighbourhood: all windows that selected it. The suffixes are sorted by (hash of the short
-run, hash of the neighbourhood, place) over range partitions, and neighbours are compared:
+A kept suffix stands for its neighbourhood, the words of all windows that selected it: some to its left, the others to its
+right. Hashes only decide who is compared: suffixes whose short run no other document has are dropped, the rest are cut into
+parts that hold a run whole. What counts as repeated is decided by words:
 
+* a part's suffixes are sorted by the words to their right, and neighbours compared word by word;
 * equal neighbourhoods in different documents: the whole neighbourhood is repeated;
-* equal short runs but no equal neighbourhood: the match ends inside; it is extended to the left and right word by
-  word, by comparing the windows around the suffix with those of the others with the same run;
-* all others are unique and go.
+* others are extended to the right as far as the words agree with their neighbours' in that order, and to the left by
+  refining, word after word, the classes of suffixes whose words to the left agree: a window is repeated if a suffix of another document
+  agrees with it on both sides;
+* a run that is too frequent for one part is cut. The windows of its suffixes that aren't settled are grouped by their whole text.
 
 Overlapping repeated windows are joined, so the result are maximal passages: exactly the words that lie in a
 window of ``min_words`` words which another document has too.
@@ -22,13 +25,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from conform.llm import tokens
-from conform.llm.common import staged
+from conform.llm.common import spread_join, staged
 
 RUN_WORDS = 8
+PART_ROWS = 50_000         # suffixes that are compared at a time in a task
+PIECE_BYTES = 4 << 20      # of words sent on at a time
 POSITION_BITS = np.uint64((1 << 24) - 1)
 
 
@@ -63,13 +69,13 @@ def _picks(run: np.ndarray, width: int) -> np.ndarray:
 
 
 def block_suffixes(column: pa.Array, min_words: int, run_words: int) -> tuple[np.ndarray, ...]:
-    """Kept suffixes of a block: (text, first window, last window, run hash, neighbourhood hash)."""
+    """Kept suffixes of a block: (text, first window, last window, run hash, neighbourhood hash, place)."""
     data, offsets = tokens.text_bytes(column)
     w = tokens.find_words(data, offsets, tokens.NOT_BLANK)
     h = w.hashes()
     none = np.zeros(0, np.int64)
     if len(h) < min_words:
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none, none.view(np.uint64), none.view(np.uint64), none
     runs = tokens.Runs(h, tokens.WORD_POWERS)
     at = np.arange(len(h) - run_words + 1)
     run = runs.hash(at, at + run_words)
@@ -79,51 +85,180 @@ def block_suffixes(column: pa.Array, min_words: int, run_words: int) -> tuple[np
     inside = text[begin] == text[begin + min_words - 1]
     begin, pick = begin[inside], pick[inside]
     if not len(begin):
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none, none.view(np.uint64), none.view(np.uint64), none
     new = np.ones(len(begin), bool)
     new[1:] = (pick[1:] != pick[:-1]) | (text[begin[1:]] != text[begin[:-1]])
     lo = np.flatnonzero(new)
     hi = np.append(lo[1:], len(begin)) - 1
     lo, hi, pick = begin[lo], begin[hi], pick[lo]
     t = text[lo]
-    return t, lo - w.first[t], hi - w.first[t], run[pick], runs.hash(lo, hi + min_words)
+    return t, lo - w.first[t], hi - w.first[t], run[pick], runs.hash(lo, hi + min_words), pick - w.first[t]
 
 
-def _compare(t: pa.Table) -> pa.Table:
-    """Neighbour comparison in one sorted partition: adds ``state``, 1 repeated, 2 to be extended, 3 evidence only."""
-    run, hood, doc = (t.column(c).to_numpy() for c in ("run", "hood", "doc"))
+def _parts(t: pa.Table, part_rows: int) -> pa.Table:
+    """The rows of a partition (sorted by run) whose run several documents have, or may have beyond the partition.
+
+    Adds ``part``, at most ``part_rows`` neighbouring rows, and ``cut``, whether rows of the same run may be in another part.
+    """
+    run, doc = (t.column(c).to_numpy() for c in ("run", "doc"))
     n = len(run)
-    new_run = np.append(True, run[1:] != run[:-1])
-    new_hood = new_run | np.append(True, hood[1:] != hood[:-1])
-
-    def bounds(new: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        first = np.flatnonzero(new)
-        return np.cumsum(new) - 1, first, np.append(first[1:], n) - 1
-
-    of_hood, h0, h1 = bounds(new_hood)
-    repeated = doc[h0] != doc[h1]                             # sorted by doc inside a neighbourhood
-    of_run, r0, r1 = bounds(new_run)
-    several = (np.minimum.reduceat(doc, r0) != np.maximum.reduceat(doc, r0)) | (r0 == 0) | (r1 == n - 1)
-    # a run is looked into if anything in it isn't settled, or may have partners beyond the partition
-    unsettled = np.logical_or.reduceat(~repeated[of_hood], r0) | (r0 == 0) | (r1 == n - 1)
-    look = (several & unsettled)[of_run]
-    settled = repeated[of_hood]
-    edge = np.zeros(n, bool)
-    edge[h0] = edge[h1] = True
-    one, two, three = settled, look & ~settled, look & settled & edge
-    idx = np.concatenate([np.flatnonzero(m) for m in (one, two, three)])
-    state = np.repeat(np.array([1, 2, 3], np.int8), [int(m.sum()) for m in (one, two, three)])
-    return t.take(pa.array(idx)).append_column("state", pa.array(state))
-
-
-def repeated_passages(docs: DataFrame, min_words: int = 50, run_words: int = RUN_WORDS) -> DataFrame:
+    first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    sizes = np.diff(np.append(first, n))
+    edge = np.zeros(len(first), bool)
+    edge[0] = edge[-1] = True
+    several = (np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)) | edge
+    keep = np.flatnonzero(np.repeat(several, sizes))
+    first, sizes, edge = np.cumsum(sizes[several]) - sizes[several], sizes[several], edge[several]
+    number = np.arange(len(keep)) // part_rows
+    cut = edge | (number[first] != number[first + sizes - 1])
+    t = t.take(pa.array(keep))
+    heads = t.take(pa.array(np.arange(0, len(keep), part_rows)))    # a part is named by its first row, on every attempt alike
+    name = np.zeros(len(heads), np.uint64)
+    for c in ("run", "doc", "first"):
+        name = tokens.mix64(name + heads.column(c).to_numpy().astype(np.int64).view(np.uint64))
+    return t.append_column("part", pa.array(name.view(np.int64)[number])).append_column("cut", pa.array(np.repeat(cut, sizes)))
+
+
+def _slices(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
+    """Binary array of ``data[lo:hi]``, a value a pair."""
+    n = hi - lo
+    offsets = np.append(0, np.cumsum(n)).astype(np.int32)
+    at = np.arange(offsets[-1], dtype=np.int64) + np.repeat(lo - offsets[:-1], n)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[at]))])
+
+
+def _lined(w: tokens.Words) -> tuple[np.ndarray, np.ndarray]:
+    """All words, each followed by a line feed, and the offset of each (and of the end)."""
+    n = w.end - w.start
+    at = np.append(0, np.cumsum(n + 1))
+    out = np.full(at[-1], 10, np.uint8)
+    inside = tokens.runs_of(n)
+    out[np.repeat(at[:-1], n) + inside] = w.data[np.repeat(w.start, n) + inside]
+    return out, at
+
+
+def _lines(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(place of each row's first word, number of words, words) of rows of words that each end in a line feed."""
+    lists = pc.split_pattern(column.combine_chunks(), b"\n")
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    return ends[:-1], np.diff(ends) - 1, lists.values
+
+
+def _tables(right: pa.ChunkedArray, left: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words to the right and to the left (nearest first) as numbers, equal ones for equal words, -1 beyond a row's end; their counts."""
+    r_at, r_n, r_words = _lines(right)
+    l_at, l_n, l_words = _lines(left)
+    r_ids, l_ids = (c.indices.to_numpy() for c in pa.chunked_array([r_words, l_words]).dictionary_encode().unify_dictionaries().chunks)
+
+    def table(flat: np.ndarray, at: np.ndarray, n: np.ndarray, step: int) -> np.ndarray:
+        out = np.full((len(n), max(1, int(n.max(initial=0)))), -1, np.int32)
+        col = tokens.runs_of(n)
+        row = np.repeat(np.arange(len(n)), n)
+        out[row, col] = flat[np.repeat(at if step > 0 else at + n - 1, n) + step * col]
+        return out
+
+    return table(r_ids, r_at, r_n, 1), r_n, table(l_ids, l_at, l_n, -1), l_n
+
+
+def _agree(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Number of words in which a row agrees with the row before it, 0 for the first row."""
+    out = np.zeros(len(x), np.int64)
+    if len(x) > 1:
+        differs = np.hstack([x[1:] != x[:-1], np.ones((len(x) - 1, 1), bool)])
+        out[1:] = np.minimum(differs.argmax(axis=1), np.minimum(n[1:], n[:-1]))
+    return out
+
+
+def _several(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether rows of another document have the same key."""
+    order = np.argsort(key, kind="stable")
+    k, d = key[order], doc[order]
+    first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+    differ = np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first)
+    out = np.empty(len(key), bool)
+    out[order] = np.repeat(differ, np.diff(np.append(first, len(k))))
+    return out
+
+
+def compare_suffixes(t: pa.Table, min_words: int, run_words: int) -> tuple[np.ndarray, ...]:
+    """Neighbour comparison in one part, sorted by (right, left, doc).
+
+    Returns spans (row, first window, last window) that another document has too, and the rows that others must be compared with: those not
+    settled by an equal neighbourhood, and for each settled neighbourhood one row of two documents.
+    """
+    doc = t.column("doc").to_numpy()
+    place, first, last = (t.column(c).to_numpy().astype(np.int64) for c in ("place", "first", "last"))
+    right, r_n, left, l_n = _tables(t.column("right"), t.column("left"))
+    n = len(doc)
+    same = (_agree(right, r_n) == r_n) & (np.append(-1, r_n[:-1]) == r_n) & (np.append(-1, l_n[:-1]) == l_n)
+    same[1:] &= (left[1:] == left[:-1]).all(axis=1)
+    h0 = np.flatnonzero(~same)
+    sizes = np.diff(np.append(h0, n))
+    h1 = h0 + sizes - 1
+    whole = np.repeat(doc[h0] != doc[h1], sizes)              # equal neighbourhoods, sorted by document
+    open_ = ~whole
+    open_[h0] = open_[h1] = True
+    rest = np.flatnonzero(open_)
+    right, left, r_n, l_n, d = right[rest], left[rest], r_n[rest], l_n[rest], doc[rest]
+    agree = _agree(right, r_n)                                # the rest is still sorted by the words to the right
+    m, widest = len(rest), min_words - run_words
+    to_left = np.zeros(m, np.int64)                           # class of suffixes whose nearest ``a`` words to the left are equal
+    hit = np.zeros((m, widest + 2), bool)
+    for a in range(widest + 1):
+        at = np.flatnonzero((l_n >= a) & (r_n >= min_words - a))
+        if len(at):
+            to_right = np.cumsum(agree < min_words - a)
+            hit[at, widest - a] = _several(to_right[at] * m + to_left[at], d[at])
+        if a < widest and a < left.shape[1]:
+            to_left = np.unique(to_left * (int(left.max()) + 2) + left[:, a] + 1, return_inverse=True)[1]
+    begin = hit & ~np.hstack([np.zeros((m, 1), bool), hit[:, :-1]])
+    end = hit[:, :-1] & ~hit[:, 1:]
+    row, b = np.nonzero(begin)
+    e = np.nonzero(end)[1]
+    settled = np.flatnonzero(whole)
+    spans = (np.append(settled, rest[row]), np.append(first[settled], place[rest[row]] - widest + b),
+             np.append(last[settled], place[rest[row]] - widest + e))
+    return *spans, rest
+
+
+def _windows(t: pa.Table, min_words: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(row, first word, words) of every window of the rows."""
+    texts = pc.binary_join_element_wise(t.column("left"), t.column("right"), b"").combine_chunks()
+    first, last = (t.column(c).to_numpy().astype(np.int64) for c in ("first", "last"))
+    data = np.frombuffer(b"".join(texts.to_pylist()), np.uint8)
+    at = np.append(0, np.flatnonzero(data == 10) + 1)
+    counts = last - first + min_words
+    n = last - first + 1
+    row, step = np.repeat(np.arange(len(t)), n), tokens.runs_of(n)
+    word = (np.cumsum(counts) - counts)[row] + step
+    return row, (first[row] + step).astype(np.int32), _slices(data, at[word], at[word + min_words])
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each part, from batches sorted by part."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        part = b.column("part").to_numpy()
+        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if hi > lo:
+                if held and held[0].column("part")[0].as_py() != part[lo]:
+                    yield pa.Table.from_batches(held)
+                    held = []
+                held.append(b.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def repeated_passages(docs: DataFrame, min_words: int = 50, run_words: int = RUN_WORDS, part_rows: int = PART_ROWS) -> DataFrame:
     """doc_id, start_word, end_word (exclusive), n_words: maximal passages that other documents have too.
 
     ``docs`` (doc_id, text); words are runs of characters other than blanks, compared as they are, numbered from 0.
     A row is known by doc_id and text: rows equal in both are one document, rows that share an id but not the
     text are different ones (and equal passages of them are joined under the id they share only if the
     texts are equal). A null doc_id is returned as it is. Null, empty and short texts have no passages. Repeats inside one
-    document only don't count. An empty table gives an empty result; other columns are not read.
+    document only don't count. An empty table gives an empty result; other columns are not read. ``part_rows`` bounds the memory of a task;
+    the result doesn't depend on it.
     """
     if min_words < run_words:
         raise ValueError("min_words must not be below run_words")
@@ -133,60 +268,82 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, run_words: int = RUN
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, block in tokens.blocks(b.column("text")):
-                text, first, last, run, hood = block_suffixes(block, min_words, run_words)
+                text, first, last, run, hood, place = block_suffixes(block, min_words, run_words)
                 rows = pa.array(text + lo)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(rows), b.column("doc").take(rows), pa.array(first.astype(np.int32)),
-                     pa.array(last.astype(np.int32)), pa.array(run.view(np.int64)), pa.array(hood.view(np.int64))],
-                    names=["doc_id", "doc", "first", "last", "run", "hood"])
+                    [b.column("doc_id").take(rows), b.column("doc").take(rows), *(pa.array(x.astype(np.int32)) for x in (first, last, place)),
+                     pa.array(run.view(np.int64)), pa.array(hood.view(np.int64))],
+                    names=["doc_id", "doc", "first", "last", "place", "run", "hood"])
 
-    suffixes = staged(spark, base.mapInArrow(keep, "doc_id long, doc long, first int, last int, run long, hood long"), "suffixes")
+    kept = "doc_id long, doc long, first int, last int, place int, run long, hood long"
+    suffixes = staged(spark, base.mapInArrow(keep, kept), "suffixes")
     rows = suffixes.count()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // 500_000)
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["run", "hood", "doc", "first"]
-    ranged = suffixes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranged = suffixes.repartitionByRange(max(shuffle, rows // 500_000), *order).sortWithinPartitions(*order)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)                                  # one range partition: bounded by ``parts``
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)                                  # one range partition: bounded by their number
         if held:
-            yield from _compare(pa.Table.from_batches(held)).combine_chunks().to_batches()
+            t = pa.Table.from_batches(held).select(["doc_id", "doc", "first", "last", "place", "run"])
+        if held and len(t):
+            yield from _parts(t, part_rows).drop_columns(["run"]).combine_chunks().to_batches()
 
-    compared = ranged.mapInArrow(compare, "doc_id long, doc long, first int, last int, run long, hood long, state byte")
-    compared = staged(spark, compared, "suffixes-compared", rows, 200_000)
-    whole = compared.where("state = 1").select("doc_id", "doc", F.col("first").alias("b"), (F.col("last") + min_words).alias("e"))
+    asked = ranged.mapInArrow(assign, "doc_id long, doc long, first int, last int, place int, part long, cut boolean")
+    asked = staged(spark, asked, "suffixes-asked", rows, 200_000)
+    shared = asked.count()
 
-    # extension: the windows around the suffixes that aren't settled, and around one or two of each settled kind
-    places = (compared.where("state > 1").groupBy("doc")
-              .agg(F.collect_set(F.struct("run", "first", "last")).alias("places")).withColumnRenamed("doc", "d"))
-    asked = base.join(places, base["doc"] == places["d"]).select("doc_id", "doc", "places", "text")
+    # the words around the suffixes of shared runs, sorted by the words to the right
+    places = (asked.groupBy(F.col("doc_id").alias("d_id"), F.col("doc").alias("d"))
+              .agg(F.collect_set(F.struct("first", "last", "place", "part", "cut")).alias("places")))
+    texts = base.join(places, (base["doc"] == places["d"]) & base["doc_id"].eqNullSafe(places["d_id"])).select("doc_id", "doc", "places", "text")
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, block in tokens.blocks(b.column("text")):
                 data, offsets = tokens.text_bytes(block)
                 w = tokens.find_words(data, offsets, tokens.NOT_BLANK)
-                runs = tokens.Runs(w.hashes(), tokens.WORD_POWERS)
+                lined, at = _lined(w)
                 lists = b.column("places").slice(lo, len(block))
-                counts = np.diff(lists.offsets.to_numpy())
                 flat = lists.flatten()
-                row = np.repeat(np.arange(len(block)), counts)
-                first, last, run = (flat.field(c).to_numpy() for c in ("first", "last", "run"))
-                n = (last - first + 1).astype(np.int64)
-                at = np.repeat(first, n) + tokens.runs_of(n)
-                row, run = np.repeat(row, n), np.repeat(run, n)
-                word = at + w.first[row]
-                rows = pa.array(row + lo)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(rows), b.column("doc").take(rows), pa.array(run),
-                     pa.array(runs.hash(word, word + min_words).view(np.int64)), pa.array(at.astype(np.int32))],
-                    names=["doc_id", "doc", "run", "window", "b"])
+                row = np.repeat(np.arange(len(block)), np.diff(lists.offsets.to_numpy()))
+                first, last, place = (flat.field(c).to_numpy() + w.first[row] for c in ("first", "last", "place"))
+                lo_, mid, hi = at[first], at[place], at[last + min_words]
+                piece = np.cumsum(hi - lo_) // PIECE_BYTES
+                for k in np.unique(piece):
+                    i = np.flatnonzero(piece == k)
+                    own, docs_of = flat.take(pa.array(i)), pa.array(row[i] + lo)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("doc_id").take(docs_of), b.column("doc").take(docs_of), *(own.field(c) for c in ("first", "last", "place", "part", "cut")),
+                         _slices(lined, mid[i], hi[i]), _slices(lined, lo_[i], mid[i])],
+                        names=["doc_id", "doc", "first", "last", "place", "part", "cut", "right", "left"])
+
+    worded = texts.mapInArrow(words, "doc_id long, doc long, first int, last int, place int, part long, cut boolean, right binary, left binary")
+    worded = worded.repartition(max(shuffle, shared // 100_000), "part").sortWithinPartitions("part", "right", "left", "doc", "first")
 
-    opened = staged(spark, asked.mapInArrow(windows, "doc_id long, doc long, run long, window long, b int"), "suffix-windows")
-    both = opened.groupBy("run", "window").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least <> most")
-    both = both.select(F.col("run").alias("r"), F.col("window").alias("w"))
-    extended = opened.join(both, (opened["run"] == both["r"]) & (opened["window"] == both["w"])).select(
-        "doc_id", "doc", "b", (F.col("b") + min_words).alias("e"))
-    return _joined(whole.union(extended))
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "doc", "b", "e", "window"]
+        for t in _by_part(batches):
+            row, b, e, rest = compare_suffixes(t, min_words, run_words)
+            doc_id, doc = (t.column(c).combine_chunks() for c in ("doc_id", "doc"))
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([doc_id.take(at), doc.take(at), pa.array(b.astype(np.int32)), pa.array((e + min_words).astype(np.int32)),
+                                              pa.nulls(len(row), pa.binary())], names=names)
+            cut = t.take(pa.array(rest[t.column("cut").to_numpy()[rest]]))    # to be compared with other parts, by their windows' texts
+            for lo in range(0, len(cut), 500):
+                some = cut.slice(lo, 500).combine_chunks()
+                row, begins, texts = _windows(some, min_words)
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays([some.column("doc_id").combine_chunks().take(at), some.column("doc").combine_chunks().take(at),
+                                                  pa.array(begins), pa.array(begins + np.int32(min_words)), texts], names=names)
+
+    found = staged(spark, worded.mapInArrow(compare, "doc_id long, doc long, b int, e int, window binary"), "suffix-matches")
+    spans = found.where("window is null").drop("window")
+    opened = found.where("window is not null")
+    both = opened.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("copies"))
+    both = both.where("least <> most").select("window", "copies")
+    extended = spread_join(opened, both, "window", "copies", ["doc", "b"]).select("doc_id", "doc", "b", "e")
+    return _joined(spans.union(extended))
 
 
 def _joined(spans: DataFrame) -> DataFrame:
@@ -201,6 +358,6 @@ def _joined(spans: DataFrame) -> DataFrame:
 
 
 def mark_repeats(spark: SparkSession, docs: DataFrame, min_words: int = 50) -> DataFrame:
-    """doc_id, repeated_words and passages (start, end) of the documents that have any."""
+    """doc_id, repeated_words and passages (start, end) of the documents that have any; passages of rows that share an id come together."""
     return repeated_passages(docs, min_words).groupBy("doc_id").agg(
         F.sum("n_words").alias("repeated_words"), F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("passages"))

@@ -42,6 +42,58 @@ def test_shorter_passages(make):
     assert check(make, [(1, f"x y {p}"), (2, f"{p} z"), (3, prose(65, 30))], min_words=12)
 
 
+def test_runs_cut_over_parts(make):
+    """Parts of a few suffixes: most runs are cut, and their windows compared by their texts."""
+    line, passage, p = prose(61, 20), prose(62, 55), prose(60, 120).split()
+    docs = [(i, f"{prose(400 + i, 60)} {line} {prose(500 + i, 60)}") for i in range(20)]
+    docs += [(100 + i, f"{prose(600 + i, 30)} {passage} {prose(700 + i, 30)}") for i in range(20)]
+    docs += [(200 + i, f"{prose(200 + i, i % 7)} {' '.join(p[a:b])} {prose(300 + i, i % 5)}") for i, (a, b) in enumerate(
+        [(0, 49), (10, 60), (10, 60), (5, 56), (30, 100), (0, 120), (60, 111), (61, 111), (70, 120), (49, 99)])]
+    whole = check(make, docs)
+    assert whole and all(check(make, docs, part_rows=n) == whole for n in (1, 7))
+
+
+def test_equal_hashes_of_different_words_give_no_passage(make, monkeypatch):
+    """Run hashes of two values and one neighbourhood hash: all suffixes are compared, the words decide."""
+    real = suffix_dedup.block_suffixes
+
+    def colliding(column, min_words, run_words):
+        text, first, last, run, hood, place = real(column, min_words, run_words)
+        return text, first, last, run & np.uint64(1), hood & np.uint64(0), place
+
+    monkeypatch.setattr(suffix_dedup, "block_suffixes", colliding)
+    passage = prose(80, 53)
+    assert check(make, [(i, prose(81 + i, 150)) for i in range(12)]) == set()
+    docs = [(i, f"{prose(81 + i, 90)} {passage if i % 3 else ''} {prose(181 + i, 90)}") for i in range(12)]
+    assert {d for d, *_ in check(make, docs)} == {d for d, _ in docs if d % 3}
+    assert check(make, docs, part_rows=9)
+
+
+def test_words_of_one_part_are_compared_to_both_sides():
+    """The same short run between words that agree to the left, to the right, on both sides and on none."""
+    def lined(words):
+        return "".join(w + "\n" for w in words).encode()
+
+    left, right = prose(90, 5).split(), prose(91, 12).split()
+    other = prose(92, 5).split()
+    rows = sorted((lined(r), lined(x), d) for d, (x, r) in enumerate(
+        [(left, right), (left, right[:9] + other[:3]), (other[:3] + left[3:], right), (other, other + right[:7])]))
+    t = pa.table({"doc": pa.array([d for *_, d in rows]), "place": pa.array([5] * 4, pa.int32()), "first": pa.array([0] * 4, pa.int32()),
+                  "last": pa.array([5] * 4, pa.int32()), "right": pa.array([r for r, *_ in rows], pa.binary()), "left": pa.array([x for _, x, _ in rows], pa.binary())})
+    row, b, e, rest = suffix_dedup.compare_suffixes(t, 12, 7)
+    got = {(rows[i][2], x, y) for i, x, y in zip(row.tolist(), b.tolist(), e.tolist(), strict=True)}
+    # windows of 12 words from word 0 to 5; document 0 agrees with 1 up to word 13 and with 2 from word 3 on
+    assert got == {(0, 0, 5), (1, 0, 2), (2, 3, 5)}
+    assert len(rest) == 4
+
+
+def test_words_that_are_no_text(make, spark):
+    """Control characters inside words, and texts whose blanks differ: words are compared, not the blanks between them."""
+    words = ["\x01a", "b\x02", "c", "\u00e9t\u00e9", "\x7f"] * 11
+    a, b = " ".join(words), "\t\n".join(words)
+    assert check(make, [(1, a), (2, "x " + b + " y"), (None, a + " z")])
+
+
 def test_empty_table_and_summary(make, spark):
     assert check(make, []) == set()
     p = prose(66, 60)
