@@ -13,7 +13,9 @@ parts that hold a run whole. What counts as repeated is decided by words:
 * others are extended to the right as far as the words agree with their neighbours' in that order, and to the left by
   refining, word after word, the classes of suffixes whose words to the left agree: a window is repeated if a suffix of another document
   agrees with it on both sides;
-* a run that is too frequent for one part is cut. The windows of its suffixes that aren't settled are grouped by their whole text.
+* a run that is too frequent for one part is cut. Its suffixes that aren't settled are sorted again, over range partitions, by the words to their
+  right: an answer is final unless the suffixes that agree so far reach beyond the partition. Those go on to the same comparison in the order of the words
+  to their left. What is open in both orders, windows whose halves are frequent on both sides, is grouped by the windows' whole text.
 
 Overlapping repeated windows are joined, so the result are maximal passages: exactly the words that lie in a
 window of ``min_words`` words which another document has too.
@@ -22,6 +24,7 @@ window of ``min_words`` words which another document has too.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,8 @@ from conform.llm import tokens
 from conform.llm.common import spread_join, staged
 
 RUN_WORDS = 8
-PART_ROWS = 50_000         # suffixes that are compared at a time in a task
+PART_ROWS = 20_000         # suffixes that are compared at a time in a task
+FOUND = "doc_id long, doc long, b int, e int, place int, right binary, left binary, least int"  # a span, or a suffix with its words
 PIECE_BYTES = 4 << 20      # of words sent on at a time
 POSITION_BITS = np.uint64((1 << 24) - 1)
 
@@ -98,7 +102,7 @@ def block_suffixes(column: pa.Array, min_words: int, run_words: int) -> tuple[np
 def _parts(t: pa.Table, part_rows: int) -> pa.Table:
     """The rows of a partition (sorted by run) whose run several documents have, or may have beyond the partition.
 
-    Adds ``part``, at most ``part_rows`` neighbouring rows, and ``cut``, whether rows of the same run may be in another part.
+    Adds ``part``, at most twice ``part_rows`` neighbouring rows, and ``cut``, whether rows of the same run may be in another part.
     """
     run, doc = (t.column(c).to_numpy() for c in ("run", "doc"))
     n = len(run)
@@ -109,14 +113,15 @@ def _parts(t: pa.Table, part_rows: int) -> pa.Table:
     several = (np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)) | edge
     keep = np.flatnonzero(np.repeat(several, sizes))
     first, sizes, edge = np.cumsum(sizes[several]) - sizes[several], sizes[several], edge[several]
-    number = np.arange(len(keep)) // part_rows
-    cut = edge | (number[first] != number[first + sizes - 1])
+    at, whole = np.arange(len(keep)), sizes <= part_rows
+    number = np.where(np.repeat(whole, sizes), np.repeat(first, sizes), at) // part_rows
     t = t.take(pa.array(keep))
-    heads = t.take(pa.array(np.arange(0, len(keep), part_rows)))    # a part is named by its first row, on every attempt alike
+    _, head, number = np.unique(number, return_index=True, return_inverse=True)
+    heads = t.take(pa.array(head))                            # a part is named by its first row, on every attempt alike
     name = np.zeros(len(heads), np.uint64)
     for c in ("run", "doc", "first"):
         name = tokens.mix64(name + heads.column(c).to_numpy().astype(np.int64).view(np.uint64))
-    return t.append_column("part", pa.array(name.view(np.int64)[number])).append_column("cut", pa.array(np.repeat(cut, sizes)))
+    return t.append_column("part", pa.array(name.view(np.int64)[number])).append_column("cut", pa.array(np.repeat(edge | ~whole, sizes)))
 
 
 def _slices(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
@@ -127,13 +132,13 @@ def _slices(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[at]))])
 
 
-def _lined(w: tokens.Words) -> tuple[np.ndarray, np.ndarray]:
+def _lined(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All words, each followed by a line feed, and the offset of each (and of the end)."""
-    n = w.end - w.start
+    n = end - start
     at = np.append(0, np.cumsum(n + 1))
     out = np.full(at[-1], 10, np.uint8)
     inside = tokens.runs_of(n)
-    out[np.repeat(at[:-1], n) + inside] = w.data[np.repeat(w.start, n) + inside]
+    out[np.repeat(at[:-1], n) + inside] = data[np.repeat(start, n) + inside]
     return out, at
 
 
@@ -145,19 +150,18 @@ def _lines(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
 
 
 def _tables(right: pa.ChunkedArray, left: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words to the right and to the left (nearest first) as numbers, equal ones for equal words, -1 beyond a row's end; their counts."""
+    """Words to the right and to the left (both nearest first) as numbers, equal ones for equal words, -1 beyond a row's end; their counts."""
     r_at, r_n, r_words = _lines(right)
     l_at, l_n, l_words = _lines(left)
     r_ids, l_ids = (c.indices.to_numpy() for c in pa.chunked_array([r_words, l_words]).dictionary_encode().unify_dictionaries().chunks)
 
-    def table(flat: np.ndarray, at: np.ndarray, n: np.ndarray, step: int) -> np.ndarray:
+    def table(flat: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         out = np.full((len(n), max(1, int(n.max(initial=0)))), -1, np.int32)
         col = tokens.runs_of(n)
-        row = np.repeat(np.arange(len(n)), n)
-        out[row, col] = flat[np.repeat(at if step > 0 else at + n - 1, n) + step * col]
+        out[np.repeat(np.arange(len(n)), n), col] = flat[np.repeat(at, n) + col]
         return out
 
-    return table(r_ids, r_at, r_n, 1), r_n, table(l_ids, l_at, l_n, -1), l_n
+    return table(r_ids, r_at, r_n), r_n, table(l_ids, l_at, l_n), l_n
 
 
 def _agree(x: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -169,25 +173,61 @@ def _agree(x: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
-def _several(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Whether rows of another document have the same key."""
-    order = np.argsort(key, kind="stable")
+def _several(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether rows of another document have the same key; whether the row stands for its key (two of different documents, if there are)."""
+    order = np.lexsort((doc, key))
     k, d = key[order], doc[order]
     first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-    differ = np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first)
-    out = np.empty(len(key), bool)
-    out[order] = np.repeat(differ, np.diff(np.append(first, len(k))))
-    return out
+    sizes = np.diff(np.append(first, len(k)))
+    ends = first + sizes - 1
+    differ, stands = np.empty(len(key), bool), np.zeros(len(key), bool)
+    differ[order] = np.repeat(d[first] != d[ends], sizes)
+    stands[order[first]] = stands[order[ends]] = True
+    return differ, stands
+
+
+def _extend(x: np.ndarray, x_n: np.ndarray, y: np.ndarray, y_n: np.ndarray, doc: np.ndarray, min_words: int, run_words: int, by_left: bool) -> tuple[np.ndarray, ...]:
+    """(repeated, open, needed) by row and number of words to the left of the place, for rows sorted by the words ``x`` on one side.
+
+    Rows whose nearest words in ``x`` agree are neighbours; those that agree in ``y`` too are found by refining classes word by word. A window is open
+    if the rows that agree with it in ``x`` reach the first or last row; an open one is needed if it isn't repeated or stands for its words.
+    """
+    m, widest = len(doc), min_words - run_words
+    repeated, open_, needed = (np.zeros((m, widest + 1), bool) for _ in range(3))
+    agree = _agree(x, x_n)
+    in_y = np.zeros(m, np.int64)
+    least, most = (run_words, min_words) if by_left else (0, widest)
+    for j in range(most + 1):
+        k = min_words - j
+        at = np.flatnonzero((x_n >= k) & (y_n >= j))
+        if j >= least and len(at):
+            a = k if by_left else j
+            in_x = np.cumsum(agree < k)
+            again, stands = _several(in_x[at] * m + in_y[at], doc[at])
+            reach = (in_x[at] == in_x[0]) | (in_x[at] == in_x[-1])
+            repeated[at, a], open_[at, a], needed[at, a] = again, reach, reach & (~again | stands)
+        if j < most and j < y.shape[1]:
+            in_y = np.unique(in_y * (int(y.max()) + 2) + y[:, j] + 1, return_inverse=True)[1]
+    return repeated, open_, needed
+
+
+def _spans(repeated: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first window, last window) of neighbouring repeated windows."""
+    m, n = repeated.shape
+    by_begin = np.zeros((m, n + 2), bool)
+    by_begin[:, 1:-1] = repeated[:, ::-1]
+    row, b = np.nonzero(by_begin[:, 1:] & ~by_begin[:, :-1])
+    _, e = np.nonzero(by_begin[:, :-1] & ~by_begin[:, 1:])
+    return row, place[row] - (n - 1) + b, place[row] - (n - 1) + e - 1
 
 
 def compare_suffixes(t: pa.Table, min_words: int, run_words: int) -> tuple[np.ndarray, ...]:
-    """Neighbour comparison in one part, sorted by (right, left, doc).
+    """Neighbour comparison in one part (doc, place, right, left), sorted by (right, left, doc).
 
     Returns spans (row, first window, last window) that another document has too, and the rows that others must be compared with: those not
     settled by an equal neighbourhood, and for each settled neighbourhood one row of two documents.
     """
-    doc = t.column("doc").to_numpy()
-    place, first, last = (t.column(c).to_numpy().astype(np.int64) for c in ("place", "first", "last"))
+    doc, place = t.column("doc").to_numpy(), t.column("place").to_numpy().astype(np.int64)
     right, r_n, left, l_n = _tables(t.column("right"), t.column("left"))
     n = len(doc)
     same = (_agree(right, r_n) == r_n) & (np.append(-1, r_n[:-1]) == r_n) & (np.append(-1, l_n[:-1]) == l_n)
@@ -196,42 +236,14 @@ def compare_suffixes(t: pa.Table, min_words: int, run_words: int) -> tuple[np.nd
     sizes = np.diff(np.append(h0, n))
     h1 = h0 + sizes - 1
     whole = np.repeat(doc[h0] != doc[h1], sizes)              # equal neighbourhoods, sorted by document
-    open_ = ~whole
-    open_[h0] = open_[h1] = True
-    rest = np.flatnonzero(open_)
-    right, left, r_n, l_n, d = right[rest], left[rest], r_n[rest], l_n[rest], doc[rest]
-    agree = _agree(right, r_n)                                # the rest is still sorted by the words to the right
-    m, widest = len(rest), min_words - run_words
-    to_left = np.zeros(m, np.int64)                           # class of suffixes whose nearest ``a`` words to the left are equal
-    hit = np.zeros((m, widest + 2), bool)
-    for a in range(widest + 1):
-        at = np.flatnonzero((l_n >= a) & (r_n >= min_words - a))
-        if len(at):
-            to_right = np.cumsum(agree < min_words - a)
-            hit[at, widest - a] = _several(to_right[at] * m + to_left[at], d[at])
-        if a < widest and a < left.shape[1]:
-            to_left = np.unique(to_left * (int(left.max()) + 2) + left[:, a] + 1, return_inverse=True)[1]
-    begin = hit & ~np.hstack([np.zeros((m, 1), bool), hit[:, :-1]])
-    end = hit[:, :-1] & ~hit[:, 1:]
-    row, b = np.nonzero(begin)
-    e = np.nonzero(end)[1]
+    looked = ~whole
+    looked[h0] = looked[h1] = True
+    rest = np.flatnonzero(looked)                             # still sorted by the words to the right
+    repeated, _, _ = _extend(right[rest], r_n[rest], left[rest], l_n[rest], doc[rest], min_words, run_words, False)
+    row, b, e = _spans(repeated, place[rest])
     settled = np.flatnonzero(whole)
-    spans = (np.append(settled, rest[row]), np.append(first[settled], place[rest[row]] - widest + b),
-             np.append(last[settled], place[rest[row]] - widest + e))
-    return *spans, rest
-
-
-def _windows(t: pa.Table, min_words: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """(row, first word, words) of every window of the rows."""
-    texts = pc.binary_join_element_wise(t.column("left"), t.column("right"), b"").combine_chunks()
-    first, last = (t.column(c).to_numpy().astype(np.int64) for c in ("first", "last"))
-    data = np.frombuffer(b"".join(texts.to_pylist()), np.uint8)
-    at = np.append(0, np.flatnonzero(data == 10) + 1)
-    counts = last - first + min_words
-    n = last - first + 1
-    row, step = np.repeat(np.arange(len(t)), n), tokens.runs_of(n)
-    word = (np.cumsum(counts) - counts)[row] + step
-    return row, (first[row] + step).astype(np.int32), _slices(data, at[word], at[word + min_words])
+    first, last = place - l_n, place + r_n - min_words
+    return np.append(settled, rest[row]), np.append(first[settled], b), np.append(last[settled], e), rest
 
 
 def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -250,6 +262,42 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def _table(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
+    held = [b for b in batches if len(b)]
+    return pa.Table.from_batches(held) if held else None
+
+
+def _found(t: pa.Table, row: np.ndarray, b: np.ndarray, e: np.ndarray) -> list[pa.RecordBatch]:
+    """Rows of ``FOUND`` for repeated spans [b, e)."""
+    out = t.select(["doc_id", "doc"]).take(pa.array(row))
+    for name, values in (("b", b), ("e", e)):
+        out = out.append_column(name, pa.array(values.astype(np.int32)))
+    for name, kind in (("place", pa.int32()), ("right", pa.binary()), ("left", pa.binary()), ("least", pa.int32())):
+        out = out.append_column(name, pa.nulls(len(row), kind))
+    return out.combine_chunks().to_batches()
+
+
+def _open(t: pa.Table, row: np.ndarray, least: np.ndarray) -> list[pa.RecordBatch]:
+    """Rows of ``FOUND`` for suffixes to be compared further, windows of ``least`` words to the left or more."""
+    some = t.take(pa.array(row))
+    nothing = pa.nulls(len(row), pa.int32())
+    out = some.select(["doc_id", "doc"]).append_column("b", nothing).append_column("e", nothing)
+    for name in ("place", "right", "left"):
+        out = out.append_column(name, some.column(name))
+    return out.append_column("least", pa.array(least)).combine_chunks().to_batches()
+
+
+def _windows(t: pa.Table, row: np.ndarray, a: np.ndarray, min_words: int) -> pa.RecordBatch:
+    """Windows with their words, that of row i beginning ``a[i]`` words left of its place."""
+    some = t.take(pa.array(row))
+    begin = some.column("place").to_numpy().astype(np.int32) - a.astype(np.int32)
+    texts = []
+    for left, right, n in zip(some.column("left").to_pylist(), some.column("right").to_pylist(), a.tolist(), strict=True):
+        texts.append(b"\n".join(left.split(b"\n")[:n][::-1] + right.split(b"\n")[:min_words - n]))
+    return pa.RecordBatch.from_arrays([*(some.column(c).combine_chunks() for c in ("doc_id", "doc")), pa.array(begin), pa.array(begin + np.int32(min_words)),
+                                       pa.array(texts, pa.binary())], names=["doc_id", "doc", "b", "e", "window"])
+
+
 def repeated_passages(docs: DataFrame, min_words: int = 50, run_words: int = RUN_WORDS, part_rows: int = PART_ROWS) -> DataFrame:
     """doc_id, start_word, end_word (exclusive), n_words: maximal passages that other documents have too.
 
@@ -303,47 +351,72 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, run_words: int = RUN
             for lo, block in tokens.blocks(b.column("text")):
                 data, offsets = tokens.text_bytes(block)
                 w = tokens.find_words(data, offsets, tokens.NOT_BLANK)
-                lined, at = _lined(w)
+                ahead, at = _lined(w.data, w.start, w.end)
+                back, back_at = _lined(w.data, w.start[::-1], w.end[::-1])
                 lists = b.column("places").slice(lo, len(block))
                 flat = lists.flatten()
                 row = np.repeat(np.arange(len(block)), np.diff(lists.offsets.to_numpy()))
                 first, last, place = (flat.field(c).to_numpy() + w.first[row] for c in ("first", "last", "place"))
-                lo_, mid, hi = at[first], at[place], at[last + min_words]
-                piece = np.cumsum(hi - lo_) // PIECE_BYTES
+                r0, r1 = at[place], at[last + min_words]
+                l0, l1 = back_at[len(w.start) - place], back_at[len(w.start) - first]
+                piece = np.cumsum(r1 - r0 + l1 - l0) // PIECE_BYTES
                 for k in np.unique(piece):
                     i = np.flatnonzero(piece == k)
                     own, docs_of = flat.take(pa.array(i)), pa.array(row[i] + lo)
                     yield pa.RecordBatch.from_arrays(
-                        [b.column("doc_id").take(docs_of), b.column("doc").take(docs_of), *(own.field(c) for c in ("first", "last", "place", "part", "cut")),
-                         _slices(lined, mid[i], hi[i]), _slices(lined, lo_[i], mid[i])],
-                        names=["doc_id", "doc", "first", "last", "place", "part", "cut", "right", "left"])
+                        [b.column("doc_id").take(docs_of), b.column("doc").take(docs_of), *(own.field(c) for c in ("place", "part", "cut")),
+                         _slices(ahead, r0[i], r1[i]), _slices(back, l0[i], l1[i])],
+                        names=["doc_id", "doc", "place", "part", "cut", "right", "left"])
 
-    worded = texts.mapInArrow(words, "doc_id long, doc long, first int, last int, place int, part long, cut boolean, right binary, left binary")
-    worded = worded.repartition(max(shuffle, shared // 100_000), "part").sortWithinPartitions("part", "right", "left", "doc", "first")
+    worded = texts.mapInArrow(words, "doc_id long, doc long, place int, part long, cut boolean, right binary, left binary")
+    worded = worded.repartition(max(shuffle, shared // 50_000), "part").sortWithinPartitions("part", "right", "left", "doc", "place")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "doc", "b", "e", "window"]
         for t in _by_part(batches):
             row, b, e, rest = compare_suffixes(t, min_words, run_words)
-            doc_id, doc = (t.column(c).combine_chunks() for c in ("doc_id", "doc"))
-            at = pa.array(row)
-            yield pa.RecordBatch.from_arrays([doc_id.take(at), doc.take(at), pa.array(b.astype(np.int32)), pa.array((e + min_words).astype(np.int32)),
-                                              pa.nulls(len(row), pa.binary())], names=names)
-            cut = t.take(pa.array(rest[t.column("cut").to_numpy()[rest]]))    # to be compared with other parts, by their windows' texts
-            for lo in range(0, len(cut), 500):
-                some = cut.slice(lo, 500).combine_chunks()
-                row, begins, texts = _windows(some, min_words)
-                at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([some.column("doc_id").combine_chunks().take(at), some.column("doc").combine_chunks().take(at),
-                                                  pa.array(begins), pa.array(begins + np.int32(min_words)), texts], names=names)
-
-    found = staged(spark, worded.mapInArrow(compare, "doc_id long, doc long, b int, e int, window binary"), "suffix-matches")
-    spans = found.where("window is null").drop("window")
-    opened = found.where("window is not null")
+            yield from _found(t, row, b, e + min_words)
+            rest = rest[t.column("cut").to_numpy()[rest]]
+            yield from _open(t, rest, np.zeros(len(rest), np.int32))
+
+    found = staged(spark, worded.mapInArrow(compare, FOUND), "suffix-matches")
+
+    def ordered(df: DataFrame, *by: str) -> DataFrame:
+        rest = df.where("right is not null")
+        return rest.repartitionByRange(max(1, -(-rest.count() // part_rows)), *by).sortWithinPartitions(*by)
+
+    def by_right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = _table(batches)                                   # one range partition: bounded by their number
+        if t is not None:
+            right, r_n, left, l_n = _tables(t.column("right"), t.column("left"))
+            repeated, open_, needed = _extend(right, r_n, left, l_n, t.column("doc").to_numpy(), min_words, run_words, False)
+            row, b, e = _spans(repeated, t.column("place").to_numpy().astype(np.int64))
+            yield from _found(t, row, b, e + min_words)
+            rest = np.flatnonzero(needed.any(axis=1))
+            yield from _open(t, rest, open_[rest].argmax(axis=1).astype(np.int32))
+
+    again = staged(spark, ordered(found, "right", "left", "doc", "place").mapInArrow(by_right, FOUND), "suffix-matches-right")
+
+    def by_left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = _table(batches)
+        if t is not None:
+            right, r_n, left, l_n = _tables(t.column("right"), t.column("left"))
+            repeated, _, needed = _extend(left, l_n, right, r_n, t.column("doc").to_numpy(), min_words, run_words, True)
+            row, b, e = _spans(repeated, t.column("place").to_numpy().astype(np.int64))
+            needed &= np.arange(needed.shape[1]) >= t.column("least").to_numpy()[:, None]    # others are settled in the order of the words to the right
+            for r in _found(t, row, b, e + min_words):
+                yield r.select(["doc_id", "doc", "b", "e"]).append_column("window", pa.nulls(len(r), pa.binary()))
+            row, a = np.nonzero(needed)
+            for lo in range(0, len(row), 10_000):
+                yield _windows(t, row[lo:lo + 10_000], a[lo:lo + 10_000], min_words)
+
+    last = ordered(again, "left", "right", "doc", "place").mapInArrow(by_left, "doc_id long, doc long, b int, e int, window binary")
+    last = staged(spark, last, "suffix-matches-left")
+    opened = last.where("window is not null")
     both = opened.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("copies"))
     both = both.where("least <> most").select("window", "copies")
-    extended = spread_join(opened, both, "window", "copies", ["doc", "b"]).select("doc_id", "doc", "b", "e")
-    return _joined(spans.union(extended))
+    extended = spread_join(opened, both, "window", "copies", ["doc", "b"])
+    spans = [df.select("doc_id", "doc", "b", "e") for df in (found.where("right is null"), again.where("right is null"), last.where("window is null"), extended)]
+    return _joined(reduce(DataFrame.union, spans))
 
 
 def _joined(spans: DataFrame) -> DataFrame:

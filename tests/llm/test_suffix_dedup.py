@@ -76,10 +76,10 @@ def test_words_of_one_part_are_compared_to_both_sides():
 
     left, right = prose(90, 5).split(), prose(91, 12).split()
     other = prose(92, 5).split()
-    rows = sorted((lined(r), lined(x), d) for d, (x, r) in enumerate(
+    rows = sorted((lined(r), lined(x[::-1]), d) for d, (x, r) in enumerate(
         [(left, right), (left, right[:9] + other[:3]), (other[:3] + left[3:], right), (other, other + right[:7])]))
-    t = pa.table({"doc": pa.array([d for *_, d in rows]), "place": pa.array([5] * 4, pa.int32()), "first": pa.array([0] * 4, pa.int32()),
-                  "last": pa.array([5] * 4, pa.int32()), "right": pa.array([r for r, *_ in rows], pa.binary()), "left": pa.array([x for _, x, _ in rows], pa.binary())})
+    t = pa.table({"doc": pa.array([d for *_, d in rows]), "place": pa.array([5] * 4, pa.int32()),
+                  "right": pa.array([r for r, *_ in rows], pa.binary()), "left": pa.array([x for _, x, _ in rows], pa.binary())})
     row, b, e, rest = suffix_dedup.compare_suffixes(t, 12, 7)
     got = {(rows[i][2], x, y) for i, x, y in zip(row.tolist(), b.tolist(), e.tolist(), strict=True)}
     # windows of 12 words from word 0 to 5; document 0 agrees with 1 up to word 13 and with 2 from word 3 on
