@@ -9,9 +9,10 @@ lower bound |d(q, p) - d(c, p)| of their distance; the largest of them bounds th
 The origin is one of the pivots (its distances are the norms). Candidates are evaluated in order of their bounds, best
 first, and a query stops as soon as the next bound is below its k-th best score: nothing left can enter.
 
-Candidates and queries are packed into blocks. The candidate blocks are dealt out to lanes, every query block visits every lane,
-so a task holds one query block and one candidate block at a time and carries its best k along. Queries are a stated share
-of the rows; the result of a lane is k rows a query, merged at the end.
+Candidates and queries are packed into blocks, query blocks are dealt out to parts and candidate blocks to lanes. Every part meets every
+lane in a cell: a task holds the query blocks of one part, streams the lane's candidate blocks past them and carries their best k along. So
+a candidate is sent once a part and a query once a lane, never once a pair of blocks, and both numbers grow with the tables. Queries are a
+stated share of the rows; the result of a cell is k rows a query, merged at the end.
 """
 
 from __future__ import annotations
@@ -160,7 +161,7 @@ class Best:
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, n_pivots: int = 24, sample_rows: int = 2048,
-          query_rows: int = 512, block_rows: int = 4096, lanes: int = 32) -> DataFrame:
+          query_rows: int = 512, block_rows: int = 4096, part_blocks: int = 16, lane_blocks: int = 16, lanes: int | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k best candidates by integer inner product, ties to smaller ids.
 
     ``vectors`` (vec_id, embedding); ``is_query`` is a condition on vec_id. Candidates are all rows but those with the
@@ -168,7 +169,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, n_
     no part. Vectors of any other length do, with exact scores; one among a query's k best that doesn't fit a long is an error. Vectors only meet vectors of their length. A repeated
     query id is one query, with its smallest vector; repeated candidates take a rank each. Fewer candidates than k give
     fewer rows; an empty table gives none. Other columns are not read. ``sample_rows`` bounds the rows from which pivots
-    are chosen; every row is bounded by them and none is skipped otherwise.
+    are chosen; every row is bounded by them and none is skipped otherwise. A cell holds about ``part_blocks`` blocks of ``query_rows`` queries and reads at most
+    about ``lane_blocks`` blocks of ``block_rows`` candidates, fewer where that gives more tasks to run at once;
+    ``lanes`` sets their number instead.
     """
     spark = vectors.sparkSession
     base = quantised(vectors, scale)
@@ -180,14 +183,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, n_
     queries = base.where(is_query).groupBy("vec_id").agg(F.min(F.struct("dim", "x")).alias("m")).select("vec_id", "m.x", "m.dim")
     q = staged(spark, _pack(queries, pivots, query_rows), "topk-queries")
     c = staged(spark, _pack(base, pivots, block_rows), "topk-candidates")
-    q = q.select("dim", F.monotonically_increasing_id().alias("block"), F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"),
-                 F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.col("distances").alias("q_distances"))
-    c = c.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int"))
-    pairs = q.join(c, ["dim", "lane"]).sortWithinPartitions("dim", "lane", "block")
+    n_queries, n_candidates = q.count(), c.count()            # blocks
+    parts = max(1, -(-n_queries // part_blocks))
+    at_once = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // parts)
+    lanes = lanes or max(1, min(n_candidates, max(-(-n_candidates // lane_blocks), at_once)))
+
+    def dealt(blocks: DataFrame, own: str, n_own: int, other: str, n_other: int, role: int) -> DataFrame:
+        return blocks.withColumn(own, F.pmod(F.xxhash64("ids"), F.lit(n_own)).cast("int")).withColumn("role", F.lit(role)).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))).select("dim", "part", "lane", "role", "ids", "vectors", "distances")
+
+    cells = dealt(q, "part", parts, "lane", lanes, 0).union(dealt(c, "lane", lanes, "part", parts, 1))
+    cells = cells.repartition(parts * lanes, "dim", "part", "lane").sortWithinPartitions("dim", "part", "lane", "role")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def arrays(b: pa.RecordBatch, i: int, prefix: str, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            ids, x, d = (b.column(prefix + n)[i].as_buffer() for n in ("ids", "vectors", "distances"))
+        def arrays(b: pa.RecordBatch, i: int, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            ids, x, d = (b.column(n)[i].as_buffer() for n in ("ids", "vectors", "distances"))
             ids = np.frombuffer(ids, np.int64)
             return ids, np.frombuffer(x, np.float64).reshape(len(ids), dim), np.frombuffer(d, np.float64).reshape(len(ids), -1)
 
@@ -195,19 +205,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, n_
             rows = list(zip(*best.rows())) or [(), (), ()]
             return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], names=["query_id", "vec_id", "score"])
 
-        at, best = None, None
+        at, part = None, []
         for b in batches:
             for i in range(b.num_rows):
-                dim = b.column("dim")[i].as_py()
-                here = dim, b.column("lane")[i].as_py(), b.column("block")[i].as_py()
-                if here != at:
-                    if best:
-                        yield result(best)
-                    at, best = here, Best(*arrays(b, i, "q_", dim), k)
-                best.visit(*arrays(b, i, "", dim))
-        if best:
-            yield result(best)
-
-    found = pairs.mapInArrow(search, "query_id long, vec_id long, score long")
+                dim, *cell, role = (b.column(n)[i].as_py() for n in ("dim", "part", "lane", "role"))
+                if (dim, *cell) != at:
+                    yield from map(result, part)
+                    at, part = (dim, *cell), []
+                if role == 0:                                 # a cell's queries come before its candidates
+                    part.append(Best(*(x.copy() for x in arrays(b, i, dim)), k))
+                else:
+                    block = arrays(b, i, dim) if part else None
+                    for best in part:
+                        best.visit(*block)
+        yield from map(result, part)
+
+    found = cells.mapInArrow(search, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id")))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -87,3 +87,18 @@ def test_the_bound_stops_early_and_loses_nothing(clusters):
         order = np.lexsort((np.arange(4000), -s))[:5]
         assert [c for _, c in top] == order.tolist()
     assert best.evaluated < 20 * 4000 * (0.6 if clusters else 1.01)
+
+
+def test_cells_of_parts_and_lanes(make):
+    """Several parts of queries and lanes of candidates, of two dimensions; each meets each."""
+    rows = vectors(150, 6, 21) + vectors(90, 4, 22, first=1000)
+    want_rows = want(rows, step=3)
+    for kw in ({"query_rows": 4, "block_rows": 16, "part_blocks": 2, "lane_blocks": 3}, {"query_rows": 1, "block_rows": 1, "part_blocks": 9, "lane_blocks": 40}):
+        assert run(make, rows, step=3, **kw) == want_rows
+
+
+def test_blocks_are_sent_by_part_and_lane_not_by_pair(make):
+    """No join of blocks: the plan has one exchange of them, and neither a broadcast nor a sort above a join."""
+    found = top_k(make(vectors(40, 4, 23), SCHEMA), F.col("vec_id") % 5 == 0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan
