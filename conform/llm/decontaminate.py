@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conform.llm import bloom, tokens
-from conform.llm.common import spread_join, staged
+from conform.llm.common import spread_join, staged, with_row_key
 
 # Fixed masks: 1 is compared, 0 ignored. Of a stretch of 13 words or more of which 80 % agree, one mask at one place meets agreeing
 # words only, whichever they are. A stretch of 26 words or more can be cut into ones of 13 to 25, of which one has that share
@@ -258,3 +258,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     best = F.max(F.struct("n_same", (-F.col("start_word")).alias("s"), "n_words")).alias("m")
     return found.groupBy("doc_id", *carry, "item_id", "item_words").agg(best).select(
         "doc_id", *carry, "item_id", (-F.col("m.s")).alias("start_word"), F.col("m.n_words").alias("n_words"), F.col("m.n_same").alias("n_same"), "item_words")
+
+
+def removed_by_short_items(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 13) -> DataFrame:
+    """One row: documents (rows that differ), removed (with items of any length), removed_by_short (not removed if items below ``SHORTEST`` words were left out).
+
+    Such items can only be matched whole, so one of a common word removes every document that holds it: what that costs is to be seen before
+    the pipeline is run with them. Empty tables give zeros; null and empty texts are documents that nothing removes.
+    """
+    keyed = with_row_key(docs)
+    every = keyed.select("doc_id", "__h").distinct().select(F.lit("documents").alias("kind"))
+    removed, long = (contaminated(keyed, benchmark, similarity, min_words, carry=("__h",), shortest=n, any_item=True).select(F.lit(kind).alias("kind"))
+                     for kind, n in (("removed", 1), ("long", SHORTEST)))
+    n = {kind: F.count(F.when(F.col("kind") == kind, 1)) for kind in ("documents", "removed", "long")}
+    return every.union(removed).union(long).agg(
+        n["documents"].alias("documents"), n["removed"].alias("removed"), (n["removed"] - n["long"]).alias("removed_by_short"))

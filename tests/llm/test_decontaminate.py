@@ -6,7 +6,7 @@ import brute
 import pytest
 from samples import DOCS, make, prose  # noqa: F401 (fixtures)
 
-from conform.llm.decontaminate import _item_masks, contaminated
+from conform.llm.decontaminate import _item_masks, contaminated, removed_by_short_items
 from conform.llm.queries import QUERIES
 from conform.llm.stages import decontaminate_stage
 from conform.session import scratch_path
@@ -180,3 +180,14 @@ def test_copies_are_compared_once_and_all_come_out(make):
     docs = [(i, around(ITEM, 100)) for i in range(40)] + [(50, prose(99, 7) + " " + around(ITEM, 100))]
     rows = contaminated(make([(d, t, None, None, None) for d, t in docs], DOCS), make(BENCH, SCHEMA)).collect()
     assert sorted((r.doc_id, r.item_id, r.start_word, r.n_same) for r in rows) == [(i, 1, 40, 30) for i in range(40)] + [(50, 1, 47, 30)]
+
+
+def test_what_short_items_remove_is_counted(make):
+    """Three documents hold the one-word item, one of them a long item too; repeated rows are one document."""
+    bench = [(1, "yes"), (2, ITEM), (3, ITEM)]
+    docs = [(1, f"yes {ITEM}"), (2, "no and yes"), (2, "no and yes"), (3, "yes"), (4, ITEM), (5, "no"), (6, None), (None, "")]
+    rows = [(d, t, None, None, None) for d, t in docs]
+    got = removed_by_short_items(make(rows, DOCS), make(bench, SCHEMA)).first()
+    assert (got.documents, got.removed, got.removed_by_short) == (7, 4, 2)
+    empty = removed_by_short_items(make([], DOCS), make([], SCHEMA)).first()
+    assert (empty.documents, empty.removed, empty.removed_by_short) == (0, 0, 0)
