@@ -132,13 +132,13 @@ def _slices(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[at]))])
 
 
-def _lined(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All words, each followed by a line feed, and the offset of each (and of the end)."""
-    n = end - start
-    at = np.append(0, np.cumsum(n + 1))
-    out = np.full(at[-1], 10, np.uint8)
-    inside = tokens.runs_of(n)
-    out[np.repeat(at[:-1], n) + inside] = data[np.repeat(start, n) + inside]
+def _lined(w: tokens.Words) -> tuple[np.ndarray, np.ndarray]:
+    """All words, a line feed before, between and after them, and the offset of the one before each word (and of the last)."""
+    at = np.append(0, np.cumsum(w.end - w.start + 1))
+    out = np.full(at[-1] + 1, 10, np.uint8)
+    inside = np.ones(len(out), bool)
+    inside[at] = False
+    out[inside] = w.data[tokens.NOT_BLANK[w.data]]
     return out, at
 
 
@@ -288,12 +288,12 @@ def _open(t: pa.Table, row: np.ndarray, least: np.ndarray) -> list[pa.RecordBatc
 
 
 def _windows(t: pa.Table, row: np.ndarray, a: np.ndarray, min_words: int) -> pa.RecordBatch:
-    """Windows with their words, that of row i beginning ``a[i]`` words left of its place."""
+    """Windows with their words (as the columns hold them), that of row i beginning ``a[i]`` words left of its place."""
     some = t.take(pa.array(row))
     begin = some.column("place").to_numpy().astype(np.int32) - a.astype(np.int32)
     texts = []
     for left, right, n in zip(some.column("left").to_pylist(), some.column("right").to_pylist(), a.tolist(), strict=True):
-        texts.append(b"\n".join(left.split(b"\n")[:n][::-1] + right.split(b"\n")[:min_words - n]))
+        texts.append(b"\n".join([*left.split(b"\n")[:n], *right.split(b"\n")[:min_words - n]]))
     return pa.RecordBatch.from_arrays([*(some.column(c).combine_chunks() for c in ("doc_id", "doc")), pa.array(begin), pa.array(begin + np.int32(min_words)),
                                        pa.array(texts, pa.binary())], names=["doc_id", "doc", "b", "e", "window"])
 
@@ -351,14 +351,14 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, run_words: int = RUN
             for lo, block in tokens.blocks(b.column("text")):
                 data, offsets = tokens.text_bytes(block)
                 w = tokens.find_words(data, offsets, tokens.NOT_BLANK)
-                ahead, at = _lined(w.data, w.start, w.end)
-                back, back_at = _lined(w.data, w.start[::-1], w.end[::-1])
+                ahead, at = _lined(w)
+                back, size = ahead[::-1], len(ahead)          # words to the left come nearest first, their bytes backwards
                 lists = b.column("places").slice(lo, len(block))
                 flat = lists.flatten()
                 row = np.repeat(np.arange(len(block)), np.diff(lists.offsets.to_numpy()))
                 first, last, place = (flat.field(c).to_numpy() + w.first[row] for c in ("first", "last", "place"))
-                r0, r1 = at[place], at[last + min_words]
-                l0, l1 = back_at[len(w.start) - place], back_at[len(w.start) - first]
+                r0, r1 = at[place] + 1, at[last + min_words] + 1
+                l0, l1 = size - at[place], size - at[first]
                 piece = np.cumsum(r1 - r0 + l1 - l0) // PIECE_BYTES
                 for k in np.unique(piece):
                     i = np.flatnonzero(piece == k)
