@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conform.llm import bloom, tokens
-from conform.llm.common import spread_join, staged, with_row_key
+from conform.llm.common import spread_join, staged, text_batches, with_row_key
 
 # Fixed masks: 1 is compared, 0 ignored. Of a stretch of 13 words or more of which 80 % agree, one mask at one place meets agreeing
 # words only, whichever they are. A stretch of 26 words or more can be cut into ones of 13 to 25, of which one has that share
@@ -154,6 +154,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     many items share so cost a comparison a document, not one for each of the items.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     items = staged(spark, benchmark_items(benchmark, similarity, min_words, shortest), "decon-items", benchmark.count())
     seeds = items.select("item", F.explode("seeds").alias("s")).select("item", F.col("s.h").alias("h"), F.col("s.at").alias("at"))
     longest = items.agg(F.max("n")).first()[0] or 0

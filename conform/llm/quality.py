@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from conform.llm import tokens
+from conform.llm.common import text_batches
 
 THRESHOLD = 0.3
 FOLDS = 5
@@ -230,6 +231,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> Mode
 
     A document with several labels counts as good if all of them say so. Null ids and null labels are not used.
     """
+    text_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     good = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     good = good.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
@@ -270,6 +272,7 @@ def with_score(docs: DataFrame, model: Model | None, text: str = "text", score:
 
     A column that is called like the score is replaced. Without a model (no positives, or no documents) all score 0.5.
     """
+    text_batches(docs.sparkSession)
     docs = docs.select(*[c for c in docs.columns if c != score])
     keep = [c for c in docs.columns if not (drop_text and c == text)]
 

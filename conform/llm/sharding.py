@@ -13,7 +13,7 @@ import hashlib
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,8 +64,9 @@ def place(docs: DataFrame, shards: Sequence[str], key: str = "doc_id", size: int
     """
     owner = fill_table(shards, size)
     spark = docs.sparkSession
+    # an Arrow table stays a local relation; pandas or rows would be handed through Python workers on the executors
     slots = spark.createDataFrame(
-        pd.DataFrame({"__slot": np.arange(size, dtype=np.int64), "__shard": np.array(list(shards), dtype=object)[owner]}),
+        pa.table({"__slot": np.arange(size, dtype=np.int64), "__shard": pa.array(list(shards), pa.string()).take(pa.array(owner))}),
         "__slot long, __shard string")
     hashed = F.xxhash64(F.col(key))
     if spare_key:

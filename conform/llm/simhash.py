@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conform.llm import tokens
-from conform.llm.common import gathered, spread_join, staged
+from conform.llm.common import gathered, spread_join, staged, text_batches
 from conform.llm.components import connected_components
 
 SEED = 42  # fixed: the shingle hash's seed
@@ -73,6 +73,7 @@ def _block_fingerprints(column: pa.Array, width: int) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, width: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, (carried columns,) fp: the 64-bit fingerprint as a long, one row for each row of ``docs``."""
+    text_batches(docs.sparkSession)
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,9 +1,10 @@
 import numpy as np
 import pytest
 import zlib
+from pyspark.sql import functions as F
 from samples import DOCS, make, prose  # noqa: F401 (fixtures)
 
-from conform.llm.quality import FEATURES, LEXICAL, Sample, block_features, classify, estimate_prior, fit, minimise_risk
+from conform.llm.quality import FEATURES, LEXICAL, Sample, block_features, classify, estimate_prior, fit, minimise_risk, with_score
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -123,3 +124,14 @@ def test_fluent_texts_are_told_apart_by_their_words(make):
     held = [r for r in got if r.held_out]
     up, down = ([r.score for r in held if (r.doc_id % 3 != 0) == k] for k in (True, False))
     assert np.mean([a > b for a in up for b in down]) > 0.95
+
+
+def test_long_texts_come_in_small_batches(spark):
+    class Rows:
+        def score(self, x):
+            return np.full(len(x), float(len(x)))
+
+    docs = spark.range(0, 600, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 2000).alias("text"))
+    for scored in (with_score(docs, Rows()), with_score(docs, Rows(), drop_text=False, least=0.0)):
+        rows = scored.select("score").collect()
+        assert len(rows) == 600 and max(r.score for r in rows) * 22_000 <= 5 << 20

@@ -73,3 +73,8 @@ def test_empty_table_and_files(make, spark):
     write_shards(placed, path, files_per_shard=2)
     back = spark.read.parquet(path)
     assert {(r.doc_id, r.shard) for r in back.collect()} == {(r.doc_id, r.shard) for r in placed.collect()}
+
+
+def test_the_table_needs_no_python_workers(spark):
+    plan = place(spark.range(5), SHARDS, key="id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" in plan and "LogicalRDD" not in plan
