@@ -24,19 +24,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conform.llm.tokens import BLANK, blocks, text_bytes
+from conform.llm.tokens import blocks, text_bytes
 
 WINDOW = 2048
 MOST_OPEN = 4096           # open windows a task holds: at 4 bytes an id 32 MB
 CACHED = 1 << 18           # chunks of text in a generation of those whose ids a worker keeps
-ENCODED = 2 << 20          # bytes of text encoded at a time
+ENCODED = 8 << 20          # bytes of text encoded at a time
 SPAN = 1 << 33             # sequence ids of a task
 OUT_BYTES = 4 << 20        # of ids in a batch that a task returns
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
-#: Latin letters, perhaps a line end and a blank before and signs (no digit, no apostrophe) behind them.
-PLAIN = re.compile(r"(\n?)( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u017F]+)([!-&(-/:-@\[-`{-~]*)")
+#: Kinds of bytes that the tokenizer tells apart: blanks, letters, digits, signs; 0: control characters and bytes beyond ASCII.
+KIND = np.zeros(256, np.uint8)
+KIND[[0x20, *range(0x09, 0x0E)]] = 1
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 2
+KIND[0x30:0x3A] = 3
+KIND[[b for b in range(0x21, 0x7F) if not KIND[b]]] = 4
 #: How a byte is written in the vocabulary of a byte-level tokenizer: printable ones as they are, the others in order from U+0100.
 PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 SIGNS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
@@ -44,12 +48,45 @@ SIGNS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in PR
 WIDE_BLANKS = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
+#: The same for all bytes: how they are written, as UTF-8 (one byte or two).
+WRITTEN = [chr(SIGNS.get(i, i)).encode() for i in range(256)]
+WRITTEN_SIZE = np.array([len(w) for w in WRITTEN], np.int64)
+WRITTEN_FIRST, WRITTEN_LAST = (np.array([w[i] for w in WRITTEN], np.uint8) for i in (0, -1))
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """Kinds of the bytes; Latin letters beyond ASCII (U+00C0 to U+017F but for the signs of times and division) are letters."""
+    kind = KIND[data]
+    at = np.flatnonzero((data >= 0xC3) & (data <= 0xC5))                # first of two bytes
+    at = at[(data[at] != 0xC3) | ((data[at + 1] != 0x97) & (data[at + 1] != 0xB7))]
+    kind[at] = kind[at + 1] = 2
+    return kind
+
+
+def _begins(data: np.ndarray, kind: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where inside texts (that begin at ``starts``) a word of the tokenizer surely begins: at a change of kind.
+
+    Exceptions: a space belongs to the word behind it, an apostrophe perhaps to the letters behind it, and next to bytes of no kind
+    nothing is sure. Of several blanks before something else the last one stands apart.
+    """
+    begins = np.zeros(len(data), bool)
+    before, here = kind[:-1], kind[1:]
+    begins[1:] = (before != here) & (before != 0) & (here != 0) & (data[:-1] != 0x20) & ~((data[:-1] == 0x27) & (here == 2))
+    begins[1:] |= (before == 0) & (here == 1)
+    last = (kind[:-2] == 1) & (kind[1:-1] == 1) & (kind[2:] > 1)
+    last[starts[starts >= 2] - 2] = False                              # what stands behind them is another text
+    begins[1:-1] |= last
+    begins[starts] = False
+    return begins
+
+
 class Encoder:
     """Token ids of texts, from a byte-level file of the ``tokenizers`` library.
 
-    No token reaches from a sign that isn't white space into the white space behind it, so a text is cut there and each
-    distinct chunk is encoded once; the ids are those of the whole text. Ids of chunks are kept in two generations of a
-    bounded size, so frequent ones stay.
+    Such a tokenizer cuts a text into words by the kinds of its characters, and its model takes each word by itself. Texts are cut
+    where a word surely begins, and each distinct chunk is encoded once: by the model, if it is one word, else by
+    the tokenizer. The ids are those of the whole text. Ids of chunks are kept in two generations of a bounded size, so
+    frequent ones stay.
     """
 
     kept: dict[str, Encoder] = {}
@@ -60,6 +97,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(content)
         self.model = self.tokenizer.model
+        self.added = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -70,30 +108,36 @@ class Encoder:
             cls.kept[path] = cls(content)
         return cls.kept[path]
 
-    def _new(self, chunk: str) -> bytes:
-        """The chunk's ids as bytes. Letters with a blank before them are one word to the tokenizer, as are the signs behind
-        them and the line end before them; its model takes such words as they are."""
-        plain = PLAIN.fullmatch(chunk)
-        if not plain:
-            return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
-        line, word, signs = plain.groups()
-        if line or signs:
-            return b"".join(self._get(x) for x in (line, word, signs) if x)
-        # of ASCII, only the blank is written differently
-        written = word.replace(" ", chr(SIGNS[0x20])) if word.isascii() else word.encode().decode("latin-1").translate(SIGNS)
-        return array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
-
-    def _get(self, chunk: str) -> bytes:
-        ids = self.young.get(chunk)
-        if ids is None:
-            ids = self.old.get(chunk)
-            self.young[chunk] = ids = self._new(chunk) if ids is None else ids
-        return ids
-
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        out = [self._get(c) for c in chunks]
-        if len(self.young) > CACHED:
-            self.old, self.young = self.young, {}
+    def _holds_added(self, texts: pa.Array) -> pa.Array:
+        """Texts that hold an added token, which the tokenizer takes out before it cuts words."""
+        return pc.match_substring_regex(texts, self.added) if self.added else pa.repeat(pa.scalar(False), len(texts))
+
+    def _written(self, chunks: pa.Array) -> tuple[list[str], np.ndarray]:
+        """(the chunks as the model's vocabulary writes them, whether each is one word)."""
+        data, offsets = text_bytes(chunks)
+        kind = _kinds(data)
+        # an apostrophe may belong to the letters behind it
+        more = np.append(0, np.cumsum(_begins(data, kind, offsets[:-1]) | (kind == 0) | (data == 0x27)))
+        single = (more[offsets[1:]] == more[offsets[:-1]]) & ~self._holds_added(chunks).to_numpy(zero_copy_only=False)
+        upto = np.append(0, np.cumsum(WRITTEN_SIZE[data]))
+        out = np.empty(upto[-1], np.uint8)
+        out[upto[:-1]] = WRITTEN_FIRST[data]
+        out[upto[1:] - 1] = WRITTEN_LAST[data]
+        return pa.LargeStringArray.from_buffers(len(chunks), pa.py_buffer(upto[offsets]), pa.py_buffer(out)).to_pylist(), single
+
+    def _ids(self, chunks: pa.Array) -> list[bytes]:
+        written, single = self._written(chunks)
+        out = list(map(self.young.get, written))
+        tokenize, encode, old, young = self.model.tokenize, self.tokenizer.encode, self.old, self.young
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            w = written[i]
+            ids = old.get(w)
+            if ids is None:
+                found = [t.id for t in tokenize(w)] if single[i] else encode(chunks[i].as_py(), add_special_tokens=False).ids
+                ids = array("I", found).tobytes()
+            out[i] = young[w] = ids
+        if len(young) > CACHED:
+            self.old, self.young = young, {}
         return out
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -102,16 +146,21 @@ class Encoder:
         n = len(data)
         if n == 0:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        blank = BLANK[data]
-        begins = np.zeros(n, bool)
-        begins[1:] = blank[1:] & ~blank[:-1]
-        if pc.any(pc.match_substring_regex(pc.fill_null(column, ""), WIDE_BLANKS)).as_py():
-            begins[1:] &= data[:-1] < 0x80
-        begins[offsets[:-1][offsets[:-1] < n]] = True
+        texts = pc.fill_null(column, "")
+        kind = _kinds(data)
+        starts = offsets[:-1][offsets[:-1] < n]
+        begins = _begins(data, kind, starts)
+        if pc.any(pc.match_substring_regex(texts, WIDE_BLANKS)).as_py():
+            begins[1:] &= (data[:-1] < 0x80) & (data[1:] < 0x80)
+        added = self._holds_added(texts)
+        if pc.any(added).as_py():                                        # before blanks only, there
+            whole = np.repeat(added.to_numpy(zero_copy_only=False), np.diff(offsets))
+            begins[1:] &= ~whole[1:] | ((kind[1:] == 1) & (kind[:-1] != 1))
+        begins[starts] = True
         cut = np.flatnonzero(begins)
         chunks = pa.LargeStringArray.from_buffers(len(cut), pa.py_buffer(np.append(cut, n)), pa.py_buffer(np.ascontiguousarray(data)))
         coded = chunks.dictionary_encode()
-        ids = self._ids(coded.dictionary.to_pylist())
+        ids = self._ids(coded.dictionary)
         flat = np.frombuffer(b"".join(ids), np.uint32)
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
         first = np.cumsum(lengths) - lengths

@@ -113,6 +113,25 @@ def test_ids_of_chunks_are_those_of_the_text():
             assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [ids_of(t)[:-1] for t in texts[lo:lo + size]]
 
 
+def test_ids_of_odd_neighbours():
+    e = Encoder.of(PATH, open(PATH, encoding="utf-8").read())
+    alphabet = [*"aZé×÷ÀſǄßñ09٣²½!'’_-.,$ \n\t\r\x00\x1f\x7f", "\u0301", "\u00a0", "日", "𝒜", "😀", "'s", "'ll", " '", "  ", "\n\n", "<|endoftext|>"]
+    plain = alphabet[:-1]
+    plain.remove("\u00a0")
+    r = np.random.default_rng(4)
+    for signs in (alphabet, plain):
+        texts = ["".join(r.choice(signs, r.integers(0, 12))) for _ in range(6000)]
+        for lo in range(0, len(texts), 30):
+            ids, at = e.encode(pa.array(texts[lo:lo + 30], pa.string()))
+            assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [ids_of(t)[:-1] for t in texts[lo:lo + 30]]
+
+
+def test_a_word_is_encoded_once_whatever_signs_follow():
+    e = Encoder(open(PATH, encoding="utf-8").read())
+    e.encode(pa.array(["so señor, señor. señor!\nseñor; señor 12 señor"]))
+    assert len(e.young) == 9                                   # so, 12, the other word with and without its space, four signs, a line end
+
+
 def test_kept_chunks_are_bounded(monkeypatch):
     monkeypatch.setattr(packing, "CACHED", 100)
     e = Encoder(open(PATH, encoding="utf-8").read())
