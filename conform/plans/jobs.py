@@ -34,9 +34,10 @@ from conform.operators.quality import (
 )
 from conform.operators.resolve import feeder_lookup
 from conform.operators.serve import feeder_details
+from conform.session import dropped_shuffles, scratch_path
 from conform.sources.csv import csv_load
 from conform.sources.keyed import bucket_of, upsert_keyed
-from conform.sources.tables import batch_scan, load_batch, publish, read_table
+from conform.sources.tables import batch_scan, load_batch, publish, read_table, remove
 from conform.spec import SourceSpec
 
 log = logging.getLogger("conform.jobs")
@@ -141,7 +142,15 @@ def pipe_conform(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layou
     both statuses (latest row per DER, checks, upsert). Facts resolve direct feeder ids
     against the *upserted* dimension, so feeders of earlier batches still resolve. The dimension is published as a whole; of
     the facts, all history, only the sources and key buckets of the batch are rewritten (``fact_der`` counts these rows).
+
+    Staged rows and shuffles are dropped as soon as what they are for is written; a job that dies leaves its staged rows to the
+    retention of the scratch folder.
     """
+    with dropped_shuffles(spark):
+        return _conform(spark, specs, layout, ctx, batch_date, only_newer)
+
+
+def _conform(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layout, ctx: RunContext, batch_date, only_newer: bool) -> dict:
     batch = ctx.batch_date if batch_date is None else batch_date
     raws = {(s.source_id, ds): batch_scan(spark, layout.raw_table(s.source_id, ds), batch_date=batch)
             for s in specs for ds in s.datasets}
@@ -162,7 +171,8 @@ def pipe_conform(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layou
             tasks[f"bridge_{s.source_id}"] = (lambda b=b, s=s: publish(
                 b, layout.conformed_table(f"bridge_{s.source_id}"))["rows"])
     dim_rows = union_all([conform_dim_source(raws[(s.source_id, s.circuits_dataset)], s) for s in specs])
-    tasks["_dim"] = lambda: staged_with_checks(dim_rows, DIM_CHECKS, "dim", "dim_feeder")
+    stage = {name: scratch_path(spark, f"stage-{name}") for name in ("dim", "fact")}
+    tasks["_dim"] = lambda: staged_with_checks(dim_rows, DIM_CHECKS, "dim", "dim_feeder", stage["dim"])
     done = run_concurrently(tasks)
     dim_clean, out["dim_checks"] = done.pop("_dim")
     out.update(done)
@@ -173,6 +183,7 @@ def pipe_conform(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layou
     dim_path = layout.conformed_table("dim_feeder")
     dim_state = upsert(read_table(spark, dim_path), dim_new, DIM_KEYS, only_newer=only_newer)
     out["dim_feeder"] = publish(dim_state, dim_path, partition_cols=("utility_id",))["rows"]
+    remove(spark, stage["dim"])
     dim = read_table(spark, dim_path)
     lap("dim_publish")
 
@@ -180,11 +191,12 @@ def pipe_conform(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layou
     # one shuffle for the latest row and the table's layout: the stored rows lie in the order of sources and buckets
     parts = ("utility_id", f"bucket_of_{layout.fact_buckets}")
     fact_latest = latest_per_key(fact_rows.withColumn(parts[1], bucket_of(FACT_KEYS, layout.fact_buckets)), FACT_KEYS, FACT_ORDER, ranges=parts)
-    fact_clean, out["fact_checks"] = staged_with_checks(fact_latest, FACT_CHECKS, "fact", "fact_der")
+    fact_clean, out["fact_checks"] = staged_with_checks(fact_latest, FACT_CHECKS, "fact", "fact_der", stage["fact"])
     lap("fact_stage")
     fact_new = audit_stamp(fact_clean, ctx, keep_batch_date=True)
     fact_path = layout.conformed_table("fact_der")
     written = upsert_keyed(fact_new, fact_path, FACT_KEYS, ("utility_id",), layout.fact_buckets, only_newer, stored=True, together=True)
+    remove(spark, stage["fact"])
     out["fact_der"], out["fact_buckets"] = written["rows"], written["buckets"]
     lap("fact_upsert")
     return out
@@ -207,14 +219,24 @@ def pipe_serve(spark: SparkSession, layout: Layout, ctx: RunContext) -> dict:
                                               ("utility_id",), cluster_cols=DETAILS_CLUSTER, bloom=DETAILS_BLOOM)["rows"],
         "data_quality": lambda: publish(quality_summary(dim, fact, ctx), layout.serving_table("data_quality"))["rows"],
     }
-    return run_concurrently(tasks)
+    with dropped_shuffles(spark):
+        return run_concurrently(tasks)
 
 
 def run_all(spark: SparkSession, specs: Sequence[SourceSpec], landing: str, layout: Layout, ctx: RunContext,
-            only_newer: bool = False) -> dict:
-    """Raw → conform → serve for one drop, one context for all layers."""
+            only_newer: bool = False, clear_landing: bool = False) -> dict:
+    """Raw → conform → serve for one drop, one context for all layers.
+
+    ``clear_landing`` removes the specs' drops as soon as all of them are rows of the raw tables, from which the later layers
+    can be run again; by default they stay.
+    """
+    raw = pipe_raw(spark, specs, landing, layout, ctx)
+    if clear_landing:
+        for spec in specs:
+            for ds in spec.datasets:
+                remove(spark, f"{landing.rstrip('/')}/{spec.file_name(ds)}")
     return {
-        "raw": pipe_raw(spark, specs, landing, layout, ctx),
+        "raw": raw,
         "conform": pipe_conform(spark, specs, layout, ctx, only_newer=only_newer),
         "serve": pipe_serve(spark, layout, ctx),
     }

@@ -966,8 +966,8 @@ def run_chain(spark, d, times: int = 1) -> tuple[Layout, dict]:
     write_landing(spark, d, landing)
     layout = Layout(f"{root}/raw", f"{root}/conformed", f"{root}/serving")
     out = {}
-    for _ in range(times):
-        out = run_all(spark, [UTILITY1, UTILITY2], landing, layout, FIXED_CTX)
+    for i in range(times):
+        out = run_all(spark, [UTILITY1, UTILITY2], landing, layout, FIXED_CTX, clear_landing=i == times - 1)
     return layout, out
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import os
+import time
 
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from conform.context import RunContext
 from conform.operators.dedup import latest_per_key
 from conform.operators.serve import feeder_details
 from conform.plans import registry as r
-from conform.plans.jobs import DETAILS_CLUSTER, pipe_conform, pipe_raw, pipe_serve
-from conform.session import scratch_root
+from conform.plans.jobs import DETAILS_CLUSTER, pipe_conform, pipe_raw, pipe_serve, run_all
+from conform.session import DROP_SHUFFLES, dropped_shuffles, scratch_root
 from conform.sources import tables
 from conform.sources.keyed import bucket_of
 from conform.sources.tables import batch_scan, load_batch, partition_replace, publish, read_table
@@ -99,3 +100,54 @@ def test_serving_stores_no_copy_of_the_details(spark, landing, layout):
     details = read_table(spark, layout.serving_table("feeder_der_details"))
     assert details.count() == rows == read_table(spark, layout.conformed_table("fact_der")).count()
     assert details.select(*DETAILS_CLUSTER).distinct().count() == rows
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in files.mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_jobs_drop_their_shuffles_and_staged_rows(spark, landing, layout):
+    ctx, specs = RunContext.for_batch("2024-01-01", "run"), [UTILITY1, UTILITY2]
+    staged = f"{scratch_root(spark).removeprefix('file:')}/conform/stage-*"
+    pipe_raw(spark, specs, landing, layout, ctx)
+    before, kept, own = shuffle_files(spark), set(glob.glob(staged)), spark.conf.get(DROP_SHUFFLES)
+    for _ in range(2):
+        out = pipe_conform(spark, specs, layout, ctx)
+        assert out["fact_der"] == read_table(spark, layout.conformed_table("fact_der")).count() > 0
+        assert pipe_serve(spark, layout, ctx)["feeder_der_details"] == out["fact_der"]
+    assert set(glob.glob(staged)) == kept and spark.conf.get(DROP_SHUFFLES) == own
+    until = time.time() + 20    # removal is asynchronous
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    # the counts above are queries outside the jobs: each shuffles one number a task
+    assert sum(os.path.getsize(f) for f in left if f.endswith(".data") and os.path.exists(f)) < 2000
+
+
+def test_the_shuffle_setting_comes_back_after_a_failure(spark):
+    own = spark.conf.get(DROP_SHUFFLES)
+    try:
+        with dropped_shuffles(spark):
+            assert spark.conf.get(DROP_SHUFFLES) == "true"
+            raise KeyError
+    except KeyError:
+        assert spark.conf.get(DROP_SHUFFLES) == own
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        with dropped_shuffles(spark):
+            pass
+        assert spark.conf.get(DROP_SHUFFLES) == "true"
+    finally:
+        spark.conf.unset(DROP_SHUFFLES)
+
+
+def test_a_landing_is_cleared_of_the_specs_drops_only_if_asked(spark, landing, layout):
+    ctx, other = RunContext.for_batch("2024-01-01", "run"), os.path.join(landing, "notes.txt")
+    with open(other, "w") as f:
+        f.write("x")
+    there = set(os.listdir(landing))
+    kept = run_all(spark, [UTILITY1, UTILITY2], landing, layout, ctx)
+    assert set(os.listdir(landing)) == there
+    cleared = run_all(spark, [UTILITY1, UTILITY2], landing, layout, ctx, clear_landing=True)
+    assert [n for n in os.listdir(landing) if not n.startswith(".")] == ["notes.txt"]
+    assert cleared["raw"] == kept["raw"] and cleared["serve"] == kept["serve"]
